@@ -19,6 +19,7 @@ from recsmith.operators.encode import encode_fields
 from recsmith.operators.logs import click_history, latest_click
 from recsmith.operators.sampling import negative_sample
 from recsmith.plans.registry import register
+from recsmith.session import cut_lineage
 from recsmith.sources.fixtures import CLICKS_SQL, clicks
 
 CTR_FIELDS = ["user_id", "item_id", "category", "hist_items", "hist_cats", "label", "split"]
@@ -33,6 +34,9 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     enriched = log.select("user_id", "item_id", "time_us").join(articles, "item_id", "left")  # J1
     latest = latest_click(enriched, ("user_id", "item_id"), "time_us")                 # W1
     enc, states = encode_fields(latest, ["user_id", "item_id", "category"], states)    # E2
+    # the encoded log feeds five branches (history, pool, anti-join history,
+    # short-row gaps, output): materialise it once in the checkpoint dir
+    enc = cut_lineage(enc)
     feats = click_history(enc, {"item_id": "hist_items", "category": "hist_cats"}, n=hist_len,
                           with_split=True)                                             # W2 W3 H1 W4
     train = feats.where(F.col("split") == "train").drop("split")
