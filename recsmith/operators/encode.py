@@ -86,10 +86,9 @@ def apply_encoding(df: DataFrame, field: str, state: DataFrame, is_unk: bool = F
     st = state.select(F.col(VALUE).alias("_enc_v"), F.col(ID).alias("_enc_id"))
     joined = df.join(st, df[field].eqNullSafe(st["_enc_v"]), "left")
     code = F.coalesce(F.col("_enc_id"), F.lit(1 if is_unk else 0)).cast("int")
-    cols = [code.alias(out) if c == field else F.col(c) for c in df.columns]
-    if out != field:
-        cols.append(code.alias(out))
-    return joined.select(*cols)
+    if out == field:
+        return joined.select(*[code.alias(out) if c == field else F.col(c) for c in df.columns])
+    return joined.select(*[F.col(c) for c in df.columns], code.alias(out))
 
 
 def encode_fields(df: DataFrame, fields: list[str], states: dict[str, DataFrame] | None = None,
@@ -108,10 +107,9 @@ def decode(df: DataFrame, field: str, state: DataFrame, out: str | None = None)
     out = out or field
     st = state.select(F.col(ID).alias("_dec_id"), F.col(VALUE).alias("_dec_v"))
     joined = df.join(st, df[field] == st["_dec_id"], "left")
-    cols = [F.col("_dec_v").alias(out) if c == field else F.col(c) for c in df.columns]
-    if out != field:
-        cols.append(F.col("_dec_v").alias(out))
-    return joined.select(*cols)
+    if out == field:
+        return joined.select(*[F.col("_dec_v").alias(out) if c == field else F.col(c) for c in df.columns])
+    return joined.select(*[F.col(c) for c in df.columns], F.col("_dec_v").alias(out))
 
 
 def new_values(df: DataFrame, field: str, state: DataFrame) -> DataFrame:
