@@ -1,3 +1,120 @@
-"""Queries (see module docstrings)."""
+"""Source/sink round trips (S1..S8): each query writes data Spark derives
+from the given tables and reads it back; the oracle computes the same
+rows directly from the tables."""
 
-from recsmith.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recsmith.operators.encode import attach_scalars
+from recsmith.operators.logs import item_stats
+from recsmith.operators.similarity import hot_fill, hot_items, item_similarity, recommend
+from recsmith.plans.ctr import CTR_SQL, ctr_training_set
+from recsmith.plans.recall import SIM_COLS, _HOT_SQL, _REC_SQL, _sim_sql, _split_sql, recall_split
+from recsmith.plans.registry import register
+from recsmith.sources import io
+from recsmith.sources.fixtures import CLICKS_SQL, PRODUCTS_SQL, clicks, products, vectors
+
+WEEK_US = 7 * 86_400 * 1_000_000
+MAX_STAGE = 2
+
+
+@register("read_table", f"SELECT * FROM {PRODUCTS_SQL}")
+def q_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: full scan of one table (pruned to the columns the pipeline uses)."""
+    return products(spark, sf_dir)
+
+
+@register("read_click_logs", f"""WITH {_split_sql(CLICKS_SQL)},
+t0 AS (SELECT min(time_us) AS t0 FROM log0),
+parts AS (SELECT d.user_id, d.item_id, d.time_us, CASE WHEN s.rn = 1 THEN 'test' ELSE 'train' END AS phase,
+                 CAST((d.time_us - (SELECT t0 FROM t0)) // {WEEK_US} AS INT) AS stage
+          FROM dedup d JOIN split s USING (user_id, item_id, time_us))
+SELECT * FROM parts WHERE stage <= {MAX_STAGE}""")
+def q_read_click_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S7 + U1: the split log written as header-less CSV per
+    (phase, stage), read back for stages 0..2 with an explicit schema."""
+    train, validate, test = recall_split(clicks(spark, sf_dir))
+    t0 = clicks(spark, sf_dir).agg(F.min("time_us").alias("_t0"))
+    log = (train.unionByName(validate).withColumn("phase", F.lit("train"))
+           .unionByName(test.withColumn("phase", F.lit("test"))))
+    log = attach_scalars(log, t0).withColumn(
+        "stage", F.floor((F.col("time_us") - F.col("_t0")) / F.lit(WEEK_US)).cast("int"))
+    base = io.scratch_dir(spark, "click_logs")
+    io.write_click_logs(log, base)
+    back = io.read_click_logs(spark, base, MAX_STAGE)
+    return back.select("user_id", "item_id", "time_us", "phase", F.col("stage").cast("int").alias("stage"))
+
+
+@register("read_item_vectors", """SELECT vec_id AS item_id, CAST(len(embedding[1:32]) AS INT) AS n_text,
+  CAST(len(embedding[33:64]) AS INT) AS n_image, CAST(embedding[1] AS DOUBLE) AS text_0,
+  CAST(embedding[33] AS DOUBLE) AS image_0, CAST(embedding[64] AS DOUBLE) AS image_last FROM embeddings""")
+def q_read_item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written as ``id,[text...],[image...]`` lines and parsed back."""
+    path = io.scratch_dir(spark, "item_vectors")
+    io.write_item_vectors_csv(vectors(spark, sf_dir), path, split=32)
+    v = io.read_item_vectors(spark, path)
+    return v.select("item_id", F.size("text_vec").alias("n_text"), F.size("image_vec").alias("n_image"),
+                    F.col("text_vec")[0].cast("double").alias("text_0"),
+                    F.col("image_vec")[0].cast("double").alias("image_0"),
+                    F.element_at("image_vec", -1).cast("double").alias("image_last"))
+
+
+_CTR_BODY = CTR_SQL.strip()
+
+
+@register("training_set_roundtrip", f"""WITH rows_ AS ({_CTR_BODY})
+SELECT split, label, count(*) AS n FROM rows_ GROUP BY split, label""")
+def q_training_set_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the CTR set with its length contract, read back, count."""
+    out, _ = ctr_training_set(clicks(spark, sf_dir))
+    path = io.scratch_dir(spark, "ctr_set")
+    io.write_training_set(out, path, {"hist_items": 20, "hist_cats": 20})
+    back = io.read_training_set(spark, path)
+    return back.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("vectors_text_roundtrip", """SELECT vec_id AS item_id, CAST(len(embedding) AS INT) AS dim,
+  CAST(embedding[1] AS DOUBLE) AS v_first, (SELECT count(*) FROM embeddings) AS declared_count,
+  64 AS declared_dim FROM embeddings""")
+def q_vectors_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """word2vec text layout written and read back."""
+    path = io.scratch_dir(spark, "w2v_text")
+    io.write_vectors_text(vectors(spark, sf_dir), path, dim=64)
+    v = io.read_vectors(spark, path)
+    return v.select("item_id", F.size("vec").alias("dim"), F.col("vec")[0].cast("double").alias("v_first"),
+                    "declared_count", "declared_dim")
+
+
+@register("similarity_parts_roundtrip", f"WITH {_split_sql(CLICKS_SQL)},\n{_sim_sql()}\nSELECT {SIM_COLS} FROM sim")
+def q_similarity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The similarity table written as 10 hash-partitioned parts by
+    item and read back in parallel."""
+    train, _, _ = recall_split(clicks(spark, sf_dir))
+    path = io.scratch_dir(spark, "sim_parts")
+    io.write_parts(item_similarity(train, vectors(spark, sf_dir)), path, 10, "item")
+    return spark.read.parquet(path)
+
+
+@register("recommendations_csv_roundtrip",
+          f"WITH {_split_sql(CLICKS_SQL)},\n{_sim_sql()},\n{_REC_SQL},\n{_HOT_SQL}\nSELECT user_id, item_id, score, rank FROM final")
+def q_recs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final recommendations written as CSV with a header and read back."""
+    train, validate, _ = recall_split(clicks(spark, sf_dir))
+    vec = vectors(spark, sf_dir)
+    final = hot_fill(recommend(train, item_similarity(train, vec), users=validate), hot_items(train))
+    path = io.scratch_dir(spark, "recs_csv")
+    io.write_csv(final, path)
+    return io.read_csv(spark, path, "user_id long, item_id long, score double, rank long")
+
+
+@register("materialize_if_absent", f"""WITH {_split_sql(CLICKS_SQL)}
+SELECT item_id, count(*) AS clicks, count(DISTINCT user_id) AS users, min(time) AS first_seen
+FROM train GROUP BY item_id""")
+def q_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first call builds and saves, the second reuses the saved table."""
+    train, _, _ = recall_split(clicks(spark, sf_dir))
+    path = io.scratch_dir(spark, "item_stats")
+    io.materialize_if_absent(spark, path, lambda: item_stats(train))
+    return io.materialize_if_absent(spark, path, lambda: (_ for _ in ()).throw(RuntimeError("rebuilt")))
