@@ -22,7 +22,7 @@ def pad_zero(arr: str | Column, n: int = 20) -> Column:
 def split_last(arr: str | Column) -> tuple[Column, Column]:
     """H2: (history = all but last, label = last element)."""
     a = _c(arr)
-    return F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.element_at(a, -1)
+    return F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.try_element_at(a, F.lit(-1))
 
 
 def shifted_targets(arr: str | Column) -> tuple[Column, Column]:
