@@ -31,6 +31,16 @@ def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
             .drop("_one"))
 
 
+# Largest table (rows) broadcast when its row count has been measured.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only for a table whose measured row count is within
+    ``max_rows``; larger tables are left to a shuffle join."""
+    return F.broadcast(df) if n_rows <= max_rows else df
+
+
 def dense_ids(values: DataFrame, col: str, start: int = 1, name: str = ID,
               num_partitions: int | None = None) -> DataFrame:
     """Number the distinct values of ``col`` as ``start, start+1, ...`` in

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import hash32
-from recsmith.operators.encode import attach_scalars, dense_ids
+from recsmith.operators.encode import attach_scalars, bounded_broadcast, dense_ids
+from recsmith.session import cut_lineage
 
 
 def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int = 4,
@@ -37,20 +38,24 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     """
     key = list(row_key)
     ids = dense_ids(pool.select(item), item, start=0, name="_pidx")
-    pool_ix = pool.select(item, category).join(ids, item)
-    n_pool = ids.agg(F.count(F.lit(1)).alias("_N"))
+    # the numbered pool (one row per item) is read by four joins; its size
+    # is measured once and decides whether it may be broadcast
+    pool_ix = cut_lineage(pool.select(item, category).join(ids, item))
+    n_items = pool_ix.count()
+    n_pool = pool_ix.agg(F.count(F.lit(1)).alias("_N"))
+    pool_side = bounded_broadcast(
+        pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")), n_items)
 
     # 2. rejection draws
     att = rows.select(*key).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    att = attach_scalars(att, n_pool)
-    att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")), F.col("_N")).cast("int"))
-    cand = att.join(pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")),
-                    "_pidx")
+    att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")),
+                                         F.lit(max(n_items, 1))).cast("int"))
+    cand = att.join(pool_side, "_pidx")
     hist = history.select(F.col(user).alias("_h_user"), F.col(item).alias("_h_item")).distinct()
     cand = cand.join(hist, (cand[user] == hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]), "left_anti")
     w = Window.partitionBy(*key).orderBy("_a")
     first = cand.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
-    first = first.select(*key, "_j", "_neg_item", "_neg_cat")
+    first = cut_lineage(first.select(*key, "_j", "_neg_item", "_neg_cat"))
 
     # 3. exact remainder for short rows
     got = first.groupBy(*key).agg(F.count(F.lit(1)).alias("_got"))
@@ -77,8 +82,7 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     g = gaps.select(F.col("_h_user").alias("_g_user"), "_gs", "_cs", "_ce")
     rest = need.join(g, (need[user] == g["_g_user"]) & (need["_r"] >= g["_cs"]) & (need["_r"] < g["_ce"]))
     rest = rest.withColumn("_pidx", (F.col("_gs") + F.col("_r") - F.col("_cs")).cast("int"))
-    rest = rest.join(pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")),
-                     "_pidx").select(*key, "_j", "_neg_item", "_neg_cat")
+    rest = rest.join(pool_side, "_pidx").select(*key, "_j", "_neg_item", "_neg_cat")
 
     negs = first.unionByName(rest)
     neg_rows = rows.join(negs, key).select(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import (
-    HOUR_SECONDS, hash32, TICKS_PER_UNIT, activity_damp, affinity_unrolled, loc_decay, ndcg_gain,
+    HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, hash32, activity_damp, affinity_unrolled, loc_decay, ndcg_gain,
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
 from recsmith.operators.encode import attach_scalars
 from recsmith.operators.logs import item_stats, rank_in_group
@@ -61,11 +61,13 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
            .withColumn("loc", F.row_number().over(w_asc) - 1)
            .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(user))))
     stats = item_stats(train, item, user, "time").select(item, "users")
-    seq = seq.join(stats, item)
+    # per-row factors of the pair formula, computed once per row instead of
+    # once per pair (same operations, same doubles)
+    seq = (seq.join(stats, item)
+           .withColumn("damp", activity_damp("users", "n"))
+           .withColumn("lnlen", F.log(F.lit(1.0) + F.col("n"))))
     if vectors is not None:
         seq = seq.join(vectors.select(F.col("item_id").alias(item), F.col("vec")), item, "left")
-    else:
-        seq = seq.withColumn("vec", F.lit(None).cast("array<float>"))
     left, right = _blocked_sides(seq, block)
     a = left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns])
     b = right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns])
@@ -74,21 +76,25 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
     pairs = pairs.where(F.col(f"a_{item}") != F.col(f"b_{item}"))
     dt = trunc4(F.abs(F.col("a_time") - F.col("b_time")) / F.lit(float(HOUR_SECONDS)))
     dloc = F.abs(F.col("b_loc") - F.col("a_loc"))
+    if vectors is not None:
+        sims = [affinity_unrolled("a_vec", "b_vec", *NODE_SLICE).alias("node"),
+                affinity_unrolled("a_vec", "b_vec", *DEEP_SLICE).alias("deep"),
+                affinity_unrolled("a_vec", "b_vec", *TEXT_SLICE).alias("txt")]
+    else:
+        sims = [F.lit(MISSING_AFFINITY).alias(c) for c in ("node", "deep", "txt")]
     return pairs.select(
         F.col(f"a_{user}").alias(user), F.col(f"a_{item}").alias("item"), F.col(f"b_{item}").alias("relate_item"),
         F.col("a_loc").alias("loc1"), F.col("b_loc").alias("loc2"), dloc.alias("dloc"), dt.alias("dt"),
         F.col("a_users").alias("users_i"), F.col("a_n").alias("n"),
-        affinity_unrolled("a_vec", "b_vec", *NODE_SLICE).alias("node"),
-        affinity_unrolled("a_vec", "b_vec", *DEEP_SLICE).alias("deep"),
-        affinity_unrolled("a_vec", "b_vec", *TEXT_SLICE).alias("txt"))
+        F.col("a_damp").alias("damp"), F.col("a_lnlen").alias("lnlen"), *sims)
 
 
 def pair_accumulate(pairs: DataFrame) -> DataFrame:
     """The 9 slots per ordered pair (slot 0 still undamped)."""
     ld, td = loc_decay(F.col("dloc") - 1), time_decay(F.col("dt"))
     sim = (F.col("node") * F.col("node") * F.col("deep") * F.col("txt") * ld * td
-           / activity_damp("users_i", "n") * order_penalty("loc1", "loc2"))
-    weighted = ld * td / F.log(F.lit(1.0) + F.col("n"))
+           / F.col("damp") * order_penalty("loc1", "loc2"))
+    weighted = ld * td / F.col("lnlen")
     return pairs.groupBy("item", "relate_item").agg(
         F.sum(trunc_ticks(sim)).alias("sim_ticks"),
         F.count(F.lit(1)).alias("cnt"),

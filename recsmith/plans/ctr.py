@@ -39,6 +39,8 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     enc = cut_lineage(enc)
     feats = click_history(enc, {"item_id": "hist_items", "category": "hist_cats"}, n=hist_len,
                           with_split=True)                                             # W2 W3 H1 W4
+    # train rows feed four branches of the sampler: one sort, one write
+    feats = cut_lineage(feats)
     train = feats.where(F.col("split") == "train").drop("split")
     test = feats.where(F.col("split") == "test").drop("split").withColumn("label", F.lit(1))  # P7
     pool = enc.select("item_id", "category").distinct()                                # A11

@@ -70,6 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local one."""
     ensure_checkpoint_dir(df.sparkSession)
+    if os.environ.get("RECSMITH_TRACE"):
+        import time
+        import traceback
+        t0 = time.time()
+        out = df.checkpoint(eager=True)
+        caller = traceback.extract_stack(limit=2)[0]
+        print(f"[checkpoint] {caller.name}:{caller.lineno} {time.time() - t0:.2f}s")
+        return out
     return df.checkpoint(eager=True)
 
 
