@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import EDGE_TIME_UNIT_SECONDS, edge_weight, hash32, uniform01
+from recsmith.operators.sequence import with_next
 from recsmith.session import cut_lineage
 
 # Walk and embedding defaults of the reference pipeline.
@@ -32,13 +33,9 @@ def build_edges(log: DataFrame, direction: bool = True, user: str = "user_id", i
     """G1: consecutive clicks per user -> weighted forward + reverse edges
     (directed) or one unit edge (undirected). The time gap uses the two
     click times (Q3), in 12-hour units."""
-    w = Window.partitionBy(user).orderBy(F.col(time_col).asc(), F.col(item).asc())
     counts = log.groupBy(item).agg(F.count(F.lit(1)).alias("_cnt"))
-    seq = (log.select(user, item, time_col)
-           .withColumn("pos", F.row_number().over(w) - 1)
-           .withColumn("_nxt", F.lead(item).over(w))
-           .withColumn("_nt", F.lead(time_col).over(w))
-           .where(F.col("_nxt").isNotNull()))
+    seq = with_next(log.select(user, item, time_col), user, [time_col, item], {item: "_nxt", time_col: "_nt"},
+                    loc="pos").where(F.col("_nxt").isNotNull())
     ci = counts.select(F.col(item).alias("_i"), F.col("_cnt").alias("_ai"))
     cj = counts.select(F.col(item).alias("_j"), F.col("_cnt").alias("_aj"))
     seq = seq.join(ci, seq[item] == ci["_i"]).join(cj, seq["_nxt"] == cj["_j"])

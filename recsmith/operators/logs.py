@@ -5,8 +5,9 @@ Conventions: a log has ``user_id``, ``item_id`` and a numeric time column
 ends with the item id so ties in time have one defined order (Q18).
 
 Skew: counts and "latest" selections are aggregations (map-side partial
-aggregation, no single hot task); per-user windows with bounded frames go
-through :func:`user_window_frame` which splits hot users into time blocks.
+aggregation, no single hot task); per-user positions, histories and next
+values go through ``operators.sequence``, which keeps the plain window for
+normal users and spreads users above a row threshold over many tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import pad_zero
+from recsmith.operators.sequence import HOT_KEY_ROWS, positions, with_history, with_next
 
 
 # ---------------------------------------------------------------- cleaning
@@ -64,61 +66,60 @@ def _order(time_col: str, item_col: str, desc: bool = False) -> list[Column]:
 
 
 def sequence_position(log: DataFrame, user: str = "user_id", item: str = "item_id",
-                      time_col: str = "time_us", desc: bool = False, name: str = "loc") -> DataFrame:
+                      time_col: str = "time_us", desc: bool = False, name: str = "loc",
+                      hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """0-based position in the user's time order (``desc`` = recency)."""
-    w = Window.partitionBy(user).orderBy(*_order(time_col, item, desc))
-    return log.withColumn(name, F.row_number().over(w) - 1)
+    return positions(log, user, [time_col, item], desc=desc, loc=name, size=None, threshold=hot_threshold)
 
 
 def leave_one_out_split(log: DataFrame, user: str = "user_id", item: str = "item_id",
-                        time_col: str = "time_us") -> DataFrame:
-    """Latest row per user is ``test``, the rest ``train``.
-
-    The flag comes from ``lead(...) IS NULL`` on the same ascending window
-    the history uses, so one sort serves both."""
-    w = Window.partitionBy(user).orderBy(*_order(time_col, item))
-    return log.withColumn("split", F.when(F.lead(F.col(item), 1).over(w).isNull(), F.lit("test"))
-                          .otherwise(F.lit("train")))
+                        time_col: str = "time_us", hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
+    """Latest row per user is ``test``, the rest ``train``."""
+    out = with_next(log, user, [time_col, item], {item: "_nx"}, threshold=hot_threshold)
+    return out.withColumn("split", F.when(F.col("_nx").isNull(), F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_nx")
 
 
 def leave_two_out_split(log: DataFrame, user: str = "user_id", item: str = "item_id",
-                        time_col: str = "time_us", holdout: str = "latest") -> DataFrame:
+                        time_col: str = "time_us", holdout: str = "latest",
+                        hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """Per-user rank 1 = test, 2 = validate, >2 = train (Q1).
 
     ``holdout='latest'`` ranks newest first (documented intent);
     ``'earliest'`` ranks oldest first (what the reference code does)."""
-    w = Window.partitionBy(user).orderBy(*_order(time_col, item, desc=(holdout == "latest")))
-    rn = F.row_number().over(w)
-    return log.withColumn("split", F.when(rn == 1, "test").when(rn == 2, "validate").otherwise("train"))
+    pos = positions(log, user, [time_col, item], desc=(holdout == "latest"), loc="_rk", size=None,
+                    threshold=hot_threshold)
+    return pos.withColumn("split", F.when(F.col("_rk") == 0, "test").when(F.col("_rk") == 1, "validate")
+                          .otherwise("train")).drop("_rk")
 
 
 def time_gap(log: DataFrame, user: str = "user_id", item: str = "item_id", time_col: str = "time",
-             scale: float = 1.0, name: str = "gap", drop_null: bool = True) -> DataFrame:
+             scale: float = 1.0, name: str = "gap", drop_null: bool = True,
+             hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """W6 (+P9): next event time minus this one, per user, divided by
     ``scale`` (3600 for hours). The last event of a user has no gap and is
     dropped when ``drop_null``."""
-    w = Window.partitionBy(user).orderBy(*_order(time_col, item))
-    out = log.withColumn(name, (F.lead(F.col(time_col), 1).over(w) - F.col(time_col)) / F.lit(float(scale)))
+    out = with_next(log, user, [time_col, item], {time_col: "_nt"}, threshold=hot_threshold)
+    out = out.withColumn(name, (F.col("_nt") - F.col(time_col)) / F.lit(float(scale))).drop("_nt")
     return out.where(F.col(name).isNotNull()) if drop_null else out
 
 
 def click_history(log: DataFrame, cols: dict[str, str], n: int = 20, user: str = "user_id",
                   item: str = "item_id", time_col: str = "time_us", pad: bool = True,
-                  with_split: bool = False) -> DataFrame:
+                  with_split: bool = False, hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """W2/W3 (+H1, +W4): previous ``n`` values of each source column,
     current row excluded, optionally zero padded to ``n``.
 
     ``cols`` maps source column -> output column. All histories and the
-    split flag share one window specification, hence one sort."""
-    w = Window.partitionBy(user).orderBy(*_order(time_col, item))
-    frame = w.rowsBetween(-n, -1)
-    out = log
-    for src, dst in cols.items():
-        hist = F.collect_list(F.col(src)).over(frame)
-        out = out.withColumn(dst, pad_zero(hist, n) if pad else hist)
+    split flag share one window specification, hence one sort; users above
+    ``hot_threshold`` rows are handled without a per-user task."""
+    out = with_history(log, user, [time_col, item], cols, n, threshold=hot_threshold,
+                       last_flag="_last" if with_split else None)
+    if pad:
+        for dst in cols.values():
+            out = out.withColumn(dst, pad_zero(dst, n))
     if with_split:
-        out = out.withColumn("split", F.when(F.lead(F.col(item), 1).over(w).isNull(), F.lit("test"))
-                             .otherwise(F.lit("train")))
+        out = out.withColumn("split", F.when(F.col("_last"), F.lit("test")).otherwise(F.lit("train"))).drop("_last")
     return out
 
 

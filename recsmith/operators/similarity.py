@@ -28,6 +28,7 @@ from recsmith.functions.columns import (
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
 from recsmith.operators.encode import attach_scalars
 from recsmith.operators.logs import item_stats, rank_in_group
+from recsmith.operators.sequence import positions
 
 # Vector slices standing in for the three embedding models
 # (node2vec, deepwalk, text) and the default cut sizes.
@@ -56,11 +57,8 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
                        user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Every ordered pair (i at loc1, j at loc2, i != j) of one user's
     time-ordered sequence, with the per-occurrence terms of R1."""
-    w_asc = Window.partitionBy(user).orderBy(F.col("time_us").asc(), F.col(item).asc())
-    seq = (train.select(user, item, "time", "time_us")
-           .withColumn("loc", F.row_number().over(w_asc) - 1)
-           .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(user))))
-    stats = item_stats(train, item, user, "time").select(item, "users")
+    seq = positions(train.select(user, item, "time", "time_us"), user, ["time_us", item], loc="loc", size="n")
+    stats = item_stats(train, item, user, "time").select(item, "users", "clicks")
     # per-row factors of the pair formula, computed once per row instead of
     # once per pair (same operations, same doubles)
     seq = (seq.join(stats, item)
@@ -85,8 +83,8 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
     return pairs.select(
         F.col(f"a_{user}").alias(user), F.col(f"a_{item}").alias("item"), F.col(f"b_{item}").alias("relate_item"),
         F.col("a_loc").alias("loc1"), F.col("b_loc").alias("loc2"), dloc.alias("dloc"), dt.alias("dt"),
-        F.col("a_users").alias("users_i"), F.col("a_n").alias("n"),
-        F.col("a_damp").alias("damp"), F.col("a_lnlen").alias("lnlen"), *sims)
+        F.col("a_users").alias("users_i"), F.col("a_n").alias("n"), F.col("a_clicks").alias("ci"),
+        F.col("b_clicks").alias("cj"), F.col("a_damp").alias("damp"), F.col("a_lnlen").alias("lnlen"), *sims)
 
 
 def pair_accumulate(pairs: DataFrame) -> DataFrame:
@@ -104,7 +102,9 @@ def pair_accumulate(pairs: DataFrame) -> DataFrame:
         F.max("node").alias("node"),
         F.sum(trunc_ticks("node")).alias("node_ticks"),
         F.max("deep").alias("deep"),
-        F.sum(trunc_ticks("deep")).alias("deep_ticks"))
+        F.sum(trunc_ticks("deep")).alias("deep_ticks"),
+        # constant per pair: carried so the damping needs no join afterwards
+        F.max("ci").alias("_ci"), F.max("cj").alias("_cj"))
 
 
 def item_similarity(train: DataFrame, vectors: DataFrame | None = None, top_k: int = RELATE_ITEM_NUM,
@@ -114,10 +114,6 @@ def item_similarity(train: DataFrame, vectors: DataFrame | None = None, top_k: i
     ``trunc4(s / (ci*cj)^0.2)``. ``train`` has user_id, item_id, time, time_us."""
     acc = pair_accumulate(cooccurrence_pairs(train, vectors, block))
     top = rank_in_group(acc, "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
-    clicks = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("_c"))
-    ci = clicks.select(F.col("item_id").alias("item"), F.col("_c").alias("_ci"))
-    cj = clicks.select(F.col("item_id").alias("relate_item"), F.col("_c").alias("_cj"))
-    top = top.join(ci, "item").join(cj, "relate_item")
     damped = trunc4((F.col("sim_ticks") / F.lit(_T)) / F.pow(F.col("_ci") * F.col("_cj"), F.lit(0.2)))
     return top.select(
         "item", "relate_item", damped.alias("sim"), "cnt",
@@ -131,12 +127,11 @@ def recommend(train: DataFrame, sim: DataFrame, users: DataFrame | None = None,
     """R2 (J5, J6, A8, T2): candidates from each history item's ``top_k``
     related items, minus the user's history, scored and cut to
     ``item_num`` per user. History is newest first (loc 0 = newest)."""
-    w_desc = Window.partitionBy("user_id").orderBy(F.col("time_us").desc(), F.col("item_id").desc())
     hist = train.select("user_id", "item_id", "time", "time_us")
     if users is not None:
         hist = hist.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    hist = (hist.withColumn("loc", F.row_number().over(w_desc) - 1)
-            .withColumn("t0", F.max("time").over(Window.partitionBy("user_id"))))
+    newest = hist.groupBy("user_id").agg(F.max("time").alias("t0"))
+    hist = positions(hist, "user_id", ["time_us", "item_id"], desc=True, loc="loc", size=None).join(newest, "user_id")
     s = rank_in_group(sim, "item", "sim", ["relate_item"], k=top_k, name="_r").drop("_r")
     cand = hist.join(s.withColumnRenamed("item", "item_id"), "item_id")                     # J5
     seen = train.select("user_id", F.col("item_id").alias("relate_item")).distinct()

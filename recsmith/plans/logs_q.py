@@ -124,7 +124,7 @@ SELECT item, relate_item, sim_ticks, cnt, weighted_ticks, min_dt, min_dloc, node
 def q_pair_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 (+J3): all 9 slots for every co-occurring ordered pair, before the top-k cut."""
     train, _, _ = recall_split(clicks(spark, sf_dir))
-    return pair_accumulate(cooccurrence_pairs(train, vectors(spark, sf_dir)))
+    return pair_accumulate(cooccurrence_pairs(train, vectors(spark, sf_dir))).drop("_ci", "_cj")
 
 
 # ------------------------------------------------------------ windows
