@@ -137,10 +137,11 @@ def uniform_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: i
     neighbour uniformly (index = md5(start, walk, step) mod degree, in
     ascending neighbour order); a walk stops at a dead end.
     Returns (start, walk, step, node)."""
-    num = numbered_edges(graph, direction)
+    # the adjacency is read by every step: materialise it once
+    num = cut_lineage(numbered_edges(graph, direction))
     deg = num.select(F.col("src").alias("_dn"), "deg").distinct()
     hop = num.select(F.col("src").alias("_hs"), F.col("_k").alias("_hk"), F.col("dst").alias("_nx"))
-    state = (_nodes(graph).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
+    state = (_nodes(num).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
              .select(F.col("node").alias("start"), "walk", F.col("node").alias("cur"),
                      F.array(F.col("node")).alias("path"), F.lit(True).alias("live")))
     for step in range(1, walk_length):
@@ -156,50 +157,106 @@ def uniform_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: i
     return state.select("start", "walk", F.posexplode("path").alias("step", "node"))
 
 
+def cdf_buckets(graph: DataFrame, direction: bool = True) -> tuple[DataFrame, DataFrame]:
+    """First-order sampling tables. ``nodes``: (node, deg, total weight).
+    ``buckets``: every out-edge with its cumulative interval [lo, hi) and
+    each of the ``deg`` equal-width buckets of [0, 1) it overlaps (one bucket
+    of slack on both sides), so a uniform draw finds its edge through an
+    equi-join on (node, bucket) — about two rows per edge, no per-node arrays."""
+    e = adjacency_edges(graph, direction)
+    w = Window.partitionBy("src").orderBy("dst")
+    cdf = (e.withColumn("hi", F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+           .withColumn("lo", F.coalesce(F.lag("hi").over(w), F.lit(0.0)))
+           .withColumn("total", F.sum("weight").over(Window.partitionBy("src")))
+           .withColumn("deg", F.count(F.lit(1)).over(Window.partitionBy("src"))))
+    b_lo = F.greatest(F.lit(0), F.floor(F.col("lo") / F.col("total") * F.col("deg")) - 1)
+    b_hi = F.least(F.col("deg") - 1, F.floor(F.col("hi") / F.col("total") * F.col("deg")) + 1)
+    buckets = cdf.select(F.col("src").alias("_bs"), F.col("dst").alias("_bx"), F.col("weight").alias("_bw"),
+                         F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"),
+                         F.explode(F.sequence(b_lo.cast("int"), b_hi.cast("int"))).alias("_bb"))
+    nodes = cdf.select(F.col("src").alias("_nn"), F.col("deg").alias("_ndeg"), F.col("total").alias("_ntot")).distinct()
+    return nodes, buckets
+
+
+def _exact_step(state: DataFrame, out_e: DataFrame, back: DataFrame, step: int, p: float, q: float) -> DataFrame:
+    """One node2vec step computed from all out-edges of the current node
+    (used only for walkers whose rejection attempts all failed)."""
+    key = ["start", "walk"]
+    cand = state.join(out_e, "cur").join(back, ["x", "prev"], "left")
+    alpha = (F.when(F.col("prev").isNull(), F.lit(1.0))
+             .when(F.col("x") == F.col("prev"), F.lit(1.0 / p))
+             .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
+    wk = Window.partitionBy(*key).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cand = (cand.withColumn("_u", F.col("w") * alpha)
+            .withColumn("_hi", F.sum("_u").over(wk) / F.sum("_u").over(Window.partitionBy(*key)))
+            .withColumn("_r", uniform01("start", "walk", F.lit(step), F.lit("exact"))))
+    return cand.groupBy(*key).agg(
+        F.coalesce(F.min(F.when(F.col("_hi") > F.col("_r"), F.col("x"))), F.max("x")).alias("_nx"))
+
+
 def biased_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: int = NUM_WALKS,
                  p: float = RETURN_P, q: float = INOUT_Q, direction: bool = True,
-                 checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+                 checkpoint_every: int = 1, attempts: int = 8) -> DataFrame:
     """node2vec walks. The first step draws a neighbour by edge weight;
-    later steps reweight the current node's neighbours by the return /
-    in-out factors of G4 relative to the previous node and draw by inverse
-    CDF (N4) with u = md5(start, walk, step). With p = q = 1 the reference
+    later steps weight neighbour x of the current node by ``1/p`` (x is the
+    previous node), ``1`` (x links back to it) or ``1/q``.
+
+    Each step is exact rejection sampling: ``attempts`` proposals per walker
+    from the first-order distribution (equi-join on (node, CDF bucket)),
+    each accepted with probability alpha / max(alpha); the first accepted
+    proposal wins. Walkers whose proposals were all rejected (rare) take the
+    exact step over their node's out-edges. Work per step is
+    walkers x attempts, independent of node degree. The walker state feeds
+    three branches of a step, so it is checkpointed after every step (the
+    plan would otherwise triple per step). With p = q = 1 the reference
     falls back to unweighted walks, and so does this."""
     if p == 1 and q == 1:
         return uniform_walks(graph, walk_length, num_walks, direction, checkpoint_every)
-    e = adjacency_edges(graph, direction)
+    # sampling tables are read by every step: materialise them once
+    e = cut_lineage(adjacency_edges(graph, direction))
+    nodes, buckets = cdf_buckets(e, True)
+    nodes, buckets = cut_lineage(nodes), cut_lineage(buckets)
     out_e = e.select(F.col("src").alias("cur"), F.col("dst").alias("x"), F.col("weight").alias("w"))
     back = e.select(F.col("src").alias("x"), F.col("dst").alias("prev"), F.lit(True).alias("_xt"))
-    state = (_nodes(graph).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
+    amax = max(1.0 / p, 1.0, 1.0 / q)
+    key = ["start", "walk"]
+    state = (_nodes(e).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
              .select(F.col("node").alias("start"), "walk", F.col("node").alias("cur"),
                      F.lit(None).cast(graph.schema["src"].dataType).alias("prev"),
-                     F.array(F.col("node")).alias("path")))
-    done = None
+                     F.array(F.col("node")).alias("path"), F.lit(True).alias("live")))
+    state = cut_lineage(state)
     for step in range(1, walk_length):
-        cand = state.join(out_e, "cur").join(back, ["x", "prev"], "left")
+        live = state.where("live").join(nodes, F.col("cur") == F.col("_nn"))
+        prop = live.select(*key, "cur", "prev", "_ndeg", "_ntot",
+                           F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("_a"))
+        prop = (prop.withColumn("_u1", uniform01("start", "walk", F.lit(step), "_a", F.lit("p")))
+                .withColumn("_u2", uniform01("start", "walk", F.lit(step), "_a", F.lit("a")))
+                .withColumn("_b", F.floor(F.col("_u1") * F.col("_ndeg")).cast("int")))
+        prop = prop.join(buckets, (prop["cur"] == buckets["_bs"]) & (prop["_b"] == buckets["_bb"])
+                         & (prop["_u1"] * prop["_ntot"] >= buckets["_blo"])
+                         & (prop["_u1"] * prop["_ntot"] < buckets["_bhi"]))
+        bk = back.select(F.col("x").alias("_kx"), F.col("prev").alias("_kp"), "_xt")
+        prop = prop.join(bk, (prop["_bx"] == bk["_kx"]) & (prop["prev"] == bk["_kp"]), "left")
         alpha = (F.when(F.col("prev").isNull(), F.lit(1.0))
-                 .when(F.col("x") == F.col("prev"), F.lit(1.0 / p))
+                 .when(F.col("_bx") == F.col("prev"), F.lit(1.0 / p))
                  .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
-        key = ["start", "walk"]
-        wk = Window.partitionBy(*key).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cand = (cand.withColumn("_u", F.col("w") * alpha)
-                .withColumn("_hi", F.sum("_u").over(wk) / F.sum("_u").over(Window.partitionBy(*key)))
-                .withColumn("_r", uniform01("start", "walk", F.lit(step))))
-        # inverse CDF: the first neighbour whose cumulative share exceeds u
-        # (the last one if rounding leaves the total a hair below 1)
-        picked = cand.groupBy(*key).agg(
-            F.coalesce(F.min(F.when(F.col("_hi") > F.col("_r"), F.col("x"))), F.max("x")).alias("_nx"),
-            F.first("cur").alias("cur"), F.first("path").alias("path"))
-        stopped = state.join(picked.select(*key), key, "left_anti").select(*key, "path")
-        done = stopped if done is None else done.unionByName(stopped)
-        state = picked.select(*key, F.col("_nx").alias("cur"), F.col("cur").alias("prev"),
-                              F.concat("path", F.array("_nx")).alias("path"))
-        if step % checkpoint_every == 0:
-            state = cut_lineage(state)
-            done = cut_lineage(done)
-    final = state.select("start", "walk", "path")
-    if done is not None:
-        final = final.unionByName(done)
-    return final.select("start", "walk", F.posexplode("path").alias("step", "node"))
+        acc = prop.where(F.col("_u2") < alpha / F.lit(amax))
+        chosen = acc.groupBy(*key).agg(F.min_by("_bx", "_a").alias("_nx"))
+        # live walkers at a node with out-edges but no accepted proposal
+        stepped = cut_lineage(
+            state.join(chosen, key, "left")
+            .join(nodes.select(F.col("_nn").alias("cur"), F.lit(True).alias("_has_out")), "cur", "left"))
+        missed = stepped.where(F.col("live") & F.col("_nx").isNull() & F.col("_has_out").isNotNull())
+        if missed.limit(1).count() > 0:
+            exact = _exact_step(missed.select(*key, "cur", "prev"), out_e, back, step, p, q)
+            stepped = cut_lineage(stepped.join(exact.withColumnRenamed("_nx", "_ex"), key, "left")
+                                  .withColumn("_nx", F.coalesce("_nx", "_ex")).drop("_ex"))
+        state = stepped.select(
+            *key, F.coalesce("_nx", "cur").alias("cur"),
+            F.when(F.col("_nx").isNotNull(), F.col("cur")).otherwise(F.col("prev")).alias("prev"),
+            F.when(F.col("_nx").isNotNull(), F.concat("path", F.array("_nx"))).otherwise(F.col("path")).alias("path"),
+            F.col("_nx").isNotNull().alias("live"))
+    return state.select("start", "walk", F.posexplode("path").alias("step", "node"))
 
 
 def walk_sentences(walks: DataFrame) -> DataFrame:

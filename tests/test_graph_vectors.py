@@ -95,3 +95,24 @@ def test_describe_and_kde(spark):
     k = kde_by_category(df, "x", "c", grid=50).collect()
     step = (10 - 0) * 2.0 / 49
     assert abs(sum(r.density for r in k) * step - 1.0) < 0.01
+
+
+def test_biased_walk_transitions_match_second_order_probs(spark):
+    graph = spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0), (2, 3, 3.0), (3, 1, 1.0), (2, 4, 2.0), (4, 2, 1.0)],
+                                  "src long, dst long, weight double")
+    walks = G.biased_walks(graph, walk_length=3, num_walks=4000, attempts=2).collect()
+    path = {}
+    for r in walks:
+        path.setdefault((r.start, r.walk), {})[r.step] = r.node
+    counts, totals = {}, {}
+    for p in path.values():
+        if 2 in p:
+            t, v, x = p[0], p[1], p[2]
+            counts[(t, v, x)] = counts.get((t, v, x), 0) + 1
+            totals[(t, v)] = totals.get((t, v), 0) + 1
+    _, second = G.transition_probs(graph)
+    for r in second.collect():
+        n = totals.get((r.t, r.v), 0)
+        if n >= 1000:
+            freq = counts.get((r.t, r.v, r.x), 0) / n
+            assert abs(freq - r.prob) < 0.04, (r.t, r.v, r.x, freq, r.prob)
