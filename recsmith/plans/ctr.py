@@ -130,6 +130,43 @@ SELECT user_id, item_id, category, hist_items, hist_cats, 1 AS label, 'test' AS
 """
 
 
+def negatives_sql(rows: str, pool: str, hist: str, k: int, attempts: int) -> str:
+    """DuckDB CTE chain of N1 (same draws as ``negative_sample``): ends
+    with ``negs(user_id, item_id, time_us, neg_item, neg_cat)``."""
+    return f"""pool_ix AS (SELECT item_id, category, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INT) AS pidx
+            FROM (SELECT DISTINCT item_id, category FROM {pool})),
+npool AS (SELECT count(*) AS n FROM pool_ix),
+att AS (SELECT t.user_id, t.item_id, t.time_us, a.a,
+               {_hash_sql('t.user_id', 't.item_id', 't.time_us', 'a.a')} % (SELECT n FROM npool) AS pidx
+        FROM {rows} t CROSS JOIN range({attempts}) AS a(a)),
+cand AS (SELECT att.user_id, att.item_id, att.time_us, att.a, p.item_id AS neg_item, p.category AS neg_cat
+         FROM att JOIN pool_ix p ON att.pidx = p.pidx
+         WHERE NOT EXISTS (SELECT 1 FROM {hist} h WHERE h.user_id = att.user_id AND h.item_id = p.item_id)),
+firstk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id, time_us ORDER BY a) - 1 AS j
+                          FROM cand) WHERE j < {k}),
+got AS (SELECT user_id, item_id, time_us, count(*) AS got FROM firstk GROUP BY user_id, item_id, time_us),
+short AS (SELECT t.user_id, t.item_id, t.time_us, coalesce(g.got, 0) AS got
+          FROM {rows} t LEFT JOIN got g ON t.user_id = g.user_id AND t.item_id = g.item_id AND t.time_us = g.time_us
+          WHERE coalesce(g.got, 0) < {k}),
+h_ix AS (SELECT DISTINCT h.user_id, p.pidx FROM {hist} h JOIN pool_ix p ON h.item_id = p.item_id
+         WHERE h.user_id IN (SELECT user_id FROM short)),
+gaps0 AS (SELECT user_id, coalesce(lag(pidx) OVER (PARTITION BY user_id ORDER BY pidx), -1) + 1 AS gs,
+                 pidx - coalesce(lag(pidx) OVER (PARTITION BY user_id ORDER BY pidx), -1) - 1 AS gl FROM h_ix
+          UNION ALL
+          SELECT user_id, max(pidx) + 1 AS gs, (SELECT n FROM npool) - max(pidx) - 1 AS gl FROM h_ix GROUP BY user_id),
+gaps AS (SELECT user_id, gs, gl, sum(gl) OVER (PARTITION BY user_id ORDER BY gs ROWS UNBOUNDED PRECEDING) AS ce
+         FROM gaps0 WHERE gl > 0),
+sizes AS (SELECT user_id, max(ce) AS c FROM gaps GROUP BY user_id),
+need AS (SELECT s.user_id, s.item_id, s.time_us, j.j FROM short s CROSS JOIN range({k}) AS j(j) WHERE j.j >= s.got),
+draw AS (SELECT n.*, {_hash_sql('n.user_id', 'n.item_id', 'n.time_us', "'x'", 'n.j')} % z.c AS r
+         FROM need n JOIN sizes z ON n.user_id = z.user_id),
+rest AS (SELECT d.user_id, d.item_id, d.time_us, d.j, p.item_id AS neg_item, p.category AS neg_cat
+         FROM draw d JOIN gaps g ON d.user_id = g.user_id AND d.r >= g.ce - g.gl AND d.r < g.ce
+         JOIN pool_ix p ON p.pidx = g.gs + d.r - (g.ce - g.gl)),
+negs AS (SELECT user_id, item_id, time_us, neg_item, neg_cat FROM firstk
+         UNION ALL SELECT user_id, item_id, time_us, neg_item, neg_cat FROM rest)"""
+
+
 @register("ctr_training_set", CTR_SQL)
 def q_ctr_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = ctr_training_set(clicks(spark, sf_dir))

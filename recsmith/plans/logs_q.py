@@ -12,6 +12,7 @@ from recsmith.operators import encode as enc
 from recsmith.operators import logs as L
 from recsmith.operators.similarity import cooccurrence_pairs, pair_accumulate
 from recsmith.operators.sampling import negative_sample
+from recsmith.plans.ctr import negatives_sql
 from recsmith.plans.recall import _sim_sql, _split_sql, recall_split
 from recsmith.plans.registry import register
 from recsmith.sources.fixtures import BASKETS_SQL, CLICKS_SQL, baskets, clicks, vectors
@@ -309,10 +310,16 @@ def q_shifted_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seq.select("user_id", join_ints(x).alias("inputs"), join_ints(y).alias("targets"))
 
 
-@register("sequence_negatives")
+@register("sequence_negatives", f"""WITH {_SPLIT},
+rows_ AS (SELECT user_id, item_id, time_us,
+                 CAST(row_number() OVER (PARTITION BY user_id ORDER BY time_us, item_id) - 1 AS INT) AS loc FROM train),
+pool AS (SELECT DISTINCT item_id, 'x' AS category FROM train),
+{negatives_sql('rows_', 'pool', 'train', 10, 64)}
+SELECT r.user_id, r.loc, n.neg_item AS negative_item
+FROM rows_ r JOIN negs n ON r.user_id = n.user_id AND r.item_id = n.item_id AND r.time_us = n.time_us""")
 def q_sequence_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H6 (rows-only): 10 non-clicked items per sequence position (N1
-    applied per exploded position, exact remainder included)."""
+    """H6: 10 non-clicked items per sequence position (N1 applied per
+    position, exact remainder included)."""
     tr = _train(spark, sf_dir)
     rows = L.sequence_position(tr, time_col="time_us").select("user_id", "item_id", "time_us", "loc")
     pool = tr.select("item_id").distinct().withColumn("category", F.lit("x"))

@@ -199,9 +199,18 @@ def q_item_similarity_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_similarity(train, None, top_k=10)
 
 
-@register("recall_labelling")
+_LABEL_SQL = """lab AS (SELECT r.user_id, r.item_id, CAST(r.item_id = v.item_id AS INT) AS label
+        FROM recs r JOIN validate v ON r.user_id = v.user_id),
+pu AS (SELECT user_id, count(*) AS p FROM lab WHERE label = 1 GROUP BY user_id),
+rr AS (SELECT l.*, g.round, pu.p FROM lab l CROSS JOIN range(6) AS g(round) JOIN pu ON pu.user_id = l.user_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY user_id, round, label ORDER BY
+         CAST(('0x' || substr(md5(concat_ws('|', user_id, item_id, round)), 1, 8)) AS BIGINT), item_id) AS k FROM rr)
+SELECT CAST(round AS INT) AS round, user_id, item_id, label FROM rk WHERE label = 1 OR k <= p * 5"""
+
+
+@register("recall_labelling", f"WITH {_split_sql(CLICKS_SQL)},\n{_sim_sql()},\n{_REC_SQL},\n{_LABEL_SQL}")
 def q_recall_labelling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R6 (rows-only): rounds of 1 positive : 5 negatives from the recall list."""
+    """Rounds of 1 positive : 5 negatives from the recall list."""
     train, validate, vec = _inputs(spark, sf_dir)
     recs = recommend(train, item_similarity(train, vec), users=validate)
     return recall_labelling(recs, validate)
