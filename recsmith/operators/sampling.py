@@ -94,10 +94,15 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
 
 
 def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | None = None,
-                      default_num: int = 10_000, seed: int = 39) -> DataFrame:
+                      default_num: int = 10_000, seed: int = 39, bucket_bits: int = 16) -> DataFrame:
     """Keep each label's share: per label, the ``round(rate*n_label)``
-    rows with the smallest ``hash(key, seed)``. Default rate is
-    ``min(1, 10000/n)``; a rate >= 1 returns everything (Q11)."""
+    rows with the smallest ``(hash(key, seed), key)``. Default rate is
+    ``min(1, 10000/n)``; a rate >= 1 returns everything (Q11).
+
+    No label is ranked in one task: a histogram of the hash's top
+    ``bucket_bits`` bits per label (at most labels x 2^bits rows) locates the
+    bucket holding each label's cut; rows in lower buckets are kept outright
+    and only the boundary bucket (~n_label / 2^bits rows) is ranked."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
     total = df.agg(F.count(F.lit(1)).alias("_n"))
     if rate is None:
@@ -105,9 +110,23 @@ def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | N
     else:
         rate_col = F.least(F.lit(1.0), F.lit(float(rate)))
     quota = attach_scalars(counts, total).select(label, F.round(rate_col * F.col("_nl")).cast("bigint").alias("_q"))
-    w = Window.partitionBy(label).orderBy(hash32(*[F.col(c) for c in key], F.lit(seed)), *key)
-    ranked = df.withColumn("_rk", F.row_number().over(w))
-    return ranked.join(F.broadcast(quota), label).where(F.col("_rk") <= F.col("_q")).drop("_rk", "_q")
+    h = df.withColumn("_h", hash32(*[F.col(c) for c in key], F.lit(seed))).withColumn(
+        "_b", F.shiftright("_h", 32 - bucket_bits))
+    hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    run = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_bn").over(run)).join(quota, label)
+    # per label: the first bucket whose running count reaches the quota
+    cut = (hist.where((F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0))
+           .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_cum") - F.col("_bn")).alias("_before"), "_q"),
+                                        "_b").alias("_c"))
+           .select(label, F.col("_c._b").alias("_cb"), (F.col("_c._q") - F.col("_c._before")).alias("_need")))
+    # one row per label: bounded broadcast
+    j = h.join(F.broadcast(cut), label)
+    below = j.where(F.col("_b") < F.col("_cb"))
+    edge = j.where(F.col("_b") == F.col("_cb"))
+    w = Window.partitionBy(label, "_b").orderBy("_h", *key)
+    edge = edge.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= F.col("_need")).drop("_rk")
+    return below.unionByName(edge).drop("_h", "_b", "_cb", "_need")
 
 
 def bootstrap(df: DataFrame, fraction: float = 0.8, seed: int = 39) -> DataFrame:
