@@ -18,6 +18,8 @@ at most ``rows / threshold`` keys, so it is a proven-small broadcast.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,13 @@ def _order_cols(order: list[str], desc: bool = False) -> list[Column]:
 def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, int]:
     """Keys with more than ``threshold`` rows and how many there are."""
     hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > threshold).select(key)
+    if os.environ.get("RECSMITH_TRACE"):
+        import time
+        import traceback
+        t0 = time.time()
+        n = hot.count()
+        print(f"[hot_keys] {[f.name for f in traceback.extract_stack(limit=4)[:-1]]} {time.time() - t0:.2f}s")
+        return hot, n
     n = hot.count()
     return hot, n
 

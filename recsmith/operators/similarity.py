@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import (
-    HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, hash32, activity_damp, affinity_unrolled, loc_decay, ndcg_gain,
+    HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, activity_damp, dot_unrolled, hash32, loc_decay, ndcg_gain,
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
 from recsmith.operators.encode import attach_scalars
 from recsmith.operators.logs import item_stats, rank_in_group
@@ -35,6 +35,7 @@ from recsmith.operators.sequence import positions
 NODE_SLICE = (0, 21)
 DEEP_SLICE = (21, 42)
 TEXT_SLICE = (42, 64)
+_SLICES = {"node": NODE_SLICE, "deep": DEEP_SLICE, "txt": TEXT_SLICE}
 RELATE_ITEM_NUM = 100
 ITEM_NUM = 200
 HOT_K = 50
@@ -65,7 +66,12 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
            .withColumn("damp", activity_damp("users", "n"))
            .withColumn("lnlen", F.log(F.lit(1.0) + F.col("n"))))
     if vectors is not None:
-        seq = seq.join(vectors.select(F.col("item_id").alias(item), F.col("vec")), item, "left")
+        # per row (not per pair): the norm of each slice, so a pair only
+        # needs three short dot products
+        v = vectors.select(F.col("item_id").alias(item), "vec",
+                           *[F.sqrt(dot_unrolled("vec", "vec", lo, hi)).alias(f"norm_{name}")
+                             for name, (lo, hi) in _SLICES.items()])
+        seq = seq.join(v, item, "left")
     left, right = _blocked_sides(seq, block)
     a = left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns])
     b = right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns])
@@ -75,9 +81,11 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
     dt = trunc4(F.abs(F.col("a_time") - F.col("b_time")) / F.lit(float(HOUR_SECONDS)))
     dloc = F.abs(F.col("b_loc") - F.col("a_loc"))
     if vectors is not None:
-        sims = [affinity_unrolled("a_vec", "b_vec", *NODE_SLICE).alias("node"),
-                affinity_unrolled("a_vec", "b_vec", *DEEP_SLICE).alias("deep"),
-                affinity_unrolled("a_vec", "b_vec", *TEXT_SLICE).alias("txt")]
+        sims = []
+        for name, (lo, hi) in _SLICES.items():
+            cos = dot_unrolled("a_vec", "b_vec", lo, hi) / (F.col(f"a_norm_{name}") * F.col(f"b_norm_{name}"))
+            t = trunc4(F.lit(0.5) * cos + F.lit(0.5))
+            sims.append(F.coalesce(t, F.lit(MISSING_AFFINITY)).alias(name))
     else:
         sims = [F.lit(MISSING_AFFINITY).alias(c) for c in ("node", "deep", "txt")]
     return pairs.select(

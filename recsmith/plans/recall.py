@@ -11,13 +11,18 @@ from recsmith.operators.similarity import (
     DEEP_SLICE, NODE_SLICE, TEXT_SLICE, hot_fill, hot_items, item_similarity, ranking_metrics,
     recall_labelling, recommend)
 from recsmith.plans.registry import register
+from recsmith.session import cut_lineage
 from recsmith.sources.fixtures import BASKETS_SQL, CLICKS_SQL, baskets, clicks, vectors
 
 
 def recall_split(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A12 then W5 (holdout = latest): (train, validate, test)."""
+    """A12 then W5 (holdout = latest): (train, validate, test).
+
+    The split log is the base of every recall stage (the reference writes
+    it to files), so it is materialised once in the checkpoint directory;
+    later per-user passes scan it instead of recomputing the windows."""
     base = dedup_exact(log.select("user_id", "item_id", "time", "time_us"))
-    s = leave_two_out_split(base, time_col="time_us")
+    s = cut_lineage(leave_two_out_split(base, time_col="time_us"))
     pick = lambda name: s.where(F.col("split") == name).drop("split")
     return pick("train"), pick("validate"), pick("test")
 
