@@ -66,14 +66,17 @@ def bagged_predictions(df: DataFrame, cols: list[str], label: str, key: str, n:
     """M3 (+N3): fit on ``n`` bootstraps (with replacement), average the
     class predictions and cast to int (1 only when all models agree)."""
     data = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
-    preds = None
+    models = []
     for b in range(n):
         boot = data.sample(withReplacement=True, fraction=fraction, seed=SEED + b)
-        m = logistic_l1(C, boot.count()).fit(boot)
-        p = m.transform(data).select(key, F.col("prediction").alias(f"_p{b}"))
-        preds = p if preds is None else preds.join(p, key)
+        models.append(logistic_l1(C, boot.count()).fit(boot))
+    # score every model in one pass over the data (no per-model joins)
+    scored = data.select(key, "features")
+    for b, m in enumerate(models):
+        m = m.copy({m.predictionCol: f"_p{b}", m.rawPredictionCol: f"_raw{b}", m.probabilityCol: f"_prob{b}"})
+        scored = m.transform(scored).drop(f"_raw{b}", f"_prob{b}")
     avg = sum(F.col(f"_p{b}") for b in range(n)) / F.lit(float(n))
-    return preds.select(key, F.floor(avg).cast("int").alias("prediction"))
+    return scored.select(key, F.floor(avg).cast("int").alias("prediction"))
 
 
 def learning_curve(df: DataFrame, cols: list[str], label: str, key: str,

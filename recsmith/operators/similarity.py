@@ -54,6 +54,20 @@ def _blocked_sides(seq: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
+def user_item_pairs(log: DataFrame, user: str = "user_id", item: str = "item_id",
+                    block: int = BLOCK) -> DataFrame:
+    """Distinct unordered item pairs (a < b) clicked by a common user, with
+    the same (user, block, block) blocking as J3 so a hot user's pairs are
+    spread over many tasks; duplicates collapse map-side in ``distinct``."""
+    items = log.select(user, item).distinct()
+    seq = positions(items, user, [item], loc="loc", size="n")
+    left, right = _blocked_sides(seq, block)
+    a = left.select(F.col(user).alias("_u"), F.col(item).alias("item"), "_ba", "_bb")
+    b = right.select(F.col(user).alias("_u"), F.col(item).alias("relate_item"), "_ba", "_bb")
+    return (a.join(b, ["_u", "_ba", "_bb"]).where(F.col("item") < F.col("relate_item"))
+            .select("item", "relate_item").distinct())
+
+
 def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block: int = BLOCK,
                        user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Every ordered pair (i at loc1, j at loc2, i != j) of one user's

@@ -11,6 +11,7 @@ from recsmith.operators import apply as A
 from recsmith.operators import features as fe
 from recsmith.operators import models as M
 from recsmith.operators import vectors as V
+from recsmith.operators.similarity import user_item_pairs
 
 from recsmith.plans.ctr import CTR_SQL, ctr_training_set
 from recsmith.plans.recall import _split_sql, recall_split
@@ -108,11 +109,7 @@ def q_pair_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: F8 on the distinct unordered item pairs that co-occur for a
     user (never on all item pairs)."""
     train, _, _ = recall_split(clicks(spark, sf_dir))
-    a = train.select("user_id", F.col("item_id").alias("_a"))
-    b = train.select("user_id", F.col("item_id").alias("_b"))
-    pairs = a.join(b, "user_id").where(F.col("_a") < F.col("_b")).select(
-        F.col("_a").alias("item"), F.col("_b").alias("relate_item")).distinct()
-    return V.pair_similarity(pairs, vectors(spark, sf_dir))
+    return V.pair_similarity(user_item_pairs(train), vectors(spark, sf_dir))
 
 
 @register("item_vector_export")

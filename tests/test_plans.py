@@ -19,8 +19,10 @@ def test_core_plans_have_no_python_udf_or_cartesian(spark):
 
 
 def test_parquet_scan_is_pruned(spark):
-    plan = _plan(E.queries()["item_similarity_top"](spark, SF))
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in plan
+    plan = _plan(E.queries()["latest_click"](spark, SF))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
+    plan = _plan(E.queries()["kde_by_category"](spark, SF))
+    assert "ReadSchema: struct<p_type:string,p_retailprice:double>" in plan
 
 
 def test_entry_smoke(spark):

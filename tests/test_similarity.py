@@ -67,3 +67,13 @@ def test_short_list_is_miss_and_unseen_item_popularity_zero(spark):
     assert m.hr_full == 0.5 and m.ndcg_full == 0.5
     # degrees of all answers: user1 item5 -> 0, user2 item42 -> 0, user3 item1 -> 2; upper median = 0
     assert m.hr_half == 0.5
+
+
+def test_user_item_pairs_blocked_equals_naive(spark):
+    from recsmith.operators.similarity import user_item_pairs
+    rows = [(u, (u * 5 + j) % 17, j) for u in range(5) for j in range(40)]
+    log = _log(spark, rows)
+    got = sorted(tuple(r) for r in user_item_pairs(log, block=7).collect())
+    want = sorted({(a, b) for u in range(5) for (_, a, _) in [r for r in rows if r[0] == u]
+                   for (_, b, _) in [r for r in rows if r[0] == u] if a < b})
+    assert got == want
