@@ -8,6 +8,9 @@ fractions); each fit is a distributed MLlib job over the whole table.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,18 @@ from recsmith.functions.columns import hash32, uniform01
 SEED = 39
 
 
+@contextmanager
+def _cached(df: DataFrame):
+    """Keep the model-selection input cached for the duration of a loop of
+    fits and always release it (recomputed from lineage if an executor
+    holding blocks is lost)."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def logistic_l1(C: float = 1.0, n_rows: int = 1, features: str = "features", label: str = "label"):
     """M1 estimator: L1 logistic regression; sklearn's C maps to
     ``regParam = 1 / (C * n)`` with ``elasticNetParam = 1``."""
@@ -54,10 +69,11 @@ def cross_validate(df: DataFrame, cols: list[str], label: str, key: str, k: int
     """M2: k-fold accuracy per fold (md5 fold ids)."""
     data = assemble(df, cols).withColumn("label", F.col(label).cast("double")).withColumn("_fold", fold_id(key, k))
     rows = []
-    for f in range(k):
-        tr, te = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
-        m = logistic_l1(C, tr.count()).fit(tr)
-        rows.append((f, _accuracy(m.transform(te))))
+    with _cached(data):
+        for f in range(k):
+            tr, te = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
+            m = logistic_l1(C, tr.count()).fit(tr)
+            rows.append((f, _accuracy(m.transform(te))))
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
 
@@ -67,9 +83,10 @@ def bagged_predictions(df: DataFrame, cols: list[str], label: str, key: str, n:
     class predictions and cast to int (1 only when all models agree)."""
     data = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
     models = []
-    for b in range(n):
-        boot = data.sample(withReplacement=True, fraction=fraction, seed=SEED + b)
-        models.append(logistic_l1(C, boot.count()).fit(boot))
+    with _cached(data):
+        for b in range(n):
+            boot = data.sample(withReplacement=True, fraction=fraction, seed=SEED + b)
+            models.append(logistic_l1(C, boot.count()).fit(boot))
     # score every model in one pass over the data (no per-model joins)
     scored = data.select(key, "features")
     for b, m in enumerate(models):
@@ -87,18 +104,19 @@ def learning_curve(df: DataFrame, cols: list[str], label: str, key: str,
     data = (assemble(df, cols).withColumn("label", F.col(label).cast("double"))
             .withColumn("_fold", fold_id(key, k)).withColumn("_u", uniform01(key, F.lit("lc"))))
     rows = []
-    for frac in fractions:
-        tr_s, va_s = [], []
-        for f in range(k):
-            tr = data.where((F.col("_fold") != f) & (F.col("_u") < frac))
-            va = data.where(F.col("_fold") == f)
-            n = tr.count()
-            if n == 0:
-                continue
-            m = logistic_l1(C, n).fit(tr)
-            tr_s.append(_accuracy(m.transform(tr)))
-            va_s.append(_accuracy(m.transform(va)))
-        rows.append((float(frac), float(sum(tr_s) / max(len(tr_s), 1)), float(sum(va_s) / max(len(va_s), 1))))
+    with _cached(data):
+        for frac in fractions:
+            tr_s, va_s = [], []
+            for f in range(k):
+                tr = data.where((F.col("_fold") != f) & (F.col("_u") < frac))
+                va = data.where(F.col("_fold") == f)
+                n = tr.count()
+                if n == 0:
+                    continue
+                m = logistic_l1(C, n).fit(tr)
+                tr_s.append(_accuracy(m.transform(tr)))
+                va_s.append(_accuracy(m.transform(va)))
+            rows.append((float(frac), float(sum(tr_s) / max(len(tr_s), 1)), float(sum(va_s) / max(len(va_s), 1))))
     return df.sparkSession.createDataFrame(rows, "fraction double, train_accuracy double, validation_accuracy double")
 
 
@@ -109,15 +127,16 @@ def validation_curve(df: DataFrame, cols: list[str], label: str, key: str, value
     import statistics
     data = assemble(df, cols).withColumn("label", F.col(label).cast("double")).withColumn("_fold", fold_id(key, k))
     rows = []
-    for c in values:
-        tr_s, va_s = [], []
-        for f in range(k):
-            tr, va = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
-            m = logistic_l1(c, tr.count()).fit(tr)
-            tr_s.append(_accuracy(m.transform(tr)))
-            va_s.append(_accuracy(m.transform(va)))
-        rows.append((float(c), statistics.fmean(tr_s), statistics.pstdev(tr_s),
-                     statistics.fmean(va_s), statistics.pstdev(va_s)))
+    with _cached(data):
+        for c in values:
+            tr_s, va_s = [], []
+            for f in range(k):
+                tr, va = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
+                m = logistic_l1(c, tr.count()).fit(tr)
+                tr_s.append(_accuracy(m.transform(tr)))
+                va_s.append(_accuracy(m.transform(va)))
+            rows.append((float(c), statistics.fmean(tr_s), statistics.pstdev(tr_s),
+                         statistics.fmean(va_s), statistics.pstdev(va_s)))
     return df.sparkSession.createDataFrame(
         rows, "C double, train_mean double, train_std double, validation_mean double, validation_std double")
 

@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the plan modules registers their queries
-    from recsmith.plans import ctr, recall, logs_q, features_q, graph_q, vectors_q, eda_q, io_q  # noqa: F401
+    from recsmith.plans import ctr, recall, logs_q, features_q, graph_q, vectors_q, eda_q, io_q, functions_q  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
