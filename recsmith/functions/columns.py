@@ -96,15 +96,6 @@ def dot_unrolled(a: str | Column, b: str | Column, start: int, stop: int) -> Col
     return acc
 
 
-def affinity_unrolled(a: str | Column, b: str | Column, start: int, stop: int) -> Column:
-    """F8 on a slice: ``0.5*cos+0.5`` truncated to 4 decimals; 0.5 when a
-    vector is missing."""
-    a, b = col_(a), col_(b)
-    cos = dot_unrolled(a, b, start, stop) / (
-        F.sqrt(dot_unrolled(a, a, start, stop)) * F.sqrt(dot_unrolled(b, b, start, stop)))
-    return F.coalesce(trunc4(F.lit(0.5) * cos + F.lit(0.5)), F.lit(MISSING_AFFINITY))
-
-
 def dot(a: str | Column, b: str | Column) -> Column:
     """inner product of two equal-length arrays (any length)."""
     return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x.cast("double") * y.cast("double")),

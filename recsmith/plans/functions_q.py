@@ -26,7 +26,7 @@ _SQL = f"""WITH {_split_sql(CLICKS_SQL)},
 s AS (SELECT item_id, count(*) AS clicks, count(DISTINCT user_id) AS users FROM train GROUP BY item_id)
 SELECT s.item_id,
   trunc(CAST(s.users AS DOUBLE) / CAST(s.clicks AS DOUBLE) * 10000.0::DOUBLE) / 10000.0::DOUBLE AS f1_trunc,
-  greatest(0.5::DOUBLE, pow(0.9::DOUBLE, CAST(s.users AS DOUBLE))) AS f2_loc,
+  round(greatest(0.5::DOUBLE, pow(0.9::DOUBLE, CAST(s.users AS DOUBLE))), 6) AS f2_loc,
   greatest(0.5::DOUBLE, 1.0::DOUBLE / (1.0::DOUBLE + CAST(s.clicks AS DOUBLE) / 10.0::DOUBLE)) AS f3_time,
   greatest(0.2::DOUBLE, 1.0::DOUBLE / (1.0::DOUBLE + s.clicks)) AS f4_pop,
   round(ln(1.0::DOUBLE + s.users) * ln(1.0::DOUBLE + s.clicks), 6) AS f5_act,
@@ -58,7 +58,7 @@ def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         "item_id",
         C.trunc4(users_d / clicks_d).alias("f1_trunc"),
-        C.loc_decay("users").alias("f2_loc"),
+        F.round(C.loc_decay("users"), 6).alias("f2_loc"),
         C.time_decay(clicks_d / F.lit(10.0)).alias("f3_time"),
         C.popularity_damp("clicks").alias("f4_pop"),
         F.round(C.activity_damp("users", "clicks"), 6).alias("f5_act"),
