@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import EDGE_TIME_UNIT_SECONDS, edge_weight, hash32, uniform01
-from recsmith.operators.sequence import with_next
+from recsmith.operators.sequence import hot_of, with_next
 from recsmith.session import cut_lineage
 
 # Walk and embedding defaults of the reference pipeline.
@@ -35,7 +35,7 @@ def build_edges(log: DataFrame, direction: bool = True, user: str = "user_id", i
     click times (Q3), in 12-hour units."""
     counts = log.groupBy(item).agg(F.count(F.lit(1)).alias("_cnt"))
     seq = with_next(log.select(user, item, time_col), user, [time_col, item], {item: "_nxt", time_col: "_nt"},
-                    loc="pos").where(F.col("_nxt").isNotNull())
+                    loc="pos", known=hot_of(log)).where(F.col("_nxt").isNotNull())
     ci = counts.select(F.col(item).alias("_i"), F.col("_cnt").alias("_ai"))
     cj = counts.select(F.col(item).alias("_j"), F.col("_cnt").alias("_aj"))
     seq = seq.join(ci, seq[item] == ci["_i"]).join(cj, seq["_nxt"] == cj["_j"])

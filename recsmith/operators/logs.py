@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import pad_zero
-from recsmith.operators.sequence import HOT_KEY_ROWS, positions, with_history, with_next
+from recsmith.operators.sequence import HOT_KEY_ROWS, HotSet, hot_of, positions, with_history, with_next
 
 
 # ---------------------------------------------------------------- cleaning
@@ -82,13 +82,13 @@ def leave_one_out_split(log: DataFrame, user: str = "user_id", item: str = "item
 
 def leave_two_out_split(log: DataFrame, user: str = "user_id", item: str = "item_id",
                         time_col: str = "time_us", holdout: str = "latest",
-                        hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
+                        hot_threshold: int = HOT_KEY_ROWS, known: HotSet | None = None) -> DataFrame:
     """Per-user rank 1 = test, 2 = validate, >2 = train (Q1).
 
     ``holdout='latest'`` ranks newest first (documented intent);
     ``'earliest'`` ranks oldest first (what the reference code does)."""
     pos = positions(log, user, [time_col, item], desc=(holdout == "latest"), loc="_rk", size=None,
-                    threshold=hot_threshold)
+                    threshold=hot_threshold, known=known or hot_of(log))
     return pos.withColumn("split", F.when(F.col("_rk") == 0, "test").when(F.col("_rk") == 1, "validate")
                           .otherwise("train")).drop("_rk")
 
@@ -99,7 +99,7 @@ def time_gap(log: DataFrame, user: str = "user_id", item: str = "item_id", time_
     """W6 (+P9): next event time minus this one, per user, divided by
     ``scale`` (3600 for hours). The last event of a user has no gap and is
     dropped when ``drop_null``."""
-    out = with_next(log, user, [time_col, item], {time_col: "_nt"}, threshold=hot_threshold)
+    out = with_next(log, user, [time_col, item], {time_col: "_nt"}, threshold=hot_threshold, known=hot_of(log))
     out = out.withColumn(name, (F.col("_nt") - F.col(time_col)) / F.lit(float(scale))).drop("_nt")
     return out.where(F.col(name).isNotNull()) if drop_null else out
 

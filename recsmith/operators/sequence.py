@@ -19,6 +19,7 @@ at most ``rows / threshold`` keys, so it is a proven-small broadcast.
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,27 @@ def _order_cols(order: list[str], desc: bool = False) -> list[Column]:
     return [F.col(c).desc() if desc else F.col(c).asc() for c in order]
 
 
+@dataclass(frozen=True)
+class HotSet:
+    """Keys detected as hot in some base table and how many there are.
+    A hot set found on a table is valid for any subset of it (a key that is
+    not hot in the whole cannot be hot in a part), and it only routes work:
+    results are identical whichever path a key takes."""
+    keys: DataFrame
+    n: int
+
+
+def attach_hot(df: DataFrame, hot: HotSet | None) -> DataFrame:
+    """Remember the base table's hot set on a frame derived from it."""
+    if hot is not None:
+        df._recsmith_hot = hot
+    return df
+
+
+def hot_of(df: DataFrame) -> HotSet | None:
+    return getattr(df, "_recsmith_hot", None)
+
+
 def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, int]:
     """Keys with more than ``threshold`` rows and how many there are."""
     hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > threshold).select(key)
@@ -48,9 +70,14 @@ def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS) -> tuple[Da
     return hot, n
 
 
-def split_hot(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """(normal rows, hot rows or None when no key is hot)."""
-    hot, n = hot_keys(df, key, threshold)
+def split_hot(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS,
+              known: HotSet | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(normal rows, hot rows or None when no key is hot). ``known`` reuses
+    a hot set detected on a table ``df`` is part of (no extra pass)."""
+    if known is not None:
+        hot, n = known.keys, known.n
+    else:
+        hot, n = hot_keys(df, key, threshold)
     if n == 0:
         return df, None
     hb = bounded_broadcast(hot, n)
@@ -79,10 +106,10 @@ def hot_positions(rows: DataFrame, key: str, order: list[str], desc: bool = Fals
 
 
 def positions(df: DataFrame, key: str, order: list[str], desc: bool = False, loc: str = "loc",
-              size: str | None = "n", threshold: int = HOT_KEY_ROWS) -> DataFrame:
+              size: str | None = "n", threshold: int = HOT_KEY_ROWS, known: HotSet | None = None) -> DataFrame:
     """``row_number() - 1`` over (key, order) and optionally the group size,
     with hot keys handled by :func:`hot_positions`."""
-    normal, hot = split_hot(df, key, threshold)
+    normal, hot = split_hot(df, key, threshold, known)
     w = Window.partitionBy(key).orderBy(*_order_cols(order, desc))
     out = normal.withColumn(loc, (F.row_number().over(w) - 1).cast("int"))
     if size:
@@ -124,11 +151,12 @@ def next_values(pos: DataFrame, key: str, cols: dict[str, str], loc: str = "loc"
 
 
 def with_history(df: DataFrame, key: str, order: list[str], cols: dict[str, str], n: int,
-                 threshold: int = HOT_KEY_ROWS, last_flag: str | None = None) -> DataFrame:
+                 threshold: int = HOT_KEY_ROWS, last_flag: str | None = None,
+                 known: HotSet | None = None) -> DataFrame:
     """Previous-``n`` value arrays per row (``collect_list`` over
     ``rowsBetween(-n, -1)``) and optionally a flag for the key's last row,
     for normal keys with one window sort and for hot keys via positions."""
-    normal, hot = split_hot(df, key, threshold)
+    normal, hot = split_hot(df, key, threshold, known)
     w = Window.partitionBy(key).orderBy(*_order_cols(order))
     out = normal
     for c, dst in cols.items():
@@ -145,10 +173,10 @@ def with_history(df: DataFrame, key: str, order: list[str], cols: dict[str, str]
 
 
 def with_next(df: DataFrame, key: str, order: list[str], cols: dict[str, str],
-              threshold: int = HOT_KEY_ROWS, loc: str | None = None) -> DataFrame:
+              threshold: int = HOT_KEY_ROWS, loc: str | None = None, known: HotSet | None = None) -> DataFrame:
     """``lead(col, 1)`` per key for normal keys; an equi-join on
     (key, position + 1) for hot keys. ``loc`` also returns the position."""
-    normal, hot = split_hot(df, key, threshold)
+    normal, hot = split_hot(df, key, threshold, known)
     w = Window.partitionBy(key).orderBy(*_order_cols(order))
     out = normal
     if loc:

@@ -28,7 +28,7 @@ from recsmith.functions.columns import (
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
 from recsmith.operators.encode import attach_scalars
 from recsmith.operators.logs import item_stats, rank_in_group
-from recsmith.operators.sequence import positions
+from recsmith.operators.sequence import hot_of, positions
 
 # Vector slices standing in for the three embedding models
 # (node2vec, deepwalk, text) and the default cut sizes.
@@ -60,7 +60,7 @@ def user_item_pairs(log: DataFrame, user: str = "user_id", item: str = "item_id"
     the same (user, block, block) blocking as J3 so a hot user's pairs are
     spread over many tasks; duplicates collapse map-side in ``distinct``."""
     items = log.select(user, item).distinct()
-    seq = positions(items, user, [item], loc="loc", size="n")
+    seq = positions(items, user, [item], loc="loc", size="n", known=hot_of(log))
     left, right = _blocked_sides(seq, block)
     a = left.select(F.col(user).alias("_u"), F.col(item).alias("item"), "_ba", "_bb")
     b = right.select(F.col(user).alias("_u"), F.col(item).alias("relate_item"), "_ba", "_bb")
@@ -72,7 +72,8 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
                        user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Every ordered pair (i at loc1, j at loc2, i != j) of one user's
     time-ordered sequence, with the per-occurrence terms of R1."""
-    seq = positions(train.select(user, item, "time", "time_us"), user, ["time_us", item], loc="loc", size="n")
+    seq = positions(train.select(user, item, "time", "time_us"), user, ["time_us", item], loc="loc", size="n",
+                    known=hot_of(train))
     stats = item_stats(train, item, user, "time").select(item, "users", "clicks")
     # per-row factors of the pair formula, computed once per row instead of
     # once per pair (same operations, same doubles)
@@ -153,7 +154,8 @@ def recommend(train: DataFrame, sim: DataFrame, users: DataFrame | None = None,
     if users is not None:
         hist = hist.join(users.select("user_id").distinct(), "user_id", "left_semi")
     newest = hist.groupBy("user_id").agg(F.max("time").alias("t0"))
-    hist = positions(hist, "user_id", ["time_us", "item_id"], desc=True, loc="loc", size=None).join(newest, "user_id")
+    hist = positions(hist, "user_id", ["time_us", "item_id"], desc=True, loc="loc", size=None,
+                     known=hot_of(train)).join(newest, "user_id")
     s = rank_in_group(sim, "item", "sim", ["relate_item"], k=top_k, name="_r").drop("_r")
     cand = hist.join(s.withColumnRenamed("item", "item_id"), "item_id")                     # J5
     seen = train.select("user_id", F.col("item_id").alias("relate_item")).distinct()

@@ -10,20 +10,27 @@ from recsmith.operators.logs import dedup_exact, leave_two_out_split
 from recsmith.operators.similarity import (
     DEEP_SLICE, NODE_SLICE, TEXT_SLICE, hot_fill, hot_items, item_similarity, ranking_metrics,
     recall_labelling, recommend)
+from recsmith.operators.sequence import HOT_KEY_ROWS, HotSet, attach_hot, hot_keys
 from recsmith.plans.registry import register
 from recsmith.session import cut_lineage
 from recsmith.sources.fixtures import BASKETS_SQL, CLICKS_SQL, baskets, clicks, vectors
 
 
-def recall_split(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def recall_split(log: DataFrame, hot_threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A12 then W5 (holdout = latest): (train, validate, test).
 
     The split log is the base of every recall stage (the reference writes
     it to files), so it is materialised once in the checkpoint directory;
     later per-user passes scan it instead of recomputing the windows."""
     base = dedup_exact(log.select("user_id", "item_id", "time", "time_us"))
-    s = cut_lineage(leave_two_out_split(base, time_col="time_us"))
-    pick = lambda name: s.where(F.col("split") == name).drop("split")
+    # hot users are detected once on the whole log and reused by every
+    # per-user stage downstream (valid for subsets; it only routes work)
+    keys, n = hot_keys(base, "user_id", hot_threshold)
+    hot = HotSet(keys, n)
+    s = cut_lineage(leave_two_out_split(base, time_col="time_us", known=hot, hot_threshold=hot_threshold))
+    if n:
+        hot = HotSet(cut_lineage(keys), n)
+    pick = lambda name: attach_hot(s.where(F.col("split") == name).drop("split"), hot)
     return pick("train"), pick("validate"), pick("test")
 
 

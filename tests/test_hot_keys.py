@@ -53,13 +53,25 @@ def test_logs_operators_hot_equal_window(spark):
 
 
 def test_pairs_with_hot_user_and_blocks(spark):
-    from recsmith.operators import sequence
+    from recsmith.operators.sequence import HotSet, attach_hot, hot_keys
     df = _log(spark)
     a = _rows(pair_accumulate(cooccurrence_pairs(df)))
-    old = sequence.HOT_KEY_ROWS
-    try:
-        sequence.positions.__defaults__ = (False, "loc", "n", 5)
-        b = _rows(pair_accumulate(cooccurrence_pairs(df, block=37)))
-    finally:
-        sequence.positions.__defaults__ = (False, "loc", "n", old)
-    assert a == b
+    keys, n = hot_keys(df, "user_id", 5)
+    hot_df = attach_hot(df.select("*"), HotSet(keys, n))
+    b = _rows(pair_accumulate(cooccurrence_pairs(hot_df, block=37)))
+    assert n > 0 and a == b
+
+
+def test_recall_pipeline_with_shared_hot_set(spark):
+    from recsmith.operators.graph import build_edges
+    from recsmith.operators.similarity import hot_fill, hot_items, item_similarity, recommend
+    from recsmith.plans.recall import recall_split
+    log = _log(spark)
+
+    def run(threshold):
+        train, validate, _ = recall_split(log, hot_threshold=threshold)
+        recs = recommend(train, item_similarity(train), users=validate)
+        return (_rows(hot_fill(recs, hot_items(train))), _rows(build_edges(train)),
+                _rows(L.time_gap(train)))
+
+    assert run(1_000_000) == run(5)
