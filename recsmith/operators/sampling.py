@@ -42,7 +42,6 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     # is measured once and decides whether it may be broadcast
     pool_ix = cut_lineage(pool.select(item, category).join(ids, item))
     n_items = pool_ix.count()
-    n_pool = pool_ix.agg(F.count(F.lit(1)).alias("_N"))
     pool_side = bounded_broadcast(
         pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")), n_items)
 
@@ -64,24 +63,24 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
              .where(F.col("_got") < k))
     short_users = short.select(user).distinct()
     h_ix = (hist.join(short_users.withColumnRenamed(user, "_h_user"), "_h_user", "left_semi")
-            .join(pool_ix.select(F.col(item).alias("_h_item"), "_pidx"), "_h_item")
+            .join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
             .select("_h_user", "_pidx").distinct())
     wg = Window.partitionBy("_h_user").orderBy("_pidx")
-    inner_gaps = h_ix.select("_h_user", (F.coalesce(F.lag("_pidx").over(wg), F.lit(-1)) + 1).alias("_gs"),
-                             (F.col("_pidx") - F.coalesce(F.lag("_pidx").over(wg), F.lit(-1)) - 1).alias("_gl"))
-    tail = attach_scalars(h_ix.groupBy("_h_user").agg(F.max("_pidx").alias("_mx")), n_pool).select(
-        "_h_user", (F.col("_mx") + 1).alias("_gs"), (F.col("_N") - F.col("_mx") - 1).alias("_gl"))
+    prev = F.coalesce(F.lag("_pidx").over(wg), F.lit(-1))
+    inner_gaps = h_ix.select("_h_user", (prev + 1).alias("_gs"), (F.col("_pidx") - prev - 1).alias("_gl"))
+    tail = h_ix.groupBy("_h_user").agg(F.max("_pidx").alias("_mx")).select(
+        "_h_user", (F.col("_mx") + 1).alias("_gs"), (F.lit(n_items) - F.col("_mx") - 1).alias("_gl"))
     gaps = inner_gaps.unionByName(tail).where(F.col("_gl") > 0)
     wc = Window.partitionBy("_h_user").orderBy("_gs").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gaps = gaps.withColumn("_ce", F.sum("_gl").over(wc)).withColumn("_cs", F.col("_ce") - F.col("_gl"))
-    sizes = gaps.groupBy("_h_user").agg(F.max("_ce").alias("_C"))
+    # running end of each gap and the user's complement size, in one window pass
+    gaps = gaps.select(F.col("_h_user").alias("_g_user"), "_gs", "_gl", F.sum("_gl").over(wc).alias("_ce"),
+                       F.sum("_gl").over(Window.partitionBy("_h_user")).alias("_C"))
     need = (short.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
             .where(F.col("_j") >= F.col("_got")))
-    need = need.join(sizes, need[user] == sizes["_h_user"]).drop("_h_user")
-    need = need.withColumn("_r", F.pmod(hash32(*[F.col(c) for c in key], F.lit("x"), F.col("_j")), F.col("_C")))
-    g = gaps.select(F.col("_h_user").alias("_g_user"), "_gs", "_cs", "_ce")
-    rest = need.join(g, (need[user] == g["_g_user"]) & (need["_r"] >= g["_cs"]) & (need["_r"] < g["_ce"]))
-    rest = rest.withColumn("_pidx", (F.col("_gs") + F.col("_r") - F.col("_cs")).cast("int"))
+    draw = F.pmod(hash32(*[F.col(c) for c in key], F.lit("x"), F.col("_j")), F.col("_C"))
+    rest = need.join(gaps, (need[user] == gaps["_g_user"]) & (draw >= F.col("_ce") - F.col("_gl"))
+                     & (draw < F.col("_ce")))
+    rest = rest.withColumn("_pidx", (F.col("_gs") + draw - (F.col("_ce") - F.col("_gl"))).cast("int"))
     rest = rest.join(pool_side, "_pidx").select(*key, "_j", "_neg_item", "_neg_cat")
 
     negs = first.unionByName(rest)
