@@ -18,7 +18,7 @@ from recsmith.session import cut_lineage
 def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int = 4,
                     attempts: int = 32, user: str = "user_id", item: str = "item_id",
                     category: str = "category", row_key: tuple[str, ...] = ("user_id", "item_id", "time_us"),
-                    label: str = "label") -> DataFrame:
+                    label: str = "label", first_round: int = 12) -> DataFrame:
     """Every row yields itself (label 1) plus ``k`` items the user never
     clicked, drawn uniformly **with replacement**; a negative takes that
     item's category and keeps the rest of the row (context, history).
@@ -45,15 +45,28 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     pool_side = bounded_broadcast(
         pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")), n_items)
 
-    # 2. rejection draws
-    att = rows.select(*key).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")),
-                                         F.lit(max(n_items, 1))).cast("int"))
-    cand = att.join(pool_side, "_pidx")
+    # 2. rejection draws, in two rounds: every row tries attempts
+    #    [0, first_round); only rows still short of k try [first_round,
+    #    attempts). The first k accepted by attempt number are exactly those
+    #    of a single pass over all attempts, with far fewer rows drawn.
     hist = history.select(F.col(user).alias("_h_user"), F.col(item).alias("_h_item")).distinct()
-    cand = cand.join(hist, (cand[user] == hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]), "left_anti")
+
+    def draws(keys: DataFrame, lo: int, hi: int) -> DataFrame:
+        att = keys.withColumn("_a", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))))
+        att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")),
+                                             F.lit(max(n_items, 1))).cast("int"))
+        cand = att.join(pool_side, "_pidx")
+        return cand.join(hist, (cand[user] == hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
+                         "left_anti").select(*key, "_a", "_neg_item", "_neg_cat")
+
+    row_keys = rows.select(*key)
+    split_at = min(first_round, attempts)
+    accepted = cut_lineage(draws(row_keys, 0, split_at))
+    if attempts > split_at:
+        done = accepted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select(*key)
+        accepted = accepted.unionByName(draws(row_keys.join(done, key, "left_anti"), split_at, attempts))
     w = Window.partitionBy(*key).orderBy("_a")
-    first = cand.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
+    first = accepted.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
     first = cut_lineage(first.select(*key, "_j", "_neg_item", "_neg_cat"))
 
     # 3. exact remainder for short rows
