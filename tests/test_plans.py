@@ -38,3 +38,20 @@ def test_registry_consistency():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 90
+
+
+def test_r1_cuts_top_k_and_combines_before_shuffles(spark):
+    plan = _plan(E.queries()["item_similarity_top"](spark, SF))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "partial_sum" in plan  # map-side combine of the pair aggregate
+
+
+def test_negative_pool_is_broadcast_after_size_check(spark):
+    from pyspark.sql import functions as F
+    from recsmith.operators.sampling import negative_sample
+    rows = spark.createDataFrame([(1, i, i, 100 + i) for i in range(5)],
+                                 "user_id long, item_id long, time_us long, category long")
+    pool = spark.createDataFrame([(i, 100 + i) for i in range(50)], "item_id long, category long")
+    out = negative_sample(rows, pool, rows.select("user_id", "item_id"))
+    assert out.where(F.col("label") == 0).count() == 20
+    assert "BroadcastHashJoin" in _plan(out)
