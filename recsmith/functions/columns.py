@@ -169,7 +169,3 @@ def presence_flag(c: str | Column) -> Column:
 def rescale(c: str | Column, a: float, b: float) -> Column:
     """P5: affine map ``x*a+b``."""
     return col_(c) * F.lit(float(a)) + F.lit(float(b))
-
-
-def round6(c: str | Column) -> Column:
-    return F.round(col_(c), 6)

@@ -61,10 +61,6 @@ def dense_ids(values: DataFrame, col: str, start: int = 1, name: str = ID,
         col, (F.lit(start) + F.col("_off") + F.col("_idx")).cast("int").alias(name))
 
 
-def empty_state(df: DataFrame, field: str) -> DataFrame:
-    return df.select(F.col(field).alias(VALUE), F.lit(0).cast("int").alias(ID)).limit(0)
-
-
 def fit_encoding(df: DataFrame, field: str, state: DataFrame | None = None,
                  is_padding: bool = True, is_unk: bool = False) -> DataFrame:
     """E1 fit: extend ``state`` with codes for values it has not seen.
@@ -135,8 +131,3 @@ def label_encode(df: DataFrame, field: str, out: str | None = None) -> DataFrame
     joined = df.join(codes, df[field].eqNullSafe(codes[field]), "left").drop(codes[field])
     return joined.withColumn(out, F.col("_lab")).drop("_lab") if out != field else \
         joined.drop(field).withColumnRenamed("_lab", field).select(*df.columns)
-
-
-def vocabulary_size(state: DataFrame, is_unk: bool = False) -> DataFrame:
-    """E13 piece: number of codes + 1 (padding) [+ 1 unk]."""
-    return state.agg((F.count(F.lit(1)) + F.lit(1 + int(is_unk))).alias("vocab_size"))

@@ -1,8 +1,8 @@
 """Item graph, random walks and skip-gram embeddings (G1..G8, J9, N4).
 
-Graphs are edge tables ``(src, dst, weight)``; adjacency is a per-node
-sorted neighbour array. Walks are iterative joins of the walker state with
-the adjacency, one step per iteration; randomness comes from md5 of
+Graphs are edge tables ``(src, dst, weight)``; a node's neighbours are
+numbered edges (never a per-node array). Walks are iterative equi-joins of
+the walker state with those tables, one step per iteration; randomness comes from md5 of
 (start, walk, step), so a recomputed task draws the same neighbour. The
 state is checkpointed to the reliable checkpoint directory every few
 steps to keep lineage short and survive executor loss.
@@ -109,14 +109,6 @@ def transition_probs(graph: DataFrame, p: float = RETURN_P, q: float = INOUT_Q,
     return first.select("src", "dst", "prob"), second
 
 
-def adjacency(graph: DataFrame, direction: bool = True) -> DataFrame:
-    """Per node: sorted neighbours, their weights and cumulative weights."""
-    e = adjacency_edges(graph, direction)
-    nb = F.array_sort(F.collect_list(F.struct(F.col("dst"), F.col("weight"))))
-    return e.groupBy(F.col("src").alias("node")).agg(nb.alias("_nb")).select(
-        "node", F.col("_nb.dst").alias("nbrs"), F.col("_nb.weight").alias("wts"), F.size("_nb").alias("deg"))
-
-
 def _nodes(graph: DataFrame) -> DataFrame:
     return graph.select(F.col("src").alias("node")).union(graph.select(F.col("dst").alias("node"))).distinct()
 
