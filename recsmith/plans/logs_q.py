@@ -240,13 +240,18 @@ def q_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.union_distinct(tr.select("user_id", "item_id"), va.select("user_id", "item_id"))
 
 
-@register("new_values", f"""WITH {_SPLIT}
-SELECT DISTINCT item_id AS value FROM validate WHERE item_id NOT IN (SELECT item_id FROM train)""")
+@register("new_values", f"""WITH b AS {BASKETS_SQL},
+m AS (SELECT (min(time_us) + max(time_us)) / 2 AS mid FROM b)
+SELECT DISTINCT user_id AS value FROM b
+WHERE user_id NOT IN (SELECT user_id FROM b WHERE time_us < (SELECT mid FROM m))""")
 def q_new_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: validate items the train encoding does not know."""
-    tr, va, _ = recall_split(clicks(spark, sf_dir))
-    state = enc.fit_encoding(tr, "item_id")
-    return enc.new_values(va, "item_id", state)
+    """U4: customers the encoding fitted on the first half of the order
+    period does not know (the values an append fit would number)."""
+    b = baskets(spark, sf_dir)
+    mid = b.agg(((F.min("time_us") + F.max("time_us")) / 2).alias("_mid"))
+    early = enc.attach_scalars(b, mid).where(F.col("time_us") < F.col("_mid"))
+    state = enc.fit_encoding(early, "user_id")
+    return enc.new_values(b, "user_id", state)
 
 
 @register("enrich_left", f"""WITH log AS {CLICKS_SQL},
