@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.operators.encode import attach_scalars, dense_ids
+from recsmith.session import shuffle_partitions
 
 # The percentiles the reference's describe prints.
 PERCENTILES = [0.01, 0.05, 0.10, 0.25, 0.5, 0.75, 0.90, 0.95, 0.99]
@@ -20,24 +21,68 @@ KDE_GRID = 1000
 KDE_CUTOFF = 40.0   # |z| beyond this: exp(-z^2/2) is exactly 0.0 in doubles
 
 
+_LOW_BITS = (1 << 33) - 1
+
+
+def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
+    """Exact percentiles with linear interpolation (position p*(n-1)), as a
+    distributed order statistic: values are range partitioned (with a
+    deterministic salt so a value held by a third of the rows still spreads
+    over many partitions) and sorted within partitions; a row's global rank
+    is its index plus the row count of earlier partitions (one row per
+    partition, broadcast); only the <= 2 ranks per percentile are kept.
+    No task ever holds all values. Returns (prob, value)."""
+    spark = df.sparkSession
+    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    n = x.count()
+    wanted = []
+    for p in probs:
+        pos = p * (n - 1)
+        wanted.append((float(p), float(pos), int(math.floor(pos)), int(math.ceil(pos))))
+    spec = spark.createDataFrame(wanted, "prob double, pos double, lo long, hi long")
+    if n == 0:
+        return spec.select("prob", F.lit(None).cast("double").alias("value"))
+    parts = shuffle_partitions(spark)
+    salted = x.withColumn("_s", F.xxhash64(F.monotonically_increasing_id()))
+    ranked = (salted.repartitionByRange(parts, "_x", "_s").sortWithinPartitions("_x", "_s")
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .select("_x", F.shiftright("_mid", 33).alias("_pid"),
+                      F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_idx")))
+    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    ranks = sorted({r for _, _, lo, hi in wanted for r in (lo, hi)})
+    picked = (ranked.join(F.broadcast(offsets), "_pid")
+              .select((F.col("_off") + F.col("_idx")).alias("_r"), "_x")
+              .where(F.col("_r").isin(ranks)))
+    lo_v = picked.select(F.col("_r").alias("lo"), F.col("_x").alias("_vlo"))
+    hi_v = picked.select(F.col("_r").alias("hi"), F.col("_x").alias("_vhi"))
+    j = spec.join(F.broadcast(lo_v), "lo").join(F.broadcast(hi_v), "hi")
+    value = F.when(F.col("hi") == F.col("lo"), F.col("_vlo")).otherwise(
+        (F.col("hi") - F.col("pos")) * F.col("_vlo") + (F.col("pos") - F.col("lo")) * F.col("_vhi"))
+    return j.select("prob", value.alias("value"))
+
+
 def describe(df: DataFrame, cols: list[str], percentiles: list[float] = PERCENTILES) -> DataFrame:
     """Long table (column, stat, value): non-null count, mean, sample
-    std, min, max and exact percentiles."""
+    std, min, max (one aggregation pass) and exact percentiles (a
+    distributed order statistic per column, see ``exact_percentiles``)."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"),
-                 F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max"),
-                 F.percentile(x, F.array(*[F.lit(p) for p in percentiles])).alias(f"{c}|pct")]
+                 F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max")]
     wide = df.agg(*aggs)
     rows = []
     for c in cols:
         for s in ("count", "mean", "std", "min", "max"):
             rows.append(F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), F.col(f"`{c}|{s}`").alias("value")))
-        for i, p in enumerate(percentiles):
-            rows.append(F.struct(F.lit(c).alias("column"), F.lit(f"p{round(p * 100):02d}").alias("stat"),
-                                 F.col(f"`{c}|pct`")[i].alias("value")))
     out = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    names = {float(p): f"p{round(p * 100):02d}" for p in percentiles}
+    label = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
+    for c in cols:
+        pct = exact_percentiles(df, c, percentiles)
+        out = out.unionByName(pct.select(F.lit(c).alias("column"), label[F.col("prob")].alias("stat"), "value"))
     return out.withColumn("value", F.round("value", 6))
 
 

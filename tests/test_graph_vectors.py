@@ -116,3 +116,15 @@ def test_biased_walk_transitions_match_second_order_probs(spark):
         if n >= 1000:
             freq = counts.get((r.t, r.v, r.x), 0) / n
             assert abs(freq - r.prob) < 0.04, (r.t, r.v, r.x, freq, r.prob)
+
+
+def test_exact_percentiles_with_hot_value_match_numpy(spark):
+    import random
+    from recsmith.operators.eda import exact_percentiles
+    rnd = random.Random(11)
+    vals = [7.0] * 400 + [rnd.uniform(-50, 50) for _ in range(800)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r.prob: r.value for r in exact_percentiles(df, "x", probs).collect()}
+    for p in probs:
+        assert abs(got[p] - float(np.percentile(vals, p * 100))) < 1e-9
