@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import pad_zero
+from recsmith.operators.encode import attach_scalars
 from recsmith.operators.sequence import HOT_KEY_ROWS, HotSet, hot_of, positions, with_history, with_next
 
 
@@ -207,8 +208,9 @@ def upper_median(df: DataFrame, c: str) -> DataFrame:
     histogram (value -> count, cumulative over distinct values only)."""
     hist = df.groupBy(c).agg(F.count(F.lit(1)).alias("_k"))
     total = df.agg(F.count(F.lit(1)).alias("_n"))
+    # one row per distinct value (degrees: a few thousand at most)
     w = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_cum", F.sum("_k").over(w))
-    return (cum.crossJoin(F.broadcast(total))
+    return (attach_scalars(cum, total)
             .where((F.col("_cum") > F.floor(F.col("_n") / 2)) & (F.col("_cum") - F.col("_k") <= F.floor(F.col("_n") / 2)))
             .select(F.col(c).alias("median")))

@@ -193,8 +193,9 @@ def recommend(train: DataFrame, sim: DataFrame, users: DataFrame | None = None,
 def hot_items(train: DataFrame, k: int = HOT_K) -> DataFrame:
     """The ``k`` most clicked items (ties by item id) with rank 1..k."""
     pop = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("clicks"))
+    # global top-k (TakeOrderedAndProject: per-partition top-k, then k rows);
+    # the numbering window then sees only those k rows
     w = Window.orderBy(F.col("clicks").desc(), F.col("item_id").asc())
-    # global top-k: Spark plans a per-partition TakeOrderedAndProject-style limit
     return pop.orderBy(F.col("clicks").desc(), F.col("item_id").asc()).limit(k).withColumn(
         "hot_rank", F.row_number().over(w))
 
@@ -228,7 +229,8 @@ def ranking_metrics(preds: DataFrame, answers: DataFrame, train: DataFrame, k: i
     pop = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("deg"))
     ans = (answers.select("user_id", "item_id").join(pop, "item_id", "left")
            .withColumn("deg", F.coalesce(F.col("deg"), F.lit(0))))
-    # A13 upper median: value histogram + running count (distinct degrees only)
+    # A13 upper median: value histogram + running count over distinct
+    # degrees only (a small table), no window over the answers themselves
     hist = ans.groupBy("deg").agg(F.count(F.lit(1)).alias("_k"))
     run = hist.withColumn("_cum", F.sum("_k").over(
         Window.orderBy("deg").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
