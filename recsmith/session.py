@@ -36,6 +36,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # reliable checkpoints live on the shared file system: delete them
+        # once the DataFrame that owns them is no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": os.environ.get("RECSMITH_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:
