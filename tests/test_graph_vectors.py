@@ -128,3 +128,18 @@ def test_exact_percentiles_with_hot_value_match_numpy(spark):
     got = {r.prob: r.value for r in exact_percentiles(df, "x", probs).collect()}
     for p in probs:
         assert abs(got[p] - float(np.percentile(vals, p * 100))) < 1e-9
+
+
+def test_fm_interaction_matches_brute_force(spark):
+    import hashlib
+    from recsmith.operators.vectors import fm_interaction
+    df = spark.createDataFrame([(3, 5, 1), (7, 2, 4)], "user_id int, item_id int, category int")
+    got = {r.user_id: r.fm for r in fm_interaction(df, ["user_id", "item_id", "category"], dim=4).collect()}
+
+    def u(*parts):
+        return int(hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8], 16) / 4294967296.0
+
+    for row in df.collect():
+        vecs = [[u(f, getattr(row, f), d) * 2 - 1 for d in range(4)] for f in ("user_id", "item_id", "category")]
+        want = 0.5 * sum(sum(v[d] for v in vecs) ** 2 - sum(v[d] ** 2 for v in vecs) for d in range(4))
+        assert abs(got[row.user_id] - want) < 1e-12
