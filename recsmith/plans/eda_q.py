@@ -37,9 +37,14 @@ def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.describe(products(spark, sf_dir), ["p_size", "p_retailprice"])
 
 
-@register("column_info")
+_DOC_TYPES = [("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
+              ("quality", "int"), ("toxic", "int")]
+
+
+@register("column_info", f"WITH d AS {DOCS_SQL}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, '{t}' AS type, count({c}) AS non_null FROM d" for c, t in _DOC_TYPES))
 def q_column_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X3 header (rows-only: type names are engine specific)."""
+    """X3 header: column names, (Spark) types and non-null counts."""
     return eda.column_info(docs(spark, sf_dir))
 
 
