@@ -19,6 +19,7 @@ at most ``rows / threshold`` keys, so it is a proven-small broadcast.
 from __future__ import annotations
 
 import os
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,7 +65,7 @@ def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS) -> tuple[Da
         import traceback
         t0 = time.time()
         n = hot.count()
-        print(f"[hot_keys] {[f.name for f in traceback.extract_stack(limit=4)[:-1]]} {time.time() - t0:.2f}s")
+        print(f"[hot_keys] {[f.name for f in traceback.extract_stack(limit=4)[:-1]]} {time.time() - t0:.2f}s", file=sys.stderr)
         return hot, n
     n = hot.count()
     return hot, n

@@ -9,6 +9,7 @@ a reliable checkpoint directory taken from the cluster configuration.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         t0 = time.time()
         out = df.checkpoint(eager=True)
         caller = traceback.extract_stack(limit=2)[0]
-        print(f"[checkpoint] {caller.name}:{caller.lineno} {time.time() - t0:.2f}s")
+        print(f"[checkpoint] {caller.name}:{caller.lineno} {time.time() - t0:.2f}s", file=sys.stderr)
         return out
     return df.checkpoint(eager=True)
 
