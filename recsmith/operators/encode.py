@@ -90,8 +90,16 @@ def apply_encoding(df: DataFrame, field: str, state: DataFrame, is_unk: bool = F
     optimizer decides from the state's size)."""
     out = out or field
     st = state.select(F.col(VALUE).alias("_enc_v"), F.col(ID).alias("_enc_id"))
-    joined = df.join(st, df[field].eqNullSafe(st["_enc_v"]), "left")
-    code = F.coalesce(F.col("_enc_id"), F.lit(1 if is_unk else 0)).cast("int")
+    default = F.lit(1 if is_unk else 0)
+    # non-null values through a plain equi-join on the column itself (so an
+    # existing hash partitioning on it is reused); a null value takes the
+    # state's code for null, attached as a (0- or 1-row) bounded broadcast
+    joined = df.join(st.where(F.col("_enc_v").isNotNull()), df[field] == st["_enc_v"], "left")
+    null_code = st.where(F.col("_enc_v").isNull()).select(F.col("_enc_id").alias("_enc_null")).limit(1)
+    joined = (joined.withColumn("_one", F.lit(1))
+              .join(F.broadcast(null_code.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
+    code = F.when(F.col(field).isNull(), F.coalesce(F.col("_enc_null"), default)).otherwise(
+        F.coalesce(F.col("_enc_id"), default)).cast("int")
     if out == field:
         return joined.select(*[code.alias(out) if c == field else F.col(c) for c in df.columns])
     return joined.select(*[F.col(c) for c in df.columns], code.alias(out))

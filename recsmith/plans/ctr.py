@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import join_ints
-from recsmith.operators.encode import encode_fields
+from recsmith.operators.encode import apply_encoding, fit_encoding
 from recsmith.operators.logs import click_history, latest_click
 from recsmith.operators.sampling import negative_sample
 from recsmith.plans.registry import register
@@ -33,14 +33,21 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     articles = log.groupBy("item_id").agg(F.min("category").alias("category"))        # Q9
     enriched = log.select("user_id", "item_id", "time_us").join(articles, "item_id", "left")  # J1
     latest = latest_click(enriched, ("user_id", "item_id"), "time_us")                 # W1
-    enc, states = encode_fields(latest, ["user_id", "item_id", "category"], states)    # E2
-    # the encoded log feeds five branches (history, pool, anti-join history,
-    # short-row gaps, output): materialise it once in the checkpoint dir
-    enc = cut_lineage(enc)
-    feats = click_history(enc, {"item_id": "hist_items", "category": "hist_cats"}, n=hist_len,
+    states = dict(states or {})
+    for f in ("user_id", "item_id", "category"):                                       # E2 fit
+        states[f] = fit_encoding(latest, f, states.get(f))
+    # item and category codes (small states) before the history window; the
+    # window runs per *raw* user so the user-code join afterwards reuses its
+    # partitioning instead of shuffling the log again (codes ascend with the
+    # raw id, so every order is unchanged)
+    pre = apply_encoding(apply_encoding(latest, "item_id", states["item_id"]), "category", states["category"])
+    pre = cut_lineage(pre)
+    feats = click_history(pre, {"item_id": "hist_items", "category": "hist_cats"}, n=hist_len,
                           with_split=True)                                             # W2 W3 H1 W4
+    feats = apply_encoding(feats, "user_id", states["user_id"])                        # E2 apply
     # train rows feed four branches of the sampler: one sort, one write
     feats = cut_lineage(feats)
+    enc = feats.select("user_id", "item_id", "category", "time_us")
     train = feats.where(F.col("split") == "train").drop("split")
     test = feats.where(F.col("split") == "test").drop("split").withColumn("label", F.lit(1))  # P7
     pool = enc.select("item_id", "category").distinct()                                # A11
