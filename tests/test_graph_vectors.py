@@ -143,3 +143,18 @@ def test_fm_interaction_matches_brute_force(spark):
         vecs = [[u(f, getattr(row, f), d) * 2 - 1 for d in range(4)] for f in ("user_id", "item_id", "category")]
         want = 0.5 * sum(sum(v[d] for v in vecs) ** 2 - sum(v[d] ** 2 for v in vecs) for d in range(4))
         assert abs(got[row.user_id] - want) < 1e-12
+
+
+def test_topk_cosine_excludes_self(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(23, 6))
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(23)], "item_id long, vec array<double>")
+    got = topk_similar(df.withColumnRenamed("item_id", "qid"), df, k=4, cosine=True, exclude_self=True,
+                       block=7).collect()
+    n = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = n @ n.T
+    assert len(got) == 23 * 4
+    for r in got:
+        assert r.item_id != r.qid
+        order = sorted((j for j in range(23) if j != r.qid), key=lambda j: (-s[r.qid, j], j))
+        assert order[r.rank - 1] == r.item_id
