@@ -25,7 +25,9 @@ _LOW_BITS = (1 << 33) - 1
 
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (a global aggregate, so its
-    size is bounded) to every row via a broadcast equi-join on a constant."""
+    size is bounded) to every row. The join on a constant key is planned as
+    a broadcast nested-loop join against that single row: each row meets
+    exactly one partner, the stream side is never shuffled."""
     return (df.withColumn("_one", F.lit(1))
             .join(F.broadcast(scalars.withColumn("_one", F.lit(1))), "_one")
             .drop("_one"))
