@@ -54,13 +54,13 @@ def _op4_sql() -> str:
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-    lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+    lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
     win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
     keyed AS (SELECT doc_id, i, list_slice(w, i, i + 2) AS k FROM win),
     twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM keyed) WHERE c > 1),
     hit AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2)) v(o) GROUP BY doc_id),
     counts AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
-                      coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+                      coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
                       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                       (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
                       coalesce(hit.n, 0)::BIGINT AS n_repeat_words
@@ -87,7 +87,7 @@ OP5_SQL = rf"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
     FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> list_slice(w, i, i + 3))
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: list_slice(w, i, i + 3))
                                           WHEN len(w) > 0 THEN [w] ELSE [] END) AS sh FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
