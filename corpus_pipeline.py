@@ -8,9 +8,10 @@ stage's docs. All stages but the last return the columns of `documents`.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.llm import ngram_join, quality_rules
+from recsmith.llm import bpe, decontaminate, ngram_join, quality_rules, substring_dedup
 from recsmith.llm.common import table, written
 
 
@@ -24,9 +25,29 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return ngram_join.drop_near_duplicates(docs)
 
 
+def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier in the corpus go; a document of which
+    nothing stays goes (operator 9)."""
+    return substring_dedup.dedup_filter(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a test item go (operator 7)."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids and the digests of ids and decoded text
+    (operator 6)."""
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), docs.columns)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("ngram_jaccard_join", near_duplicate_stage),
+    ("substring_dedup", repeated_passages_stage),
+    ("decontamination", decontamination_stage),
+    ("bpe_encoding", encoding_stage),
 ]
 
 #: The last stage encodes texts with a tokenizer, which SQL cannot express;

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recsmith.llm import ngram_join, quality_rules
-from recsmith.llm.common import table
+from recsmith.llm import bpe, decontaminate, ngram_join, quality_rules, substring_dedup, token_files
+from recsmith.llm.common import scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -97,7 +99,48 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(w.doc_
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach r ON r.a = w.doc_id GROUP BY w.doc_id"""
 
 
+def op6_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], with_ids=False)
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_OP7_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, {_OP7_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_OP7_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), {decontaminate.WINDOW}) AS size,
+              unnest(list_transform(range(1, len(w) - least(len(w), {decontaminate.WINDOW}) + 2),
+                                    lambda i: list_slice(w, i, i + least(len(w), {decontaminate.WINDOW}) - 1))) AS win FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM d, sizes WHERE len(w) >= size),
+hits AS (SELECT doc_id, dw.size, i, item FROM dw JOIN bw ON list_slice(w, i, i + dw.size - 1) = win),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS p FROM hits),
+np AS (SELECT doc_id, count(*) AS n FROM pos GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(np.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(np.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN np USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_units(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_units", "n_removed", "removed")
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    index = token_files.write_token_files(table(spark, sf_dir, "documents"), scratch(spark), path)
+    return token_files.read_documents(index)
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op4_quality_rules, op5_ngram_jaccard_join,
+    op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op9_substring_dedup, op10_token_files,
 )}
-ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL}
+ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL}
