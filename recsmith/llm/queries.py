@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import bpe, decontaminate, ngram_join, quality_rules, substring_dedup, token_files
+from recsmith.llm import bpe, decontaminate, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files
 from recsmith.llm.common import scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,13 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(np.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN np USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    size = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
+    return found.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_units(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_units", "n_removed", "removed")
@@ -141,6 +148,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op9_substring_dedup, op10_token_files,
+    op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op8_suffix_dedup, op9_substring_dedup, op10_token_files,
 )}
 ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL}

@@ -31,8 +31,6 @@ are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -356,7 +354,3 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) ->
                                               pa.array(removed, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())], names=schema.names)
 
     return joined.mapInArrow(cut, schema)
-
-
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
