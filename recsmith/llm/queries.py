@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import bpe, decontaminate, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files, url_filter
+from recsmith.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, url_filter
 from recsmith.llm.common import scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "template", "purity", "verdict")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+    return found.select("page_id", "host", "declared", "text_lang", "lang", "confidence")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_counts(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -153,6 +162,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_url_filter, op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op8_suffix_dedup, op9_substring_dedup, op10_token_files,
+    op1_url_filter, op2_quality_classifier, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op8_suffix_dedup, op9_substring_dedup, op10_token_files,
 )}
 ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL}
