@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsmith.operators.encode import attach_scalars, dense_ids
-from recsmith.session import shuffle_partitions
+from recsmith.operators.encode import attach_scalars, dense_ids, partition_offsets, range_numbered
 
 # The percentiles the reference's describe prints.
 PERCENTILES = [0.01, 0.05, 0.10, 0.25, 0.5, 0.75, 0.90, 0.95, 0.99]
@@ -21,9 +20,6 @@ KDE_GRID = 1000
 KDE_CUTOFF = 40.0   # |z| beyond this: exp(-z^2/2) is exactly 0.0 in doubles
 
 
-_LOW_BITS = (1 << 33) - 1
-
-
 def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """Exact percentiles with linear interpolation (position p*(n-1)), as a
     distributed order statistic: values are range partitioned (with a
@@ -42,15 +38,9 @@ def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     spec = spark.createDataFrame(wanted, "prob double, pos double, lo long, hi long")
     if n == 0:
         return spec.select("prob", F.lit(None).cast("double").alias("value"))
-    parts = shuffle_partitions(spark)
     salted = x.withColumn("_s", F.xxhash64(F.monotonically_increasing_id()))
-    ranked = (salted.repartitionByRange(parts, "_x", "_s").sortWithinPartitions("_x", "_s")
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .select("_x", F.shiftright("_mid", 33).alias("_pid"),
-                      F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_idx")))
-    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    ranked = range_numbered(salted, [F.col("_x"), F.col("_s")])
+    offsets = partition_offsets(ranked)
     ranks = sorted({r for _, _, lo, hi in wanted for r in (lo, hi)})
     picked = (ranked.join(F.broadcast(offsets), "_pid")
               .select((F.col("_off") + F.col("_idx")).alias("_r"), "_x")
@@ -102,14 +92,10 @@ def value_counts(df: DataFrame, field: str) -> DataFrame:
     return attach_scalars(vc, nd)
 
 
-def counts_by_label(df: DataFrame, field: str, label: str, labels: list = (0, 1)) -> DataFrame:
-    """A10: value x label contingency table, one column per label value
-    (explicit pivot values: no extra distinct job)."""
-    out = df.groupBy(field).pivot(label, list(labels)).count()
-    for v in labels:
-        out = out.withColumnRenamed(str(v), f"label_{v}")
-        out = out.withColumn(f"label_{v}", F.coalesce(F.col(f"label_{v}"), F.lit(0)).cast("bigint"))
-    return out
+def counts_by_label(df: DataFrame, field: str, label: str) -> DataFrame:
+    """A10: value x label contingency, one row per (value, label value) that
+    occurs; nulls on either side are values of their own."""
+    return df.groupBy(field, label).agg(F.count(F.lit(1)).alias("count"))
 
 
 def binary_metrics(df: DataFrame, y_true: str, score: str, threshold: float = 0.5) -> DataFrame:
@@ -130,32 +116,37 @@ def binary_metrics(df: DataFrame, y_true: str, score: str, threshold: float = 0.
 
 
 def kde_by_category(df: DataFrame, field: str, category: str, grid: int = KDE_GRID) -> DataFrame:
-    """Gaussian kernel density of ``field`` per ``category`` on a grid of
-    ``grid`` points spanning [min - range/2, max + range/2] (the pandas
-    default), Scott bandwidth ``h = n^(-1/5) * stddev_samp``.
-
-    Each point contributes only to grid points within ``40h`` — beyond that
-    the kernel is exactly 0.0 in double precision — so the result equals
-    the full sum while the work is a band join, not grid x data."""
+    """Gaussian kernel density of ``field`` per ``category`` (null is a
+    category) on ``grid`` points spanning [min - range/2, max + range/2] (the
+    pandas default), Scott bandwidth ``h = n^(-1/5) * stddev_samp``.
+
+    Every category gets all its grid points. Equal values are counted first
+    and enter once with their weight; where the kernel is exactly 0.0 in double
+    precision (more than ``KDE_CUTOFF`` bandwidths away) nothing is added, and
+    a grid point that nothing reaches has density 0. A category of one value
+    has no bandwidth: its density is null."""
     x = F.col(field).cast("double")
-    st = df.where(x.isNotNull()).groupBy(category).agg(
+    values = (df.select(F.col(category).alias("_cat"), x.alias("_x")).where(F.col("_x").isNotNull())
+              .groupBy("_cat", "_x").agg(F.count(F.lit(1)).alias("_w")))
+    st = df.where(x.isNotNull()).groupBy(F.col(category).alias("_c")).agg(
         F.count(x).alias("_n"), F.stddev_samp(x).alias("_sd"), F.min(x).alias("_mn"), F.max(x).alias("_mx"))
     st = (st.withColumn("_h", F.pow(F.col("_n").cast("double"), F.lit(-0.2)) * F.col("_sd"))
           .withColumn("_lo", F.col("_mn") - (F.col("_mx") - F.col("_mn")) * F.lit(0.5))
-          .withColumn("_step", (F.col("_mx") - F.col("_mn")) * F.lit(2.0) / F.lit(float(grid - 1)))
-          .where((F.col("_h") > 0) & (F.col("_step") > 0)))
-    pts = df.select(category, x.alias("_x")).where(F.col("_x").isNotNull()).join(st, category)
+          .withColumn("_step", (F.col("_mx") - F.col("_mn")) * F.lit(2.0) / F.lit(float(grid - 1))))
+    pts = values.join(st.where((F.col("_h") > 0) & (F.col("_step") > 0)), F.col("_cat").eqNullSafe(F.col("_c")))
     first = F.greatest(F.lit(0), F.ceil((F.col("_x") - F.lit(KDE_CUTOFF) * F.col("_h") - F.col("_lo")) / F.col("_step")))
     last = F.least(F.lit(grid - 1), F.floor((F.col("_x") + F.lit(KDE_CUTOFF) * F.col("_h") - F.col("_lo")) / F.col("_step")))
     pts = pts.withColumn("_g", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    gx = F.col("_lo") + F.col("_g") * F.col("_step")
-    z = (gx - F.col("_x")) / F.col("_h")
-    kern = F.exp(F.lit(-0.5) * z * z)
-    dens = pts.groupBy(category, "_g", "_lo", "_step", "_n", "_h").agg(F.sum(kern).alias("_s"))
+    z = (F.col("_lo") + F.col("_g") * F.col("_step") - F.col("_x")) / F.col("_h")
+    sums = pts.groupBy(F.col("_cat").alias("_sc"), F.col("_g").alias("_sg")).agg(
+        F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    points = st.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    dens = points.join(sums, F.col("_c").eqNullSafe(F.col("_sc")) & (F.col("_g") == F.col("_sg")), "left")
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2.0 * math.pi))
-    return dens.select(category, F.col("_g").cast("int").alias("grid_idx"),
+    density = F.when(F.col("_h") > 0, F.coalesce("_s", F.lit(0.0)) / norm)
+    return dens.select(F.col("_c").alias(category), F.col("_g").cast("int").alias("grid_idx"),
                        F.round(F.col("_lo") + F.col("_g") * F.col("_step"), 6).alias("x"),
-                       F.round(F.col("_s") / norm, 6).alias("density"))
+                       F.round(density, 6).alias("density"))
 
 
 def abs_correlation_matrix(df: DataFrame, fields: list[str], categorical: list[str] = ()) -> DataFrame:

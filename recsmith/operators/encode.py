@@ -16,13 +16,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.session import shuffle_partitions
+from recsmith.session import cut_lineage
 
 VALUE = "value"
 ID = "id"
 _LOW_BITS = (1 << 33) - 1
 
 
+def range_numbered(df: DataFrame, by: list) -> DataFrame:
+    """``df`` range partitioned and sorted by ``by``, with ``_pid`` (partition)
+    and ``_idx`` (place in it) as stored values.
+
+    The bounds of a range partitioning come from a sample, so two evaluations
+    of the same plan may cut at different places. Counts per partition and the
+    rows they are joined back to must therefore come from one evaluation: the
+    numbered rows are written once (reliable checkpoint) and everything else
+    reads them."""
+    ranged = (df.repartitionByRange(*by).sortWithinPartitions(*by)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    return cut_lineage(ranged.select(*df.columns, F.shiftright("_mid", 33).alias("_pid"),
+                                     F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_idx")))
+
+
+def partition_offsets(ranged: DataFrame) -> DataFrame:
+    """(_pid, _off): rows in earlier partitions; one row per partition."""
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+
+
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (a global aggregate, so its
     size is bounded) to every row. The join on a constant key is planned as
@@ -43,24 +65,13 @@ def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_
     return F.broadcast(df) if n_rows <= max_rows else df
 
 
-def dense_ids(values: DataFrame, col: str, start: int = 1, name: str = ID,
-              num_partitions: int | None = None) -> DataFrame:
+def dense_ids(values: DataFrame, col: str, start: int = 1, name: str = ID) -> DataFrame:
     """Number the distinct values of ``col`` as ``start, start+1, ...`` in
-    ascending order (nulls first). Returns ``(col, name)``."""
-    n = num_partitions or shuffle_partitions(values.sparkSession)
-    order = F.col(col).asc_nulls_first()
-    ranked = (values.select(col).distinct()
-              .repartitionByRange(n, order)
-              .sortWithinPartitions(order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .select(col, F.shiftright("_mid", 33).alias("_pid"),
-                      F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_idx")))
-    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    ascending order (nulls first). Returns ``(col, name)``; codes are bigint."""
+    ranked = range_numbered(values.select(col).distinct(), [F.col(col).asc_nulls_first()])
     # one row per partition: a bounded broadcast
-    return ranked.join(F.broadcast(offsets), "_pid").select(
-        col, (F.lit(start) + F.col("_off") + F.col("_idx")).cast("int").alias(name))
+    return ranked.join(F.broadcast(partition_offsets(ranked)), "_pid").select(
+        col, (F.lit(start) + F.col("_off") + F.col("_idx")).alias(name))
 
 
 def fit_encoding(df: DataFrame, field: str, state: DataFrame | None = None,
@@ -81,7 +92,7 @@ def fit_encoding(df: DataFrame, field: str, state: DataFrame | None = None,
     numbered = dense_ids(fresh, VALUE, start=0, name="_rel")
     base = known.agg(F.count(F.lit(1)).alias("_known"))
     appended = attach_scalars(numbered, base).select(
-        VALUE, (F.col("_rel") + F.col("_known") + F.lit(reserved)).cast("int").alias(ID))
+        VALUE, (F.col("_rel") + F.col("_known") + F.lit(reserved)).alias(ID))
     return known.unionByName(appended)
 
 
@@ -101,7 +112,7 @@ def apply_encoding(df: DataFrame, field: str, state: DataFrame, is_unk: bool = F
     joined = (joined.withColumn("_one", F.lit(1))
               .join(F.broadcast(null_code.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
     code = F.when(F.col(field).isNull(), F.coalesce(F.col("_enc_null"), default)).otherwise(
-        F.coalesce(F.col("_enc_id"), default)).cast("int")
+        F.coalesce(F.col("_enc_id"), default)).cast("bigint")
     if out == field:
         return joined.select(*[code.alias(out) if c == field else F.col(c) for c in df.columns])
     return joined.select(*[F.col(c) for c in df.columns], code.alias(out))

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import uniform01
-from recsmith.operators.encode import attach_scalars
+from recsmith.operators.encode import attach_scalars, dense_ids
 
+#: Values that become columns of their own; wider fields are encoded as
+#: sparse vectors (``one_hot_sparse``).
 MAX_ONE_HOT_COLUMNS = 1_000
 
 
@@ -21,12 +23,12 @@ MAX_ONE_HOT_COLUMNS = 1_000
 
 def fit_one_hot(df: DataFrame, field: str, max_columns: int = MAX_ONE_HOT_COLUMNS) -> list:
     """E4 fit: the sorted distinct train values of ``field``. The list
-    becomes output columns, so it is checked against ``max_columns``; wide
-    fields belong to ``pyspark.ml.feature.OneHotEncoder`` (sparse vector)."""
+    becomes output columns, so it is checked against ``max_columns``; wider
+    fields take ``fit_one_hot_sparse``, which has no limit."""
     values = df.select(field).distinct().orderBy(F.col(field).asc_nulls_first()).limit(max_columns + 1)
     vals = [r[0] for r in values.collect()]
     if len(vals) > max_columns:
-        raise ValueError(f"{field} has more than {max_columns} values; use OneHotEncoder")
+        raise ValueError(f"{field} has more than {max_columns} values; use fit_one_hot_sparse")
     return vals
 
 
@@ -39,6 +41,22 @@ def apply_one_hot(df: DataFrame, field: str, values: list, keep_source: bool = F
     return out if keep_source else out.drop(field)
 
 
+def fit_one_hot_sparse(df: DataFrame, field: str) -> DataFrame:
+    """E4 fit for any number of values: a table (value, id) with ids from 0 in
+    ascending order of the values, nulls first. Nothing is collected."""
+    return dense_ids(df.select(F.col(field).alias("value")), "value", start=0)
+
+
+def apply_one_hot_sparse(df: DataFrame, field: str, state: DataFrame, out: str | None = None) -> DataFrame:
+    """E4 apply for any number of values: ``out`` is the place of the 1 as a
+    sparse row (array of indices, empty for values the fit did not see)."""
+    out = out or f"{field}_ones"
+    st = state.select(F.col("value").alias("_oh_v"), F.col("id").alias("_oh_id"))
+    ones = F.when(F.col("_oh_id").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("_oh_id"))
+    return (df.join(st, df[field].eqNullSafe(st["_oh_v"]), "left")
+            .select(*[F.col(c) for c in df.columns], ones.alias(out)))
+
+
 # ------------------------------------------------------------------ E5
 
 def fit_standard_scale(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -143,7 +161,7 @@ def encoding_table(states: dict[str, DataFrame]) -> DataFrame:
     out = None
     for field, st in states.items():
         part = st.select(F.lit(field).alias("field"), F.col("value").cast("string").alias("value"),
-                         F.col("id").cast("int").alias("id"))
+                         F.col("id").alias("id"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -197,12 +215,14 @@ def derived_weights(states: dict[str, DataFrame], name: str = "w") -> DataFrame:
 
 def linear_logit(df: DataFrame, key: list[str], fields: list[str], weights: DataFrame,
                  out: str = "logit") -> DataFrame:
-    """Sum of one weight per active field code (unknown codes add 0)."""
-    long = df.select(*key, F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("int").alias("code"))
-                                                for f in fields])).alias("_fc"))
-    long = long.select(*key, "_fc.field", "_fc.code")
-    j = long.join(weights, ["field", "code"], "left")
-    return j.groupBy(*key).agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias(out))
+    """Sum of one weight per active field code (unknown codes add 0), one
+    result for each row: one join per field, so repeated keys stay apart."""
+    joined, total = df, F.lit(0.0)
+    for i, f in enumerate(fields):
+        w = weights.where(F.col("field") == f).select(F.col("code").alias(f"_code{i}"), F.col("weight").alias(f"_w{i}"))
+        joined = joined.join(w, joined[f] == w[f"_code{i}"], "left")
+        total = total + F.coalesce(F.col(f"_w{i}"), F.lit(0.0))
+    return joined.select(*key, total.alias(out))
 
 
 def feature_spec(states: dict[str, DataFrame], spec: DataFrame, is_unk: bool = False) -> DataFrame:

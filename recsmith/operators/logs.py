@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import pad_zero
-from recsmith.operators.encode import attach_scalars
+from recsmith.operators.encode import attach_scalars, range_numbered
 from recsmith.operators.sequence import HOT_KEY_ROWS, HotSet, hot_of, positions, with_history, with_next
 
 
@@ -76,9 +76,9 @@ def sequence_position(log: DataFrame, user: str = "user_id", item: str = "item_i
 def leave_one_out_split(log: DataFrame, user: str = "user_id", item: str = "item_id",
                         time_col: str = "time_us", hot_threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """Latest row per user is ``test``, the rest ``train``."""
-    out = with_next(log, user, [time_col, item], {item: "_nx"}, threshold=hot_threshold)
-    return out.withColumn("split", F.when(F.col("_nx").isNull(), F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_nx")
+    out = with_next(log, user, [time_col, item], {}, threshold=hot_threshold, last_flag="_last")
+    return out.withColumn("split", F.when(F.col("_last"), F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_last")
 
 
 def leave_two_out_split(log: DataFrame, user: str = "user_id", item: str = "item_id",
@@ -203,14 +203,17 @@ def n_unique(df: DataFrame, c: str) -> DataFrame:
 def upper_median(df: DataFrame, c: str) -> DataFrame:
     """``sorted(values)[n // 2]`` over all rows.
 
-    Computed without a single-partition window: the exact order statistic
-    comes from ``percentile_disc`` style selection via ``count`` + value
-    histogram (value -> count, cumulative over distinct values only)."""
-    hist = df.groupBy(c).agg(F.count(F.lit(1)).alias("_k"))
+    An order statistic over the value histogram: values are range
+    partitioned and no task holds all of them."""
+    hist = range_numbered(df.groupBy(c).agg(F.count(F.lit(1)).alias("_k")), [F.col(c).asc()])
     total = df.agg(F.count(F.lit(1)).alias("_n"))
-    # one row per distinct value (degrees: a few thousand at most)
-    w = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("_cum", F.sum("_k").over(w))
+    # running counts inside each range, shifted by the counts of the ranges
+    # before it (one row per partition: a bounded broadcast)
+    inside = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = hist.groupBy("_pid").agg(F.sum("_k").alias("_sum"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_pid", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    cum = hist.join(F.broadcast(offsets), "_pid").withColumn("_cum", F.col("_off") + F.sum("_k").over(inside))
     return (attach_scalars(cum, total)
             .where((F.col("_cum") > F.floor(F.col("_n") / 2)) & (F.col("_cum") - F.col("_k") <= F.floor(F.col("_n") / 2)))
             .select(F.col(c).alias("median")))

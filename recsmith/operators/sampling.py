@@ -54,7 +54,7 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     def draws(keys: DataFrame, lo: int, hi: int) -> DataFrame:
         att = keys.withColumn("_a", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))))
         att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")),
-                                             F.lit(max(n_items, 1))).cast("int"))
+                                             F.lit(max(n_items, 1))).cast("bigint"))
         cand = att.join(pool_side, "_pidx")
         return cand.join(hist, (cand[user] == hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
                          "left_anti").select(*key, "_a", "_neg_item", "_neg_cat")
@@ -93,7 +93,7 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     draw = F.pmod(hash32(*[F.col(c) for c in key], F.lit("x"), F.col("_j")), F.col("_C"))
     rest = need.join(gaps, (need[user] == gaps["_g_user"]) & (draw >= F.col("_ce") - F.col("_gl"))
                      & (draw < F.col("_ce")))
-    rest = rest.withColumn("_pidx", (F.col("_gs") + draw - (F.col("_ce") - F.col("_gl"))).cast("int"))
+    rest = rest.withColumn("_pidx", (F.col("_gs") + draw - (F.col("_ce") - F.col("_gl"))).cast("bigint"))
     rest = rest.join(pool_side, "_pidx").select(*key, "_j", "_neg_item", "_neg_cat")
 
     negs = first.unionByName(rest)

@@ -25,11 +25,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.operators.encode import bounded_broadcast
-from recsmith.session import shuffle_partitions
+from recsmith.operators.encode import bounded_broadcast, range_numbered
 
 HOT_KEY_ROWS = 1_000_000
-_LOW_BITS = (1 << 33) - 1
 
 
 def _order_cols(order: list[str], desc: bool = False) -> list[Column]:
@@ -81,29 +79,27 @@ def split_hot(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS,
         hot, n = hot_keys(df, key, threshold)
     if n == 0:
         return df, None
-    hb = bounded_broadcast(hot, n)
-    return df.join(hb, key, "left_anti"), df.join(hb, key, "left_semi")
+    # null is a key like any other (anonymous users are often the largest one)
+    hb = bounded_broadcast(hot.select(F.col(key).alias("_hot_key")), n)
+    same = df[key].eqNullSafe(F.col("_hot_key"))
+    return df.join(hb, same, "left_anti"), df.join(hb, same, "left_semi")
 
 
 def hot_positions(rows: DataFrame, key: str, order: list[str], desc: bool = False,
                   loc: str = "loc", size: str = "n") -> DataFrame:
     """0-based position within the key (``order`` ascending, or descending)
     and the key's row count, without a per-key window."""
-    parts = shuffle_partitions(rows.sparkSession)
-    by = [F.col(key).asc()] + _order_cols(order, desc)
-    ranged = (rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", 33))
-              .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    ranged = range_numbered(rows, [F.col(key).asc()] + _order_cols(order, desc))
     stats = ranged.groupBy("_pid", key).agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select("_pid", key, "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+    stats = stats.select(F.col("_pid").alias("_spid"), F.col(key).alias("_skey"), "_first",
+                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
                          F.sum("_cnt").over(Window.partitionBy(key)).alias("_tot"))
     # one row per (partition, hot key): bounded by partitions x hot keys
-    out = ranged.join(F.broadcast(stats), ["_pid", key])
+    out = ranged.join(F.broadcast(stats), (F.col("_pid") == F.col("_spid")) & ranged[key].eqNullSafe(F.col("_skey")))
     return out.withColumn(loc, (F.col("_off") + F.col("_idx") - F.col("_first")).cast("int")) \
         .withColumn(size, F.col("_tot").cast("bigint")) \
-        .drop("_mid", "_pid", "_idx", "_first", "_off", "_tot")
+        .drop("_pid", "_idx", "_spid", "_skey", "_first", "_off", "_tot")
 
 
 def positions(df: DataFrame, key: str, order: list[str], desc: bool = False, loc: str = "loc",
@@ -134,9 +130,11 @@ def previous_values(pos: DataFrame, key: str, cols: dict[str, str], n: int, loc:
     hist = contrib.groupBy(key, "_tl").agg(packed.alias("_h"))
     def field(name):
         return lambda x: x[name]
-    hist = hist.select(key, "_tl", *[F.transform("_h", field(f"_v_{c}")).alias(dst) for c, dst in cols.items()])
+    # a null value is left out of the list, as collect_list leaves it out
+    hist = hist.select(key, "_tl", *[F.filter(F.transform("_h", field(f"_v_{c}")), F.isnotnull).alias(dst)
+                                     for c, dst in cols.items()])
     h = hist.withColumnRenamed(key, "_hk")
-    out = pos.join(h, (pos[key] == h["_hk"]) & (pos[loc] == h["_tl"]), "left").drop("_hk", "_tl")
+    out = pos.join(h, pos[key].eqNullSafe(h["_hk"]) & (pos[loc] == h["_tl"]), "left").drop("_hk", "_tl")
     types = dict(pos.dtypes)
     for c, dst in cols.items():
         out = out.withColumn(dst, F.coalesce(F.col(dst), F.array().cast(f"array<{types[c]}>")))
@@ -148,7 +146,7 @@ def next_values(pos: DataFrame, key: str, cols: dict[str, str], loc: str = "loc"
     same key (``lead(col, 1)``), null on the last row."""
     nxt = pos.select(F.col(key).alias("_nk"), (F.col(loc) - 1).alias("_nl"),
                      *[F.col(c).alias(dst) for c, dst in cols.items()])
-    return pos.join(nxt, (pos[key] == nxt["_nk"]) & (pos[loc] == nxt["_nl"]), "left").drop("_nk", "_nl")
+    return pos.join(nxt, pos[key].eqNullSafe(nxt["_nk"]) & (pos[loc] == nxt["_nl"]), "left").drop("_nk", "_nl")
 
 
 def with_history(df: DataFrame, key: str, order: list[str], cols: dict[str, str], n: int,
@@ -163,7 +161,8 @@ def with_history(df: DataFrame, key: str, order: list[str], cols: dict[str, str]
     for c, dst in cols.items():
         out = out.withColumn(dst, F.collect_list(F.col(c)).over(w.rowsBetween(-n, -1)))
     if last_flag:
-        out = out.withColumn(last_flag, F.lead(F.col(order[-1]), 1).over(w).isNull())
+        # a literal, so that a null value on the next row does not look like the end
+        out = out.withColumn(last_flag, F.lead(F.lit(1), 1).over(w).isNull())
     if hot is None:
         return out
     pos = hot_positions(hot, key, order, loc="_hloc", size="_hn")
@@ -174,9 +173,11 @@ def with_history(df: DataFrame, key: str, order: list[str], cols: dict[str, str]
 
 
 def with_next(df: DataFrame, key: str, order: list[str], cols: dict[str, str],
-              threshold: int = HOT_KEY_ROWS, loc: str | None = None, known: HotSet | None = None) -> DataFrame:
+              threshold: int = HOT_KEY_ROWS, loc: str | None = None, known: HotSet | None = None,
+              last_flag: str | None = None) -> DataFrame:
     """``lead(col, 1)`` per key for normal keys; an equi-join on
-    (key, position + 1) for hot keys. ``loc`` also returns the position."""
+    (key, position + 1) for hot keys. ``loc`` also returns the position,
+    ``last_flag`` whether the row is its key's last one."""
     normal, hot = split_hot(df, key, threshold, known)
     w = Window.partitionBy(key).orderBy(*_order_cols(order))
     out = normal
@@ -184,10 +185,15 @@ def with_next(df: DataFrame, key: str, order: list[str], cols: dict[str, str],
         out = out.withColumn(loc, (F.row_number().over(w) - 1).cast("int"))
     for c, dst in cols.items():
         out = out.withColumn(dst, F.lead(F.col(c), 1).over(w))
+    if last_flag:
+        out = out.withColumn(last_flag, F.lead(F.lit(1), 1).over(w).isNull())
     if hot is None:
         return out
     pos = hot_positions(hot, key, order, loc=loc or "_loc", size="_n")
-    h = next_values(pos, key, cols, loc=loc or "_loc").drop("_n")
+    h = next_values(pos, key, cols, loc=loc or "_loc") if cols else pos
+    if last_flag:
+        h = h.withColumn(last_flag, F.col(loc or "_loc") == F.col("_n") - 1)
+    h = h.drop("_n")
     if not loc:
         h = h.drop("_loc")
     return out.unionByName(h)

@@ -65,7 +65,7 @@ def select_ctr_fields(df: DataFrame) -> DataFrame:
 
 
 def _dense_sql(src: str, col: str, start: int = 1) -> str:
-    return (f"(SELECT {col} AS v, CAST(dense_rank() OVER (ORDER BY {col} NULLS FIRST) + {start - 1} AS INT) AS code "
+    return (f"(SELECT {col} AS v, CAST(dense_rank() OVER (ORDER BY {col} NULLS FIRST) + {start - 1} AS BIGINT) AS code "
             f"FROM (SELECT DISTINCT {col} FROM {src}))")
 
 
@@ -96,7 +96,7 @@ feats AS (SELECT user_id, item_id, category, time_us, is_test,
                  array_to_string(list_resize(hc, greatest(20, len(hc)), 0), ',') AS hist_cats
           FROM feats0),
 train AS (SELECT * FROM feats WHERE NOT is_test),
-pool_ix AS (SELECT item_id, category, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INT) AS pidx
+pool_ix AS (SELECT item_id, category, CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS pidx
             FROM (SELECT DISTINCT item_id, category FROM enc)),
 npool AS (SELECT count(*) AS n FROM pool_ix),
 att AS (SELECT t.user_id, t.item_id, t.time_us, a.a,
@@ -140,7 +140,7 @@ SELECT user_id, item_id, category, hist_items, hist_cats, 1 AS label, 'test' AS
 def negatives_sql(rows: str, pool: str, hist: str, k: int, attempts: int) -> str:
     """DuckDB CTE chain of N1 (same draws as ``negative_sample``): ends
     with ``negs(user_id, item_id, time_us, neg_item, neg_cat)``."""
-    return f"""pool_ix AS (SELECT item_id, category, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INT) AS pidx
+    return f"""pool_ix AS (SELECT item_id, category, CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS pidx
             FROM (SELECT DISTINCT item_id, category FROM {pool})),
 npool AS (SELECT count(*) AS n FROM pool_ix),
 att AS (SELECT t.user_id, t.item_id, t.time_us, a.a,

@@ -72,12 +72,9 @@ def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.value_counts(docs(spark, sf_dir).select("quality"), "quality")
 
 
-@register("label_contingency", f"""SELECT lang,
-  CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS label_0,
-  CAST(count(*) FILTER (WHERE quality = 1) AS BIGINT) AS label_1
-FROM {DOCS_SQL} GROUP BY lang""")
+@register("label_contingency", f"""SELECT lang, quality, count(*) AS count FROM {DOCS_SQL} GROUP BY lang, quality""")
 def q_label_contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10: language x quality label."""
+    """A10: language x quality label, unlabelled documents included."""
     return eda.counts_by_label(docs(spark, sf_dir), "lang", "quality")
 
 
@@ -103,13 +100,12 @@ _SQRT2PI = repr(math.sqrt(2.0 * math.pi))
 st AS (SELECT p_type, count(x) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx FROM p GROUP BY p_type),
 st2 AS (SELECT *, pow(CAST(n AS DOUBLE), -0.2) * sd AS h, mn - (mx - mn) * 0.5 AS lo,
                (mx - mn) * 2.0 / {float(eda.KDE_GRID - 1)} AS step FROM st),
-grid AS (SELECT st2.*, g.g FROM st2 CROSS JOIN range({eda.KDE_GRID}) AS g(g) WHERE h > 0 AND step > 0),
+grid AS (SELECT st2.*, g.g FROM st2 CROSS JOIN range({eda.KDE_GRID}) AS g(g)),
 dens AS (SELECT grid.p_type, grid.g, grid.lo, grid.step, grid.n, grid.h,
                 sum(exp(-0.5 * ((grid.lo + grid.g * grid.step - p.x) / grid.h) * ((grid.lo + grid.g * grid.step - p.x) / grid.h))) AS s
-         FROM grid JOIN p ON p.p_type = grid.p_type
-         WHERE abs(grid.lo + grid.g * grid.step - p.x) <= 40.0 * grid.h
+         FROM grid JOIN p ON p.p_type IS NOT DISTINCT FROM grid.p_type
          GROUP BY ALL)
-SELECT p_type, CAST(g AS INT) AS grid_idx, round(lo + g * step, 6) AS x, round(s / (n * h * {_SQRT2PI}), 6) AS density
+SELECT p_type, CAST(g AS INT) AS grid_idx, round(lo + g * step, 6) AS x, CASE WHEN h > 0 THEN round(s / (n * h * {_SQRT2PI}), 6) END AS density
 FROM dens""")
 def q_kde(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Density of retail price per part type on a 1000-point grid."""

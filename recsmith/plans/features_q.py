@@ -15,7 +15,7 @@ from recsmith.operators.sampling import stratified_sample
 from recsmith.plans.ctr import CTR_SQL, ctr_training_set
 from recsmith.plans.recall import recall_split
 from recsmith.plans.registry import register
-from recsmith.session import ensure_checkpoint_dir
+from recsmith.sources.io import scratch_dir
 from recsmith.sources.fixtures import (
     CLICKS_SQL, DOCS_SQL, PRODUCTS_SQL, clicks, docs, products, table, vectors)
 
@@ -23,12 +23,6 @@ from recsmith.sources.fixtures import (
 P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A per-run folder under the cluster's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "recsmith-scratch", f"{name}-{os.getpid()}-{id(spark)}")
-
-
 # ---------------------------------------------------------------- E4 one-hot
 
 @register("one_hot", "SELECT item_id, p_size, " + ", ".join(
@@ -69,7 +63,7 @@ def q_count_binarize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- E8
 
-@register("label_encode", """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_mktsegment NULLS FIRST) - 1 AS INT)
+@register("label_encode", """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_mktsegment NULLS FIRST) - 1 AS BIGINT)
   AS c_mktsegment FROM customer""")
 def q_label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -85,20 +79,20 @@ train AS (SELECT * FROM split WHERE rn > 2)"""
 
 
 @register("encode_append", f"""WITH {_SPLIT},
-iknown AS (SELECT item_id AS value, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS INT) AS id
+iknown AS (SELECT item_id AS value, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS BIGINT) AS id
            FROM (SELECT DISTINCT item_id FROM train)),
 ifresh AS (SELECT DISTINCT item_id AS value FROM log0 WHERE item_id NOT IN (SELECT value FROM iknown)),
-uknown AS (SELECT user_id AS value, CAST(dense_rank() OVER (ORDER BY user_id) + 1 AS INT) AS id
+uknown AS (SELECT user_id AS value, CAST(dense_rank() OVER (ORDER BY user_id) + 1 AS BIGINT) AS id
            FROM (SELECT DISTINCT user_id FROM train)),
 ufresh AS (SELECT DISTINCT user_id AS value FROM log0 WHERE user_id NOT IN (SELECT value FROM uknown))
 SELECT 'item_id' AS field, value, id FROM iknown
 UNION ALL
-SELECT 'item_id', value, CAST(dense_rank() OVER (ORDER BY value) + (SELECT count(*) FROM iknown) + 1 AS INT)
+SELECT 'item_id', value, CAST(dense_rank() OVER (ORDER BY value) + (SELECT count(*) FROM iknown) + 1 AS BIGINT)
 FROM ifresh
 UNION ALL
 SELECT 'user_id', value, id FROM uknown
 UNION ALL
-SELECT 'user_id', value, CAST(dense_rank() OVER (ORDER BY value) + (SELECT count(*) FROM uknown) + 1 AS INT)
+SELECT 'user_id', value, CAST(dense_rank() OVER (ORDER BY value) + (SELECT count(*) FROM uknown) + 1 AS BIGINT)
 FROM ufresh""")
 def q_encode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 with ``is_unk``: fit on the train split, then append-fit on the
@@ -223,16 +217,18 @@ def q_embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("assemble_features", """SELECT p.p_partkey AS item_id,
-  CAST(2 + len(e.embedding) AS INT) AS n_features, CAST(p.p_size AS DOUBLE) AS f0,
-  p.p_retailprice AS f1, CAST(e.embedding[1] AS DOUBLE) AS f2
-FROM part p JOIN embeddings e ON e.vec_id = p.p_partkey""")
+  CAST(2 + 64 AS INT) AS n_features, CAST(p.p_size AS DOUBLE) AS f0,
+  p.p_retailprice AS f1, coalesce(CAST(e.embedding[1] AS DOUBLE), 0) AS f2, coalesce(CAST(e.embedding[64] AS DOUBLE), 0) AS f65
+FROM part p LEFT JOIN embeddings e ON e.vec_id = p.p_partkey""")
 def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense columns followed by the item vector as one array."""
+    """Dense columns followed by the item vector as one array; items
+    without a vector take zeros."""
     p = products(spark, sf_dir).select("item_id", "p_size", "p_retailprice")
-    j = p.join(vectors(spark, sf_dir).select("item_id", "vec"), "item_id")
+    j = p.join(vectors(spark, sf_dir).select("item_id", "vec"), "item_id", "left").withColumn(
+        "vec", F.coalesce("vec", F.array_repeat(F.lit(0.0).cast("float"), 64)))
     a = fe.assemble_features(j, ["p_size", "p_retailprice"], ["vec"])
     return a.select("item_id", F.size("features").alias("n_features"), F.col("features")[0].alias("f0"),
-                    F.col("features")[1].alias("f1"), F.col("features")[2].alias("f2"))
+                    F.col("features")[1].alias("f1"), F.col("features")[2].alias("f2"), F.col("features")[65].alias("f65"))
 
 
 # ---------------------------------------------------------------- N2 / P2..P4 / E7
@@ -276,15 +272,15 @@ def q_model_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 latest AS (SELECT user_id, item_id, max(time_us) AS t FROM log GROUP BY user_id, item_id),
 cat AS (SELECT item_id, min(category) AS category FROM log GROUP BY item_id),
 l2 AS (SELECT l.*, c.category FROM latest l JOIN cat c USING (item_id))
-SELECT 'item_id' AS field, CAST(item_id AS VARCHAR) AS value, CAST(dense_rank() OVER (ORDER BY item_id) AS INT) AS id
+SELECT 'item_id' AS field, CAST(item_id AS VARCHAR) AS value, CAST(dense_rank() OVER (ORDER BY item_id) AS BIGINT) AS id
 FROM (SELECT DISTINCT item_id FROM l2)
 UNION ALL
-SELECT 'category', category, CAST(dense_rank() OVER (ORDER BY category) AS INT) FROM (SELECT DISTINCT category FROM l2)""")
+SELECT 'category', category, CAST(dense_rank() OVER (ORDER BY category) AS BIGINT) FROM (SELECT DISTINCT category FROM l2)""")
 def q_encoding_state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 + S9: save the fitted encodings, reload two of the fields (and a
     field that was never saved, which yields no rows)."""
     _, states = ctr_training_set(clicks(spark, sf_dir))
-    path = scratch_path(spark, "encodings")
+    path = scratch_dir(spark, "encodings")
     fe.save_state(fe.encoding_table(states), path)
     return fe.load_encodings(spark, path, ["item_id", "category", "never_saved"])
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from recsmith.operators.encode import attach_scalars
 from recsmith.operators.logs import item_stats
 from recsmith.operators.similarity import hot_fill, hot_items, item_similarity, recommend
-from recsmith.plans.ctr import CTR_SQL, ctr_training_set
+from recsmith.plans.ctr import CTR_SQL, ctr_training_set, select_ctr_fields
 from recsmith.plans.recall import SIM_COLS, _HOT_SQL, _REC_SQL, _sim_sql, _split_sql, recall_split
 from recsmith.plans.registry import register
 from recsmith.sources import io
 from recsmith.sources.fixtures import CLICKS_SQL, PRODUCTS_SQL, clicks, products, vectors
 
 WEEK_US = 7 * 86_400 * 1_000_000
-MAX_STAGE = 2
+MAX_STAGE = 9
 
 
 @register("read_table", f"SELECT * FROM {PRODUCTS_SQL}")
@@ -34,7 +34,7 @@ parts AS (SELECT d.user_id, d.item_id, d.time_us, CASE WHEN s.rn = 1 THEN 'test'
 SELECT * FROM parts WHERE stage <= {MAX_STAGE}""")
 def q_read_click_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S7 + U1: the split log written as header-less CSV per
-    (phase, stage), read back for stages 0..2 with an explicit schema."""
+    (phase, stage), read back for stages 0..9 with an explicit schema."""
     train, validate, test = recall_split(clicks(spark, sf_dir))
     t0 = clicks(spark, sf_dir).agg(F.min("time_us").alias("_t0"))
     log = (train.unionByName(validate).withColumn("phase", F.lit("train"))
@@ -47,44 +47,44 @@ def q_read_click_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("user_id", "item_id", "time_us", "phase", F.col("stage").cast("int").alias("stage"))
 
 
-@register("read_item_vectors", """SELECT vec_id AS item_id, CAST(len(embedding[1:32]) AS INT) AS n_text,
-  CAST(len(embedding[33:64]) AS INT) AS n_image, CAST(embedding[1] AS DOUBLE) AS text_0,
-  CAST(embedding[33] AS DOUBLE) AS image_0, CAST(embedding[64] AS DOUBLE) AS image_last FROM embeddings""")
+@register("read_item_vectors", """SELECT vec_id AS item_id, k AS place,
+  CAST(embedding[k] AS DOUBLE) AS text_value, CAST(embedding[32 + k] AS DOUBLE) AS image_value
+FROM embeddings, range(1, 33) r(k)""")
 def q_read_item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors written as ``id,[text...],[image...]`` lines and parsed back."""
     path = io.scratch_dir(spark, "item_vectors")
     io.write_item_vectors_csv(vectors(spark, sf_dir), path, split=32)
     v = io.read_item_vectors(spark, path)
-    return v.select("item_id", F.size("text_vec").alias("n_text"), F.size("image_vec").alias("n_image"),
-                    F.col("text_vec")[0].cast("double").alias("text_0"),
-                    F.col("image_vec")[0].cast("double").alias("image_0"),
-                    F.element_at("image_vec", -1).cast("double").alias("image_last"))
+    pairs = v.select("item_id", F.posexplode(F.arrays_zip("text_vec", "image_vec")).alias("p", "x"))
+    return pairs.select("item_id", (F.col("p") + 1).cast("bigint").alias("place"),
+                        F.col("x.text_vec").cast("double").alias("text_value"),
+                        F.col("x.image_vec").cast("double").alias("image_value"))
 
 
 _CTR_BODY = CTR_SQL.strip()
 
 
 @register("training_set_roundtrip", f"""WITH rows_ AS ({_CTR_BODY})
-SELECT split, label, count(*) AS n FROM rows_ GROUP BY split, label""")
+SELECT * FROM rows_""")
 def q_training_set_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the CTR set with its length contract, read back, count."""
+    """Write the CTR set with its length contract and read it back."""
     out, _ = ctr_training_set(clicks(spark, sf_dir))
     path = io.scratch_dir(spark, "ctr_set")
     io.write_training_set(out, path, {"hist_items": 20, "hist_cats": 20})
     back = io.read_training_set(spark, path)
-    return back.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    return select_ctr_fields(back)
 
 
-@register("vectors_text_roundtrip", """SELECT vec_id AS item_id, CAST(len(embedding) AS INT) AS dim,
-  CAST(embedding[1] AS DOUBLE) AS v_first, (SELECT count(*) FROM embeddings) AS declared_count,
-  64 AS declared_dim FROM embeddings""")
+@register("vectors_text_roundtrip", """SELECT vec_id AS item_id, k AS place, CAST(embedding[k] AS DOUBLE) AS value,
+  (SELECT count(*) FROM embeddings) AS declared_count, 64 AS declared_dim FROM embeddings, range(1, 65) r(k)""")
 def q_vectors_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """word2vec text layout written and read back."""
     path = io.scratch_dir(spark, "w2v_text")
     io.write_vectors_text(vectors(spark, sf_dir), path, dim=64)
     v = io.read_vectors(spark, path)
-    return v.select("item_id", F.size("vec").alias("dim"), F.col("vec")[0].cast("double").alias("v_first"),
-                    "declared_count", "declared_dim")
+    return v.select("item_id", F.posexplode("vec").alias("p", "x"), "declared_count", "declared_dim").select(
+        "item_id", (F.col("p") + 1).cast("bigint").alias("place"), F.col("x").cast("double").alias("value"),
+        "declared_count", "declared_dim")
 
 
 @register("similarity_parts_roundtrip", f"WITH {_split_sql(CLICKS_SQL)},\n{_sim_sql()}\nSELECT {SIM_COLS} FROM sim")
@@ -94,7 +94,7 @@ def q_similarity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, _ = recall_split(clicks(spark, sf_dir))
     path = io.scratch_dir(spark, "sim_parts")
     io.write_parts(item_similarity(train, vectors(spark, sf_dir)), path, 10, "item")
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("part")
 
 
 @register("recommendations_csv_roundtrip",

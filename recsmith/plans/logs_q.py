@@ -276,7 +276,7 @@ def q_attach_user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("lookup_default", f"""WITH {_SPLIT},
-codes AS (SELECT item_id AS v, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS INT) AS code
+codes AS (SELECT item_id AS v, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS BIGINT) AS code
           FROM (SELECT DISTINCT item_id FROM train))
 SELECT v.user_id, v.item_id, coalesce(c.code, 1) AS item_code FROM validate v LEFT JOIN codes c ON v.item_id = c.v""")
 def q_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,8 +289,8 @@ def q_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ sequences
 
 @register("next_item_dataset", f"""WITH {_DEDUP},
-uc AS (SELECT user_id AS v, CAST(dense_rank() OVER (ORDER BY user_id) + 1 AS INT) AS code FROM (SELECT DISTINCT user_id FROM dedup)),
-ic AS (SELECT item_id AS v, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS INT) AS code FROM (SELECT DISTINCT item_id FROM dedup)),
+uc AS (SELECT user_id AS v, CAST(dense_rank() OVER (ORDER BY user_id) + 1 AS BIGINT) AS code FROM (SELECT DISTINCT user_id FROM dedup)),
+ic AS (SELECT item_id AS v, CAST(dense_rank() OVER (ORDER BY item_id) + 1 AS BIGINT) AS code FROM (SELECT DISTINCT item_id FROM dedup)),
 e AS (SELECT uc.code AS user_id, ic.code AS item_id, d.time_us FROM dedup d JOIN uc ON d.user_id = uc.v JOIN ic ON d.item_id = ic.v),
 s AS (SELECT user_id, list(item_id ORDER BY time_us, item_id) AS items FROM e GROUP BY user_id)
 SELECT user_id, array_to_string(items[1:len(items) - 1], ',') AS history, items[len(items)] AS label FROM s""")

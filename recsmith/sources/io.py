@@ -37,9 +37,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 # ------------------------------------------------------------------ S1 / S7
 
 def write_click_logs(df: DataFrame, base: str) -> None:
-    """Header-less CSV parts under ``phase=<train|test>/stage=<n>``."""
+    """Header-less CSV parts under ``phase=<train|test>/stage=<n>``. Rows are
+    rebalanced by (phase, stage): small stages come out as one file, a large
+    one is split over as many tasks as its volume needs."""
     (df.select("user_id", "item_id", "time_us", "phase", "stage")
-     .repartition("phase", "stage")
+     .hint("rebalance", "phase", "stage")
      .write.mode("overwrite").partitionBy("phase", "stage").csv(base))
 
 
@@ -69,7 +71,7 @@ def write_item_vectors_csv(df: DataFrame, path: str, split: int) -> None:
     def fmt(a):
         return F.array_join(F.transform(a, lambda x: x.cast("string")), ", ")
     line = F.concat(F.col("item_id").cast("string"), F.lit(",["), fmt(F.slice("vec", 1, split)), F.lit("],["),
-                    fmt(F.slice("vec", split + 1, 1 << 20)), F.lit("]"))
+                    fmt(F.expr(f"slice(vec, {split + 1}, greatest(size(vec) - {split}, 0))")), F.lit("]"))
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
@@ -103,31 +105,33 @@ def read_training_set(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parts(df: DataFrame, path: str, num_parts: int, key: str) -> None:
-    """Hash-partition by ``key`` into ``num_parts`` files."""
-    df.repartition(num_parts, key).write.mode("overwrite").parquet(path)
+    """Rows dealt by ``key`` into ``num_parts`` folders ``part=<n>``; each
+    folder is written by as many tasks as its volume needs."""
+    part = F.pmod(F.xxhash64(key), F.lit(num_parts)).cast("int")
+    df.withColumn("part", part).hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
 
 
 # ------------------------------------------------------------------ S5
 
 def write_vectors_text(df: DataFrame, path: str, dim: int) -> None:
-    """word2vec text layout: ``count dim`` header line, then
-    ``id v1 .. vd``. A global sort on a header-first key keeps the header in
-    the first part file; the count comes from a global aggregate."""
-    body = df.select(F.col("item_id").cast("bigint").alias("_k"),
-                     F.concat_ws(" ", F.col("item_id").cast("string"),
+    """word2vec text layout: the ``count dim`` header line in a file of its
+    own under ``header/``, then ``id v1 .. vd`` lines under ``rows/``, written
+    in parallel; concatenated they are the one-file layout."""
+    body = df.select(F.concat_ws(" ", F.col("item_id").cast("string"),
                                  F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")).alias("value"))
-    header = df.agg(F.concat_ws(" ", F.count(F.lit(1)).cast("string"), F.lit(str(dim))).alias("value")) \
-        .select(F.lit(-1).cast("bigint").alias("_k"), "value")
-    header.unionByName(body).orderBy("_k").select("value").write.mode("overwrite").text(path)
+    header = df.agg(F.concat_ws(" ", F.count(F.lit(1)).cast("string"), F.lit(str(dim))).alias("value"))
+    body.write.mode("overwrite").text(os.path.join(path, "rows"))
+    header.write.mode("overwrite").text(os.path.join(path, "header"))
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """S5 read: (item_id, vec, declared_count, declared_dim)."""
-    raw = spark.read.text(path).select(F.split("value", " ").alias("t"))
-    head = raw.where(F.size("t") == 2).select(F.col("t")[0].cast("bigint").alias("declared_count"),
-                                              F.col("t")[1].cast("int").alias("declared_dim"))
-    body = raw.where(F.size("t") > 2).select(F.col("t")[0].cast("bigint").alias("item_id"),
-                                             F.slice("t", 2, 1 << 20).cast("array<float>").alias("vec"))
+    def lines(part):
+        return spark.read.text(os.path.join(path, part)).select(F.split("value", " ").alias("t"))
+    head = lines("header").select(F.col("t")[0].cast("bigint").alias("declared_count"),
+                                  F.col("t")[1].cast("int").alias("declared_dim"))
+    body = lines("rows").select(F.col("t")[0].cast("bigint").alias("item_id"),
+                                F.expr("slice(t, 2, size(t) - 1)").cast("array<float>").alias("vec"))
     one = F.lit(1)
     return (body.withColumn("_one", one)
             .join(F.broadcast(head.limit(1).withColumn("_one", one)), "_one", "left").drop("_one"))
@@ -136,8 +140,9 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ S8
 
 def materialize_if_absent(spark: SparkSession, path: str, build) -> DataFrame:
-    """Reuse a saved derived table if present, else build and save it
-    (a distributed write; the driver never holds the data)."""
-    if not path_exists(spark, path):
+    """Reuse a saved derived table if it was committed (its ``_SUCCESS``
+    marker is there), else build and save it (a distributed write; the driver
+    never holds the data). What a failed write left behind is overwritten."""
+    if not path_exists(spark, os.path.join(path, "_SUCCESS")):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

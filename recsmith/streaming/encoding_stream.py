@@ -1,10 +1,10 @@
 """Incremental encoding over a stream of log files (E1 in append mode).
 
-The reference has no streaming operator; its only incremental piece is
-the append-only code table. Here each micro-batch extends the saved
-state with the values it has not seen and writes the new state version
-next to the old ones, so existing codes never change and a restarted
-query resumes from its checkpoint.
+The append-only code table as a stream: each micro-batch writes the codes
+of the values it brings as a partition of its own (``version=<batch id>``),
+next to those of earlier batches, so existing codes never change and a batch
+costs only its new codes. A batch that is replayed reads the versions before
+it and overwrites its own partition: nothing appears twice.
 """
 
 from __future__ import annotations
@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from recsmith.operators.encode import fit_encoding
+from recsmith.sources.io import path_exists
 
 
-def _latest_state(spark: SparkSession, state_dir: str, field: str) -> DataFrame | None:
-    from recsmith.sources.io import path_exists
+def read_state(spark: SparkSession, state_dir: str, field: str, before: int | None = None) -> DataFrame | None:
+    """(value, id) of all batches, or of those before a batch; None if there
+    are none."""
     path = os.path.join(state_dir, field)
     if not path_exists(spark, path):
         return None
     versions = spark.read.parquet(path)
-    top = versions.agg(F.max("version").alias("v")).collect()[0]["v"]
-    if top is None:
-        return None
-    return versions.where(F.col("version") == top).select("value", "id")
+    if before is not None:
+        versions = versions.where(F.col("version") < before)
+    versions = versions.select("value", "id")
+    return None if versions.isEmpty() else versions
 
 
 def append_encodings(batch: DataFrame, batch_id: int, state_dir: str, fields: list[str],
@@ -35,10 +37,11 @@ def append_encodings(batch: DataFrame, batch_id: int, state_dir: str, fields: li
     """``foreachBatch`` body: extend each field's code table with the batch."""
     spark = batch.sparkSession
     for field in fields:
-        prev = _latest_state(spark, state_dir, field)
-        new = fit_encoding(batch, field, prev, is_padding=True, is_unk=is_unk)
-        (new.withColumn("version", F.lit(batch_id).cast("long"))
-         .write.mode("append").partitionBy("version").parquet(os.path.join(state_dir, field)))
+        known = read_state(spark, state_dir, field, before=batch_id)
+        codes = fit_encoding(batch, field, known, is_padding=True, is_unk=is_unk)
+        if known is not None:
+            codes = codes.join(known.select(F.col("value").alias("_known")), F.col("value").eqNullSafe(F.col("_known")), "left_anti")
+        codes.write.mode("overwrite").parquet(os.path.join(state_dir, field, f"version={batch_id}"))
 
 
 def start_encoding_stream(spark: SparkSession, source_dir: str, schema: StructType, state_dir: str,
