@@ -11,30 +11,27 @@ from recsmith.llm.common import written
 def connected_components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) for every node of `edges` (columns a, b; any orderable
     type): root is the least node of its component. Large-star and small-star
-    steps alternate until the edges stay the same; each is two joins on the
+    steps alternate until all that is left are stars; each is a join on the
     node with map-side combined minima, so no neighbourhood is collected.
-    Links never leave the executors: the driver sees a count and a checksum.
-    Self links and repeated links are harmless; no links give no rows."""
-    current = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                      .filter("u != v").distinct())
-    before = None
+    Links never leave the executors: the driver sees whether a node is left
+    that is no star's. Self links and repeated links are harmless; no links
+    give no rows."""
+    current = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v")
     for _ in range(rounds):
-        state = current.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"),
-                            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if before == (state.n, state.h, state.s) or state.n == 0:
-            break
-        before = (state.n, state.h, state.s)
         # large star: neighbours above a node hang onto its least neighbour
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.join(least, "u").filter("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         # small star: neighbours below a node, and the node, hang onto the least
-        large = written(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         current = written(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .union(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
+        places = current.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low")).union(
+            current.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("low")))
+        mixed = places.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low")).filter("up + low > 1")
+        if mixed.isEmpty():
+            break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = current.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -49,7 +49,7 @@ WIDTH = 4
 #: Similarity in percent.
 PERCENT = 85
 #: Matches tried when a class picks its prefix.
-MATCHES = (1, 2, 3, 4, 6, 8, 12)
+MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 
 
 def chunk_shingles(chunk: ts.Chunk, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +138,9 @@ def _may_link(n1: str, e1: str, n2: str, e2: str, percent: int) -> Column:
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(tok, cls, n, e, need): the prefix of each class that can have a
-    partner; e counts its shingles that another class has too."""
+    """(df, tok, cls, n, e, need, q, last): the prefix of each class that can
+    have a partner; e counts its shingles that another class has too, q those
+    in the prefix, whose last one is `last`."""
     tokens = sets.select("cls", "n", F.explode("toks").alias("tok"))
     shared = written(tokens.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1"))
     lists = (tokens.join(shared, "tok").groupBy("cls", "n")
@@ -150,11 +151,13 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
     # postings to merge, and n for each partner that `need` matches let through
     cost = F.array(*[F.struct(
         F.when(F.col("least") >= m, F.expr(
-            f"aggregate(slice(toks, 1, e - least + {m}), 0D, (s, x) -> s + x.df - 1) * (1 + n / (4D * {m})) + {m}"))
+            f"aggregate(slice(toks, 1, greatest(0, e - least + {m})), 0D, (s, x) -> s + x.df - 1) * (1 + n / (4D * {m})) + {m}"))
         .otherwise(F.lit(float("inf"))).alias("cost"), F.lit(m).alias("need")) for m in MATCHES])
     return (lists.withColumn("need", F.array_min(cost)["need"])
-            .select("cls", "n", "e", "need", F.explode(F.expr("slice(toks, 1, e - least + need)")).alias("t"))
-            .select(F.col("t.tok").alias("tok"), "cls", "n", "e", "need"))
+            .withColumn("prefix", F.expr("slice(toks, 1, greatest(0, e - least + need))"))
+            .select("cls", "n", "e", "need", F.size("prefix").alias("q"), F.element_at("prefix", -1).alias("last"),
+                    F.explode("prefix").alias("t"))
+            .select("t.df", "t.tok", "cls", "n", "e", "need", "q", "last"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -163,12 +166,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("toks").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     return (pairs.join(left, "a").join(right, "b")
-            .filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
+            .filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select(*pairs.columns))
 
 
-def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(signature rows: doc_id, cls, n; links between classes that connect
-    every pair of similar documents)."""
+def class_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signature rows: doc_id, cls, n; classes: cls, rep, copies; cls, root
+    for the classes that have a link)."""
     sig = written(signatures(docs, percent, whole=False))
     classes = written(sig.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     suspects = written(_suspects(sig, classes))
@@ -181,38 +184,48 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
                      .select("tok", "x.p", "x.pn", "x.pe"))
     spokes = written(postings.join(pivots, "tok").filter("cls != p").filter(_may_link("n", "e", "pn", "pe", percent))
                      .select(F.col("cls").alias("a"), F.col("p").alias("b")).distinct())
-    first = written(_verified(spokes, sets, percent))
-    roots = written(connected_components(first))
+    roots = written(connected_components(_verified(spokes, sets, percent)))
 
     # pairs between different components that share enough prefix shingles
     placed = written(postings.join(roots, postings.cls == roots.node, "left")
-                     .select("tok", "cls", "n", "e", "need", F.coalesce("root", "cls").alias("root")))
+                     .select(*postings.columns, F.coalesce("root", "cls").alias("root")))
+    # a list inside one component has no pair to give
     mixed = written(placed.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
                     .filter("r0 != r1").select("tok"))
-    # the count of shared shingles must be whole, so all lists of a pair count;
-    # a list inside one component has no pair to give
-    open_lists = placed.join(mixed, "tok", "left_semi")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    pairs = (x.join(y, F.expr("x.tok = y.tok and x.cls < y.cls and x.root != y.root"))
-             .filter(_may_link("x.n", "x.e", "y.n", "y.e", percent))
-             .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-             .agg(F.count("*").alias("shared"), F.min(F.least("x.need", "y.need")).alias("need"))
-             .filter("shared >= need").select("a", "b"))
+    lists = written(placed.join(mixed, "tok", "left_semi"))
+    prefixes = written(lists.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("prefix"))
+                       .select("cls", F.col("prefix.tok").alias("prefix")))
+    lists = written(lists.join(prefixes, "cls"))
+    # each pair comes once, at its first shared shingle, if the shared ones are
+    # enough: `need` of them, and so many that with the shingles behind the
+    # prefix that ends first the similarity can still be reached
+    common = "array_intersect(x.prefix, y.prefix)"
+    behind = "if(x.last < y.last, x.e - x.q, y.e - y.q)"
+    pairs = lists.alias("x").join(lists.alias("y"), F.expr(
+        f"x.tok = y.tok and x.cls < y.cls and x.root != y.root"
+        f" and {100 + percent} * least(x.e, y.e) >= {percent} * (x.n + y.n)"
+        f" and size({common}) >= least(x.need, y.need) and element_at({common}, 1) = x.tok"
+        f" and {100 + percent} * (size({common}) + {behind}) >= {percent} * (x.n + y.n)")).select(
+        F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb"))
     tried = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
-    return sig.select("doc_id", "cls", "n"), written(first.union(second))
+    across = written(_verified(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
+                     .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    if across.isEmpty():
+        return sig.select("doc_id", "cls", "n"), classes, roots
+    # links between components: the components of components
+    upper = written(connected_components(across).withColumnsRenamed({"node": "old", "root": "new"}))
+    merged = roots.join(upper, roots.root == upper.old, "left").select("node", F.coalesce("new", "root").alias("root"))
+    alone = upper.join(roots, upper.old == roots.node, "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return sig.select("doc_id", "cls", "n"), classes, written(merged.union(alone))
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links)."""
-    rows, edges = links(docs, percent)
-    roots = connected_components(edges)
-    named = (rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-             .join(roots, F.col("cls") == F.col("node"), "left")
-             .select("cls", "rep", F.coalesce("root", "cls").alias("root")))
-    named = written(named)
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    placed = written(named.join(least, "root").select("cls", "component_id"))
+    rows, classes, roots = class_components(docs, percent)
+    linked = written(classes.join(roots, F.col("cls") == F.col("node")).select("cls", "rep", "root"))
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    placed = written(classes.join(linked.join(least, "root").select("cls", "component_id"), "cls", "left")
+                     .select("cls", F.coalesce("component_id", "rep").alias("component_id")))
     return (rows.join(placed, "cls", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
