@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
+from recsmith.llm.common import by_place
 from recsmith.llm.pretokens import Encoder, Vocabulary, vocabulary
 
 _NEVER = 1 << 60
@@ -162,7 +163,7 @@ def encode_decode(docs: DataFrame, path: str, keep: list[str], with_ids: bool =
     the ids decode to)."""
     extra = ["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"]
     keep = [c for c in keep if c not in extra]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
+    source = by_place(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text")))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     for c in extra:
         schema = schema.add(c, {"ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType()}.get(c, T.StringType()))

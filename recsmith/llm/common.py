@@ -56,6 +56,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns under names that clash with nothing."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
 def salted(key: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
 

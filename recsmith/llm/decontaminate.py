@@ -192,7 +192,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         found = found.filter(F.size("_found.hit_words") == 0)
         text = F.col("_text")
     else:
-        cut = F.udf(cut_spans, "string")
+        cut = F.udf(lambda t, spans: cut_spans(t, spans), "string")
         text = F.when(F.size("_found.hit_words") == 0, F.col("_text")).otherwise(cut("_text", "_found.hit_spans"))
     out = found.withColumn("_text", text)
     columns = []

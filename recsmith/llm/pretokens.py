@@ -1,8 +1,8 @@
 """Byte-level BPE texts as words: splitting, word cache, decoding.
 
 The vocabulary file (JSON of the tokenizers library) is a parameter. Texts are
-cut into the words of the byte-level pattern by vectorised tests on code point
-classes; each distinct word is encoded once by an encoder given by the caller,
+cut into the words of the byte-level pattern by vectorised tests on the code
+points' classes; each distinct word is encoded once by an encoder given by the caller,
 and ids of whole chunks are gathered from the cache of words.
 """
 
@@ -13,26 +13,33 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import regex
+from tokenizers import pre_tokenizers
 
 from recsmith.llm import textscan as ts
 
-LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 # The endings that the byte-level pattern keeps with an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Words a cache holds before it starts anew.
 CACHE_WORDS = 1_000_000
 
 
-@lru_cache(maxsize=1)
-def char_classes() -> np.ndarray:
-    """Class of every code point, from the Unicode properties L, N and
-    White_Space."""
-    out = np.full(0x110000, OTHER, dtype=np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
-        out[[ord(c) for c in regex.findall(pattern, every)]] = kind
-    return out
+_classes = np.full(0x110000, UNKNOWN, dtype=np.uint8)
+_pattern = pre_tokenizers.ByteLevel(add_prefix_space=False)
+
+
+def char_classes(codes: np.ndarray) -> np.ndarray:
+    """Class of each code point. The library's own pattern is asked once for
+    each code point that occurs (its Unicode version counts): a character is
+    of the class of the letter, digit or sign that it forms one word with."""
+    kind = _classes[codes]
+    unknown = kind == UNKNOWN
+    if unknown.any():
+        for c in np.unique(codes[unknown]).tolist():
+            one_word = (k for k, sign in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(_pattern.pre_tokenize_str(sign + chr(c))) == 1)
+            _classes[c] = next(one_word, SPACE)
+        kind = _classes[codes]
+    return kind
 
 
 def split(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -40,7 +47,7 @@ def split(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     n = len(codes)
     if n == 0:
         return np.zeros(0, np.int64)
-    kind = char_classes()[codes]
+    kind = char_classes(codes)
     edge = np.zeros(n + 1, dtype=bool)
     edge[bounds] = True
     run = edge[:n].copy()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import lookup_join, written
+from recsmith.llm.common import by_place, lookup_join, written
 
 # Fixed values of the contract: base rules and the symbol set.
 MIN_WORDS = 50
@@ -95,7 +95,7 @@ def _lines(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def text_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`docs` (or its columns `keep`) with the five counts of each text."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    source = by_place(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     for c in COUNTS:
         schema = schema.add(c, "long")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import written
+from recsmith.llm.common import by_place, written
 
 MIN_WORDS = 8
 UNIT = "piece"
@@ -105,9 +105,10 @@ def dedup_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -
     removed units (each up to the next unit)."""
     names = [c for c in docs.columns if c not in ("n_units", "n_removed", "removed")]
     drop = written(repeats(docs, unit, min_words)).withColumnRenamed("doc_id", "_id")
-    side = docs.select(*[F.col(f"`{c}`") for c in names])
-    joined = side.join(drop, side.doc_id.eqNullSafe(F.col("_id")), "left").drop("_id")
-    schema = T.StructType(list(side.schema))
+    kept = docs.select(*[F.col(f"`{c}`") for c in names])
+    side = by_place(kept)
+    joined = side.join(drop, F.col(f"_c{names.index('doc_id')}").eqNullSafe(F.col("_id")), "left").drop("_id")
+    schema = T.StructType(list(kept.schema))
     for name, kind in (("n_units", T.LongType()), ("n_removed", T.LongType()), ("removed", T.ArrayType(T.ArrayType(T.LongType())))):
         schema = schema.add(name, kind)
     at = names.index("text")
@@ -145,7 +146,7 @@ def dedup_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -
                                               pa.array(removed, pa.list_(pa.list_(pa.int64())))],
                                              names=[*names, "n_units", "n_removed", "removed"])
 
-    return joined.select(*[F.col(f"`{c}`") for c in names], "_drop").mapInArrow(scan, schema)
+    return joined.select(*side.columns, "_drop").mapInArrow(scan, schema)
 
 
 def _without(text: str, cut: list[list[int]]) -> str:

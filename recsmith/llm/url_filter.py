@@ -113,7 +113,7 @@ def merge_branches(stats: DataFrame) -> DataFrame:
         all_n, all_b = F.sum("labelled").over(node), F.sum("blocked").over(node)
         share = (all_b + 0.5) / (all_n + 1.0)
         error = F.sqrt(n * share * (1 - share) * F.greatest(1 - n / F.greatest(all_n, F.lit(1)), F.lit(0.0)))
-        similar = (n > 0) & (F.abs(b - n * share) <= Z * error + 0.5)
+        similar = (n > 0) & (all_n > n) & (F.abs(b - n * share) <= Z * error + 0.5)
         current = (current.withColumn("_open", open_).withColumn("_similar", similar)
                    .withColumn(f"m{i}", F.when(F.col("_open") & F.col("_similar"), F.lit("*")).otherwise(F.col(f"m{i}")))
                    .drop("_open", "_similar"))
@@ -129,8 +129,9 @@ def judge_templates(merged: DataFrame) -> DataFrame:
     purity = (F.sum("blocked").over(by_template) + WEIGHT * overall) / (F.sum("labelled").over(by_template) + WEIGHT)
     shown = F.concat(F.lit("/"), F.array_join(F.filter(F.array(*[F.regexp_replace(f"m{i}", "^=", "") for i in LEVELS]), lambda x: x != ""), "/"))
     return (merged.crossJoin(F.broadcast(whole))  # one row
-            .select("host", *TEMPLATE, shown.alias("template"), F.round(purity, 9).alias("purity"))
-            .withColumn("rejected", F.col("purity") >= REJECT))
+            .select("host", *TEMPLATE, shown.alias("template"), F.round(purity, 9).alias("purity"),
+                    (F.sum("labelled").over(by_template) > 0).alias("_labelled"))
+            .withColumn("rejected", F.col("_labelled") & (F.col("purity") >= REJECT)).drop("_labelled"))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
