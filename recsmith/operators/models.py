@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import hash32, uniform01
+from recsmith.operators.sampling import bootstrap
 
 SEED = 39
 
@@ -85,7 +86,7 @@ def bagged_predictions(df: DataFrame, cols: list[str], label: str, key: str, n:
     models = []
     with _cached(data):
         for b in range(n):
-            boot = data.sample(withReplacement=True, fraction=fraction, seed=SEED + b)
+            boot = bootstrap(data, fraction, SEED + b, key=[key])
             models.append(logistic_l1(C, boot.count()).fit(boot))
     # score every model in one pass over the data (no per-model joins)
     scored = data.select(key, "features")

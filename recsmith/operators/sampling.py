@@ -7,10 +7,12 @@ including a task retried after an executor loss — draws the same rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.functions.columns import hash32
+from recsmith.functions.columns import hash32, uniform01
 from recsmith.operators.encode import attach_scalars, bounded_broadcast, dense_ids
 from recsmith.session import cut_lineage
 
@@ -132,8 +134,8 @@ def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | N
            .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_cum") - F.col("_bn")).alias("_before"), "_q"),
                                         "_b").alias("_c"))
            .select(label, F.col("_c._b").alias("_cb"), (F.col("_c._q") - F.col("_c._before")).alias("_need")))
-    # one row per label: bounded broadcast
-    j = h.join(F.broadcast(cut), label)
+    # one row per label: the planner broadcasts it if its size allows
+    j = h.join(cut, label)
     below = j.where(F.col("_b") < F.col("_cb"))
     edge = j.where(F.col("_b") == F.col("_cb"))
     w = Window.partitionBy(label, "_b").orderBy("_h", *key)
@@ -141,9 +143,21 @@ def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | N
     return below.unionByName(edge).drop("_h", "_b", "_cb", "_need")
 
 
-def bootstrap(df: DataFrame, fraction: float = 0.8, seed: int = 39) -> DataFrame:
-    """Row bootstrap (Poisson-sampled with replacement)."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def bootstrap(df: DataFrame, fraction: float = 0.8, seed: int = 39, key: list[str] | None = None) -> DataFrame:
+    """Bootstrap with replacement. How often a row is drawn is Poisson
+    with mean ``fraction``, taken from the hash of its ``key`` (all columns by
+    default) by the inverse distribution function, so the draw does not depend
+    on the partitioning and a retried task draws the same rows."""
+    u = uniform01(*[F.col(c).cast("string") for c in key or df.columns], F.lit(seed))
+    term = total = math.exp(-fraction)
+    below = [total]
+    while total < 1.0 - 1e-12 and len(below) < 200:
+        term *= fraction / len(below)
+        total += term
+        below.append(total)
+    times = sum((F.when(u >= F.lit(b), 1).otherwise(0) for b in below), F.lit(0))
+    copies = df.withColumn("_times", times).where(F.col("_times") > 0)
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*df.columns)
 
 
 def weighted_choice(adj: DataFrame, group: str, choice: str, weight: str, draw: DataFrame,

@@ -4,9 +4,11 @@ clicks -> J1 item attributes -> W1 latest click per (user, item)
        -> E2 stable codes -> W2/W3 previous-20 histories, H1 padding,
           W4 last click = test -> N1 four negatives per train row -> P1.
 
-One lazy plan, no collect, no Python UDF. The per-user windows share a
-single sort; the negatives are drawn by hashing, so the plan is
-deterministic and safe to recompute after executor loss.
+No collect of rows and no Python UDF. The per-user windows share a single
+sort; the negatives are drawn by hashing. Building the plan runs jobs of its
+own: the number ranges of the three code tables, the encoded log, the feature
+rows and the accepted draws are written once (reliable checkpoints), so each
+is computed once and survives the loss of an executor.
 """
 
 from __future__ import annotations

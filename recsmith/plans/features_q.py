@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,12 +256,12 @@ def q_docs_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("model_fill")
 def q_model_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 (rows-only): fill missing ``quality`` with a random-forest
-    classifier on document features (seed 39)."""
-    d = docs(spark, sf_dir).select("doc_id", "n_chars", "quality", "toxic",
-                                   F.length("lang").alias("lang_len"))
-    feats = ["n_chars", "lang_len"]
-    model = fe.fit_model_fill(d, "quality", feats, mode="classification", num_trees=50)
+    """E7 (rows-only): fill missing ``quality`` with a random forest of 500
+    trees on length, language and source of the documents (seed 39)."""
+    d = docs(spark, sf_dir).select("doc_id", "n_chars", "quality", "lang", "source")
+    d = enc.label_encode(enc.label_encode(d, "lang", "lang_code"), "source", "source_code")
+    feats = ["n_chars", "lang_code", "source_code"]
+    model = fe.fit_model_fill(d, "quality", feats, mode="classification")
     return fe.apply_model_fill(d, "quality", feats, model).select("doc_id", "quality")
 
 

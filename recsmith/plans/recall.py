@@ -204,11 +204,11 @@ def q_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("item_similarity_scale", f"""WITH {_split_sql(BASKETS_SQL)},
-{_sim_sql(top_k=10, with_vectors=False)}
+{_sim_sql()}
 SELECT {SIM_COLS} FROM sim""")
 def q_item_similarity_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, _ = recall_split(baskets(spark, sf_dir))
-    return item_similarity(train, None, top_k=10)
+    return item_similarity(train, vectors(spark, sf_dir))
 
 
 _LABEL_SQL = """lab AS (SELECT r.user_id, r.item_id, CAST(r.item_id = v.item_id AS INT) AS label
