@@ -22,27 +22,32 @@ from recsmith.operators.logs import click_history, latest_click
 from recsmith.operators.sampling import negative_sample
 from recsmith.plans.registry import register
 from recsmith.session import cut_lineage
-from recsmith.sources.fixtures import CLICKS_SQL, clicks
+from recsmith.sources.fixtures import CLICKS_CONTEXT_SQL, CLICKS_SQL, CONTEXT, clicks_with_context
 
 CTR_FIELDS = ["user_id", "item_id", "category", "hist_items", "hist_cats", "label", "split"]
 
 
 def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: int = 32,
-                     states: dict | None = None) -> tuple[DataFrame, dict]:
-    """R5. ``log`` has (user_id, item_id, category, time_us). Returns the
-    labelled rows (train with negatives + test positives) and the fitted
+                     states: dict | None = None, context: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+    """R5. ``log`` has (user_id, item_id, category, time_us) and the
+    ``context`` columns of a click, which are carried through W1, encoded
+    like the other fields (E2) and kept by a row's negatives (N1). Returns
+    the labelled rows (train with negatives + test positives) and the fitted
     encoding states."""
     articles = log.groupBy("item_id").agg(F.min("category").alias("category"))        # Q9
-    enriched = log.select("user_id", "item_id", "time_us").join(articles, "item_id", "left")  # J1
+    enriched = (log.select("user_id", "item_id", "time_us", *context)
+                .join(articles, "item_id", "left"))                                    # J1
     latest = latest_click(enriched, ("user_id", "item_id"), "time_us")                 # W1
     states = dict(states or {})
-    for f in ("user_id", "item_id", "category"):                                       # E2 fit
+    for f in ("user_id", "item_id", "category", *context):                             # E2 fit
         states[f] = fit_encoding(latest, f, states.get(f))
     # item and category codes (small states) before the history window; the
     # window runs per *raw* user so the user-code join afterwards reuses its
     # partitioning instead of shuffling the log again (codes ascend with the
     # raw id, so every order is unchanged)
-    pre = apply_encoding(apply_encoding(latest, "item_id", states["item_id"]), "category", states["category"])
+    pre = latest
+    for f in ("item_id", "category", *context):
+        pre = apply_encoding(pre, f, states[f])
     pre = cut_lineage(pre)
     feats = click_history(pre, {"item_id": "hist_items", "category": "hist_cats"}, n=hist_len,
                           with_split=True)                                             # W2 W3 H1 W4
@@ -59,9 +64,9 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     return out, states
 
 
-def select_ctr_fields(df: DataFrame) -> DataFrame:
+def select_ctr_fields(df: DataFrame, context: tuple[str, ...] = ()) -> DataFrame:
     """Keep the CTR fields in order (arrays rendered as text)."""
-    return df.select("user_id", "item_id", "category",
+    return df.select("user_id", "item_id", "category", *context,
                      join_ints("hist_items").alias("hist_items"),
                      join_ints("hist_cats").alias("hist_cats"), "label", "split")
 
@@ -75,25 +80,31 @@ def _hash_sql(*parts: str) -> str:
     return f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT)"
 
 
-CTR_SQL = f"""
-WITH log AS {CLICKS_SQL},
+def ctr_sql(log: str = CLICKS_SQL, context: tuple[str, ...] = ()) -> str:
+    """DuckDB twin of R5 with the given context columns."""
+    def each(form: str) -> str:
+        return "".join(form.format(c=c) for c in context)
+
+    codes = "".join(f"\nx_{c} AS {_dense_sql('latest', c)}," for c in context)
+    return f"""
+WITH log AS {log},
 articles AS (SELECT item_id, min(category) AS category FROM log GROUP BY item_id),
-enriched AS (SELECT l.user_id, l.item_id, l.time_us, a.category FROM log l LEFT JOIN articles a ON l.item_id = a.item_id),
-latest AS (SELECT user_id, item_id, max(time_us) AS time_us, arg_max(category, time_us) AS category
+enriched AS (SELECT l.user_id, l.item_id, l.time_us, a.category{each(', l.{c}')} FROM log l LEFT JOIN articles a ON l.item_id = a.item_id),
+latest AS (SELECT user_id, item_id, max(time_us) AS time_us, arg_max(category, time_us) AS category{each(', arg_max_null({c}, time_us) AS {c}')}
            FROM enriched GROUP BY user_id, item_id),
 uc AS {_dense_sql('latest', 'user_id')},
 ic AS {_dense_sql('latest', 'item_id')},
-cc AS {_dense_sql('latest', 'category')},
-enc AS (SELECT uc.code AS user_id, ic.code AS item_id, cc.code AS category, l.time_us
+cc AS {_dense_sql('latest', 'category')},{codes}
+enc AS (SELECT uc.code AS user_id, ic.code AS item_id, cc.code AS category, l.time_us{each(', x_{c}.code AS {c}')}
         FROM latest l JOIN uc ON l.user_id IS NOT DISTINCT FROM uc.v
                       JOIN ic ON l.item_id IS NOT DISTINCT FROM ic.v
-                      JOIN cc ON l.category IS NOT DISTINCT FROM cc.v),
+                      JOIN cc ON l.category IS NOT DISTINCT FROM cc.v{each(' JOIN x_{c} ON l.{c} IS NOT DISTINCT FROM x_{c}.v')}),
 feats0 AS (SELECT *, coalesce(list(item_id) OVER w20, []) AS hi, coalesce(list(category) OVER w20, []) AS hc,
                   (lead(item_id) OVER w) IS NULL AS is_test
            FROM enc
            WINDOW w AS (PARTITION BY user_id ORDER BY time_us, item_id),
                   w20 AS (PARTITION BY user_id ORDER BY time_us, item_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
-feats AS (SELECT user_id, item_id, category, time_us, is_test,
+feats AS (SELECT user_id, item_id, category, time_us, is_test{each(', {c}')},
                  array_to_string(list_resize(hi, greatest(20, len(hi)), 0), ',') AS hist_items,
                  array_to_string(list_resize(hc, greatest(20, len(hc)), 0), ',') AS hist_cats
           FROM feats0),
@@ -130,15 +141,18 @@ rest AS (SELECT d.user_id, d.item_id, d.time_us, d.j, p.item_id AS neg_item, p.c
          JOIN pool_ix p ON p.pidx = g.gs + d.r - (g.ce - g.gl)),
 negs AS (SELECT user_id, item_id, time_us, neg_item, neg_cat FROM firstk
          UNION ALL SELECT user_id, item_id, time_us, neg_item, neg_cat FROM rest)
-SELECT t.user_id, n.neg_item AS item_id, n.neg_cat AS category, t.hist_items, t.hist_cats, 0 AS label, 'train' AS split
+SELECT t.user_id, n.neg_item AS item_id, n.neg_cat AS category{each(', t.{c}')}, t.hist_items, t.hist_cats, 0 AS label, 'train' AS split
   FROM train t JOIN negs n ON t.user_id = n.user_id AND t.item_id = n.item_id AND t.time_us = n.time_us
 UNION ALL
-SELECT user_id, item_id, category, hist_items, hist_cats, 1 AS label, 'train' AS split FROM train
+SELECT user_id, item_id, category{each(', {c}')}, hist_items, hist_cats, 1 AS label, 'train' AS split FROM train
 UNION ALL
-SELECT user_id, item_id, category, hist_items, hist_cats, 1 AS label, 'test' AS split FROM feats WHERE is_test
+SELECT user_id, item_id, category{each(', {c}')}, hist_items, hist_cats, 1 AS label, 'test' AS split FROM feats WHERE is_test
 """
 
 
+CTR_SQL = ctr_sql()
+
+
 def negatives_sql(rows: str, pool: str, hist: str, k: int, attempts: int) -> str:
     """DuckDB CTE chain of N1 (same draws as ``negative_sample``): ends
     with ``negs(user_id, item_id, time_us, neg_item, neg_cat)``."""
@@ -176,7 +190,8 @@ negs AS (SELECT user_id, item_id, time_us, neg_item, neg_cat FROM firstk
          UNION ALL SELECT user_id, item_id, time_us, neg_item, neg_cat FROM rest)"""
 
 
-@register("ctr_training_set", CTR_SQL)
+@register("ctr_training_set", ctr_sql(CLICKS_CONTEXT_SQL, CONTEXT))
 def q_ctr_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = ctr_training_set(clicks(spark, sf_dir))
-    return select_ctr_fields(out)
+    """R5 with six context fields: nine encoded fields in all."""
+    out, _ = ctr_training_set(clicks_with_context(spark, sf_dir), context=CONTEXT)
+    return select_ctr_fields(out, CONTEXT)

@@ -45,6 +45,41 @@ CLICKS_SQL = """(SELECT CAST(user_id AS BIGINT) AS user_id,
    FROM events)"""
 
 
+# Context of a click, in the place of environment, device, system, country,
+# region and referrer of the news log.
+CONTEXT = ("value_bucket", "segment", "nation", "region", "hour", "weekday")
+
+
+def clicks_with_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clicks`` and the ``CONTEXT`` columns: the event's value bucket, its
+    user's market segment, nation and region (null for users that are no
+    customers), hour and weekday."""
+    ev = table(spark, sf_dir, "events")
+    t = epoch_micros("ts")
+    log = ev.select(
+        F.col("user_id").cast("bigint").alias("user_id"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
+        F.col("event_type").alias("category"), t.alias("time_us"), (t / F.lit(MICROS)).alias("time"),
+        F.floor(F.col("value") / F.lit(10.0)).cast("bigint").alias("value_bucket"),
+        F.hour("ts").cast("bigint").alias("hour"), F.dayofweek("ts").cast("bigint").alias("weekday"))
+    users = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
+             .join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey",
+                                                         F.col("n_name").alias("nation")), "c_nationkey")
+             .join(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"),
+                                                         F.col("r_name").alias("region")), "n_regionkey"))
+    return (log.join(users, log.user_id == users.c_custkey, "left")
+            .select("user_id", "item_id", "category", "time_us", "time", *CONTEXT))
+
+
+CLICKS_CONTEXT_SQL = """(SELECT CAST(e.user_id AS BIGINT) AS user_id,
+        CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS item_id,
+        e.event_type AS category, epoch_us(e.ts) AS time_us, epoch_us(e.ts) / 1e6 AS time,
+        CAST(floor(e.value / 10.0) AS BIGINT) AS value_bucket, c.c_mktsegment AS segment, n.n_name AS nation,
+        r.r_name AS region, CAST(hour(e.ts) AS BIGINT) AS hour, CAST(dayofweek(e.ts) + 1 AS BIGINT) AS weekday
+   FROM events e LEFT JOIN (customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                                       JOIN region r ON n.n_regionkey = r.r_regionkey) ON c.c_custkey = e.user_id)"""
+
+
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
