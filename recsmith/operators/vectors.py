@@ -86,13 +86,16 @@ def history_mean_pool(log: DataFrame, vecs: DataFrame, user: str = "user_id", it
                       dim: int | None = None) -> DataFrame:
     """H3: per user the mean of the vectors of the items in the history;
     users none of whose items has a vector get the vector of id 0 (what a
-    fully padded history pools to). Per-dimension averages are a plain
-    grouped aggregate (map-side combine; no per-user array collection)."""
+    fully padded history pools to). One grouped aggregate with an average for
+    each of the ``dim`` places (read off the first vector if not given):
+    map-side combined, no row per place and no array per user."""
+    if dim is None:
+        first = vecs.select(F.size("vec").alias("n")).first()
+        dim = first.n if first else 0
     v = vecs.select(F.col("item_id").alias(item), "vec")
-    exploded = log.select(user, item).join(v, item).select(user, F.posexplode("vec").alias("d", "x"))
-    per_dim = exploded.groupBy(user, "d").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    pooled = per_dim.groupBy(user).agg(F.array_sort(F.collect_list(F.struct("d", "m"))).alias("_s"))
-    pooled = pooled.select(user, F.col("_s.m").alias("vec"))
+    means = [F.avg(F.col("vec")[k].cast("double")).alias(f"_m{k}") for k in range(dim)]
+    pooled = (log.select(user, item).join(v, item).groupBy(user).agg(F.count(F.lit(1)).alias("_n"), *means)
+              .select(user, F.array(*[F.col(f"_m{k}") for k in range(dim)]).alias("vec")))
     users = log.select(user).distinct()
     zero = vecs.where(F.col("item_id") == 0).select(F.transform("vec", lambda x: x.cast("double")).alias("_z")).limit(1)
     out = users.join(pooled, user, "left")
@@ -116,22 +119,25 @@ def exclude_seen(recs: DataFrame, history: DataFrame, user: str = "user_id", ite
     return recs.join(h, [user, item], "left_anti")
 
 
-def derived_dense_weights(spark, d_in: int, d_out: int, name: str = "tower") -> np.ndarray:
+def derived_dense_weights(spark, d_in: int, d_out: int, name: str = "tower") -> DataFrame:
     """Deterministic stand-in for a trained dense layer (md5 of name and
-    position, scaled to [-0.1, 0.1)). Its size is d_in x d_out — bounded,
-    independent of the data — so it may live on the driver."""
-    idx = spark.range(d_in * d_out).select(
-        F.col("id"), ((uniform01(F.lit(name), F.col("id")) * 2 - 1) * 0.1).alias("w"))
-    w = np.zeros(d_in * d_out)
-    for r in idx.collect():
-        w[r["id"]] = r["w"]
-    return w.reshape(d_in, d_out)
+    position, scaled to [-0.1, 0.1)) as a weight table (i, j, w)."""
+    return spark.range(d_in * d_out).select(
+        F.floor(F.col("id") / F.lit(d_out)).cast("int").alias("i"), (F.col("id") % d_out).cast("int").alias("j"),
+        ((uniform01(F.lit(name), F.col("id")) * 2 - 1) * 0.1).alias("w"))
 
 
-def tower_vectors(df: DataFrame, key: str, vec: str, weights: np.ndarray) -> DataFrame:
+def tower_vectors(df: DataFrame, key: str, vec: str, weights: DataFrame, max_cells: int = 1 << 24) -> DataFrame:
     """V1 / V3: batch inference of a one-layer tower (affine + ReLU + L2)
-    with ``mapInPandas`` — Arrow batches, numpy matmul per batch."""
-    w = weights
+    with ``mapInPandas`` — Arrow batches, numpy matmul per batch. ``weights``
+    is a table (i, j, w), e.g. read from Parquet; a layer has a fixed size,
+    which is checked before its matrix goes to the tasks."""
+    shape = weights.agg(F.max("i").alias("i"), F.max("j").alias("j")).first()
+    if shape.i is None or (shape.i + 1) * (shape.j + 1) > max_cells:
+        raise ValueError(f"a layer needs 1 to {max_cells} cells, not {shape}")
+    w = np.zeros((shape.i + 1, shape.j + 1))
+    for r in weights.select("i", "j", "w").collect():
+        w[r.i, r.j] = r.w
 
     def infer(batches):
         for b in batches:
@@ -146,23 +152,33 @@ def tower_vectors(df: DataFrame, key: str, vec: str, weights: np.ndarray) -> Dat
     return df.select(key, vec).mapInPandas(infer, f"{key} long, vec array<double>")
 
 
-def fm_field_vector(field: str, code_col: str, dim: int) -> list:
-    """Derived per-(field, code) factor vector (stand-in for trained FM factors)."""
-    return [uniform01(F.lit(field), F.col(code_col), F.lit(d)) * 2 - 1 for d in range(dim)]
-
-
-def fm_interaction(df: DataFrame, fields: list[str], dim: int = 8, out: str = "fm") -> DataFrame:
-    """M6: second-order FM term ``0.5 * sum_d((sum_f v)^2 - sum_f v^2)``,
-    written out dimension by dimension (codegen, no UDF)."""
-    vecs = [fm_field_vector(f, f, dim) for f in fields]
+def derived_factors(states: dict[str, DataFrame], dim: int = 8) -> DataFrame:
+    """Deterministic stand-in for trained FM factors as a table (field, code,
+    vec), derived from the fitted codes (md5 of field, code and place)."""
+    out = None
+    for field, st in states.items():
+        vec = F.array(*[uniform01(F.lit(field), F.col("id"), F.lit(d)) * 2 - 1 for d in range(dim)])
+        part = st.select(F.lit(field).alias("field"), F.col("id").alias("code"), vec.alias("vec"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fm_interaction(df: DataFrame, fields: list[str], factors: DataFrame, dim: int = 8, out: str = "fm") -> DataFrame:
+    """M6: second-order FM term ``0.5 * sum_d((sum_f v)^2 - sum_f v^2)`` from a
+    factor table (field, code, vec); codes without factors take zeros. One
+    join per field, then plain arithmetic (codegen, no UDF)."""
+    joined = df
+    for i, f in enumerate(fields):
+        part = factors.where(F.col("field") == f).select(F.col("code").alias(f"_code{i}"), F.col("vec").alias(f"_v{i}"))
+        joined = joined.join(part, joined[f] == part[f"_code{i}"], "left")
     total = None
     for d in range(dim):
         s = None
         sq = None
-        for v in vecs:
-            s = v[d] if s is None else s + v[d]
-            sq = v[d] * v[d] if sq is None else sq + v[d] * v[d]
+        for i in range(len(fields)):
+            v = F.coalesce(F.col(f"_v{i}")[d], F.lit(0.0))
+            s = v if s is None else s + v
+            sq = v * v if sq is None else sq + v * v
         term = s * s - sq
         total = term if total is None else total + term
-    return df.withColumn(out, F.lit(0.5) * total)
-
+    return joined.select(*[F.col(c) for c in df.columns], (F.lit(0.5) * total).alias(out))

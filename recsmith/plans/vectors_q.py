@@ -6,11 +6,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.functions.columns import sigmoid
+from recsmith.functions.columns import sigmoid, uniform01
 from recsmith.operators import apply as A
 from recsmith.operators import features as fe
 from recsmith.operators import models as M
 from recsmith.operators import vectors as V
+from recsmith.operators.sampling import weighted_choice
 from recsmith.operators.similarity import user_item_pairs
 
 from recsmith.plans.ctr import CTR_SQL, ctr_training_set
@@ -45,15 +46,11 @@ def _user_vectors(spark, sf_dir):
 
 
 @register("history_mean_pool", f"""WITH {_USERVEC_SQL}
-SELECT user_id, round({' + '.join(f'vec[{k + 1}]' for k in range(DIM))}, 6) AS vec_sum,
-       round(vec[1], 6) AS v_first FROM uvec""")
+SELECT user_id, g.k AS place, round(vec[g.k + 1], 6) AS value FROM uvec CROSS JOIN range({DIM}) g(k)""")
 def q_history_mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3: mean of the clicked items' vectors per user (id-0 vector if none)."""
     _, uv = _user_vectors(spark, sf_dir)
-    total = None
-    for k in range(DIM):
-        total = F.col("vec")[k] if total is None else total + F.col("vec")[k]
-    return uv.select("user_id", F.round(total, 6).alias("vec_sum"), F.round(F.col("vec")[0], 6).alias("v_first"))
+    return _places(uv, "user_id")
 
 
 @register("topk_inner_product", f"""WITH {_USERVEC_SQL}
@@ -112,20 +109,50 @@ def q_pair_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.pair_similarity(user_item_pairs(train), vectors(spark, sf_dir))
 
 
-@register("item_vector_export")
+def _tower_sql(source: str, key: str, name: str, d_out: int = 16) -> str:
+    """Affine + ReLU + L2 of (key, vec) rows of `source`, one row per value."""
+    return f"""w AS (SELECT id // {d_out} AS i, id % {d_out} AS j,
+          ((CAST(('0x' || substr(md5(concat_ws('|', '{name}', id)), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE) * 2 - 1) * 0.1::DOUBLE AS w
+   FROM range({DIM * d_out}) r(id)),
+x AS (SELECT {key}, g.i, CAST(vec[g.i + 1] AS DOUBLE) AS x FROM {source} CROSS JOIN range({DIM}) g(i)),
+h AS (SELECT {key}, j, greatest(sum(x * w), 0.0::DOUBLE) AS h FROM x JOIN w USING (i) GROUP BY {key}, j),
+n AS (SELECT {key}, sqrt(sum(h * h)) AS n FROM h GROUP BY {key})
+SELECT {key}, j AS place, round(CASE WHEN n > 0 THEN h / n ELSE h END, 6) AS value FROM h JOIN n USING ({key})"""
+
+
+def _places(tower: DataFrame, key: str) -> DataFrame:
+    return tower.select(key, F.posexplode("vec").alias("p", "x")).select(
+        key, F.col("p").cast("bigint").alias("place"), F.round("x", 6).alias("value"))
+
+
+@register("item_vector_export", f"WITH src AS (SELECT vec_id AS item_id, embedding AS vec FROM embeddings),\n"
+                                f"{_tower_sql('src', 'item_id', 'item_tower')}")
 def q_item_vector_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1 (rows-only): tower inference per item (affine + ReLU + L2)."""
+    """V1: tower inference per item (affine + ReLU + L2) from a weight table."""
     w = V.derived_dense_weights(spark, DIM, 16, "item_tower")
-    out = V.tower_vectors(vectors(spark, sf_dir), "item_id", "vec", w)
-    return out.select("item_id", F.size("vec").alias("dim"))
+    return _places(V.tower_vectors(vectors(spark, sf_dir), "item_id", "vec", w), "item_id")
 
 
-@register("user_vectors")
+@register("user_vectors", f"WITH {_USERVEC_SQL.rstrip().rstrip(',')},\n{_tower_sql('uvec', 'user_id', 'user_tower')}")
 def q_user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3 (rows-only): user-side tower over the pooled history vectors."""
+    """V3: user-side tower over the pooled history vectors."""
     _, uv = _user_vectors(spark, sf_dir)
     w = V.derived_dense_weights(spark, DIM, 16, "user_tower")
-    return V.tower_vectors(uv, "user_id", "vec", w).select("user_id", F.size("vec").alias("dim"))
+    return _places(V.tower_vectors(uv, "user_id", "vec", w), "user_id")
+
+
+@register("weighted_choice", f"""WITH e AS (SELECT user_id, item_id, count(*) AS w FROM {CLICKS_SQL} GROUP BY user_id, item_id),
+cdf AS (SELECT user_id, item_id, sum(w) OVER (PARTITION BY user_id ORDER BY item_id) / sum(w) OVER (PARTITION BY user_id)::DOUBLE AS hi,
+               (sum(w) OVER (PARTITION BY user_id ORDER BY item_id) - w) / sum(w) OVER (PARTITION BY user_id)::DOUBLE AS lo FROM e),
+d AS (SELECT user_id, g.draw, CAST(('0x' || substr(md5(concat_ws('|', user_id, g.draw)), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS u
+      FROM (SELECT DISTINCT user_id FROM e) CROSS JOIN range(5) g(draw))
+SELECT d.user_id, d.draw, c.item_id FROM d JOIN cdf c ON d.user_id = c.user_id AND d.u >= c.lo AND d.u < c.hi""")
+def q_weighted_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five draws per user from the items, weighted by clicks."""
+    adj = clicks(spark, sf_dir).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("w"))
+    draws = (adj.select("user_id").distinct().withColumn("draw", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(4).cast("bigint"))))
+             .withColumn("_u", uniform01(F.col("user_id"), F.col("draw"))))
+    return weighted_choice(adj, "user_id", "item_id", "w", draws, ["draw"]).select("user_id", "draw", "item_id")
 
 
 # ------------------------------------------------------------ FM scoring (M6, M8)
@@ -161,7 +188,7 @@ def q_fm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     test rows from stored (derived) weights and factors."""
     out, states = ctr_training_set(clicks(spark, sf_dir))
     test = out.where(F.col("split") == "test")
-    fm = V.fm_interaction(test, _FIELDS)
+    fm = V.fm_interaction(test, _FIELDS, V.derived_factors(states))
     lin = fe.linear_logit(test, ["user_id"], _FIELDS, fe.derived_weights(states))
     j = fm.select("user_id", "fm").join(lin, "user_id")
     return j.select("user_id", F.round("fm", 6).alias("fm"),
@@ -180,45 +207,46 @@ def q_train_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ classic ML (M1..M5)
 
-_FEATS = ["n_chars_k", "toxic", "lang_en", "lang_fr", "lang_de"]
-
-
 def _labelled_docs(spark, sf_dir):
+    """(rows, features): length, toxicity and the fitted languages; one of
+    them is left out, since they add up to one."""
     d = docs(spark, sf_dir).where(F.col("quality").isNotNull())
     d = fe.fill_zero(d, ["toxic"])
     d = d.withColumn("n_chars_k", F.col("n_chars") / F.lit(1000.0))
-    return fe.apply_one_hot(d, "lang", ["en", "fr", "de"], keep_source=True)
+    langs = fe.fit_one_hot(d, "lang")
+    rows = fe.apply_one_hot(d, "lang", langs, keep_source=True)
+    return rows, ["n_chars_k", "toxic", *[f"lang_{v}" for v in langs[1:]]]
 
 
 @register("logistic_l1")
 def q_logistic_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 (rows-only): L1 logistic regression coefficients, C = 1."""
-    _, coefs = M.train_logistic_l1(_labelled_docs(spark, sf_dir), _FEATS, "quality")
+    _, coefs = M.train_logistic_l1(*_labelled_docs(spark, sf_dir), "quality")
     return coefs
 
 
 @register("cross_validate")
 def q_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 (rows-only): 5-fold accuracies."""
-    return M.cross_validate(_labelled_docs(spark, sf_dir), _FEATS, "quality", "doc_id")
+    return M.cross_validate(*_labelled_docs(spark, sf_dir), "quality", "doc_id")
 
 
 @register("bagged_classifier")
 def q_bagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + N3 (rows-only): 20 bootstrap models, floor of the mean vote."""
-    return M.bagged_predictions(_labelled_docs(spark, sf_dir), _FEATS, "quality", "doc_id", n=20)
+    return M.bagged_predictions(*_labelled_docs(spark, sf_dir), "quality", "doc_id", n=20)
 
 
 @register("learning_curve")
 def q_learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 (rows-only)."""
-    return M.learning_curve(_labelled_docs(spark, sf_dir), _FEATS, "quality", "doc_id")
+    return M.learning_curve(*_labelled_docs(spark, sf_dir), "quality", "doc_id")
 
 
 @register("validation_curve")
 def q_validation_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5 (rows-only): mean / population std per C."""
-    return M.validation_curve(_labelled_docs(spark, sf_dir), _FEATS, "quality", "doc_id")
+    return M.validation_curve(*_labelled_docs(spark, sf_dir), "quality", "doc_id")
 
 
 # ------------------------------------------------------------ D1 / D2

@@ -132,9 +132,13 @@ def test_exact_percentiles_with_hot_value_match_numpy(spark):
 
 def test_fm_interaction_matches_brute_force(spark):
     import hashlib
-    from recsmith.operators.vectors import fm_interaction
+    from recsmith.operators.vectors import derived_factors, fm_interaction
     df = spark.createDataFrame([(3, 5, 1), (7, 2, 4)], "user_id int, item_id int, category int")
-    got = {r.user_id: r.fm for r in fm_interaction(df, ["user_id", "item_id", "category"], dim=4).collect()}
+    fields = ["user_id", "item_id", "category"]
+    factors = derived_factors({f: spark.range(9) for f in fields}, dim=4)
+    got = {r.user_id: r.fm for r in fm_interaction(df, fields, factors, dim=4).collect()}
+    unknown = fm_interaction(df, fields, factors.where("code < 0"), dim=4).collect()
+    assert [r.fm for r in unknown] == [0.0, 0.0]
 
     def u(*parts):
         return int(hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8], 16) / 4294967296.0
