@@ -27,7 +27,7 @@ from recsmith.functions.columns import (
     HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, activity_damp, dot_unrolled, hash32, loc_decay, ndcg_gain,
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
 from recsmith.operators.encode import attach_scalars
-from recsmith.operators.logs import item_stats, rank_in_group
+from recsmith.operators.logs import item_stats, rank_in_group, upper_median
 from recsmith.operators.sequence import hot_of, positions
 
 # Vector slices standing in for the three embedding models
@@ -229,15 +229,7 @@ def ranking_metrics(preds: DataFrame, answers: DataFrame, train: DataFrame, k: i
     pop = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("deg"))
     ans = (answers.select("user_id", "item_id").join(pop, "item_id", "left")
            .withColumn("deg", F.coalesce(F.col("deg"), F.lit(0))))
-    # A13 upper median: value histogram + running count over distinct
-    # degrees only (a small table), no window over the answers themselves
-    hist = ans.groupBy("deg").agg(F.count(F.lit(1)).alias("_k"))
-    run = hist.withColumn("_cum", F.sum("_k").over(
-        Window.orderBy("deg").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    total = ans.agg(F.count(F.lit(1)).alias("_n"))
-    med = (attach_scalars(run, total)
-           .where((F.col("_cum") > F.floor(F.col("_n") / 2)) & (F.col("_cum") - F.col("_k") <= F.floor(F.col("_n") / 2)))
-           .select(F.col("deg").alias("_median")))
+    med = upper_median(ans, "deg").withColumnRenamed("median", "_median")  # A13
     served = preds.select("user_id").distinct()
     hits = preds.where(F.col("rank") <= k).select("user_id", "item_id", (F.col("rank") - 1).alias("_r0"))
     cases = (ans.join(served, "user_id", "left_semi")

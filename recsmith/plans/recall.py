@@ -191,8 +191,9 @@ def q_hot_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("recall_eval", f"WITH {_split_sql(CLICKS_SQL)},\n{_sim_sql()},\n{_REC_SQL},\n{_HOT_SQL},\n{_EVAL_SQL}")
 def q_recall_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, validate, vec = _inputs(spark, sf_dir)
-    recs = recommend(train, item_similarity(train, vec), users=validate)
-    return ranking_metrics(hot_fill(recs, hot_items(train)), validate, train)
+    # both are read twice below, and small beside the pairs behind them
+    recs = cut_lineage(recommend(train, item_similarity(train, vec), users=validate))
+    return ranking_metrics(cut_lineage(hot_fill(recs, hot_items(train))), validate, train)
 
 
 @register("hot_items", f"""WITH {_split_sql(CLICKS_SQL)},
