@@ -1,5 +1,7 @@
 """Feature operators: quirk decisions Q5, Q6, Q7 and fit/apply state."""
 
+from pyspark.sql import functions as F
+
 from recsmith.operators import features as fe
 
 
@@ -44,3 +46,39 @@ def test_feature_spec_and_linear_logit(spark):
     wd = {(r.field, r.code): r.weight for r in w.collect()}
     for r in logit:
         assert abs(r.logit - (wd[("u", r.k)] + wd[("i", 1)])) < 1e-12
+
+
+def test_sparse_one_hot_has_no_limit(spark):
+    train = spark.range(3000).select(F.col("id").cast("string").alias("c")).union(spark.createDataFrame([(None,)], "c string"))
+    state = fe.fit_one_hot_sparse(train, "c")
+    assert state.count() == 3001 and state.where("value is null").first().id == 0
+    out = fe.apply_one_hot_sparse(spark.createDataFrame([("7",), (None,), ("new",)], "c string"), "c", state)
+    codes = {r.value: r.id for r in state.where("value = '7' or value is null").collect()}
+    assert {r.c: list(r.c_ones) for r in out.collect()} == {"7": [codes["7"]], None: [0], "new": []}
+
+
+def test_logit_keeps_rows_that_repeat_a_key(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "k long, f long")
+    w = spark.createDataFrame([("f", 5, 0.25)], "field string, code long, weight double")
+    assert sorted((r.k, r.logit) for r in fe.linear_logit(df, ["k"], ["f"], w).collect()) == [(1, 0.25), (1, 0.25), (2, 0.0)]
+
+
+def test_contingency_and_density_drop_nothing(spark):
+    from recsmith.operators import eda
+    df = spark.createDataFrame([("a", 0), ("a", 2), (None, None), ("a", None), (None, 1)], "f string, y int")
+    got = {(r.f, r.y): r["count"] for r in eda.counts_by_label(df, "f", "y").collect()}
+    assert got == {("a", 0): 1, ("a", 2): 1, (None, None): 1, ("a", None): 1, (None, 1): 1}
+    rows = [("x", float(v)) for v in range(50)] + [("x", 1e9), (None, 1.0), (None, 2.0), ("same", 3.0), ("same", 3.0)]
+    dens = eda.kde_by_category(spark.createDataFrame(rows, "c string, v double"), "v", "c", grid=100).collect()
+    for c in ("x", None, "same"):
+        part = [r for r in dens if r.c == c]
+        assert sorted(r.grid_idx for r in part) == list(range(100))
+        assert all((r.density is None) == (c == "same") for r in part)
+
+
+def test_bootstrap_does_not_depend_on_partitions(spark):
+    from recsmith.operators.sampling import bootstrap
+    df = spark.range(4000)
+    one = sorted(r.id for r in bootstrap(df.repartition(3), 0.8, 5).collect())
+    assert one == sorted(r.id for r in bootstrap(df.coalesce(1), 0.8, 5).collect())
+    assert 3000 < len(one) < 3400 and len(set(one)) < len(one)

@@ -53,3 +53,20 @@ def test_materialize_if_absent_builds_once(spark):
     assert io.materialize_if_absent(spark, path, build).count() == 3
     assert io.materialize_if_absent(spark, path, build).count() == 3
     assert len(calls) == 1
+
+
+def test_one_dimensional_vectors_round_trip(spark):
+    df = spark.createDataFrame([(1, [0.5]), (2, [2.0])], "item_id long, vec array<float>")
+    path = io.scratch_dir(spark, "t_dim1")
+    io.write_vectors_text(df, path, dim=1)
+    assert sorted((r.item_id, r.vec, r.declared_dim) for r in io.read_vectors(spark, path).collect()) == [
+        (1, [0.5], 1), (2, [2.0], 1)]
+
+
+def test_leftovers_of_a_failed_write_are_rebuilt(spark):
+    path = io.scratch_dir(spark, "t_left")
+    spark.range(9).write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(mark, False)
+    assert io.materialize_if_absent(spark, path, lambda: spark.range(2)).count() == 2

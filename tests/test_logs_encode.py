@@ -35,7 +35,7 @@ def test_latest_click_keeps_last(spark):
 
 def test_dense_ids_consecutive_across_partitions(spark):
     vals = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("v"))
-    ids = E.dense_ids(vals, "v", start=1, num_partitions=7).collect()
+    ids = E.dense_ids(vals, "v", start=1).collect()
     got = sorted((r.v, r.id) for r in ids)
     assert [i for _, i in got] == list(range(1, 5001))
 
