@@ -31,6 +31,8 @@ from recsmith.llm.common import by_place
 from recsmith.llm.pretokens import Encoder, Vocabulary, vocabulary
 
 _NEVER = 1 << 60
+#: Entries that each memo of a worker's encoder may hold.
+MEMO = 400_000
 
 
 class TrieEncoder:
@@ -118,6 +120,8 @@ class TrieEncoder:
                 key = now << 8 | word[at]
                 now = step.get(key, -1)
                 if now < 0:
+                    if len(step) > MEMO:
+                        step.clear()
                     now = step[key] = self._goto(key >> 8, word[at])
                 for token, size in ends[now]:
                     rest = last[at + 1 - size]
@@ -126,7 +130,7 @@ class TrieEncoder:
                     pair = rest << 20 | token
                     fits = apart.get(pair)
                     if fits is None:
-                        if len(apart) > 2_000_000:
+                        if len(apart) > MEMO:
                             apart.clear()
                         fits = apart[pair] = self._stays_apart(rest, token)
                     if fits:

@@ -133,8 +133,8 @@ def _scan(known, before: bool):
         block = known.value
         for batch in batches:
             earlier = batch.column(batch.num_columns - 1).to_pylist() if before else [None] * batch.num_rows
-            out = []
             for chunk in ts.chunks(batch.column(0)):
+                out = []
                 codes, found, hashes = _normal(chunk)
                 words: list[set] = [set((e or {}).get("hit_words") or ()) for e in earlier[chunk.row:chunk.row + chunk.n]]
                 items: list[set] = [set((e or {}).get("items") or ()) for e in earlier[chunk.row:chunk.row + chunk.n]]
@@ -146,9 +146,9 @@ def _scan(known, before: bool):
                     hit = sorted(words[d])
                     out.append({"n_words": int(found.first[d + 1] - found.first[d]), "hit_words": hit, "items": sorted(items[d]),
                                 "hit_spans": _runs(hit, found, int(found.first[d]), int(chunk.bounds[d]))})
-            columns = [batch.column(i) for i in range(batch.num_columns - before)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _ARROW)],
-                                             names=[*batch.schema.names[:len(columns)], "_found"])
+                columns = [batch.column(i).slice(chunk.row, chunk.n) for i in range(batch.num_columns - before)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _ARROW)],
+                                                 names=[*batch.schema.names[:len(columns)], "_found"])
 
     return scan
 

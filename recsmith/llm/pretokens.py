@@ -21,7 +21,7 @@ LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 # The endings that the byte-level pattern keeps with an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Words a cache holds before it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 
 _classes = np.full(0x110000, UNKNOWN, dtype=np.uint8)

@@ -102,9 +102,10 @@ def text_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
 
     def scan(batches):
         for batch in batches:
-            parts = [chunk_counts(c) for c in ts.chunks(batch.column(len(keep)))]
-            found = [pa.array(np.concatenate([p[c] for p in parts]) if parts else [], pa.int64()) for c in COUNTS]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + found, names=keep + list(COUNTS))
+            for chunk in ts.chunks(batch.column(len(keep))):
+                found = chunk_counts(chunk)
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(chunk.row, chunk.n) for i in range(len(keep))],
+                                                  *[pa.array(found[c], pa.int64()) for c in COUNTS]], names=keep + list(COUNTS))
 
     return source.mapInArrow(scan, schema)
 

@@ -115,9 +115,10 @@ def dedup_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -
 
     def scan(batches):
         for batch in batches:
-            texts, wanted = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
-            n_units, n_removed, removed = [], [], []
             for chunk in ts.chunks(batch.column(at)):
+                columns = [batch.column(i).slice(chunk.row, chunk.n) for i in range(len(names) + 1)]
+                texts, wanted = columns[at].to_pylist(), columns.pop().to_pylist()
+                n_units, n_removed, removed = [], [], []
                 doc, start, _, _, digest = chunk_units(chunk, unit, min_words)
                 first = np.searchsorted(doc, np.arange(chunk.n + 1))
                 for d in range(chunk.n):
@@ -125,9 +126,8 @@ def dedup_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -
                     n_units.append(hi - lo)
                     cut: list[list[int]] = []
                     count = 0
-                    row = chunk.row + d
-                    if wanted[row]:
-                        bad = {(w["place"], bytes(w["digest"])) for w in wanted[row]}
+                    if wanted[d]:
+                        bad = {(w["place"], bytes(w["digest"])) for w in wanted[d]}
                         length = int(chunk.bounds[d + 1] - chunk.bounds[d])
                         for k in range(lo, hi):
                             if (int(start[k]), digest[k].tobytes()) in bad:
@@ -137,14 +137,13 @@ def dedup_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -
                                     cut[-1][1] = end
                                 else:
                                     cut.append([int(start[k]), end])
-                        texts[row] = _without(texts[row], cut)
+                        texts[d] = _without(texts[d], cut)
                     n_removed.append(count)
                     removed.append(cut)
-            columns = [batch.column(i) for i in range(len(names))]
-            columns[at] = pa.array(texts, pa.string()).cast(columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()),
-                                              pa.array(removed, pa.list_(pa.list_(pa.int64())))],
-                                             names=[*names, "n_units", "n_removed", "removed"])
+                columns[at] = pa.array(texts, pa.string()).cast(columns[at].type)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()),
+                                                  pa.array(removed, pa.list_(pa.list_(pa.int64())))],
+                                                 names=[*names, "n_units", "n_removed", "removed"])
 
     return joined.select(*side.columns, "_drop").mapInArrow(scan, schema)
 

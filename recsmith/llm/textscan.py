@@ -1,7 +1,7 @@
 """Vectorised text scanning for Arrow batches (no Spark dependency).
 
 A batch of texts is looked at as one array of code points plus document
-bounds, in chunks of about a million code points, so that word boundaries,
+bounds, in chunks of some hundred thousand code points, so that word boundaries,
 word hashes and window hashes of many documents come out of a handful of
 numpy calls. Nulls count as empty texts; a single text longer than a chunk
 forms a chunk of its own, so memory follows the longest text.
@@ -18,8 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
@@ -59,23 +60,31 @@ def texts(column) -> list[bytes]:
     return raw
 
 
+def row_runs(column, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of runs of rows of about `limit` bytes; only one run
+    is held beside the column."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(column):
+        start = int(size[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(size, start + limit, side="right")))
+        yield lo, texts(column.slice(lo, hi - lo))
+        lo = hi
+
+
 def chunks(column, limit: int = CHUNK_CHARS) -> Iterator[Chunk]:
     """Consecutive rows of an Arrow string column as chunks of code points."""
-    raw = texts(column)
-    lo = 0
-    while lo < len(raw):
-        hi, size = lo, 0
-        while hi < len(raw) and (hi == lo or size + len(raw[hi]) <= limit):
-            size += len(raw[hi])
-            hi += 1
-        data = b"".join(raw[lo:hi])
+    for lo, raw in row_runs(column, limit):
+        data = b"".join(raw)
         codes = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
-        ends = np.cumsum([len(r) for r in raw[lo:hi]])
+        ends = np.cumsum([len(r) for r in raw])
         if len(codes) != len(data):
             starts_char = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
             ends = np.concatenate([[0], np.cumsum(starts_char)])[ends]
         yield Chunk(lo, codes, np.concatenate([[0], ends]).astype(np.int64))
-        lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
