@@ -24,9 +24,6 @@ from recsmith.plans.registry import register
 from recsmith.session import cut_lineage
 from recsmith.sources.fixtures import CLICKS_CONTEXT_SQL, CLICKS_SQL, CONTEXT, clicks_with_context
 
-CTR_FIELDS = ["user_id", "item_id", "category", "hist_items", "hist_cats", "label", "split"]
-
-
 def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: int = 32,
                      states: dict | None = None, context: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """R5. ``log`` has (user_id, item_id, category, time_us) and the

@@ -27,7 +27,8 @@ def test_parquet_scan_is_pruned(spark):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["user_id", "item_id", "category", "hist_items", "hist_cats", "label", "split"]
+    assert df.columns == ["user_id", "item_id", "category", "value_bucket", "segment", "nation", "region", "hour", "weekday",
+                          "hist_items", "hist_cats", "label", "split"]
     rows = df.collect()
     assert rows and {r.label for r in rows} == {0, 1}
     train = [r for r in rows if r.split == "train"]
