@@ -14,7 +14,7 @@ is run again writes a file of another name, and only the file named by the
 attempt whose index rows Spark committed is ever read.
 
 Defined results: null counts as an empty text (the end id only); rows without
-doc_id come first; rows that repeat a doc_id follow the order of their texts;
+doc_id come first; rows that repeat a doc_id follow the hash of their texts, then the texts;
 an empty table gives an empty index; other columns are ignored.
 """
 
@@ -163,9 +163,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, length: int
         if writer:
             writer.close()
 
-    # the text's hash parts rows that repeat a doc_id; order within it follows the text
-    ordered = (docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()))
+    # the text's hash parts rows that repeat a doc_id; the driver samples these
+    # keys for the ranges, so the text itself must not be one of them
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = (docs.select("doc_id", "text").repartitionByRange(*keys)
+               .sortWithinPartitions(*keys, F.col("text").asc_nulls_first()))
     ordered.mapInArrow(write, schema).write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 
