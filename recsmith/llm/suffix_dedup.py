@@ -3,8 +3,8 @@
 Removes every byte covered by a string of `length` bytes (400) that also
 starts anywhere else in the corpus, matches within documents only.
 
-Partitioning. Each window of `length` bytes picks its anchor: the K-byte piece
-with the least hash, the leftmost of equals. The choice depends on the
+Partitioning. Each window of `length` bytes picks its anchor: the piece of
+`anchor_bytes(length)` bytes (128) with the least hash, the leftmost of equals. The choice depends on the
 window's bytes alone, so equal windows pick equal pieces at equal offsets, and
 the corpus falls into groups by anchor that hold every match. Successive
 windows with one anchor form a segment; equal segments of a group collapse to
@@ -41,9 +41,10 @@ from recsmith.llm import textscan as ts
 from recsmith.llm.common import written
 
 LENGTH = 400
-K = 24
-#: Segments of one anchor in one block, and bytes of a block.
-SPLIT = 2048
+#: Segments of one anchor in one block (at most 672 bytes each, so a block has
+#: 2.8 MB at most and takes some 150 MB to sort), and bytes at which a block
+#: of several anchors is closed.
+SPLIT = 4096
 BLOCK_BYTES = 1 << 19
 
 _POS = np.uint64((1 << 30) - 1)
@@ -61,7 +62,13 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(down[:n - w + 1], up[w - 1:n])
 
 
-def segments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, k: int = K):
+def anchor_bytes(length: int) -> int:
+    """About a third of a window: long enough that a common line is no anchor,
+    short enough that a window has many to pick from."""
+    return max(1, length * 8 // 25)
+
+
+def segments(data: np.ndarray, bounds: np.ndarray, length: int, k: int):
     """(document, start in the document, size, anchor, digest) of the segments
     of texts of bytes, `bounds` in `data`."""
     none = np.zeros(0, np.int64)
@@ -90,16 +97,9 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, k: int
 
 def _byte_chunks(column):
     """(first row, bytes, bounds) of runs of rows."""
-    raw = ts.texts(column)
-    lo = 0
-    while lo < len(raw):
-        hi, size = lo, 0
-        while hi < len(raw) and (hi == lo or size + len(raw[hi]) <= ts.CHUNK_CHARS):
-            size += len(raw[hi])
-            hi += 1
-        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw[lo:hi]])]).astype(np.int64)
-        yield lo, np.frombuffer(b"".join(raw[lo:hi]), dtype=np.uint8), bounds
-        lo = hi
+    for lo, raw in ts.row_runs(column):
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        yield lo, np.frombuffer(b"".join(raw), dtype=np.uint8), bounds
 
 
 def _text_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def find_segments(docs: DataFrame, length: int) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for row, data, bounds in _byte_chunks(batch.column(1)):
-                doc, start, size, anchor, seg = segments(data, bounds, length)
+                doc, start, size, anchor, seg = segments(data, bounds, length, anchor_bytes(length))
                 ids = batch.column(0).slice(row, len(bounds) - 1).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array(_text_hashes(data, bounds)[doc]), pa.array(anchor), pa.array(seg),
@@ -152,24 +152,24 @@ def shares_window(symbols: np.ndarray, order: np.ndarray, length: int) -> np.nda
     `symbols` are positive, 0 parts the texts and is never stepped over."""
     n = len(symbols)
     bwt = symbols[order - 1]  # the text is taken as a circle; its last symbol is a 0
-    by_symbol = np.argsort(bwt, kind="stable")
-    lf = np.empty(n, dtype=np.int64)
-    lf[by_symbol] = np.arange(n)
+    by_symbol = np.argsort(bwt, kind="stable").astype(np.int32)
+    lf = np.empty(n, dtype=np.int32)
+    lf[by_symbol] = np.arange(n, dtype=np.int32)
     same = bwt[by_symbol[1:]] == bwt[by_symbol[:-1]]
-    before = np.full(n, -1, dtype=np.int64)
-    after = np.full(n, n, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
+    after = np.full(n, n, dtype=np.int32)
     before[by_symbol[1:][same]] = by_symbol[:-1][same]
     after[by_symbol[:-1][same]] = by_symbol[1:][same]
     solid = bwt != 0
     unknown = np.ones(n + 1, dtype=bool)
     unknown[0] = unknown[n] = False
-    lo, hi = np.array([0]), np.array([n])
+    lo, hi = np.array([0], dtype=np.int32), np.array([n], dtype=np.int32)
     for _ in range(length):  # the common prefixes found in a round have one length
         if len(lo) == 0:
             break
         size = hi - lo
         ends = np.cumsum(size)
-        place = np.arange(ends[-1]) - np.repeat(ends - size - lo, size)
+        place = np.arange(ends[-1], dtype=np.int32) - np.repeat((ends - size - lo).astype(np.int32), size)
         place_lo, place_hi = np.repeat(lo, size), np.repeat(hi, size)
         here = solid[place]
         # the first and the last place of a symbol in an interval bound its extension
@@ -189,7 +189,7 @@ def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
     symbols = np.zeros(int((size + 1).sum()), dtype=np.int16)
     for t, b in zip(texts, base, strict=True):
         symbols[b:b + len(t)] = np.frombuffer(t, dtype=np.uint8).astype(np.int16) + 1
-    order = suffix_order(symbols)
+    order = suffix_order(symbols).astype(np.int32)
     whole = np.zeros(len(symbols), dtype=bool)  # a window fits
     for b, s in zip(base, size, strict=True):
         whole[b:b + max(0, s - length + 1)] = True

@@ -145,7 +145,7 @@ def test_decontaminate_spans_and_documents(spark, make_docs, leaked):
     assert decontaminate.leak_report(docs, none).filter("n_hit > 0").count() == 0
 
 
-@pytest.mark.parametrize("split", [2048, 2])
+@pytest.mark.parametrize("split", [4096, 2])
 def test_suffix_dedup(make_docs, split):
     rnd = random.Random(split)
     passage = "".join(rnd.choice("abcdé ") for _ in range(200))
