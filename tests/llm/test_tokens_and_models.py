@@ -147,6 +147,27 @@ def test_op1_contract_and_templates(spark):
     assert url_filter.judge_urls(pages.filter("page_id > 9999")).count() == 0
 
 
+def test_op1_sections_do_not_hang_on_the_size_of_the_host(spark):
+    """A section is judged alike on a small and on a large host, and unlisted
+    sections never for the labels of others."""
+    urls = [f"http://{h}.net/{s}/{k}" for h in ("small", "large") for s in ("es", "fr", "news") for k in range(12)]
+    urls += [f"http://large.net/s{chr(97 + j // 26)}{chr(97 + j % 26)}/{k}" for j in range(120) for k in range(10)]
+    urls += [f"http://tiny.net/{s}/{k}" for s in ("es", "fr") for k in range(7)] + ["http://tiny.net/blog/1"]  # all rare
+    urls += [f"http://ok.com/{k}" for k in range(60)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {r.url: r for r in url_filter.judge_urls(pages).collect()}
+    for h in ("small", "large"):
+        assert out[f"http://{h}.net/fr/1"].template == out[f"http://{h}.net/es/1"].template == "/+/#"
+        assert out[f"http://{h}.net/news/1"].template == "/news/#"
+    assert out["http://large.net/sab/1"].template == "/sab/#"
+    assert all((r.verdict == "block") == ("/es/" in u or "/fr/" in u) for u, r in out.items())
+    # a wildcard over many directories with labels still speaks for one without
+    urls = [f"http://u.org/{chr(97 + j // 26)}{chr(97 + j % 26)}/x/{k}" for j in range(100) for k in range(2)]
+    rules = [("block", f"u.org/{chr(97 + j // 26)}{chr(97 + j % 26)}/") for j in range(97)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert {r.verdict for r in url_filter.judge_urls(pages, rules).collect()} == {"block"}
+
+
 def _labelled(rnd, n):
     good, bad = [f"g{k}" for k in range(300)], [f"b{k}$$" for k in range(300)]
     rows, labels = [], []
