@@ -180,3 +180,29 @@ def test_line_dedup(make_docs):
     assert all(r.n_chars == len(r.text) for r in left.filter("doc_id in (1, 2, 3)").collect())
     assert substring_dedup.dedup_filter(docs.filter("doc_id > 99")).count() == 0
     assert suffix_dedup.remove_repeats(docs.filter("doc_id > 99")).count() == 0
+
+
+def test_op9_passages_inside_longer_lines(make_docs):
+    """Repeated passages of 50 words go but for a few words at their ends, in
+    mid-sentence, without punctuation, in short sentences and without spaces;
+    every word stays somewhere."""
+    rnd = random.Random(12)
+    plain = [" ".join(_words(rnd, 50, 10 ** 6)) for _ in range(40)]
+    short = [". ".join(" ".join(_words(rnd, 3, 10 ** 6)) for _ in range(17)) + ".\u201d" for _ in range(20)]
+    unspaced = ["".join(chr(rnd.randrange(0x4E00, 0x9F00)) for _ in range(50)) + "\u3002" for _ in range(20)]
+    passages, rows = plain + short + unspaced, []
+    for copy in range(3):
+        for k, p in enumerate(passages):
+            glue = "" if k >= 60 else " "
+            around = [glue.join(_words(rnd, 10 + rnd.randrange(20), 10 ** 6)) for _ in range(2)]
+            rows.append((1000 * copy + k, glue.join([around[0], p, around[1]])))
+    rows.append((9000, "la di da " * 2000 + "end"))
+    out = {r.doc_id: r for r in substring_dedup.dedup_units(make_docs(rows)).collect()}
+    for i, text in rows:
+        gone = "".join(text[a:b] for a, b in out[i].removed)
+        if i < 1000:
+            assert out[i].text == text
+        elif i < 9000:
+            passage = passages[i % 1000]
+            assert gone.strip() in passage and 2 * len(gone) > len(passage)
+    assert 0 < len(out[9000].text) < 1000
