@@ -1,6 +1,7 @@
 """Quality classifier on random-indexing word vectors (operator 2).
 
-Words are hashed to a fixed number of rows. Every row has a sparse index vector
+Words are hashed to a fixed number of rows (feature hashing: words that share a
+row share its vector and its weight). Every row has a sparse index vector
 of -1, 0 and 1; a word's vector is the sum of the index vectors of its
 neighbours (two on each side) over the whole corpus. These sums are integers,
 so they come out alike however the corpus is partitioned, and their table has a
