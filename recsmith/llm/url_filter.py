@@ -3,11 +3,10 @@
 Listed rules (host and path prefix, allow or block) decide the urls they fit;
 the urls they judge are the labels from which the rest is judged:
 
-1. Tree: the first DEPTH path segments of each host, level by level. A segment
-   value stays literal under its node if LITERAL_URLS urls repeat it there, on
-   small and large hosts alike; every other value becomes a wildcard, `#` in
-   place of digits or `*`. What lies deeper is left out of the template (not out
-   of the data).
+1. Tree: the path segments of each host, level by level, as deep as the paths
+   go. A segment value stays literal under its node if LITERAL_URLS urls repeat
+   it there, on small and large hosts alike; every other value becomes a
+   wildcard, `#` in place of digits or `*`.
 2. Merging: from the deepest level up, the literal branches of a node whose
    labelled share of blocked paths does not differ from that of all its branches
    by more than Z standard errors become one branch, `+`; a branch without
@@ -45,7 +44,6 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-DEPTH = 4
 #: Urls that keep a value literal.
 LITERAL_URLS = 8
 #: Standard errors within which branches count as similar.
@@ -167,7 +165,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     host, path = parse(F.col("url"))
     base = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
     rule, verdict = listed(F.col("host"), F.col("path"), rules)
-    parts = F.slice(F.filter(F.split("path", "/"), lambda x: x != ""), 1, DEPTH)
+    parts = F.filter(F.split("path", "/"), lambda x: x != "")
     base = base.select("*", rule.alias("rule"), verdict.alias("_listed"), parts.alias("_segments"))
     n, blocked = F.count("_listed"), F.count_if(F.col("_listed") == "block")
     paths = written(base.groupBy("host", F.col("_segments").alias("segments")).agg(

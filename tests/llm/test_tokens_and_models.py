@@ -168,6 +168,16 @@ def test_op1_sections_do_not_hang_on_the_size_of_the_host(spark):
     assert {r.verdict for r in url_filter.judge_urls(pages, rules).collect()} == {"block"}
 
 
+def test_op1_paths_of_any_depth(spark):
+    """Templates part where the labels do, below the fourth segment too."""
+    urls = [f"http://deep.org/a/b/c/d/{s}/e/{k}" for s in ("bad", "good") for k in range(30)]
+    rules = [("block", f"deep.org/a/b/c/d/bad/e/{k}") for k in range(1, 6)] + [("allow", "deep.org/a/b/c/d/good/")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_filter.judge_urls(pages, rules).collect()
+    assert {r.template for r in out} == {"/a/b/c/d/bad/e/#", "/a/b/c/d/good/e/#"}
+    assert all((r.verdict == "block") == ("/bad/" in r.url) for r in out)
+
+
 def _labelled(rnd, n):
     good, bad = [f"g{k}" for k in range(300)], [f"b{k}$$" for k in range(300)]
     rows, labels = [], []
