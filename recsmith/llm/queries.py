@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, url_filter
+from recsmith.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_alignment, token_files, url_filter
 from recsmith.llm.common import scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -161,7 +161,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(index)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.align(table(spark, sf_dir, "documents"), *paths, with_groups=False)
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_url_filter, op2_quality_classifier, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op8_suffix_dedup, op9_substring_dedup, op10_token_files,
+    op13_token_alignment,
 )}
 ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL}
