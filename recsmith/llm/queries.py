@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_alignment, token_files, url_filter
+from recsmith.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, source_divergence, substring_dedup, suffix_dedup, token_alignment, token_files, toxicity, url_filter
 from recsmith.llm.common import scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +161,41 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(index)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_SHARE = f"1 + ({source_divergence.SCALE}::HUGEINT * (c + {source_divergence.PRIOR})) // (n + {source_divergence.PRIOR} * v)"
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{source_divergence.TERM}') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {source_divergence.MIN_DOCS}),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, {_SHARE.replace('(c +', '(coalesce(c.c, 0) +').replace('(n +', '(coalesce(n.n, 0) +')} AS p
+         FROM g JOIN kept k USING (lang) JOIN sizes USING (lang)
+         LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+         LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+whole AS (SELECT lang, term, {_SHARE} AS q
+          FROM (SELECT lang, term, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang) AS n FROM c GROUP BY lang, term) JOIN sizes USING (lang)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM grid JOIN whole USING (lang, term) WHERE c > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+               FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= {source_divergence.TOP}"""
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return token_alignment.align(table(spark, sf_dir, "documents"), *paths, with_groups=False)
@@ -168,6 +203,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_url_filter, op2_quality_classifier, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_bpe_trie, op7_decontaminate, op8_suffix_dedup, op9_substring_dedup, op10_token_files,
-    op13_token_alignment,
+    op11_source_divergence, op12_toxicity, op13_token_alignment,
 )}
-ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op5_ngram_jaccard_join": OP5_SQL, "op7_decontaminate": OP7_SQL,
+                           "op11_source_divergence": OP11_SQL}
