@@ -1,8 +1,8 @@
 """Exploratory statistics and classification metrics (X1, X3..X6, A9, A10).
 
 Charts in the reference become long result tables. Everything is one or
-two aggregation passes; percentiles are exact (``percentile``, linear
-interpolation) and computed in the same pass as the moments.
+two aggregation passes; percentiles are exact (linear interpolation), by
+radix selection over all columns and groups together.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsmith.operators.encode import attach_scalars, dense_ids, partition_offsets, range_numbered
+from recsmith.operators.encode import attach_scalars, dense_ids
+from recsmith.operators.radix import grouped_percentiles
 
 # The percentiles the reference's describe prints.
 PERCENTILES = [0.01, 0.05, 0.10, 0.25, 0.5, 0.75, 0.90, 0.95, 0.99]
@@ -21,42 +22,16 @@ KDE_CUTOFF = 40.0   # |z| beyond this: exp(-z^2/2) is exactly 0.0 in doubles
 
 
 def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Exact percentiles with linear interpolation (position p*(n-1)), as a
-    distributed order statistic: values are range partitioned (with a
-    deterministic salt so a value held by a third of the rows still spreads
-    over many partitions) and sorted within partitions; a row's global rank
-    is its index plus the row count of earlier partitions (one row per
-    partition, broadcast); only the <= 2 ranks per percentile are kept.
-    No task ever holds all values. Returns (prob, value)."""
-    spark = df.sparkSession
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    n = x.count()
-    wanted = []
-    for p in probs:
-        pos = p * (n - 1)
-        wanted.append((float(p), float(pos), int(math.floor(pos)), int(math.ceil(pos))))
-    spec = spark.createDataFrame(wanted, "prob double, pos double, lo long, hi long")
-    if n == 0:
-        return spec.select("prob", F.lit(None).cast("double").alias("value"))
-    salted = x.withColumn("_s", F.xxhash64(F.monotonically_increasing_id()))
-    ranked = range_numbered(salted, [F.col("_x"), F.col("_s")])
-    offsets = partition_offsets(ranked)
-    ranks = sorted({r for _, _, lo, hi in wanted for r in (lo, hi)})
-    picked = (ranked.join(F.broadcast(offsets), "_pid")
-              .select((F.col("_off") + F.col("_idx")).alias("_r"), "_x")
-              .where(F.col("_r").isin(ranks)))
-    lo_v = picked.select(F.col("_r").alias("lo"), F.col("_x").alias("_vlo"))
-    hi_v = picked.select(F.col("_r").alias("hi"), F.col("_x").alias("_vhi"))
-    j = spec.join(F.broadcast(lo_v), "lo").join(F.broadcast(hi_v), "hi")
-    value = F.when(F.col("hi") == F.col("lo"), F.col("_vlo")).otherwise(
-        (F.col("hi") - F.col("pos")) * F.col("_vlo") + (F.col("pos") - F.col("lo")) * F.col("_vhi"))
-    return j.select("prob", value.alias("value"))
+    """Exact percentiles with linear interpolation (position p*(n-1)) by radix
+    selection. Returns (prob, value), null values if there are none."""
+    spec = df.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
+    return spec.join(grouped_percentiles(df, [col], probs).select("prob", "value"), "prob", "left")
 
 
 def describe(df: DataFrame, cols: list[str], percentiles: list[float] = PERCENTILES) -> DataFrame:
     """Long table (column, stat, value): non-null count, mean, sample
-    std, min, max (one aggregation pass) and exact percentiles (a
-    distributed order statistic per column, see ``exact_percentiles``)."""
+    std, min, max (one aggregation pass) and exact percentiles of all columns
+    together (radix selection, see ``operators/radix.py``)."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -70,9 +45,9 @@ def describe(df: DataFrame, cols: list[str], percentiles: list[float] = PERCENTI
     out = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     names = {float(p): f"p{round(p * 100):02d}" for p in percentiles}
     label = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
-    for c in cols:
-        pct = exact_percentiles(df, c, percentiles)
-        out = out.unionByName(pct.select(F.lit(c).alias("column"), label[F.col("prob")].alias("stat"), "value"))
+    asked = df.sparkSession.createDataFrame([(c, float(p)) for c in cols for p in percentiles], "column string, prob double")
+    pct = asked.join(grouped_percentiles(df, cols, percentiles), ["column", "prob"], "left")
+    out = out.unionByName(pct.select("column", label[F.col("prob")].alias("stat"), "value"))
     return out.withColumn("value", F.round("value", 6))
 
 

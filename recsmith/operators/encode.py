@@ -96,6 +96,49 @@ def fit_encoding(df: DataFrame, field: str, state: DataFrame | None = None,
     return known.unionByName(appended)
 
 
+def fit_encodings(df: DataFrame, fields: list[str], states: dict[str, DataFrame] | None = None,
+                  is_unk: bool = False) -> dict[str, DataFrame]:
+    """E1/E2 fit of several fields in one job, with the codes of
+    :func:`fit_encoding`: one scan gives the distinct (field, value) pairs, one
+    range numbering over (field, value) numbers them all, and a field's codes
+    start where its first pair stands (one row a field). ``states`` are extended:
+    pairs they know are taken out before the numbering. The new states are
+    parts of one written table."""
+    states = dict(states or {})
+    types = dict(df.dtypes)
+    kinds = sorted({types[f] for f in fields})
+    place = {k: f"_v{i}" for i, k in enumerate(kinds)}  # a column for each type, so that values keep their order
+
+    def pair(f: str, value) -> list:
+        return [F.lit(f).alias("_field")] + [(value if types[f] == k else F.lit(None).cast(k)).alias(place[k]) for k in kinds]
+
+    values = list(place.values())
+    pairs = df.select(F.explode(F.array(*[F.struct(*pair(f, F.col(f))) for f in fields])).alias("_p")).select("_p.*").distinct()
+    known = None
+    for f in fields:
+        if f in states:
+            part = states[f].select(*pair(f, F.col(VALUE).cast(types[f])))
+            known = part if known is None else known.unionByName(part)
+    if known is not None:
+        old = known.select(F.struct("_field", *values).alias("_known"))
+        pairs = pairs.withColumn("_key", F.struct("_field", *values)).join(old, F.col("_key") == F.col("_known"), "left_anti").drop("_key")
+    ranked = range_numbered(pairs, [F.col("_field"), *[F.col(c).asc_nulls_first() for c in values]])
+    placed = ranked.join(F.broadcast(partition_offsets(ranked)), "_pid").withColumn("_at", F.col("_off") + F.col("_idx"))
+    first = placed.groupBy("_field").agg(F.min("_at").alias("_first"))
+    placed = placed.join(F.broadcast(first.withColumnRenamed("_field", "_ff")), F.col("_field") == F.col("_ff"))  # one row a field
+    numbered = cut_lineage(placed.select("_field", *values, (F.col("_at") - F.col("_first")).alias("_rel")))
+    reserved = 1 + int(is_unk)
+    for f in fields:
+        new = numbered.where(F.col("_field") == f).select(F.col(place[types[f]]).alias(VALUE), "_rel")
+        if f not in states:
+            states[f] = new.select(VALUE, (F.col("_rel") + F.lit(reserved)).alias(ID))
+            continue
+        have = states[f].select(VALUE, ID)
+        base = have.agg(F.count(F.lit(1)).alias("_known"))
+        states[f] = have.unionByName(attach_scalars(new, base).select(VALUE, (F.col("_rel") + F.col("_known") + F.lit(reserved)).alias(ID)))
+    return states
+
+
 def apply_encoding(df: DataFrame, field: str, state: DataFrame, is_unk: bool = False,
                    out: str | None = None) -> DataFrame:
     """E1/E2 apply: value -> code through a null-safe left join; unseen
@@ -121,10 +164,9 @@ def apply_encoding(df: DataFrame, field: str, state: DataFrame, is_unk: bool = F
 def encode_fields(df: DataFrame, fields: list[str], states: dict[str, DataFrame] | None = None,
                   is_unk: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Fit (append) and apply several fields; returns the new states."""
-    states = dict(states or {})
+    states = fit_encodings(df, fields, states, is_unk)
     out = df
     for f in fields:
-        states[f] = fit_encoding(df, f, states.get(f), is_padding=True, is_unk=is_unk)
         out = apply_encoding(out, f, states[f], is_unk=is_unk)
     return out, states
 

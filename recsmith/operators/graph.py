@@ -1,4 +1,5 @@
-"""Item graph, random walks and skip-gram embeddings (G1..G8, J9, N4).
+"""Item graph and random walks (G1..G6, J9); embeddings of the walks (G7) are in
+``operators/skipgram.py``.
 
 Graphs are edge tables ``(src, dst, weight)``; a node's neighbours are
 numbered edges (never a per-node array). Walks are iterative equi-joins of
@@ -10,11 +11,12 @@ steps to keep lineage short and survive executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import EDGE_TIME_UNIT_SECONDS, edge_weight, hash32, uniform01
-from recsmith.operators.sequence import hot_of, with_next
+from recsmith.operators.alias import alias_table, weight_ticks
+from recsmith.operators.sequence import HOT_KEY_ROWS, hot_of, join_per_key, positions, with_next
 from recsmith.session import cut_lineage
 
 # Walk and embedding defaults of the reference pipeline.
@@ -26,6 +28,8 @@ EMBED_SIZE = 128
 WINDOW_SIZE = 10
 EPOCHS = 3
 CHECKPOINT_EVERY = 5
+#: Out-edges of a node in one slice.
+SLICE_EDGES = 4096
 
 
 def build_edges(log: DataFrame, direction: bool = True, user: str = "user_id", item: str = "item_id",
@@ -91,21 +95,31 @@ def degree_reweight(graph: DataFrame, direction: bool = True) -> DataFrame:
     return j.select("src", "dst", (F.col("weight") * clamp).alias("weight"))
 
 
-def transition_probs(graph: DataFrame, p: float = RETURN_P, q: float = INOUT_Q,
-                     direction: bool = True) -> tuple[DataFrame, DataFrame]:
+def transition_probs(graph: DataFrame, p: float = RETURN_P, q: float = INOUT_Q, direction: bool = True,
+                     slice_edges: int = SLICE_EDGES, threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame]:
     """First-order ``w / sum(w)`` per source, and second-order
     probabilities for every (t -> v -> x): ``w/p`` if x = t, ``w`` if the
-    edge x -> t exists, else ``w/q``, normalised per (t, v)."""
-    e = adjacency_edges(graph, direction)
-    first = e.withColumn("prob", F.col("weight") / F.sum("weight").over(Window.partitionBy("src")))
-    tv = e.select(F.col("src").alias("t"), F.col("dst").alias("v"))
-    vx = e.select(F.col("src").alias("v"), F.col("dst").alias("x"), F.col("weight").alias("w"))
+    edge x -> t exists, else ``w/q``, normalised per (t, v).
+
+    The out-edges of a hub are cut into slices of at most ``slice_edges``; an
+    edge into the hub meets each slice in a join of its own, (v, slice), and the
+    sums per (t, v) come back the same way, so no task holds a whole hub."""
+    e = cut_lineage(numbered_edges(graph, direction, threshold))
+    total = e.groupBy("src").agg(F.sum("weight").alias("_total"))
+    first = join_per_key(e, total, "src", "inner", threshold).withColumn("prob", F.col("weight") / F.col("_total"))
+    outs = e.groupBy("src").agg(F.max("deg").alias("_vdeg")).withColumnRenamed("src", "v")
+    last = F.floor((F.col("_vdeg") - 1) / slice_edges)
+    tv = (join_per_key(e.select(F.col("src").alias("t"), F.col("dst").alias("v")), outs, "v", "inner", threshold)
+          .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last))))
+    vx = e.select(F.col("src").alias("v"), F.floor(F.col("_k") / slice_edges).alias("slice"), F.col("dst").alias("x"), F.col("weight").alias("w"))
     back = e.select(F.col("src").alias("x"), F.col("dst").alias("t"), F.lit(True).alias("_xt"))
-    j = tv.join(vx, "v").join(back, ["x", "t"], "left")
+    j = tv.join(vx, ["v", "slice"]).join(back, ["x", "t"], "left")
     alpha = (F.when(F.col("x") == F.col("t"), F.lit(1.0 / p))
              .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
-    un = j.withColumn("_u", F.col("w") * alpha)
-    second = un.select("t", "v", "x", (F.col("_u") / F.sum("_u").over(Window.partitionBy("t", "v"))).alias("prob"))
+    un = j.select("t", "v", "slice", "_vdeg", "x", (F.col("w") * alpha).alias("_u"))
+    sums = (un.groupBy("t", "v").agg(F.sum("_u").alias("_su"), F.max("_vdeg").alias("_vdeg"))
+            .select("t", "v", "_su", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("slice")))
+    second = un.drop("_vdeg").join(sums, ["t", "v", "slice"]).select("t", "v", "x", (F.col("_u") / F.col("_su")).alias("prob"))
     return first.select("src", "dst", "prob"), second
 
 
@@ -113,161 +127,122 @@ def _nodes(graph: DataFrame) -> DataFrame:
     return graph.select(F.col("src").alias("node")).union(graph.select(F.col("dst").alias("node"))).distinct()
 
 
-def numbered_edges(graph: DataFrame, direction: bool = True) -> DataFrame:
+def numbered_edges(graph: DataFrame, direction: bool = True, threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """Out-edges numbered 0..deg-1 per source in neighbour order, with the
     degree on every row: a neighbour is then found by an equi-join on
-    (node, index) — no per-node neighbour array is ever built."""
-    e = adjacency_edges(graph, direction)
-    w = Window.partitionBy("src").orderBy("dst")
-    return e.select("src", "dst", "weight", (F.row_number().over(w) - 1).alias("_k"),
-                    F.count(F.lit(1)).over(Window.partitionBy("src")).alias("deg"))
+    (node, index) — no per-node neighbour array is ever built. A hub's edges
+    are numbered over many tasks."""
+    e = adjacency_edges(graph, direction).select("src", "dst", "weight")
+    out = positions(e, "src", ["dst"], loc="_k", size="deg", threshold=threshold)
+    return out.withColumn("_k", F.col("_k").cast("bigint"))
 
 
 def uniform_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: int = NUM_WALKS,
-                  direction: bool = False, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+                  direction: bool = False, checkpoint_every: int = CHECKPOINT_EVERY,
+                  threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """G5 (J9): ``num_walks`` walks from every node; each step picks a
     neighbour uniformly (index = md5(start, walk, step) mod degree, in
     ascending neighbour order); a walk stops at a dead end.
-    Returns (start, walk, step, node)."""
+    Returns (start, walk, step, node).
+
+    An edge row also knows the degree of the node it leads to, so a walker
+    carries the degree of where it stands and a step is one join on (node,
+    index): walkers that meet at a hub spread over its edges."""
     # the adjacency is read by every step: materialise it once
-    num = cut_lineage(numbered_edges(graph, direction))
-    deg = num.select(F.col("src").alias("_dn"), "deg").distinct()
-    hop = num.select(F.col("src").alias("_hs"), F.col("_k").alias("_hk"), F.col("dst").alias("_nx"))
-    state = (_nodes(num).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
-             .select(F.col("node").alias("start"), "walk", F.col("node").alias("cur"),
-                     F.array(F.col("node")).alias("path"), F.lit(True).alias("live")))
+    num = cut_lineage(numbered_edges(graph, direction, threshold))
+    deg = num.groupBy("src").agg(F.max("deg").alias("_nd"))
+    hop = cut_lineage(join_per_key(num.select(F.col("src").alias("_hs"), F.col("_k").alias("_hk"), F.col("dst").alias("_nx")),
+                                   deg.withColumnRenamed("src", "_nx"), "_nx", "left", threshold))
+    state = (_nodes(num).join(deg.withColumnRenamed("src", "node"), "node", "left")
+             .withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
+             .select(F.col("node").alias("start"), "walk", F.col("node").alias("cur"), F.col("_nd").alias("deg"),
+                     F.array(F.col("node")).alias("path")))
     for step in range(1, walk_length):
-        j = state.join(deg, state["cur"] == deg["_dn"], "left")
-        j = j.withColumn("_k", F.when(F.col("live"), F.pmod(hash32("start", "walk", F.lit(step)), F.col("deg"))))
+        # no index without a degree: the walk stops, and stays stopped
+        j = state.withColumn("_k", F.pmod(hash32("start", "walk", F.lit(step)), F.col("deg")))
         j = j.join(hop, (j["cur"] == hop["_hs"]) & (j["_k"] == hop["_hk"]), "left")
         nxt = F.col("_nx")
-        state = j.select("start", "walk", F.coalesce(nxt, F.col("cur")).alias("cur"),
-                         F.when(nxt.isNotNull(), F.concat("path", F.array(nxt))).otherwise(F.col("path")).alias("path"),
-                         nxt.isNotNull().alias("live"))
+        state = j.select("start", "walk", F.coalesce(nxt, F.col("cur")).alias("cur"), F.when(nxt.isNotNull(), F.col("_nd")).alias("deg"),
+                         F.when(nxt.isNotNull(), F.concat("path", F.array(nxt))).otherwise(F.col("path")).alias("path"))
         if step % checkpoint_every == 0:
             state = cut_lineage(state)
     return state.select("start", "walk", F.posexplode("path").alias("step", "node"))
 
 
-def cdf_buckets(graph: DataFrame, direction: bool = True) -> tuple[DataFrame, DataFrame]:
-    """First-order sampling tables. ``nodes``: (node, deg, total weight).
-    ``buckets``: every out-edge with its cumulative interval [lo, hi) and
-    each of the ``deg`` equal-width buckets of [0, 1) it overlaps (one bucket
-    of slack on both sides), so a uniform draw finds its edge through an
-    equi-join on (node, bucket) — about two rows per edge, no per-node arrays."""
-    e = adjacency_edges(graph, direction)
-    w = Window.partitionBy("src").orderBy("dst")
-    cdf = (e.withColumn("hi", F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-           .withColumn("lo", F.coalesce(F.lag("hi").over(w), F.lit(0.0)))
-           .withColumn("total", F.sum("weight").over(Window.partitionBy("src")))
-           .withColumn("deg", F.count(F.lit(1)).over(Window.partitionBy("src"))))
-    b_lo = F.greatest(F.lit(0), F.floor(F.col("lo") / F.col("total") * F.col("deg")) - 1)
-    b_hi = F.least(F.col("deg") - 1, F.floor(F.col("hi") / F.col("total") * F.col("deg")) + 1)
-    buckets = cdf.select(F.col("src").alias("_bs"), F.col("dst").alias("_bx"), F.col("weight").alias("_bw"),
-                         F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"),
-                         F.explode(F.sequence(b_lo.cast("int"), b_hi.cast("int"))).alias("_bb"))
-    nodes = cdf.select(F.col("src").alias("_nn"), F.col("deg").alias("_ndeg"), F.col("total").alias("_ntot")).distinct()
-    return nodes, buckets
-
-
-def _exact_step(state: DataFrame, out_e: DataFrame, back: DataFrame, step: int, p: float, q: float) -> DataFrame:
-    """One node2vec step computed from all out-edges of the current node
-    (used only for walkers whose rejection attempts all failed)."""
-    key = ["start", "walk"]
-    cand = state.join(out_e, "cur").join(back, ["x", "prev"], "left")
-    alpha = (F.when(F.col("prev").isNull(), F.lit(1.0))
-             .when(F.col("x") == F.col("prev"), F.lit(1.0 / p))
-             .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
-    wk = Window.partitionBy(*key).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = (cand.withColumn("_u", F.col("w") * alpha)
-            .withColumn("_hi", F.sum("_u").over(wk) / F.sum("_u").over(Window.partitionBy(*key)))
-            .withColumn("_r", uniform01("start", "walk", F.lit(step), F.lit("exact"))))
-    return cand.groupBy(*key).agg(
-        F.coalesce(F.min(F.when(F.col("_hi") > F.col("_r"), F.col("x"))), F.max("x")).alias("_nx"))
+def walk_table(graph: DataFrame, direction: bool = True, threshold: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Alias table of every node's out-edges by weight, each row with the slots
+    and the size of a slot of the nodes it leads to, and (node, n, size)."""
+    ticks = weight_ticks(adjacency_edges(graph, direction), "src", "weight", threshold=threshold)
+    table = cut_lineage(alias_table(ticks, "src", "dst", "ticks", threshold))
+    nodes = cut_lineage(table.groupBy("src").agg(F.max("n").alias("n"), F.max("size").alias("size")).withColumnRenamed("src", "node"))
+    out = table.select(F.col("src").alias("_ts"), F.col("slot").alias("_tk"), "dst", "cut", "alias")
+    for end, pre in (("dst", "_d"), ("alias", "_a")):
+        side = nodes.select(F.col("node").alias(end), F.col("n").alias(f"{pre}n"), F.col("size").alias(f"{pre}size"))
+        out = join_per_key(out, side, end, "left", threshold)
+    return cut_lineage(out), nodes
 
 
 def biased_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: int = NUM_WALKS,
                  p: float = RETURN_P, q: float = INOUT_Q, direction: bool = True,
-                 checkpoint_every: int = 1, attempts: int = 8) -> DataFrame:
+                 checkpoint_every: int = 1, attempts: int = 8, threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """node2vec walks. The first step draws a neighbour by edge weight;
     later steps weight neighbour x of the current node by ``1/p`` (x is the
     previous node), ``1`` (x links back to it) or ``1/q``.
 
-    Each step is exact rejection sampling: ``attempts`` proposals per walker
-    from the first-order distribution (equi-join on (node, CDF bucket)),
-    each accepted with probability alpha / max(alpha); the first accepted
-    proposal wins. Walkers whose proposals were all rejected (rare) take the
-    exact step over their node's out-edges. Work per step is
-    walkers x attempts, independent of node degree. The walker state feeds
-    three branches of a step, so it is checkpointed after every step (the
-    plan would otherwise triple per step). With p = q = 1 the reference
-    falls back to unweighted walks, and so does this."""
+    Each step is exact rejection sampling: proposals come from the alias table
+    of the first-order weights (an equi-join on (node, slot), with the walker's
+    own slot count, so walkers at a hub spread over its edges) and are accepted
+    with probability alpha / max(alpha); the first accepted one wins. Walkers
+    try ``attempts`` proposals; those without an accepted one go on with twice
+    as many, until none is left. The proposals of a walker are numbered on, so
+    the result does not depend on ``attempts``. Expected work per step is
+    walkers x max(alpha) / min(alpha), whatever the degrees. The walker state
+    feeds several branches of a step, so it is checkpointed after every step.
+    With p = q = 1 the reference falls back to unweighted walks, and so does this."""
     if p == 1 and q == 1:
-        return uniform_walks(graph, walk_length, num_walks, direction, checkpoint_every)
-    # sampling tables are read by every step: materialise them once
+        return uniform_walks(graph, walk_length, num_walks, direction, checkpoint_every, threshold)
     e = cut_lineage(adjacency_edges(graph, direction))
-    nodes, buckets = cdf_buckets(e, True)
-    nodes, buckets = cut_lineage(nodes), cut_lineage(buckets)
-    out_e = e.select(F.col("src").alias("cur"), F.col("dst").alias("x"), F.col("weight").alias("w"))
-    back = e.select(F.col("src").alias("x"), F.col("dst").alias("prev"), F.lit(True).alias("_xt"))
+    table, nodes = walk_table(e, True, threshold)
+    back = e.select(F.col("src").alias("_kx"), F.col("dst").alias("_kp"), F.lit(True).alias("_xt")).distinct()
     amax = max(1.0 / p, 1.0, 1.0 / q)
     key = ["start", "walk"]
-    state = (_nodes(e).withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
+    state = (_nodes(e).join(nodes, "node", "left").withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(num_walks - 1))))
              .select(F.col("node").alias("start"), "walk", F.col("node").alias("cur"),
-                     F.lit(None).cast(graph.schema["src"].dataType).alias("prev"),
-                     F.array(F.col("node")).alias("path"), F.lit(True).alias("live")))
+                     F.lit(None).cast(e.schema["src"].dataType).alias("prev"), "n", "size",
+                     F.array(F.col("node")).alias("path")))
     state = cut_lineage(state)
-    for step in range(1, walk_length):
-        live = state.where("live").join(nodes, F.col("cur") == F.col("_nn"))
-        prop = live.select(*key, "cur", "prev", "_ndeg", "_ntot",
-                           F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("_a"))
-        prop = (prop.withColumn("_u1", uniform01("start", "walk", F.lit(step), "_a", F.lit("p")))
-                .withColumn("_u2", uniform01("start", "walk", F.lit(step), "_a", F.lit("a")))
-                .withColumn("_b", F.floor(F.col("_u1") * F.col("_ndeg")).cast("int")))
-        prop = prop.join(buckets, (prop["cur"] == buckets["_bs"]) & (prop["_b"] == buckets["_bb"])
-                         & (prop["_u1"] * prop["_ntot"] >= buckets["_blo"])
-                         & (prop["_u1"] * prop["_ntot"] < buckets["_bhi"]))
-        bk = back.select(F.col("x").alias("_kx"), F.col("prev").alias("_kp"), "_xt")
-        prop = prop.join(bk, (prop["_bx"] == bk["_kx"]) & (prop["prev"] == bk["_kp"]), "left")
-        alpha = (F.when(F.col("prev").isNull(), F.lit(1.0))
-                 .when(F.col("_bx") == F.col("prev"), F.lit(1.0 / p))
-                 .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
-        acc = prop.where(F.col("_u2") < alpha / F.lit(amax))
-        chosen = acc.groupBy(*key).agg(F.min_by("_bx", "_a").alias("_nx"))
-        # live walkers at a node with out-edges but no accepted proposal
-        stepped = cut_lineage(
-            state.join(chosen, key, "left")
-            .join(nodes.select(F.col("_nn").alias("cur"), F.lit(True).alias("_has_out")), "cur", "left"))
-        missed = stepped.where(F.col("live") & F.col("_nx").isNull() & F.col("_has_out").isNotNull())
-        if missed.limit(1).count() > 0:
-            exact = _exact_step(missed.select(*key, "cur", "prev"), out_e, back, step, p, q)
-            stepped = cut_lineage(stepped.join(exact.withColumnRenamed("_nx", "_ex"), key, "left")
-                                  .withColumn("_nx", F.coalesce("_nx", "_ex")).drop("_ex"))
-        state = stepped.select(
-            *key, F.coalesce("_nx", "cur").alias("cur"),
-            F.when(F.col("_nx").isNotNull(), F.col("cur")).otherwise(F.col("prev")).alias("prev"),
-            F.when(F.col("_nx").isNotNull(), F.concat("path", F.array("_nx"))).otherwise(F.col("path")).alias("path"),
-            F.col("_nx").isNotNull().alias("live"))
-    return state.select("start", "walk", F.posexplode("path").alias("step", "node"))
 
+    def proposals(walkers: DataFrame, step: int, lo: int, hi: int) -> DataFrame:
+        """The first accepted one of proposals [lo, hi) of each walker."""
+        def u(what: str) -> Column:
+            return uniform01("start", "walk", F.lit(step), "_a", F.lit(what))
+
+        tried = (walkers.select(*key, "cur", "prev", "n", "size", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))).alias("_a"))
+                 .withColumn("_slot", F.least(F.floor(u("s") * F.col("n")), F.col("n") - 1).cast("bigint")))
+        tried = tried.join(table, (tried["cur"] == table["_ts"]) & (tried["_slot"] == table["_tk"]))
+        own = u("c") * F.col("size") < F.col("cut")
+        tried = tried.select(*key, "prev", "_a", *[F.when(own, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
+            ("dst", "alias", "x"), ("_dn", "_an", "xn"), ("_dsize", "_asize", "xsize"))])
+        tried = tried.join(back, (tried["x"] == back["_kx"]) & (tried["prev"] == back["_kp"]), "left")
+        alpha = (F.when(F.col("prev").isNull(), F.lit(1.0 * amax))
+                 .when(F.col("x") == F.col("prev"), F.lit(1.0 / p))
+                 .when(F.col("_xt"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
+        return tried.where(u("a") < alpha / F.lit(amax)).groupBy(*key).agg(F.min_by(F.struct("x", "xn", "xsize"), "_a").alias("_to"))
 
-def walk_sentences(walks: DataFrame) -> DataFrame:
-    """Walk rows -> one token array per walk (bounded by the walk length)."""
-    seq = F.array_sort(F.collect_list(F.struct("step", F.col("node").cast("string").alias("tok"))))
-    return walks.groupBy("start", "walk").agg(seq.alias("_s")).select("start", "walk", F.col("_s.tok").alias("tokens"))
-
-
-def skipgram_embeddings(walks: DataFrame, dim: int = EMBED_SIZE, window: int = WINDOW_SIZE,
-                        epochs: int = EPOCHS, seed: int = 39, num_partitions: int | None = None) -> DataFrame:
-    """Skip-gram (hierarchical softmax) over the walks with MLlib
-    Word2Vec; every node is kept (minCount 0). Returns (node, vector)."""
-    from pyspark.ml.feature import Word2Vec
-
-    sentences = walk_sentences(walks)
-    parts = num_partitions or max(1, int(walks.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=0, maxIter=epochs, seed=seed,
-                   inputCol="tokens", outputCol="_v", numPartitions=parts)
-    model = w2v.fit(sentences)
-    from pyspark.ml.functions import vector_to_array
-    return model.getVectors().select(F.col("word").cast("bigint").alias("node"),
-                                     vector_to_array("vector", "float32").alias("vec"))
+    for step in range(1, walk_length):
+        chosen, lo, hi = None, 0, attempts
+        pending = state.where(F.col("n").isNotNull())
+        while True:
+            found = cut_lineage(proposals(pending, step, lo, hi))
+            chosen = found if chosen is None else chosen.unionByName(found)
+            pending = pending.join(found.select(*key), key, "left_anti")
+            if pending.isEmpty():
+                break
+            pending = cut_lineage(pending)
+            lo, hi = hi, hi + 2 * (hi - lo)
+        went = F.col("_to").isNotNull()
+        state = cut_lineage(state.join(chosen, key, "left").select(
+            *key, F.coalesce("_to.x", "cur").alias("cur"), F.when(went, F.col("cur")).otherwise(F.col("prev")).alias("prev"),
+            F.when(went, F.col("_to.xn")).alias("n"), F.when(went, F.col("_to.xsize")).alias("size"),
+            F.when(went, F.concat("path", F.array("_to.x"))).otherwise(F.col("path")).alias("path")))
+    return state.select("start", "walk", F.posexplode("path").alias("step", "node"))

@@ -9,36 +9,94 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import hash32, uniform01
 from recsmith.operators.encode import attach_scalars, bounded_broadcast, dense_ids
+from recsmith.operators.sequence import positions
 from recsmith.session import cut_lineage
 
 
+#: Ranks of a user's complement that one row of the rank directory covers.
+RANK_BUCKET = 1024
+
+
+def _occurrences(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``_dup``: 0 for the first row of a key, 1, 2, ... for repeated ones (null
+    is a key value like any other). Only keys that do repeat are numbered, a
+    hot one over many tasks."""
+    often = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(F.struct(*key).alias("_often"))
+    if often.isEmpty():
+        return rows.withColumn("_dup", F.lit(0).cast("bigint"))
+    keyed = rows.withColumn("_key", F.struct(*key))
+    once = keyed.join(often, F.col("_key") == F.col("_often"), "left_anti").withColumn("_dup", F.lit(0).cast("bigint"))
+    many = cut_lineage(positions(keyed.join(often, F.col("_key") == F.col("_often"), "left_semi"), "_key", ["_key"], loc="_dup", size=None))
+    return once.unionByName(many.withColumn("_dup", F.col("_dup").cast("bigint"))).drop("_key")
+
+
+def rank_directory(users: DataFrame, taken: DataFrame, n_items: int, bucket: int = RANK_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """The items 0..n_items-1 that a user has not taken, by rank, without
+    listing them. ``users``: (_u); ``taken``: distinct (_h_user, _pidx).
+
+    The item of rank r is r plus the number of taken items below it. With the
+    taken items in order h_0 < h_1 < ..., s_j = h_j - j items that are not taken
+    lie below h_j, so that number is #{j : s_j <= r}. Ranks are cut into
+    buckets; a row (user, bucket) has the number of taken items before the
+    bucket (``_base``) and, for each of its at most ``bucket`` different s, the
+    number up to it (``_list``). A rank finds its item by an equi-join on
+    (user, r div bucket), see :func:`item_of_rank`.
+
+    Returns ``sizes`` (_u, _C: how many are not taken, none left out) and the
+    directory (_du, _b, _base, _list)."""
+    placed = positions(taken, "_h_user", ["_pidx"], loc="_j", size=None)
+    steps = (placed.groupBy("_h_user", (F.col("_pidx") - F.col("_j")).alias("_s")).agg((F.max("_j") + 1).cast("bigint").alias("_upto"))
+             .withColumn("_b", F.floor(F.col("_s") / bucket)))
+    lists = steps.groupBy("_h_user", "_b").agg(F.array_sort(F.collect_list(F.struct("_s", "_upto"))).alias("_list"), F.max("_upto").alias("_last"))
+    counts = taken.groupBy("_h_user").agg(F.count(F.lit(1)).alias("_taken"))
+    sizes = (users.join(counts, F.col("_u").eqNullSafe(F.col("_h_user")), "left")
+             .select("_u", (F.lit(n_items) - F.coalesce("_taken", F.lit(0))).alias("_C")).where(F.col("_C") > 0))
+    grid = sizes.select(F.col("_u").alias("_du"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_C") - 1) / bucket))).alias("_b"))
+    grid = grid.join(lists.withColumnRenamed("_b", "_lb"), F.col("_du").eqNullSafe(F.col("_h_user")) & (F.col("_b") == F.col("_lb")), "left")
+    before = Window.partitionBy("_du").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    directory = grid.select("_du", "_b", F.coalesce(F.last("_last", ignorenulls=True).over(before), F.lit(0)).alias("_base"), "_list")
+    return sizes, directory
+
+
+def item_of_rank(draws: DataFrame, directory: DataFrame, bucket: int = RANK_BUCKET) -> DataFrame:
+    """``_pidx`` for draws (_u, _r, ...) by the directory."""
+    j = draws.withColumn("_rb", F.floor(F.col("_r") / bucket)).join(
+        directory, F.col("_u").eqNullSafe(F.col("_du")) & (F.col("_rb") == F.col("_b")))
+    below = F.array_max(F.transform(F.filter("_list", lambda x: x["_s"] <= F.col("_r")), lambda x: x["_upto"]))
+    return j.withColumn("_pidx", F.col("_r") + F.coalesce(below, F.col("_base"))).drop("_du", "_b", "_rb", "_base", "_list")
+
+
 def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int = 4,
                     attempts: int = 32, user: str = "user_id", item: str = "item_id",
                     category: str = "category", row_key: tuple[str, ...] = ("user_id", "item_id", "time_us"),
-                    label: str = "label", first_round: int = 12) -> DataFrame:
+                    label: str = "label", first_round: int = 12, distinct_rows: bool = False) -> DataFrame:
     """Every row yields itself (label 1) plus ``k`` items the user never
     clicked, drawn uniformly **with replacement**; a negative takes that
     item's category and keeps the rest of the row (context, history).
 
     Exact, distributed, no per-user pool materialisation:
 
-    1. the pool ``(item, category)`` is numbered 0..N-1;
+    1. the pool ``(item, category)`` is numbered 0..N-1 (null is no item);
     2. each row makes ``attempts`` uniform draws ``hash(row, a) mod N``;
        draws landing in the user's history are rejected (anti join) and
        the first ``k`` accepted by attempt number are kept — rejection
        sampling, i.e. uniform over the pool minus the history;
-    3. rows still short draw the remainder directly from the complement:
-       the complement is described as gaps between the user's sorted
-       history indices, so draw ``r`` maps to an index by a range lookup
-       on ~(history size) gap rows, never a user x pool product;
+    3. rows still short draw ranks of the complement directly, which the
+       :func:`rank_directory` turns into items by equi-joins on (user, bucket);
     4. a user who clicked the whole pool gets fewer negatives (Q16).
+
+    Null users and items are values like others: their rows get negatives, and
+    the history of the null user is what its rows have clicked. Rows with equal
+    keys are rows of their own with draws of their own; ``distinct_rows`` says
+    that there are none, which saves a pass over the keys.
     """
     key = list(row_key)
+    pool = pool.where(F.col(item).isNotNull())
     ids = dense_ids(pool.select(item), item, start=0, name="_pidx")
     # the numbered pool (one row per item) is read by four joins; its size
     # is measured once and decides whether it may be broadcast
@@ -47,59 +105,59 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     pool_side = bounded_broadcast(
         pool_ix.select("_pidx", F.col(item).alias("_neg_item"), F.col(category).alias("_neg_cat")), n_items)
 
+    # a row is known by its key and occurrence; two structs with nulls in the
+    # same places are equal, so joins on it are null-safe
+    base = rows.withColumn("_dup", F.lit(0).cast("bigint")) if distinct_rows else _occurrences(rows, key)
+    base = base.withColumn("_k", F.struct(*key, "_dup"))
+
+    def row_hash(a, per_row: int, *more):
+        """Draw ``a`` of a row; its repetitions go on where it ends."""
+        return hash32(*[F.col("_k")[c] for c in key], *more, F.col(a) + F.col("_k")["_dup"] * F.lit(per_row))
+
     # 2. rejection draws, in two rounds: every row tries attempts
     #    [0, first_round); only rows still short of k try [first_round,
     #    attempts). The first k accepted by attempt number are exactly those
     #    of a single pass over all attempts, with far fewer rows drawn.
-    hist = history.select(F.col(user).alias("_h_user"), F.col(item).alias("_h_item")).distinct()
+    hist = history.where(F.col(item).isNotNull()).select(F.col(user).alias("_h_user"), F.col(item).alias("_h_item")).distinct()
 
     def draws(keys: DataFrame, lo: int, hi: int) -> DataFrame:
         att = keys.withColumn("_a", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))))
-        att = att.withColumn("_pidx", F.pmod(hash32(*[F.col(c) for c in key], F.col("_a")),
-                                             F.lit(max(n_items, 1))).cast("bigint"))
+        att = att.withColumn("_pidx", F.pmod(row_hash("_a", attempts), F.lit(max(n_items, 1))).cast("bigint"))
         cand = att.join(pool_side, "_pidx")
-        return cand.join(hist, (cand[user] == hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
-                         "left_anti").select(*key, "_a", "_neg_item", "_neg_cat")
+        return cand.join(hist, cand["_u"].eqNullSafe(hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
+                         "left_anti").select("_k", "_u", "_a", "_neg_item", "_neg_cat")
 
-    row_keys = rows.select(*key)
+    row_keys = base.select("_k", F.col(user).alias("_u"))
     split_at = min(first_round, attempts)
     accepted = cut_lineage(draws(row_keys, 0, split_at))
     if attempts > split_at:
-        done = accepted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select(*key)
-        accepted = accepted.unionByName(draws(row_keys.join(done, key, "left_anti"), split_at, attempts))
-    w = Window.partitionBy(*key).orderBy("_a")
+        done = accepted.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("_k")
+        accepted = accepted.unionByName(draws(row_keys.join(done, "_k", "left_anti"), split_at, attempts))
+    w = Window.partitionBy("_k").orderBy("_a")
     first = accepted.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
-    first = cut_lineage(first.select(*key, "_j", "_neg_item", "_neg_cat"))
+    first = cut_lineage(first.select("_k", "_j", "_neg_item", "_neg_cat"))
 
     # 3. exact remainder for short rows
-    got = first.groupBy(*key).agg(F.count(F.lit(1)).alias("_got"))
-    short = (rows.select(*key).join(got, key, "left")
-             .withColumn("_got", F.coalesce(F.col("_got"), F.lit(0)))
+    got = first.groupBy("_k").agg(F.count(F.lit(1)).alias("_got"))
+    short = (row_keys.join(got, "_k", "left").withColumn("_got", F.coalesce(F.col("_got"), F.lit(0)))
              .where(F.col("_got") < k))
-    short_users = short.select(user).distinct()
-    h_ix = (hist.join(short_users.withColumnRenamed(user, "_h_user"), "_h_user", "left_semi")
-            .join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
-            .select("_h_user", "_pidx").distinct())
-    wg = Window.partitionBy("_h_user").orderBy("_pidx")
-    prev = F.coalesce(F.lag("_pidx").over(wg), F.lit(-1))
-    inner_gaps = h_ix.select("_h_user", (prev + 1).alias("_gs"), (F.col("_pidx") - prev - 1).alias("_gl"))
-    tail = h_ix.groupBy("_h_user").agg(F.max("_pidx").alias("_mx")).select(
-        "_h_user", (F.col("_mx") + 1).alias("_gs"), (F.lit(n_items) - F.col("_mx") - 1).alias("_gl"))
-    gaps = inner_gaps.unionByName(tail).where(F.col("_gl") > 0)
-    wc = Window.partitionBy("_h_user").orderBy("_gs").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # running end of each gap and the user's complement size, in one window pass
-    gaps = gaps.select(F.col("_h_user").alias("_g_user"), "_gs", "_gl", F.sum("_gl").over(wc).alias("_ce"),
-                       F.sum("_gl").over(Window.partitionBy("_h_user")).alias("_C"))
-    need = (short.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-            .where(F.col("_j") >= F.col("_got")))
-    draw = F.pmod(hash32(*[F.col(c) for c in key], F.lit("x"), F.col("_j")), F.col("_C"))
-    rest = need.join(gaps, (need[user] == gaps["_g_user"]) & (draw >= F.col("_ce") - F.col("_gl"))
-                     & (draw < F.col("_ce")))
-    rest = rest.withColumn("_pidx", (F.col("_gs") + draw - (F.col("_ce") - F.col("_gl"))).cast("bigint"))
-    rest = rest.join(pool_side, "_pidx").select(*key, "_j", "_neg_item", "_neg_cat")
-
-    negs = first.unionByName(rest)
-    neg_rows = rows.join(negs, key).select(
+    short = cut_lineage(short)
+    negs = first
+    if n_items and not short.isEmpty():
+        users = cut_lineage(short.select("_u").distinct())
+        taken = cut_lineage(hist.join(users, F.col("_h_user").eqNullSafe(F.col("_u")), "left_semi")
+                            .join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
+                            .select("_h_user", "_pidx").distinct())
+        sizes, directory = rank_directory(users, taken, n_items)
+        sizes = cut_lineage(sizes)
+        sizes = bounded_broadcast(sizes.withColumnRenamed("_u", "_su"), sizes.count())
+        need = (short.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where(F.col("_j") >= F.col("_got"))
+                .join(sizes, F.col("_u").eqNullSafe(F.col("_su")))
+                .withColumn("_r", F.pmod(row_hash("_j", k, F.lit("x")), F.col("_C")).cast("bigint")).select("_k", "_u", "_j", "_r"))
+        rest = item_of_rank(need, directory).join(pool_side, "_pidx").select("_k", "_j", "_neg_item", "_neg_cat")
+        negs = first.unionByName(rest)
+
+    neg_rows = base.join(negs, "_k").select(
         *[F.col("_neg_item").alias(item) if c == item else
           F.col("_neg_cat").alias(category) if c == category else F.col(c) for c in rows.columns],
         F.lit(0).alias(label))
@@ -143,19 +201,29 @@ def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | N
     return below.unionByName(edge).drop("_h", "_b", "_cb", "_need")
 
 
-def bootstrap(df: DataFrame, fraction: float = 0.8, seed: int = 39, key: list[str] | None = None) -> DataFrame:
-    """Bootstrap with replacement. How often a row is drawn is Poisson
-    with mean ``fraction``, taken from the hash of its ``key`` (all columns by
-    default) by the inverse distribution function, so the draw does not depend
-    on the partitioning and a retried task draws the same rows."""
-    u = uniform01(*[F.col(c).cast("string") for c in key or df.columns], F.lit(seed))
+def poisson_cuts(fraction: float) -> list[float]:
+    """Values of the Poisson distribution function, up to 1 - 1e-12."""
     term = total = math.exp(-fraction)
     below = [total]
     while total < 1.0 - 1e-12 and len(below) < 200:
         term *= fraction / len(below)
         total += term
         below.append(total)
-    times = sum((F.when(u >= F.lit(b), 1).otherwise(0) for b in below), F.lit(0))
+    return below
+
+
+def poisson_times(key: list[Column], fraction: float, seed: int) -> Column:
+    """How often a bootstrap draws the row of ``key``: Poisson with mean
+    ``fraction`` from the key's hash, by the inverse distribution function."""
+    u = uniform01(*[c.cast("string") for c in key], F.lit(seed))
+    return sum((F.when(u >= F.lit(b), 1).otherwise(0) for b in poisson_cuts(fraction)), F.lit(0))
+
+
+def bootstrap(df: DataFrame, fraction: float = 0.8, seed: int = 39, key: list[str] | None = None) -> DataFrame:
+    """Bootstrap with replacement. How often a row is drawn follows from
+    the hash of its ``key`` (all columns by default), so the draw does not
+    depend on the partitioning and a retried task draws the same rows."""
+    times = poisson_times([F.col(c) for c in key or df.columns], fraction, seed)
     copies = df.withColumn("_times", times).where(F.col("_times") > 0)
     return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*df.columns)
 

@@ -197,3 +197,57 @@ def with_next(df: DataFrame, key: str, order: list[str], cols: dict[str, str],
     if not loc:
         h = h.drop("_loc")
     return out.unionByName(h)
+
+
+def running(df: DataFrame, key: str, order: list[str], sums: dict[str, str] | None = None, lasts: dict[str, str] | None = None,
+            threshold: int = HOT_KEY_ROWS, known: HotSet | None = None) -> DataFrame:
+    """Running totals (``sums``: column -> new column) and last values that are
+    not null (``lasts``) per key, the current row included. Normal keys take one
+    window; a hot key is range partitioned, runs inside its partitions, and
+    what earlier partitions hold comes from a table with one row for each
+    (partition, hot key)."""
+    sums, lasts = sums or {}, lasts or {}
+    normal, hot = split_hot(df, key, threshold, known)
+    upto = Window.partitionBy(key).orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def add(rows: DataFrame, window) -> DataFrame:
+        return rows.select("*", *[F.sum(c).over(window).alias(dst) for c, dst in sums.items()],
+                           *[F.last(c, ignorenulls=True).over(window).alias(dst) for c, dst in lasts.items()])
+
+    out = add(normal, upto)
+    if hot is None:
+        return out
+    ranged = range_numbered(hot, [F.col(key).asc()] + _order_cols(order))
+    own = add(ranged, Window.partitionBy("_pid", key).orderBy("_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = ranged.groupBy("_pid", key).agg(*[F.sum(c).alias(f"_s_{c}") for c in sums],
+                                            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_idx"))).alias(f"_l_{c}") for c in lasts],
+                                            F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(F.col("_pid").alias("_bpid"), F.col(key).alias("_bkey"),
+                          *[F.sum(f"_s_{c}").over(earlier).alias(f"_bs_{c}") for c in sums],
+                          *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_bl_{c}") for c in lasts])
+    # one row per (partition, hot key): bounded by partitions x hot keys
+    joined = own.join(F.broadcast(before), (F.col("_pid") == F.col("_bpid")) & own[key].eqNullSafe(F.col("_bkey")))
+    types = dict(out.dtypes)
+    full = {dst: (F.col(dst) + F.coalesce(F.col(f"_bs_{c}"), F.lit(0))).cast(types[dst]) for c, dst in sums.items()}
+    full |= {dst: F.coalesce(dst, f"_bl_{c}") for c, dst in lasts.items()}
+    return out.unionByName(joined.select(*[full.get(c, F.col(c)).alias(c) for c in out.columns]))
+
+
+def join_per_key(df: DataFrame, per_key: DataFrame, key: str, how: str = "left", threshold: int = HOT_KEY_ROWS,
+                 known: HotSet | None = None) -> DataFrame:
+    """``df`` with the other columns of ``per_key`` (one row a key, null a key
+    like any other). Rows of hot keys meet a broadcast of those keys' rows
+    only (bounded like the hot set), so that no key is joined in one task."""
+    side = per_key.withColumnRenamed(key, "_pk")
+    normal, hot = split_hot(df, key, threshold, known)
+
+    def joined(rows: DataFrame, small: DataFrame) -> DataFrame:
+        return rows.join(small, rows[key].eqNullSafe(F.col("_pk")), how).drop("_pk")
+
+    out = joined(normal, side)
+    if hot is None:
+        return out
+    keys = hot.select(F.col(key).alias("_hk")).distinct()
+    few = side.join(F.broadcast(keys), F.col("_pk").eqNullSafe(F.col("_hk")), "left_semi")
+    return out.unionByName(joined(hot, F.broadcast(few)))

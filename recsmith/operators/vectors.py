@@ -1,12 +1,5 @@
-"""Vector retrieval and scoring (V1..V5, H3, M6, M8, G8).
-
-Exact top-k by inner product (or cosine) never materialises query x item
-rows: queries are hashed into ``Bq`` blocks and items into ``Bi`` blocks;
-each (query block, item block) pair is one cogroup task that computes the
-score matrix with numpy and emits only its per-query top-k (plus ties);
-a final row_number keeps k per query. Both sides are replicated only by
-the block count of the other side, so memory per task is bounded by
-``block x block`` scores.
+"""Vector scoring and pooling (V1..V3, H3, M6, M8); retrieval (V4, V5, G8) is in
+``operators/retrieval.py`` and offered here under its old name.
 
 Dot products are accumulated dimension by dimension (left to right), the
 same order as the SQL twin, so scores agree to the last bit.
@@ -14,73 +7,13 @@ same order as the SQL twin, so scores agree to the last bit.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import affinity, uniform01
-from recsmith.operators.logs import rank_in_group
-
-BLOCK = 2048
-
-
-def _scores(q: np.ndarray, i: np.ndarray, cosine: bool) -> np.ndarray:
-    acc = q[:, 0][:, None] * i[:, 0][None, :]
-    for d in range(1, q.shape[1]):
-        acc += q[:, d][:, None] * i[:, d][None, :]
-    if cosine:
-        qn = q[:, 0] * q[:, 0]
-        inn = i[:, 0] * i[:, 0]
-        for d in range(1, q.shape[1]):
-            qn = qn + q[:, d] * q[:, d]
-            inn = inn + i[:, d] * i[:, d]
-        acc = acc / (np.sqrt(qn)[:, None] * np.sqrt(inn)[None, :])
-    return acc
-
-
-def _block_topk_fn(k: int, cosine: bool, exclude_self: bool):
-    def fn(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or idf.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "item_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        q = np.stack([np.asarray(v, dtype=np.float64) for v in qdf["vec"]])
-        it = np.stack([np.asarray(v, dtype=np.float64) for v in idf["vec"]])
-        qids = qdf["qid"].to_numpy(dtype=np.int64)
-        iids = idf["item_id"].to_numpy(dtype=np.int64)
-        s = _scores(q, it, cosine)
-        if exclude_self:
-            s = np.where(qids[:, None] == iids[None, :], -np.inf, s)
-        kk = min(k, s.shape[1])
-        # k-th best per row; keep everything >= it (ties survive to the final cut)
-        kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
-        rows, cols = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
-        return pd.DataFrame({"qid": qids[rows], "item_id": iids[cols], "score": s[rows, cols]})
-    return fn
-
-
-def topk_similar(queries: DataFrame, items: DataFrame, k: int = 100, cosine: bool = False,
-                 exclude_self: bool = False, block: int = BLOCK) -> DataFrame:
-    """Exact top-``k`` items per query by inner product (or
-    cosine). ``queries``: (qid, vec); ``items``: (item_id, vec).
-    Returns (qid, rank, item_id, score) with ties broken by item id."""
-    nq = queries.count()
-    ni = items.count()
-    bq, bi = max(1, math.ceil(nq / block)), max(1, math.ceil(ni / block))
-    q = (queries.select(F.col("qid").cast("bigint"), F.col("vec"))
-         .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)))
-         .withColumn("ib", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bi - 1).cast("bigint")))))
-    it = (items.select(F.col("item_id").cast("bigint"), F.col("vec"))
-          .withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(bi)))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bq - 1).cast("bigint")))))
-    res = (q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib"))
-           .applyInPandas(_block_topk_fn(k, cosine, exclude_self), "qid long, item_id long, score double"))
-    ranked = rank_in_group(res, "qid", "score", ["item_id"], k=k)
-    return ranked.select("qid", F.col("rank").cast("int").alias("rank"), "item_id",
-                         F.round("score", 6).alias("score"))
-
+from recsmith.operators.retrieval import topk_similar  # noqa: F401
 
 def history_mean_pool(log: DataFrame, vecs: DataFrame, user: str = "user_id", item: str = "item_id",
                       dim: int | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.functions.arrays import join_ints
-from recsmith.operators.encode import apply_encoding, fit_encoding
+from recsmith.operators.encode import apply_encoding, fit_encodings
 from recsmith.operators.logs import click_history, latest_click
 from recsmith.operators.sampling import negative_sample
 from recsmith.plans.registry import register
@@ -35,9 +35,7 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     enriched = (log.select("user_id", "item_id", "time_us", *context)
                 .join(articles, "item_id", "left"))                                    # J1
     latest = latest_click(enriched, ("user_id", "item_id"), "time_us")                 # W1
-    states = dict(states or {})
-    for f in ("user_id", "item_id", "category", *context):                             # E2 fit
-        states[f] = fit_encoding(latest, f, states.get(f))
+    states = fit_encodings(latest, ["user_id", "item_id", "category", *context], states)   # E2 fit
     # item and category codes (small states) before the history window; the
     # window runs per *raw* user so the user-code join afterwards reuses its
     # partitioning instead of shuffling the log again (codes ascend with the
@@ -55,7 +53,8 @@ def ctr_training_set(log: DataFrame, k: int = 4, hist_len: int = 20, attempts: i
     train = feats.where(F.col("split") == "train").drop("split")
     test = feats.where(F.col("split") == "test").drop("split").withColumn("label", F.lit(1))  # P7
     pool = enc.select("item_id", "category").distinct()                                # A11
-    labelled = negative_sample(train, pool, enc.select("user_id", "item_id"), k=k, attempts=attempts)
+    labelled = negative_sample(train, pool, enc.select("user_id", "item_id"), k=k, attempts=attempts,
+                               distinct_rows=True)  # W1 leaves one row a user and item
     out = (labelled.withColumn("split", F.lit("train"))
            .unionByName(test.withColumn("split", F.lit("test"))))
     return out, states

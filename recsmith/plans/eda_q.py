@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 from recsmith.operators import eda
 from recsmith.plans.recall import recall_split
@@ -64,6 +64,15 @@ def q_gap_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.gap_distribution(train)
 
 
+@register("percentiles_by_group", f"""SELECT lang, source, unnest({_PCT_LIST})::DOUBLE AS prob,
+       round(unnest(quantile_cont(CAST(n_chars AS DOUBLE), {_PCT_LIST})), 6) AS value FROM {DOCS_SQL} GROUP BY lang, source""")
+def q_percentiles_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 per group: percentiles of the text length by language and source."""
+    d = docs(spark, sf_dir).select("lang", "source", "n_chars")
+    p = eda.grouped_percentiles(d, ["n_chars"], _PCT, by=["lang", "source"])
+    return p.select("lang", "source", "prob", F.round("value", 6).alias("value"))
+
+
 @register("value_counts", f"""WITH d AS {DOCS_SQL},
 vc AS (SELECT quality, count(*) AS count FROM d GROUP BY quality)
 SELECT quality, count, (SELECT count(*) FROM vc) AS n_values FROM vc""")

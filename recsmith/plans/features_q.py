@@ -201,8 +201,8 @@ def q_linear_logit(spark: SparkSession, sf_dir: str) -> DataFrame:
 z AS (SELECT embedding AS vec FROM embeddings WHERE vec_id = 0 LIMIT 1),
 j AS (SELECT i.item_id, coalesce(e.embedding, (SELECT vec FROM z)) AS emb
       FROM items i LEFT JOIN embeddings e ON e.vec_id = i.item_id)
-SELECT item_id, CAST(emb[1] AS DOUBLE) AS v_first, CAST(emb[64] AS DOUBLE) AS v_last,
-       e2.vec_id IS NOT NULL AS known FROM j LEFT JOIN embeddings e2 ON e2.vec_id = j.item_id""")
+SELECT item_id, CAST(g.k AS INT) AS place, CAST(emb[g.k + 1] AS DOUBLE) AS value,
+       e2.vec_id IS NOT NULL AS known FROM j LEFT JOIN embeddings e2 ON e2.vec_id = j.item_id CROSS JOIN range(64) g(k)""")
 def q_embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basket items -> vectors; items without one get the id-0 vector."""
     items = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item_id")).distinct()
@@ -210,15 +210,14 @@ def q_embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     looked = fe.embedding_lookup(items, "item_id", v, id_col="item_id", vec_col="vec")
     known = v.select(F.col("item_id").alias("_k"), F.lit(True).alias("known"))
     looked = looked.join(known, looked.item_id == known._k, "left")
-    return looked.select("item_id", F.col("emb")[0].cast("double").alias("v_first"),
-                         F.col("emb")[63].cast("double").alias("v_last"),
-                         F.coalesce(F.col("known"), F.lit(False)).alias("known"))
+    return looked.select("item_id", F.posexplode("emb").alias("place", "v"), F.coalesce(F.col("known"), F.lit(False)).alias("known")).select(
+        "item_id", "place", F.col("v").cast("double").alias("value"), "known")
 
 
-@register("assemble_features", """SELECT p.p_partkey AS item_id,
-  CAST(2 + 64 AS INT) AS n_features, CAST(p.p_size AS DOUBLE) AS f0,
-  p.p_retailprice AS f1, coalesce(CAST(e.embedding[1] AS DOUBLE), 0) AS f2, coalesce(CAST(e.embedding[64] AS DOUBLE), 0) AS f65
-FROM part p LEFT JOIN embeddings e ON e.vec_id = p.p_partkey""")
+@register("assemble_features", """SELECT p.p_partkey AS item_id, CAST(g.k AS INT) AS place,
+  CASE g.k WHEN 0 THEN CAST(p.p_size AS DOUBLE) WHEN 1 THEN p.p_retailprice
+           ELSE coalesce(CAST(e.embedding[g.k - 1] AS DOUBLE), 0) END AS value
+FROM part p LEFT JOIN embeddings e ON e.vec_id = p.p_partkey CROSS JOIN range(66) g(k)""")
 def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense columns followed by the item vector as one array; items
     without a vector take zeros."""
@@ -226,8 +225,21 @@ def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = p.join(vectors(spark, sf_dir).select("item_id", "vec"), "item_id", "left").withColumn(
         "vec", F.coalesce("vec", F.array_repeat(F.lit(0.0).cast("float"), 64)))
     a = fe.assemble_features(j, ["p_size", "p_retailprice"], ["vec"])
-    return a.select("item_id", F.size("features").alias("n_features"), F.col("features")[0].alias("f0"),
-                    F.col("features")[1].alias("f1"), F.col("features")[2].alias("f2"), F.col("features")[65].alias("f65"))
+    return a.select("item_id", F.posexplode("features").alias("place", "value"))
+
+
+@register("one_hot_sparse", f"""WITH log AS {CLICKS_SQL},
+codes AS (SELECT item_id, CAST(row_number() OVER (ORDER BY item_id NULLS FIRST) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT item_id FROM log)),
+w AS (SELECT count(*) AS width FROM codes)
+SELECT l.user_id, l.item_id, l.time_us, c.code, width FROM log l JOIN codes c ON c.item_id IS NOT DISTINCT FROM l.item_id CROSS JOIN w""")
+def q_one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 for a wide field: every click's item as the place of its one, of as
+    many columns as there are items; nothing is collected."""
+    log = clicks(spark, sf_dir).select("user_id", "item_id", "time_us")
+    codes = fe.fit_one_hot_sparse(log, "item_id")
+    width = codes.agg(F.count(F.lit(1)).alias("width"))
+    coded = enc.attach_scalars(fe.apply_one_hot_sparse(log, "item_id", codes, "code"), width)
+    return coded.select("user_id", "item_id", "time_us", F.col("code")[0].alias("code"), "width")
 
 
 # ---------------------------------------------------------------- N2 / P2..P4 / E7

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.operators import graph as G
-from recsmith.operators.vectors import topk_similar
+from recsmith.operators.alias import TICKS
+from recsmith.operators.retrieval import topk_similar
+from recsmith.operators.skipgram import skipgram_embeddings
 from recsmith.plans.recall import _split_sql, recall_split
 from recsmith.plans.registry import register
+from recsmith.session import cut_lineage
 from recsmith.sources.fixtures import CLICKS_SQL, clicks
 
 _BASE = f"""{_split_sql(CLICKS_SQL)},
@@ -118,28 +121,79 @@ def q_uniform_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.uniform_walks(undirected_graph(spark, sf_dir))
 
 
-@register("biased_walks")
+def _u_sql(*parts: str) -> str:
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+
+
+def alias_sql(rows: str, group: str, choice: str, ticks: str) -> str:
+    """CTE chain of the alias table of integer weights: ends with
+    ``slots(g, slot, c, cut, alias, size, n)``."""
+    return f"""at AS (SELECT {group} AS g, {choice} AS c, CAST({ticks} AS HUGEINT) AS t,
+       sum(CAST({ticks} AS HUGEINT)) OVER (PARTITION BY {group}) AS size, count(*) OVER (PARTITION BY {group}) AS n,
+       row_number() OVER (PARTITION BY {group} ORDER BY {choice}) - 1 AS slot FROM {rows}),
+ag AS (SELECT *, n * t > size AS heavy, abs(n * t - size) AS gap FROM at),
+ae AS (SELECT *, sum(gap) OVER (PARTITION BY g, heavy ORDER BY c) AS fin, lead(c) OVER (PARTITION BY g, heavy ORDER BY c) AS nxt FROM ag),
+light AS (SELECT * FROM ae WHERE NOT heavy AND gap > 0), heavy AS (SELECT * FROM ae WHERE heavy),
+spent AS (SELECT h.g, h.c, max(l.fin) AS used FROM heavy h JOIN light l ON l.g = h.g AND l.fin - l.gap < h.fin GROUP BY h.g, h.c),
+slots AS (SELECT g, slot, c, size AS cut, c AS alias, size, n FROM ae WHERE gap = 0
+  UNION ALL SELECT l.g, l.slot, l.c, l.n * l.t, h.c, l.size, l.n FROM light l JOIN heavy h
+            ON h.g = l.g AND h.fin - h.gap <= l.fin - l.gap AND l.fin - l.gap < h.fin
+  UNION ALL SELECT h.g, h.slot, h.c, h.size - greatest(0, coalesce(s.used, 0) - h.fin), coalesce(h.nxt, h.c), h.size, h.n
+            FROM heavy h LEFT JOIN spent s ON s.g = h.g AND s.c = h.c)"""
+
+
+_P, _Q = G.RETURN_P, G.INOUT_Q
+_AMAX = max(1.0 / _P, 1.0, 1.0 / _Q)
+_BIASED_SQL = f"""WITH RECURSIVE {_BASE},
+tk AS (SELECT src, dst, greatest(1, CAST(round(weight / max(weight) OVER (PARTITION BY src) * {float(TICKS)}::DOUBLE) AS BIGINT)) AS ticks
+       FROM graph WHERE weight > 0),
+{alias_sql('tk', 'src', 'dst', 'ticks')},
+tab AS (SELECT g, CAST(slot AS BIGINT) AS slot, c, CAST(cut AS DOUBLE) AS cut, alias, CAST(size AS DOUBLE) AS size, CAST(n AS BIGINT) AS n FROM slots),
+deg AS (SELECT DISTINCT g, n FROM tab),
+nodes AS (SELECT src AS node FROM graph UNION SELECT dst FROM graph),
+-- one proposal for every walker that still moves, a row of attempt 0 is a step taken
+tries(start, walk, step, a, cur, prev) AS (
+  SELECT node, CAST(w.walk AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), node, CAST(NULL AS BIGINT) FROM nodes CROSS JOIN range({G.NUM_WALKS}) AS w(walk)
+  UNION ALL
+  SELECT start, walk, CASE WHEN ok THEN step + 1 ELSE step END, CASE WHEN ok THEN 0 ELSE a + 1 END,
+         CASE WHEN ok THEN x ELSE cur END, CASE WHEN ok THEN cur ELSE prev END
+  FROM (SELECT p.*, {_u_sql('p.start', 'p.walk', 'p.step + 1', 'p.a', "'a'")} <
+               CASE WHEN p.prev IS NULL THEN {_AMAX}::DOUBLE WHEN p.x = p.prev THEN {1.0 / _P}::DOUBLE
+                    WHEN b.src IS NOT NULL THEN 1.0::DOUBLE ELSE {1.0 / _Q}::DOUBLE END / {_AMAX}::DOUBLE AS ok
+        FROM (SELECT t.*, CASE WHEN {_u_sql('t.start', 't.walk', 't.step + 1', 't.a', "'c'")} * tab.size < tab.cut
+                               THEN tab.c ELSE tab.alias END AS x
+              FROM tries t JOIN deg ON deg.g = t.cur JOIN tab ON tab.g = t.cur
+               AND tab.slot = least(CAST(floor({_u_sql('t.start', 't.walk', 't.step + 1', 't.a', "'s'")} * deg.n) AS BIGINT), deg.n - 1)
+              WHERE t.step + 1 < {G.WALK_LENGTH}) p
+        LEFT JOIN graph b ON b.src = p.x AND b.dst = p.prev))
+SELECT start, CAST(walk AS INT) AS walk, CAST(step AS INT) AS step, cur AS node FROM tries WHERE a = 0"""
+
+
+@register("biased_walks", _BIASED_SQL)
 def q_biased_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G6 (rows-only): node2vec walks (p = 2, q = 0.5) on the weighted
-    directed graph; invariants are unit-tested."""
+    """node2vec walks (p = 2, q = 0.5) on the weighted directed graph,
+    proposals from the alias table."""
     return G.biased_walks(directed_graph(spark, sf_dir))
 
 
+def _embeddings(spark, sf_dir):
+    walks = cut_lineage(G.uniform_walks(undirected_graph(spark, sf_dir)))
+    return skipgram_embeddings(walks, G.EMBED_SIZE, G.WINDOW_SIZE, G.EPOCHS)
+
+
 @register("node_embeddings")
 def q_node_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G7 (rows-only): skip-gram vectors (dim 128, window 10, 3 epochs)
-    over the uniform walks."""
-    walks = G.uniform_walks(undirected_graph(spark, sf_dir))
-    emb = G.skipgram_embeddings(walks)
-    return emb.select("node", F.size("vec").alias("dim"))
+    over the uniform walks, one row per place."""
+    emb = _embeddings(spark, sf_dir)
+    return emb.select("node", F.posexplode("vec").alias("place", "value")).select("node", "place", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @register("most_similar_nodes")
 def q_most_similar_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G8 (rows-only): 50 nearest nodes by cosine in the learned space,
     self excluded."""
-    walks = G.uniform_walks(undirected_graph(spark, sf_dir))
-    emb = G.skipgram_embeddings(walks)
+    emb = _embeddings(spark, sf_dir)
     q = emb.select(F.col("node").alias("qid"), "vec")
     i = emb.select(F.col("node").alias("item_id"), "vec")
     return topk_similar(q, i, k=50, cosine=True, exclude_self=True)

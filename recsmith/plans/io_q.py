@@ -14,16 +14,16 @@ from recsmith.plans.ctr import CTR_SQL, ctr_training_set, select_ctr_fields
 from recsmith.plans.recall import SIM_COLS, _HOT_SQL, _REC_SQL, _sim_sql, _split_sql, recall_split
 from recsmith.plans.registry import register
 from recsmith.sources import io
-from recsmith.sources.fixtures import CLICKS_SQL, PRODUCTS_SQL, clicks, products, vectors
+from recsmith.sources.fixtures import CLICKS_SQL, clicks, table, vectors
 
 WEEK_US = 7 * 86_400 * 1_000_000
 MAX_STAGE = 9
 
 
-@register("read_table", f"SELECT * FROM {PRODUCTS_SQL}")
+@register("read_table", "SELECT * FROM part")
 def q_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: full scan of one table (pruned to the columns the pipeline uses)."""
-    return products(spark, sf_dir)
+    """S3: full scan of one table, all columns."""
+    return table(spark, sf_dir, "part")
 
 
 @register("read_click_logs", f"""WITH {_split_sql(CLICKS_SQL)},

@@ -11,6 +11,7 @@ from recsmith.functions.columns import rescale
 from recsmith.operators import encode as enc
 from recsmith.operators import logs as L
 from recsmith.operators.similarity import cooccurrence_pairs, pair_accumulate
+from recsmith.operators import chunked
 from recsmith.operators.sampling import negative_sample
 from recsmith.plans.ctr import negatives_sql
 from recsmith.plans.recall import _sim_sql, _split_sql, recall_split
@@ -93,11 +94,10 @@ def q_distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dedup_exact", f"""WITH {_DEDUP.replace('log0 AS', 'log0 AS', 1).replace(CLICKS_SQL, BASKETS_SQL)}
-SELECT user_id, count(*) AS n_rows FROM dedup GROUP BY user_id""")
+SELECT user_id, item_id, time_us FROM dedup""")
 def q_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A12 on baskets (which do contain exact duplicates), rows per user."""
-    b = L.dedup_exact(baskets(spark, sf_dir))
-    return b.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """A12 on baskets (which do contain exact duplicates): the rows that stay."""
+    return L.dedup_exact(baskets(spark, sf_dir)).select("user_id", "item_id", "time_us")
 
 
 @register("median_degree", f"""WITH {_SPLIT},
@@ -141,14 +141,14 @@ def q_latest_click(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("click_history", f"""WITH log AS {CLICKS_SQL},
 h AS (SELECT user_id, item_id, time_us,
              coalesce(list(item_id) OVER (PARTITION BY user_id ORDER BY time_us, item_id
-                                          ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), []) AS hi FROM log)
-SELECT user_id, item_id, time_us, array_to_string(list_resize(hi, greatest(5, len(hi)), 0), ',') AS hist
+                                          ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), []) AS hi FROM log)
+SELECT user_id, item_id, time_us, array_to_string(list_resize(hi, greatest(20, len(hi)), 0), ',') AS hist
 FROM h""")
 def q_click_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W2 + H1 with n = 5 on the raw log."""
+    """W2 + H1 with n = 20 on the raw log."""
     h = L.click_history(clicks(spark, sf_dir).select("user_id", "item_id", "time_us",
                                                      F.col("item_id").cast("int").alias("item_code")),
-                        {"item_code": "hist"}, n=5)
+                        {"item_code": "hist"}, n=20)
     return h.select("user_id", "item_id", "time_us", join_ints("hist").alias("hist"))
 
 
@@ -224,12 +224,12 @@ def q_causal_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ sets / joins
 
 @register("union_logs", f"""WITH {_SPLIT}
-SELECT user_id, count(*) AS n FROM (SELECT user_id FROM train UNION ALL SELECT user_id FROM validate
-  UNION ALL SELECT user_id FROM split WHERE rn = 1) GROUP BY user_id""")
+SELECT user_id, item_id, time_us FROM train UNION ALL SELECT user_id, item_id, time_us FROM validate
+  UNION ALL SELECT user_id, item_id, time_us FROM split WHERE rn = 1""")
 def q_union_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train + validate + test back into one log (rows per user)."""
+    """Train + validate + test back into one log."""
     tr, va, te = recall_split(clicks(spark, sf_dir))
-    return L.union_logs(tr, va, te).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return L.union_logs(tr, va, te).select("user_id", "item_id", "time_us")
 
 
 @register("union_distinct", f"""WITH {_SPLIT}
@@ -338,3 +338,68 @@ def q_rescale_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: affine map of the time column."""
     c = clicks(spark, sf_dir)
     return c.select("user_id", "item_id", rescale("time", TIME_SCALE, TIME_SHIFT).alias("time"))
+
+
+# ------------------------------------------------------------ sequences in chunks
+
+_CHUNK = 16
+_PLACED = f"""{_SPLIT},
+placed AS (SELECT user_id, item_id, time_us, row_number() OVER w - 1 AS p, count(*) OVER (PARTITION BY user_id) AS n,
+                  lead(item_id) OVER w AS nxt FROM train WINDOW w AS (PARTITION BY user_id ORDER BY time_us, item_id))"""
+
+
+@register("user_sequence_chunks", f"""WITH {_PLACED}
+SELECT user_id, p // {_CHUNK} AS chunk, min(p) AS "offset", array_to_string(list(item_id ORDER BY p), ',') AS items,
+       array_to_string(list(time_us ORDER BY p), ',') AS times, max(n) AS n FROM placed GROUP BY user_id, p // {_CHUNK}""")
+def q_user_sequence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + A5 in chunks of 16."""
+    c = chunked.sequence_chunks(_train(spark, sf_dir), size=_CHUNK)
+    return c.select("user_id", "chunk", "offset", join_ints("items").alias("items"), join_ints("times").alias("times"), "n")
+
+
+@register("click_set_chunks", f"""WITH {_SPLIT},
+placed AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1 AS p
+           FROM (SELECT DISTINCT user_id, item_id FROM train))
+SELECT user_id, p // {_CHUNK} AS chunk, array_to_string(list(item_id ORDER BY p), ',') AS items FROM placed GROUP BY user_id, p // {_CHUNK}""")
+def q_click_set_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 (distinct) in chunks of 16."""
+    c = chunked.click_set_chunks(_train(spark, sf_dir), distinct=True, size=_CHUNK)
+    return c.select("user_id", "chunk", join_ints("items").alias("items"))
+
+
+@register("shifted_target_chunks", f"""WITH {_PLACED}
+SELECT user_id, p // {_CHUNK} AS chunk, coalesce(array_to_string(list(item_id ORDER BY p) FILTER (nxt IS NOT NULL), ','), '') AS inputs,
+       coalesce(array_to_string(list(nxt ORDER BY p) FILTER (nxt IS NOT NULL), ','), '') AS targets
+FROM placed GROUP BY user_id, p // {_CHUNK} HAVING count(nxt) > 0 OR max(n) = 1""")
+def q_shifted_target_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4 in chunks of 16, the last target from the next chunk."""
+    c = chunked.shifted_target_chunks(_train(spark, sf_dir), size=_CHUNK)
+    return c.select("user_id", "chunk", join_ints("inputs").alias("inputs"), join_ints("targets").alias("targets"))
+
+
+@register("next_item_chunks", f"""WITH {_PLACED}
+SELECT user_id, p // {_CHUNK} AS chunk, coalesce(array_to_string(list(item_id ORDER BY p) FILTER (nxt IS NOT NULL), ','), '') AS history,
+       max(item_id) FILTER (p = n - 1) AS label FROM placed GROUP BY user_id, p // {_CHUNK}""")
+def q_next_item_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 in chunks of 16: history, and the label in the last chunk."""
+    c = chunked.next_item_chunks(_train(spark, sf_dir), size=_CHUNK)
+    return c.select("user_id", "chunk", join_ints("history").alias("history"), "label")
+
+
+@register("causal_prefix_parts", f"""WITH {_PLACED}
+SELECT a.user_id, a.p AS loc, b.p // {_CHUNK} AS part, array_to_string(list(b.item_id ORDER BY b.p), ',') AS prefix
+FROM placed a JOIN placed b ON a.user_id = b.user_id AND b.p <= a.p GROUP BY a.user_id, a.p, b.p // {_CHUNK}""")
+def q_causal_prefix_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5 in parts of 16 values."""
+    c = chunked.causal_prefix_parts(_train(spark, sf_dir), "item_id", size=_CHUNK)
+    return c.select("user_id", "loc", "part", join_ints("prefix").alias("prefix"))
+
+
+@register("history_parts", f"""WITH {_PLACED}
+SELECT v.user_id, v.item_id, b.p // {_CHUNK} AS part, coalesce(array_to_string(list(b.item_id ORDER BY b.p), ','), '') AS history
+FROM validate v LEFT JOIN placed b ON v.user_id = b.user_id GROUP BY v.user_id, v.item_id, v.time_us, b.p // {_CHUNK}""")
+def q_history_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 in parts of 16 items: the validation clicks with their users' histories."""
+    train, validate, _ = recall_split(clicks(spark, sf_dir))
+    c = chunked.history_parts(validate.select("user_id", "item_id"), train, size=_CHUNK)
+    return c.select("user_id", "item_id", "part", F.coalesce(join_ints("items"), F.lit("")).alias("history"))

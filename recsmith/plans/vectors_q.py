@@ -11,10 +11,13 @@ from recsmith.operators import apply as A
 from recsmith.operators import features as fe
 from recsmith.operators import models as M
 from recsmith.operators import vectors as V
-from recsmith.operators.sampling import weighted_choice
+from recsmith.operators.retrieval import probe_report
+from recsmith.operators.sampling import bootstrap, poisson_cuts, weighted_choice
 from recsmith.operators.similarity import user_item_pairs
 
+from recsmith.operators.alias import alias_draw, alias_table
 from recsmith.plans.ctr import CTR_SQL, ctr_training_set
+from recsmith.plans.graph_q import _u_sql, alias_sql
 from recsmith.plans.recall import _split_sql, recall_split
 from recsmith.plans.registry import register
 from recsmith.sources.fixtures import CLICKS_SQL, DOCS_SQL, clicks, docs, vectors
@@ -92,6 +95,14 @@ def q_most_similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                           k=50, cosine=True, exclude_self=True)
 
 
+@register("retrieval_probes")
+def q_retrieval_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 (rows-only): how many cells and items each user vector was scored
+    with; the cells depend on floating-point centres, the results do not."""
+    _, uv = _user_vectors(spark, sf_dir)
+    return probe_report(uv.select(F.col("user_id").alias("qid"), "vec"), vectors(spark, sf_dir).select("item_id", "vec"), k=100)
+
+
 def _aff_sql(a: str, b: str) -> str:
     cos = f"(({_dot_sql(a, b)}) / (sqrt({_dot_sql(a, a)}) * sqrt({_dot_sql(b, b)})))"
     return f"coalesce(trunc((0.5::DOUBLE * {cos} + 0.5::DOUBLE) * 10000.0::DOUBLE) / 10000.0::DOUBLE, 0.5::DOUBLE)"
@@ -155,6 +166,35 @@ def q_weighted_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_choice(adj, "user_id", "item_id", "w", draws, ["draw"]).select("user_id", "draw", "item_id")
 
 
+_USER_ITEMS = f"e AS (SELECT user_id, item_id, count(*) AS w FROM {CLICKS_SQL} GROUP BY user_id, item_id)"
+
+
+def _user_items(spark, sf_dir):
+    return clicks(spark, sf_dir).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("w"))
+
+
+@register("alias_table", f"""WITH {_USER_ITEMS}, {alias_sql('e', 'user_id', 'item_id', 'w')}
+SELECT g AS user_id, CAST(slot AS BIGINT) AS slot, c AS item_id, CAST(cut AS BIGINT) AS cut, alias, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS n FROM slots""")
+def q_alias_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alias tables of every user's items, weighted by clicks."""
+    return alias_table(_user_items(spark, sf_dir), "user_id", "item_id", "w")
+
+
+@register("alias_choice", f"""WITH {_USER_ITEMS}, {alias_sql('e', 'user_id', 'item_id', 'w')},
+d AS (SELECT user_id, draw, {_u_sql('user_id', 'draw', "'s'")} AS u, {_u_sql('user_id', 'draw', "'c'")} AS v
+      FROM (SELECT DISTINCT user_id FROM e) CROSS JOIN range(5) r(draw)),
+z AS (SELECT DISTINCT g, n FROM slots)
+SELECT d.user_id, d.draw, CASE WHEN d.v * CAST(s.size AS DOUBLE) < CAST(s.cut AS DOUBLE) THEN s.c ELSE s.alias END AS item_id
+FROM d JOIN z ON z.g = d.user_id JOIN slots s ON s.g = d.user_id AND s.slot = least(CAST(floor(d.u * z.n) AS BIGINT), z.n - 1)""")
+def q_alias_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five draws per user from its alias table, one equi-join."""
+    adj = _user_items(spark, sf_dir)
+    draws = (adj.select("user_id").distinct().withColumn("draw", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(4).cast("bigint"))))
+             .withColumn("_u", uniform01(F.col("user_id"), F.col("draw"), F.lit("s")))
+             .withColumn("_v", uniform01(F.col("user_id"), F.col("draw"), F.lit("c"))))
+    return alias_draw(alias_table(adj, "user_id", "item_id", "w"), draws, "user_id", "item_id").select("user_id", "draw", "item_id")
+
+
 # ------------------------------------------------------------ FM scoring (M6, M8)
 
 _CTR_BODY = CTR_SQL.strip()
@@ -162,10 +202,6 @@ _CTR_WITH = _CTR_BODY[len("WITH "):_CTR_BODY.index("\nSELECT t.user_id, n.neg_it
 _FIELDS = ["user_id", "item_id", "category"]
 
 
-def _u_sql(*parts: str) -> str:
-    return f"(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
-
-
 def _fm_sql(dim: int = 8) -> str:
     terms = []
     for d in range(dim):
@@ -197,12 +233,12 @@ def q_fm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("train_fm")
 def q_train_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7 (rows-only): FMClassifier on the CTR training rows; scores the test rows."""
+    """M7 (rows-only): a factorization machine fitted on the CTR training rows;
+    scores the test rows."""
     out, _ = ctr_training_set(clicks(spark, sf_dir))
-    train = out.where(F.col("split") == "train")
-    model = M.train_fm(train, _FIELDS, "label")
-    test = out.where(F.col("split") == "test").withColumn("_fm_y", F.col("label").cast("double"))
-    return model.transform(test).select("user_id", "item_id", F.col("prediction").alias("prediction"))
+    params, bias = M.train_fm(out.where(F.col("split") == "train"), _FIELDS, "label")
+    test = out.where(F.col("split") == "test").select("user_id", "item_id", "category")
+    return M.score_fm(test, _FIELDS, params, bias).select("user_id", "item_id", F.round("prob", 6).alias("prob"))
 
 
 # ------------------------------------------------------------ classic ML (M1..M5)
@@ -218,6 +254,17 @@ def _labelled_docs(spark, sf_dir):
     return rows, ["n_chars_k", "toxic", *[f"lang_{v}" for v in langs[1:]]]
 
 
+_TIMES_SQL = " + ".join(f"CASE WHEN u >= {b!r}::DOUBLE THEN 1 ELSE 0 END" for b in poisson_cuts(0.8))
+
+
+@register("bootstrap_sample", f"""WITH d AS (SELECT doc_id, n_chars, {_u_sql('doc_id', '39')} AS u FROM documents),
+t AS (SELECT doc_id, n_chars, {_TIMES_SQL} AS times FROM d)
+SELECT doc_id, n_chars FROM (SELECT doc_id, n_chars, unnest(range(times)) FROM t)""")
+def q_bootstrap_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn with replacement, 0.8 draws a row in the mean."""
+    return bootstrap(docs(spark, sf_dir).select("doc_id", "n_chars"), 0.8, 39, key=["doc_id"])
+
+
 @register("logistic_l1")
 def q_logistic_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 (rows-only): L1 logistic regression coefficients, C = 1."""
@@ -263,6 +310,27 @@ def q_group_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "item_id", "time_us", "gap")
 
 
+@register("run_apply_gaps", f"""WITH {_split_sql(CLICKS_SQL)}
+SELECT * FROM (SELECT user_id, item_id, time_us,
+  (lead(time) OVER (PARTITION BY user_id ORDER BY time, item_id) - time) / 3600.0::DOUBLE AS gap FROM train)
+WHERE gap IS NOT NULL""")
+def q_run_apply_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 in runs: W6 with one row behind each run, groups of any size."""
+    train, _, _ = recall_split(clicks(spark, sf_dir))
+    out = A.run_apply(train.select("user_id", "item_id", "time", "time_us"), "user_id", ["time", "item_id"], A.next_gap_run(),
+                      "user_id long, item_id long, time double, time_us long, gap double", after=1)
+    return out.select("user_id", "item_id", "time_us", "gap")
+
+
+@register("run_apply_positions", f"""WITH {_split_sql(CLICKS_SQL)}
+SELECT user_id, item_id, time_us, row_number() OVER (PARTITION BY user_id ORDER BY time_us, item_id) - 1 AS loc FROM train""")
+def q_run_apply_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 in runs with a fold: W8 from the rows counted ahead of each run."""
+    train, _, _ = recall_split(clicks(spark, sf_dir))
+    return A.run_apply(train.select("user_id", "item_id", "time_us"), "user_id", ["time_us", "item_id"], A.position_run(),
+                       "user_id long, item_id long, time_us long, loc long", fold=A.count_fold())
+
+
 @register("partition_apply", f"""SELECT d.doc_id, CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END AS is_en,
   CAST(d.n_chars > 1000 AS INT) AS long_doc FROM {DOCS_SQL} d""")
 def q_partition_apply(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,11 @@ a reliable checkpoint directory taken from the cluster configuration.
 
 from __future__ import annotations
 
+import atexit
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_folders: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """New folder name under the shared checkpoint folder; removed when the
+    driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recsmith-{uuid.uuid4().hex}"
+    if not _folders:
+        atexit.register(_remove_folders)
+    _folders.append((spark, path))
+    return path
+
+
+def _remove_folders() -> None:
+    """Best effort: the session may already be stopped."""
+    for spark, path in _folders:
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the context is gone
+            return
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local one."""
     ensure_checkpoint_dir(df.sparkSession)
