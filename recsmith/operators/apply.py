@@ -173,12 +173,7 @@ def run_apply(df: DataFrame, key: str, order: list[str], func: Callable[..., pd.
             for k, lo in enumerate(at):
                 part = more.iloc[lo:at[k + 1] if k + 1 < len(at) else len(more)]
                 own = part[key].iloc[0]
-                if current is not None and _equal(current[0], own):
-                    # the group goes on: what waits has its rows behind it now
-                    if after and rows is not None:
-                        yield emit(rows, part.head(after) if len(part) >= after else part)
-                        rows = None
-                else:
+                if current is None or not _equal(current[0], own):
                     if rows is not None:
                         yield emit(rows, None)
                     begin(own, current is None)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from recsmith.functions.columns import hash32, sigmoid, uniform01
 from recsmith.operators import logistic as lg
 from recsmith.operators.sampling import poisson_times
-from recsmith.session import cut_lineage
+from recsmith.session import as_table
 
 SEED = 39
 
@@ -115,21 +115,21 @@ def train_fm(df: DataFrame, fields: list[str], label: str, factor_size: int = 8,
     code) (map-side combined, so a frequent code is no hot key); AdaGrad keeps
     its sums beside the parameters. Only the bias, one number, is on the
     driver. Starting vectors are drawn from md5 of field, code and place."""
-    rows = cut_lineage(df.select(*fields, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull()))
+    rows = as_table(df.select(*fields, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull()))
     params = None
     for f in fields:
         codes = rows.where(F.col(f).isNotNull()).select(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("code")).distinct()
         params = codes if params is None else params.unionByName(codes)
     start = F.array(*[(uniform01("field", "code", F.lit(d), F.lit(seed)) - 0.5) * 0.2 for d in range(factor_size)])
-    params = cut_lineage(params.select("field", "code", F.lit(0.0).alias("weight"), start.alias("vec"), F.lit(0.0).alias("_aw"), F.lit(0.0).alias("_av")))
+    params = as_table(params.select("field", "code", F.lit(0.0).alias("weight"), start.alias("vec"), F.lit(0.0).alias("_aw"), F.lit(0.0).alias("_av")))
     bias = held = 0.0
     for _ in range(steps):
-        seen = _fm_forward(rows.withColumn("_bias", F.lit(bias)), fields, params, factor_size).withColumn("_r", F.col("_p") - F.col("_y"))
+        seen = _fm_forward(rows.withColumn("_bias", F.lit(bias)), fields, params, factor_size)
+        seen = as_table(seen.select(*fields, *[f"_v{i}" for i in range(len(fields))], "_s", (F.col("_p") - F.col("_y")).alias("_r")))
         entry = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("code"), F.col("_r").alias("r"),
-                                             F.transform(F.arrays_zip(F.col("_s").alias("s"), F.col(f"_v{i}").alias("v")),
-                                                         lambda x: F.col("_r") * (x["s"] - x["v"])).alias("g"))
+                                             F.zip_with("_s", f"_v{i}", lambda s, v: F.col("_r") * (s - v)).alias("g"))
                                     for i, f in enumerate(fields)])).alias("e")
-        gradient = cut_lineage(seen.select(entry).groupBy("e.field", "e.code").agg(
+        gradient = as_table(seen.select(entry).groupBy("e.field", "e.code").agg(
             F.sum("e.r").alias("_gw"), F.count(F.lit(1)).alias("_n"), F.array(*[F.sum(F.col("e.g")[d]) for d in range(factor_size)]).alias("_gv")))
         # rows have one entry a field: the first field's entries are all of them
         total = gradient.where(F.col("field") == fields[0]).agg(F.sum("_gw").alias("g"), F.sum("_n").alias("n")).first()
@@ -143,7 +143,7 @@ def train_fm(df: DataFrame, fields: list[str], label: str, factor_size: int = 8,
                  .withColumn("_gv", F.zip_with("_gv", "vec", lambda g, v: g / F.col("_n") + l2 * v))
                  .withColumn("_aw", F.col("_aw") + F.col("_g") * F.col("_g"))
                  .withColumn("_av", F.col("_av") + F.aggregate("_gv", F.lit(0.0), lambda s, g: s + g * g) / factor_size))
-        params = cut_lineage(moved.select(
+        params = as_table(moved.select(
             "field", "code", (F.col("weight") - rate * F.col("_g") / F.sqrt(F.greatest("_aw", F.lit(1e-12)))).alias("weight"),
             F.zip_with("vec", "_gv", lambda v, g: v - rate * g / F.sqrt(F.greatest(F.col("_av"), F.lit(1e-12)))).alias("vec"), "_aw", "_av"))
     return params.select("field", "code", "weight", "vec"), bias

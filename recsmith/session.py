@@ -115,3 +115,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def as_table(df: DataFrame) -> DataFrame:
+    """Written as Parquet in the shared folder and read back. Beside the
+    lineage this ends what the optimizer knows about the plan: a checkpoint keeps
+    the plan's constraints, which in a loop of long expressions grow with every
+    turn until a filter takes minutes to plan."""
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

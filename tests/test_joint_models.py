@@ -82,7 +82,7 @@ def test_factorization_machine_finds_an_interaction(spark):
     u, i = rng.integers(1, 13, 3000), rng.integers(1, 13, 3000)
     rows = [(int(a), int(b), int(a % 2 == b % 2)) for a, b in zip(u, i, strict=True)]
     df = spark.createDataFrame(rows, "user_id long, item_id long, label int")
-    params, bias = M.train_fm(df, ["user_id", "item_id"], "label", factor_size=4, steps=30)
+    params, bias = M.train_fm(df, ["user_id", "item_id"], "label", factor_size=4, steps=12)
     got = M.score_fm(df.distinct(), ["user_id", "item_id"], params, bias, 4).collect()
     assert np.mean([(r.prob > 0.5) == r.label for r in got]) > 0.95
     # the score is M6 + M8 on the trained tables

@@ -23,8 +23,10 @@ def _key(r):
 def small_batches(spark, request):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(request.param))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a group over many tasks, small as it is
     yield
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_gaps_equal_the_group_function(log, small_batches):

