@@ -184,7 +184,7 @@ def walk_table(graph: DataFrame, direction: bool = True, threshold: int = HOT_KE
 
 def biased_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: int = NUM_WALKS,
                  p: float = RETURN_P, q: float = INOUT_Q, direction: bool = True,
-                 checkpoint_every: int = 1, attempts: int = 8, threshold: int = HOT_KEY_ROWS) -> DataFrame:
+                 checkpoint_every: int = 1, attempts: int = 12, threshold: int = HOT_KEY_ROWS) -> DataFrame:
     """node2vec walks. The first step draws a neighbour by edge weight;
     later steps weight neighbour x of the current node by ``1/p`` (x is the
     previous node), ``1`` (x links back to it) or ``1/q``.
@@ -235,10 +235,9 @@ def biased_walks(graph: DataFrame, walk_length: int = WALK_LENGTH, num_walks: in
         while True:
             found = cut_lineage(proposals(pending, step, lo, hi))
             chosen = found if chosen is None else chosen.unionByName(found)
-            pending = pending.join(found.select(*key), key, "left_anti")
+            pending = cut_lineage(pending.join(found.select(*key), key, "left_anti"))
             if pending.isEmpty():
                 break
-            pending = cut_lineage(pending)
             lo, hi = hi, hi + 2 * (hi - lo)
         went = F.col("_to").isNotNull()
         state = cut_lineage(state.join(chosen, key, "left").select(

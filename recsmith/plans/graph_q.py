@@ -128,10 +128,10 @@ def _u_sql(*parts: str) -> str:
 def alias_sql(rows: str, group: str, choice: str, ticks: str) -> str:
     """CTE chain of the alias table of integer weights: ends with
     ``slots(g, slot, c, cut, alias, size, n)``."""
-    return f"""at AS (SELECT {group} AS g, {choice} AS c, CAST({ticks} AS HUGEINT) AS t,
+    return f"""weighed AS (SELECT {group} AS g, {choice} AS c, CAST({ticks} AS HUGEINT) AS t,
        sum(CAST({ticks} AS HUGEINT)) OVER (PARTITION BY {group}) AS size, count(*) OVER (PARTITION BY {group}) AS n,
        row_number() OVER (PARTITION BY {group} ORDER BY {choice}) - 1 AS slot FROM {rows}),
-ag AS (SELECT *, n * t > size AS heavy, abs(n * t - size) AS gap FROM at),
+ag AS (SELECT *, n * t > size AS heavy, abs(n * t - size) AS gap FROM weighed),
 ae AS (SELECT *, sum(gap) OVER (PARTITION BY g, heavy ORDER BY c) AS fin, lead(c) OVER (PARTITION BY g, heavy ORDER BY c) AS nxt FROM ag),
 light AS (SELECT * FROM ae WHERE NOT heavy AND gap > 0), heavy AS (SELECT * FROM ae WHERE heavy),
 spent AS (SELECT h.g, h.c, max(l.fin) AS used FROM heavy h JOIN light l ON l.g = h.g AND l.fin - l.gap < h.fin GROUP BY h.g, h.c),
