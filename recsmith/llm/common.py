@@ -45,14 +45,26 @@ def _remove(spark: SparkSession, app: str) -> None:
         return
 
 
-def written(df: DataFrame) -> DataFrame:
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, codec: str | None = None, tidy: bool = False) -> DataFrame:
     """The DataFrame written as a Parquet table in the shared folder and read
     back: lineage ends there, every later use sees the same rows, lost
     executors cost nothing, and joins see a plain scan whose exchanges
-    adaptive execution may split."""
+    adaptive execution may split. `codec`: another compression than the session's;
+    `tidy`: the job's shuffle files go when it ends, not when the driver next
+    collects garbage."""
     spark = df.sparkSession
     path = scratch(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, None)
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        if tidy:
+            spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -61,6 +73,19 @@ def by_place(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Place of a column: of this very name, else of one that differs in case."""
+    for names in (df.columns, [c.lower() for c in df.columns]):
+        if name in names:
+            return names.index(name)
+    raise ValueError(f"no column {name} among {df.columns}")
+
+
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """The columns `names` alone, whatever others are called."""
+    return by_place(df).select(*[F.col(f"_c{place_of(df, n)}").alias(n) for n in names])
+
+
 def salted(key: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
 

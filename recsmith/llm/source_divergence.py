@@ -7,10 +7,13 @@ back to the documents' counts, where distinct documents and occurrences are
 aggregated. A chunk may hold several terms, and several chunks of a document
 the same term, so documents are counted on terms, not added up over chunks.
 
-The documents of a block (a bounded number of chunk counts) share a numbered
-list of their chunks, which is what is joined with the distinct chunks: a chunk
-that every document has is one row a block. The terms come back to their block,
-which adds up documents and occurrences per source; Spark adds up the blocks.
+The documents of a block (a bounded number of words) share a numbered list of
+their chunks. The lists go in packed rows to buckets of chunks, where equal chunks
+of all blocks meet; the (number, term) pairs come back to their block, which
+counts documents and occurrences per source. These counts go in packed rows to
+buckets of terms, and parts of many blocks are added up FAN_IN at a time, so
+that a chunk or term of every document is a few numbers a block. The number
+of buckets grows with the bytes of text.
 
 Terms in at least MIN_DOCS documents of a language are kept. A source gives a
 kept term the smoothed share 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V)),
@@ -22,18 +25,22 @@ Defined results: null text, lang and source are empty strings; a source without
 terms is a group with counts of zero; without kept terms all pairs are 0; equal
 values rank by item in UTF-8 order; repeated rows and ids are documents of
 their own; a very long text is a block of its own, so memory follows the longest
-text; an empty table gives no rows; columns of other names are not read.
+text; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import written
+from recsmith.llm import textscan as ts
+from recsmith.llm.common import pick, written
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -41,11 +48,42 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_DOCS, PRIOR, SCALE, TOP = 30, 5, 1_000_000_000, 50
 
 #: Words of the texts of a block, and bytes of text looked at together.
-BLOCK_WORDS, RUN_BYTES = 1 << 22, 1 << 23
+BLOCK_WORDS, RUN_BYTES = 1 << 20, 1 << 22
+#: Bytes of text for each bucket of chunks and of terms; parts of a bucket that are added up at once.
+BUCKET_BYTES, FAN_IN = 1 << 23, 64
 #: Terms (expected) and sources of a block of the pairwise comparison.
 TERM_BLOCK, SOURCE_BLOCK = 4096, 128
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2**32 as their low bytes, then the next ones, and so on:
+    the high bytes of small numbers compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _buckets(strings: pa.Array, count: int) -> np.ndarray:
+    """A bucket for each string, from its bytes (equal strings, equal buckets)."""
+    _, offsets, data = strings.cast(pa.large_string()).buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[strings.offset:strings.offset + len(strings) + 1]
+    if len(strings) == 0:
+        return np.zeros(0, dtype=np.int64)
+    values = np.frombuffer(data, dtype=np.uint8)[bounds[0]:bounds[-1]].astype(np.uint64) + np.uint64(1)
+    return (ts.span_hash(values, bounds[:-1] - bounds[0], bounds[1:] - bounds[0]) % np.uint64(count)).astype(np.int64)
+
+
+def _sorted_strings(coded: pa.DictionaryArray) -> tuple[np.ndarray, pa.Array]:
+    """(codes, strings) of a dictionary array with the strings in order:
+    neighbours that share a beginning compress."""
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(coded.dictionary), dtype=np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    return rank[coded.indices.to_numpy()], coded.dictionary.take(order)
+
+
 def _chunk_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """(document, chunk number, times) of each distinct pair, and the chunks."""
     cut = pc.ascii_split_whitespace(texts)
@@ -60,8 +98,11 @@ def _chunk_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return keys // max(len(coded.dictionary), 1), keys % max(len(coded.dictionary), 1), times, coded.dictionary
 
 
+_COUNTED = "block long, bucket int, langs array<string>, sources array<string>, sizes binary, entries binary, times binary, chunks array<string>"
+
+
 class _Block:
-    """Documents with counted chunks, numbered over (lang, chunk)."""
+    """Documents with counted chunks, the chunks numbered."""
 
     def __init__(self):
         self.at: int | None = None
@@ -76,45 +117,55 @@ class _Block:
         self.docs += len(texts)
         self.words += int(times.sum())
 
-    def rows(self, names: list[str]):
-        """Record batches: one row for each document, then for each (lang, chunk)."""
-        lang = pa.chunked_array([r[4] for r in self.runs]).combine_chunks()
-        source = pa.chunked_array([r[5] for r in self.runs]).combine_chunks()
-        chunks = pa.chunked_array([r[3] for r in self.runs]).dictionary_encode().combine_chunks()
-        renumber, at, code = chunks.indices.to_numpy(), 0, []
+    def rows(self, buckets: int):
+        """One batch with a row for the documents and one for each bucket of chunks."""
+        renumber, chunks = _sorted_strings(pa.chunked_array([r[3] for r in self.runs]).dictionary_encode().combine_chunks())
+        at, code = 0, []
         for r in self.runs:
             code.append(renumber[at:at + len(r[3])][r[1]])
             at += len(r[3])
         doc, times = np.concatenate([r[0] for r in self.runs]), np.concatenate([r[2] for r in self.runs])
-        tongue = lang.dictionary_encode()
-        keys, entry = np.unique(tongue.indices.to_numpy()[doc].astype(np.int64) * max(len(chunks.dictionary), 1) + np.concatenate(code),
-                                return_inverse=True)
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=self.docs))]).astype(np.int32)
-        size = max(1, BLOCK_WORDS // 8)
-        lo = 0
-        while lo < self.docs:
-            hi = max(lo + 1, min(self.docs, lo + 4096, int(np.searchsorted(bounds, bounds[lo] + size, side="right")) - 1))
-            n, part = hi - lo, slice(bounds[lo], bounds[hi])
-            ends = pa.array(bounds[lo:hi + 1] - bounds[lo])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, self.at), pa.int64()), pa.nulls(n, pa.int32()), lang.slice(lo, n), source.slice(lo, n), pa.nulls(n, pa.string()),
-                 pa.ListArray.from_arrays(ends, pa.array(entry[part], pa.int32())), pa.ListArray.from_arrays(ends, pa.array(times[part], pa.int32()))], names=names)
-            lo = hi
-        for lo in range(0, len(keys), 1 << 16):
-            part = keys[lo:lo + (1 << 16)]
-            n = len(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, self.at), pa.int64()), pa.array(np.arange(lo, lo + n), pa.int32()),
-                 tongue.dictionary.take(pa.array(part // len(chunks.dictionary))), pa.nulls(n, pa.string()),
-                 chunks.dictionary.take(pa.array(part % len(chunks.dictionary))),
-                 *[pa.nulls(n, pa.list_(pa.int32()))] * 2], names=names)
-
-
-def counted_chunks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Two kinds of rows: documents (`entry` null) with the numbers and times of
-    their chunks, and the (lang, chunk) of each number of a block."""
-    schema = "block long, entry int, lang string, source string, chunk string, entries array<int>, times array<int>"
-    names = ["block", "entry", "lang", "source", "chunk", "entries", "times"]
+        entries = np.concatenate(code)
+        langs, sources = (pa.chunked_array([r[k] for r in self.runs]).combine_chunks() for k in (4, 5))
+        # frequent chunks get the small numbers: they take the fewest bytes
+        times_seen = np.bincount(entries, minlength=len(chunks))
+        number = np.empty(len(chunks), dtype=np.int64)
+        number[np.argsort(-times_seen, kind="stable")] = np.arange(len(chunks))
+        entries = number[entries]
+        out = [(self.at, None, langs, sources, _planes(np.bincount(doc, minlength=self.docs)), _planes(entries), _planes(times), None)]
+        where = _buckets(chunks, buckets)
+        order = np.argsort(where, kind="stable")
+        ends = np.searchsorted(where[order], np.arange(buckets + 1))
+        for k in range(buckets):
+            part = order[ends[k]:ends[k + 1]]
+            if len(part):
+                out.append((self.at, k, None, None, None, _planes(number[part]), None, chunks.take(pa.array(part))))
+        return _batches(out, _COUNTED)
+
+
+def _batches(rows: list[tuple], schema: str):
+    """Record batches of one row each (rows are large); lists are Arrow arrays."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    for row in rows:
+        columns = []
+        for value, (_, kind) in zip(row, fields, strict=True):
+            if isinstance(value, pa.Array):
+                columns.append(pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value.cast(pa.string())))
+            else:
+                columns.append(pa.array([value], kinds[kind]))
+        yield pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+    empty = pa.schema([(n, kinds[k]) for n, k in (f.split(" ") for f in schema.split(", "))])
+    return pa.Table.from_batches(list(_batches(rows, schema)), empty)
+
+
+def counted_chunks(docs: DataFrame, buckets: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Two kinds of rows of a block: its documents with the numbers and times of
+    their chunks (`bucket` null), and the chunks of a bucket with their numbers."""
     source = docs.select(F.monotonically_increasing_id().alias("row"),
                          *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
 
@@ -130,65 +181,172 @@ def counted_chunks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
                 block.add(part.column(0)[0].as_py(), part.column(1), part.column(2), part.column(3))
                 lo = hi
                 if block.words >= block_words:
-                    yield from block.rows(names)
+                    yield from block.rows(buckets)
                     block = _Block()
         if block.docs:
-            yield from block.rows(names)
-
-    return source.mapInArrow(scan, schema)
-
-
-def terms_of(chunk: Column) -> Column:
-    """The terms of a chunk in their order, repeated ones included."""
-    return F.regexp_extract_all(F.translate(chunk, UPPER, LOWER), F.lit(TERM), F.lit(0))
+            yield from block.rows(buckets)
 
+    return source.mapInArrow(scan, _COUNTED)
 
-def block_terms(counted: DataFrame) -> DataFrame:
-    """(place, entry, term): the terms of every numbered chunk of a block, each
-    distinct chunk tokenized once."""
-    numbered = counted.filter("entry is not null").select(F.col("block").alias("place"), "entry", "chunk")
-    distinct = numbered.select("chunk").distinct().select("chunk", terms_of(F.col("chunk")).alias("terms")).filter("size(terms) > 0")
-    return numbered.join(distinct, "chunk").select("place", "entry", F.explode("terms").alias("term"))
 
+_PATTERN = re.compile(TERM)
+_TO_LOWER = str.maketrans(UPPER, LOWER)
 
-def term_counts(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(lang, source, term, docs, count): distinct documents and occurrences,
-    as parts of blocks that add up."""
-    counted = written(counted_chunks(docs, block_words))
-    texts = counted.filter("entry is null").select("block", "lang", "source", "entries", "times")
-    names = ["lang", "source", "term", "docs", "count"]
 
-    def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        coded = right.column("term").combine_chunks().dictionary_encode()
-        if left.num_rows == 0 or len(coded) == 0:
-            return pa.table([pa.array([], t) for t in (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())], names=names)
-        entry, term = right.column("entry").to_numpy(), coded.indices.to_numpy()
+def terms_of(chunk: str) -> list[str]:
+    """The terms of a chunk in their order, repeated ones included."""
+    return _PATTERN.findall(chunk.translate(_TO_LOWER) if not chunk.islower() else chunk)
+
+
+_TERMS = "place long, entries binary, many binary, terms array<string>"
+
+
+def _tokenize(group: pa.Table) -> pa.Table:
+    """The chunks of one bucket, of all blocks: each distinct one is cut into
+    its terms once, and every block gets (entry, term) for its own."""
+    lists = group.column("chunks").combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    found = [terms_of(c) for c in coded.dictionary.to_pylist()]
+    many = np.array([len(f) for f in found], dtype=np.int64)
+    term, terms = _sorted_strings(pa.array([t for f in found for t in f], pa.string()).dictionary_encode())
+    del found
+    first = np.cumsum(many) - many
+    bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    code, out = coded.indices.to_numpy(), []
+    for k, (block, entries) in enumerate(zip(group.column("block").to_pylist(), group.column("entries").to_pylist(), strict=True)):
+        own = code[bounds[k]:bounds[k + 1]]
+        n = many[own]
+        spot = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        own = term[spot]
+        order = np.argsort(own, kind="stable")
+        used, times = np.unique(own, return_counts=True)
+        if len(used):
+            out.append((block, _planes(np.repeat(_numbers(entries), n)[order]), _planes(times), terms.take(pa.array(used))))
+    return _table(out, _TERMS)
+
+
+_PARTS = "bucket int, part long, langs array<string>, sources array<string>, terms array<string>, term binary, grp binary, docs binary, count binary"
+
+
+def _packed(langs: pa.Array, sources: pa.Array, terms: pa.Array, term: np.ndarray, group: np.ndarray, docs: np.ndarray, count: np.ndarray,
+            part: int, buckets: int) -> pa.Table:
+    """Counts per (term, group), in the order of the terms, dealt into buckets
+    of terms, a row for each. Numbers beyond 32 bits go as two."""
+    where = _buckets(terms, buckets)
+    order = np.argsort(where[term], kind="stable")
+    ends = np.searchsorted(where[term][order], np.arange(buckets + 1))
+    out = []
+    for k in range(buckets):
+        rows = order[ends[k]:ends[k + 1]]
+        if len(rows):
+            used, times = np.unique(term[rows], return_counts=True)  # rows come in the order of the terms
+            high, low = np.divmod(np.concatenate([docs[rows], count[rows]]), 1 << 32)
+            half = len(rows)
+            out.append((k, part, langs, sources, terms.take(pa.array(used)), _planes(times), _planes(group[rows]),
+                        _planes(np.concatenate([low[:half], high[:half]])), _planes(np.concatenate([low[half:], high[half:]]))))
+    return _table(out, _PARTS)
+
+
+def _wide(data: bytes) -> np.ndarray:
+    low, high = np.split(_numbers(data), 2)
+    return low + (high << 32)
+
+
+def _add_up(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys, in order, and the sums of the values."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[new], [np.add.reduceat(v[order], new) if len(new) else v[:0] for v in values]
+
+
+def _count_block(buckets: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Distinct documents and occurrences per (term, source) of a block."""
+        if left.num_rows == 0 or right.num_rows == 0:
+            return _table([], _PARTS)
+        row = left.to_pylist()[0]
+        lists = right.column("terms").combine_chunks()
+        code, terms = _sorted_strings(lists.flatten().dictionary_encode())
+        size = lists.value_lengths().to_numpy()
+        shift, entry, term = np.cumsum(size) - size, [], []
+        for k, (entries, many) in enumerate(zip(right.column("entries").to_pylist(), right.column("many").to_pylist(), strict=True)):
+            entry.append(_numbers(entries))
+            term.append(np.repeat(code[shift[k]:shift[k] + size[k]], _numbers(many)))
+        entry, term = np.concatenate(entry), np.concatenate(term)
         order = np.argsort(entry, kind="stable")
         entry, term = entry[order], term[order]
-        lists = left.column("entries").combine_chunks()
-        doc = np.repeat(np.arange(left.num_rows), lists.value_lengths().to_numpy())
-        have, times = lists.flatten().to_numpy(), left.column("times").combine_chunks().flatten().to_numpy()
-        first = np.searchsorted(entry, have)
-        n = np.searchsorted(entry, have, side="right") - first
-        ends = np.cumsum(n)
-        spot = np.repeat(first - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
-        width = len(coded.dictionary)
-        key = np.repeat(doc, n).astype(np.int64) * width + term[spot]
-        order = np.argsort(key, kind="stable")
-        key, amount = key[order], np.repeat(times, n)[order].astype(np.int64)
-        new = np.flatnonzero(np.diff(key, prepend=-1))
-        key, amount = key[new], np.add.reduceat(amount, new) if len(new) else amount
-        tongue, origin = (left.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
-        group = (tongue.indices.to_numpy().astype(np.int64) * len(origin.dictionary) + origin.indices.to_numpy())[key // width]
-        keys, back, size = np.unique(group * width + key % width, return_inverse=True, return_counts=True)
-        total = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(total, back, amount)
-        group = keys // width
-        return pa.table([tongue.dictionary.take(pa.array(group // len(origin.dictionary))), origin.dictionary.take(pa.array(group % len(origin.dictionary))),
-                         coded.dictionary.take(pa.array(keys % width)), pa.array(size), pa.array(total)], names=names)
-
-    return texts.groupBy("block").cogroup(block_terms(counted).groupBy("place")).applyInArrow(
-        add_up, "lang string, source string, term string, docs long, count long")
+        sizes, have, times = (_numbers(row[c]) for c in ("sizes", "entries", "times"))
+        first = np.searchsorted(entry, np.arange(int(have.max(initial=-1)) + 2))
+        n = (first[1:] - first[:-1])[have]
+        spot = np.repeat(first[have] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        width = len(terms)
+        doc = np.repeat(np.repeat(np.arange(len(sizes)), sizes), n)
+        key, (amount,) = _add_up(doc * width + term[spot], np.repeat(times, n))
+        tongue, origin = (pa.array(row[c], pa.string()).dictionary_encode() for c in ("langs", "sources"))
+        both = tongue.indices.to_numpy().astype(np.int64) * len(origin.dictionary) + origin.indices.to_numpy()
+        groups, group = np.unique(both, return_inverse=True)
+        key, (docs, count) = _add_up((key % width) * len(groups) + group[key // width], np.ones(len(key), dtype=np.int64), amount)
+        return _packed(tongue.dictionary.take(pa.array(groups // len(origin.dictionary))), origin.dictionary.take(pa.array(groups % len(origin.dictionary))),
+                       terms, key // len(groups), key % len(groups), docs, count, row["block"], buckets)
+
+    return run
+
+
+def _merged(group: pa.Table) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of one bucket added up: (langs, sources, terms, term, group, docs, count)."""
+    coded = {c: group.column(c).combine_chunks() for c in ("langs", "sources", "terms")}
+    index = {c: v.flatten().dictionary_encode() for c, v in coded.items()}
+    at = {c: np.cumsum(v.value_lengths().to_numpy()) - v.value_lengths().to_numpy() for c, v in coded.items()}
+    width = len(index["sources"].dictionary)
+    term, both, docs, count = [], [], [], []
+    for k, row in enumerate(group.select(["term", "grp", "docs", "count"]).to_pylist()):
+        own = _numbers(row["grp"])
+        times = _numbers(row["term"])
+        term.append(np.repeat(index["terms"].indices.to_numpy()[at["terms"][k]:at["terms"][k] + len(times)].astype(np.int64), times))
+        both.append(index["langs"].indices.to_numpy()[at["langs"][k] + own].astype(np.int64) * width + index["sources"].indices.to_numpy()[at["sources"][k] + own])
+        docs.append(_wide(row["docs"]))
+        count.append(_wide(row["count"]))
+    groups, which = np.unique(np.concatenate(both), return_inverse=True)
+    key, (d, c) = _add_up(np.concatenate(term) * len(groups) + which, np.concatenate(docs), np.concatenate(count))
+    return (index["langs"].dictionary.take(pa.array(groups // width)), index["sources"].dictionary.take(pa.array(groups % width)),
+            index["terms"].dictionary, key // len(groups), key % len(groups), d, c)
+
+
+def _kept_terms(min_docs: int):
+    def run(group: pa.Table) -> pa.Table:
+        """(lang, source, term, count) of the terms in enough documents of a language."""
+        langs, sources, terms, term, which, docs, count = _merged(group)
+        tongue = langs.dictionary_encode()
+        own = tongue.indices.to_numpy().astype(np.int64)[which]
+        key, (total,) = _add_up(term * len(tongue.dictionary) + own, docs)
+        good = total[np.searchsorted(key, term * len(tongue.dictionary) + own)] >= min_docs
+        return pa.table([langs.take(pa.array(which[good])), sources.take(pa.array(which[good])), terms.take(pa.array(term[good])), pa.array(count[good])],
+                        names=["lang", "source", "term", "count"])
+
+    return run
+
+
+def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, block_words: int = BLOCK_WORDS, bucket_bytes: int = BUCKET_BYTES,
+                fan_in: int = FAN_IN) -> DataFrame:
+    """(lang, source, term, count): occurrences of the kept terms."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n")).first().n or 0
+    buckets = max(1, math.ceil(size / bucket_bytes))
+    counted = written(counted_chunks(docs, buckets, block_words), "zstd")
+    texts = counted.filter("bucket is null").select("block", "langs", "sources", "sizes", "entries", "times")
+    terms = (counted.filter("bucket is not null").select("bucket", "block", "entries", "chunks")
+             .groupBy("bucket").applyInArrow(_tokenize, _TERMS))
+    parts = written(texts.groupBy("block").cogroup(terms.groupBy("place")).applyInArrow(_count_block(buckets), _PARTS), "zstd", tidy=True)
+
+    def merge(group: pa.Table) -> pa.Table:
+        return _packed(*_merged(group), int(group.column("to")[0].as_py()), 1).drop_columns("bucket").add_column(
+            0, "bucket", group.column("bucket").slice(0, 1))
+
+    left = texts.count()
+    while left > fan_in:  # a term of every block is added up step by step
+        left = math.ceil(left / fan_in)
+        parts = written(parts.withColumn("to", F.pmod(F.xxhash64("part"), F.lit(left))).groupBy("bucket", "to").applyInArrow(merge, _PARTS), "zstd", tidy=True)
+    return parts.groupBy("bucket").applyInArrow(_kept_terms(min_docs), "lang string, source string, term string, count long")
 
 
 def _share(count: Column, n: Column, v: Column) -> Column:
@@ -197,13 +355,12 @@ def _share(count: Column, n: Column, v: Column) -> Column:
     return F.call_function("div", top, (n + PRIOR * v).cast("decimal(20,0)")) + 1
 
 
-def source_shares(docs: DataFrame, min_docs: int = MIN_DOCS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
+def source_shares(docs: DataFrame, min_docs: int = MIN_DOCS, **sizes: int) -> tuple[DataFrame, DataFrame]:
     """Groups (lang, source, place, n, v, none: the share of a term that the
     source does not have) and entries (lang, source, term, p, q: the language's
     share) of the kept terms that a source has. Both are written tables."""
-    parts = written(term_counts(docs, block_words))
-    kept = written(parts.groupBy("lang", "term").agg(F.sum("docs").alias("d")).filter(F.col("d") >= min_docs).select("lang", "term"))
-    counts = written(parts.join(kept, ["lang", "term"]).groupBy("lang", "source", "term").agg(F.sum("count").alias("count")))
+    counts = written(term_counts(docs, min_docs, **sizes), tidy=True)
+    kept = counts.select("lang", "term").distinct()
     occurring = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     by_lang = Window.partitionBy("lang").orderBy("source")
     groups = (occurring.join(counts.groupBy("lang", "source").agg(F.sum("count").alias("n")), ["lang", "source"], "left")
@@ -265,12 +422,12 @@ def source_distances(groups: DataFrame, entries: DataFrame, term_block: int = TE
             .select("lang", "source", "item", (F.coalesce("value", F.lit(0)) + F.col("v") * F.abs(F.col("mine") - F.col("theirs"))).alias("value")))
 
 
-def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block_words: int = BLOCK_WORDS,
-          term_block: int = TERM_BLOCK, source_block: int = SOURCE_BLOCK) -> DataFrame:
+def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, term_block: int = TERM_BLOCK, source_block: int = SOURCE_BLOCK,
+          **sizes: int) -> DataFrame:
     """lang, source, part, item, value, rank: the other sources of the language
     by distance (`pair`), and the `top` terms whose share is farthest above the
-    language's (`term`)."""
-    groups, entries = source_shares(docs, min_docs, block_words)
+    language's (`term`). `sizes`: those of term_counts."""
+    groups, entries = source_shares(pick(docs, "text", "lang", "source"), min_docs, **sizes)
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = source_distances(groups, entries, term_block, source_block).withColumn("rank", F.row_number().over(ranked))
     terms = (entries.filter("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))

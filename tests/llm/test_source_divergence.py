@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -63,10 +64,10 @@ def made(spark, rows):
                                  "doc_id long, text string, lang string, source string, term string, block string")
 
 
-@pytest.mark.parametrize("block_words,term_block,source_block", [(1 << 22, 4096, 128), (60, 3, 2)])
-def test_audit(spark, rows, block_words, term_block, source_block):
+@pytest.mark.parametrize("term_block,source_block,sizes", [(4096, 128, {}), (3, 2, {"block_words": 60, "bucket_bytes": 20_000, "fan_in": 4})])
+def test_audit(spark, rows, term_block, source_block, sizes):
     docs = made(spark, rows).repartition(3)
-    got = sd.audit(docs, 12, 4, block_words, term_block, source_block).collect()
+    got = sd.audit(docs, 12, 4, term_block, source_block, **sizes).collect()
     want = plain(rows, 12, 4)
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert any(r.part == "term" for r in got)
@@ -84,6 +85,14 @@ def test_large_counts_stay_exact(spark):
     assert got == 1 + 10 ** 9 * (9_000_000_000_000 + 5) // (10 ** 15 + 5 * 10 ** 6)
 
 
+def test_packed_numbers():
+    values = np.array([0, 1, 255, 256, 70_000, 2**32 - 1])
+    assert sd._numbers(sd._planes(values)).tolist() == values.tolist()
+    one = sd._packed(pa.array(["x"]), pa.array(["y"]), pa.array(["t", "u"]), np.array([0, 1]), np.array([0, 0]), np.array([2**40, 3]), np.array([5, 2**33]), 7, 1)
+    *_, term, group, docs, count = sd._merged(pa.concat_tables([one, one]))
+    assert docs.tolist() == [2**41, 6] and count.tolist() == [10, 2**34] and group.tolist() == [0, 0]
+
+
 def test_chunks_are_counted_per_document():
     doc, code, times, chunks = sd._chunk_counts(pa.array([" a b a\n", "", "b"]))
     assert sorted((d, chunks[c].as_py(), n) for d, c, n in zip(doc.tolist(), code.tolist(), times.tolist(), strict=True)) == [(0, "a", 2), (0, "b", 1), (2, "b", 1)]
