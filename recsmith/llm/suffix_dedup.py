@@ -31,6 +31,8 @@ are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import written
+from recsmith.llm.common import pick, written
 
 LENGTH = 400
 #: Segments of one anchor in one block (at most 672 bytes each, so a block has
@@ -46,6 +48,8 @@ LENGTH = 400
 #: of several anchors is closed.
 SPLIT = 4096
 BLOCK_BYTES = 1 << 19
+#: Bytes of segments that one task compares, in the mean.
+TASK_BYTES = 1 << 20
 
 _POS = np.uint64((1 << 30) - 1)
 
@@ -298,8 +302,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) ->
     cut = (texts.join(wanted.withColumnsRenamed({"doc_id": "_id", "dh": "_dh"}), texts.doc_id.eqNullSafe(F.col("_id")) & (texts.dh == F.col("_dh")))
            .select(F.encode("text", "utf-8").alias("b"), F.explode("w").alias("w"))
            .select("w.grp", "w.anchor", "w.seg", "w.split", F.expr("substring(b, w.start + 1, w.size)").alias("bytes")))
-    # rows that repeat doc_id and text give a segment twice
-    found = written(cut.repartition("grp").sortWithinPartitions("grp", "anchor", "seg").mapInArrow(_once(_compare(length)), _FOUND))
+    # rows that repeat doc_id and text give a segment twice; the work goes with
+    # the bytes to sort, so they set the number of tasks
+    work = mixed.agg(F.sum("size").alias("n")).first().n or 0
+    found = written(cut.repartition(max(1, math.ceil(work / TASK_BYTES)), "grp").sortWithinPartitions("grp", "anchor", "seg").mapInArrow(_once(_compare(length)), _FOUND))
     ranges = found.filter("window is null").select("anchor", "seg", "lo", "hi")
     windows = found.filter("window is not null")
     met = written(windows.groupBy("anchor", "window").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("anchor", "window"))
@@ -326,6 +332,7 @@ def _once(scan):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
     """doc_id, n_bytes, removed (merged [lo, hi) byte ranges), kept (the
     remaining bytes) of every document."""
+    docs = pick(docs, "doc_id", "text")
     spans = written(repeated_spans(docs, length, split).groupBy("doc_id", "dh").agg(F.collect_set(F.array("lo", "hi")).alias("spans"))
                     .withColumnsRenamed({"doc_id": "_id", "dh": "_dh"}))
     texts = _with_hash(docs)
