@@ -37,12 +37,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import written
+from recsmith.llm.common import by_place, pick, place_of, written
 from recsmith.llm.components import connected_components
 
 WIDTH = 4
@@ -56,13 +57,13 @@ def chunk_shingles(chunk: ts.Chunk, width: int = WIDTH) -> tuple[np.ndarray, np.
     """(document, shingle) sorted and distinct, over a chunk."""
     codes = ts.lower_ascii(chunk.codes)
     found = ts.words(chunk, ~ts.is_blank(codes))
-    hashes = ts.span_hash(ts.char_values(codes), found.starts, found.ends)
+    hashes = ts.strong_hash(ts.char_values(codes), found.starts, found.ends)
     at, doc = ts.windows(found.first, width)
-    sh = ts.span_hash(hashes, at, at + width)
+    sh = ts.strong_hash(hashes, at, at + width)
     size = np.diff(found.first)
     short = np.flatnonzero((size > 0) & (size < width))
     if len(short):
-        sh = np.concatenate([sh, ts.span_hash(hashes, found.first[short], found.first[short + 1])])
+        sh = np.concatenate([sh, ts.strong_hash(hashes, found.first[short], found.first[short + 1])])
         doc = np.concatenate([doc, short])
     sh = sh.view(np.int64)
     order = np.lexsort((sh, doc))
@@ -172,6 +173,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def class_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signature rows: doc_id, cls, n; classes: cls, rep, copies; cls, root
     for the classes that have a link)."""
+    docs = pick(docs, "doc_id", "text")
     sig = written(signatures(docs, percent, whole=False))
     classes = written(sig.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     suspects = written(_suspects(sig, classes))
@@ -231,8 +233,50 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def _with_class(docs: DataFrame) -> DataFrame:
+    """`docs` under names that clash with nothing (by_place), and the set digest
+    of each row as `cls`, null without words."""
+    side = by_place(docs)
+    at, names = place_of(docs, "text"), [*side.columns, "cls"]
+
+    def scan(batches):
+        for batch in batches:
+            for chunk in ts.chunks(batch.column(at)):
+                doc, sh = chunk_shingles(chunk)
+                first = np.searchsorted(doc, np.arange(chunk.n + 1))
+                words = pa.array(np.diff(first) > 0)
+                yield pa.RecordBatch.from_arrays([*[c.slice(chunk.row, chunk.n) for c in batch.columns],
+                                                  pc.if_else(words, _digests(sh, first), pa.scalar(None, pa.binary()))], names=names)
+
+    return side.mapInArrow(scan, T.StructType([*side.schema, T.StructField("cls", T.BinaryType())]))
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each group stays: the one with the least doc_id (rows
-    without doc_id, and texts without words, all stay)."""
-    found = ngram_components(docs, percent).filter("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(written(found), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: of the least doc_id (null
+    ids last), then of the least set digest, then of the least text. Rows are
+    judged one by one, so a row that repeats a doc_id with another text stays;
+    of rows with one doc_id and one shingle set a single one stays. Texts
+    without words all stay."""
+    rows, _, roots = class_components(docs, percent)
+    worded = rows.filter("n > 0")
+    # nearly all doc_ids stand in one row: their rows go by doc_id alone
+    often = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id"))
+    keys = written(worded.groupBy("doc_id", "cls").agg(F.count("*").alias("n"))
+                   .join(roots, F.col("cls") == F.col("node"), "left").select("doc_id", "cls", F.coalesce("root", "cls").alias("root")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls"))
+    stays = keys.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.cls").alias("_cls"))
+    stays = written(stays)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("cls") == F.col("_cls"))
+    gone = written(keys.join(stays, same, "left_anti").join(often, keys.doc_id.eqNullSafe(often.doc_id), "left_anti").select(F.col("doc_id").alias("_gone")))
+    names, side = docs.columns, by_place(docs)
+    doc_id, text = (f"_c{place_of(docs, c)}" for c in ("doc_id", "text"))
+    if often.isEmpty():
+        return side.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti").toDF(*names)
+    often = often.withColumnRenamed("doc_id", "_often")
+    plain = (side.join(often, F.col(doc_id).eqNullSafe(F.col("_often")), "left_anti")
+             .join(gone, F.col(doc_id) == F.col("_gone"), "left_anti"))
+    judged = written(_with_class(side.join(often, F.col(doc_id).eqNullSafe(F.col("_often")), "left_semi").toDF(*names)))
+    chosen = judged.join(stays, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("cls") == F.col("_cls")), "left_semi")
+    # equal rows are combined in each task before one of them is chosen
+    one = chosen.groupBy(doc_id, "cls").agg(F.min_by(F.struct(*side.columns), text).alias("r")).select("r.*")
+    return plain.unionByName(one).unionByName(judged.filter("cls is null").drop("cls")).toDF(*names)

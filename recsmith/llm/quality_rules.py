@@ -11,7 +11,9 @@ joined with the thresholds of their group and filtered.
 
 Defined results: a null or empty text has no words and fails the base rules;
 null lang or source form groups of their own; repeated rows are judged one by
-one; output columns replace input columns of the same name.
+one; a rate on a fence is kept; a very long text is scanned on its own, so memory
+follows the longest text; an empty table gives no rows; output columns replace
+input columns of the same name.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import by_place, lookup_join, written
+from recsmith.llm.common import by_place, lookup_join, pick, place_of, written
 
 # Fixed values of the contract: base rules and the symbol set.
 MIN_WORDS = 50
@@ -38,10 +40,12 @@ FENCE = 4
 METRICS = {
     "mean_word_length": ("word_chars", "n_words", 1000, 500, True),
     "symbol_rate": ("n_symbols", "word_chars", 10000, 200, False),
-    "dup_line_rate": ("n_dup_lines", "n_words", 10000, 500, False),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 10000, 4000, False),
     "repeat_rate": ("n_repeat_words", "n_words", 10000, 2000, False),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: What the scan counts: those of the contract, and lines with a word.
+COUNTED = (*COUNTS, "n_lines")
 
 
 def _repeats(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -67,13 +71,13 @@ def chunk_counts(chunk: ts.Chunk) -> dict[str, np.ndarray]:
     has_word = np.searchsorted(found.starts, ends) > np.searchsorted(found.starts, starts)
     starts, ends = starts[has_word], ends[has_word]
     doc = chunk.doc_of(starts)
-    keys = ts.mix(ts.span_hash(values, starts, ends) ^ ts.mix(doc.astype(np.uint64)))
+    keys = ts.mix(ts.strong_hash(values, starts, ends) ^ ts.mix(doc.astype(np.uint64)))
     _, first = np.unique(keys, return_index=True)
     dup = np.bincount(doc, minlength=n) - np.bincount(doc[first], minlength=n)
 
-    hashes = ts.span_hash(values, found.starts, found.ends)
+    hashes = ts.strong_hash(values, found.starts, found.ends)
     at, wdoc = ts.windows(found.first, 3)
-    repeated = _repeats(ts.span_hash(hashes, at, at + 3), wdoc)
+    repeated = _repeats(ts.strong_hash(hashes, at, at + 3), wdoc)
     hit = np.zeros(len(hashes), dtype=bool)
     for k in range(3):
         hit[at[repeated] + k] = True
@@ -83,6 +87,7 @@ def chunk_counts(chunk: ts.Chunk) -> dict[str, np.ndarray]:
         "word_chars": char_total[found.first[1:]] - char_total[found.first[:-1]],
         "n_symbols": chunk.per_doc((codes < 128) & symbol[np.minimum(codes, 127)]),
         "n_dup_lines": dup,
+        "n_lines": np.bincount(doc, minlength=n),
         "n_repeat_words": hits[found.first[1:]] - hits[found.first[:-1]],
     }
 
@@ -93,11 +98,11 @@ def _lines(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def text_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or its columns `keep`) with the five counts of each text."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
+    """`docs` (or its columns `keep`) with the counts of each text."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in COUNTED]
     source = by_place(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
-    for c in COUNTS:
+    for c in COUNTED:
         schema = schema.add(c, "long")
 
     def scan(batches):
@@ -105,7 +110,7 @@ def text_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
             for chunk in ts.chunks(batch.column(len(keep))):
                 found = chunk_counts(chunk)
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(chunk.row, chunk.n) for i in range(len(keep))],
-                                                  *[pa.array(found[c], pa.int64()) for c in COUNTS]], names=keep + list(COUNTS))
+                                                  *[pa.array(found[c], pa.int64()) for c in COUNTED]], names=keep + list(COUNTED))
 
     return source.mapInArrow(scan, schema)
 
@@ -190,7 +195,7 @@ def judge(counts: DataFrame, limits: DataFrame, spread: str) -> DataFrame:
 def quality_counts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """doc_id, lang, source, counts, base_failed, kept of every document; the
     texts are scanned once, the counts are written and used twice."""
-    counts = written(text_counts(docs, keep=["doc_id", "lang", "source"]))
+    counts = written(text_counts(pick(docs, "doc_id", "lang", "source", "text"), keep=["doc_id", "lang", "source"]))
     limits = written(thresholds(sketches(counts), min_group))
     return judge(counts, limits, "doc_id")
 
@@ -198,8 +203,8 @@ def quality_counts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 def quality_filter(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The documents that are kept, with their own columns. The texts are
     scanned twice (sketches, then filter) so that no text is shuffled."""
-    names = docs.columns
-    inner = docs.toDF(*[c if c in ("lang", "source", "doc_id") else f"_in_{c}" for c in names])
-    limits = written(thresholds(sketches(text_counts(inner, "_in_text", ["lang", "source"])), min_group))
-    judged = judge(text_counts(inner, "_in_text"), limits, "doc_id")
-    return judged.filter("kept").select(*[F.col(f"`{c if c in ('lang', 'source', 'doc_id') else f'_in_{c}'}`").alias(c) for c in names])
+    side = by_place(docs)
+    text = f"_c{place_of(docs, 'text')}"
+    inner = side.select("*", *[F.col(f"_c{place_of(docs, c)}").alias(c) for c in ("doc_id", "lang", "source")])
+    limits = written(thresholds(sketches(text_counts(inner, text, ["lang", "source"])), min_group))
+    return judge(text_counts(inner, text), limits, "doc_id").filter("kept").select(*side.columns).toDF(*docs.columns)

@@ -78,7 +78,7 @@ WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
     counts AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
                       coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
                       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-                      (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                      (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
                       coalesce(hit.n, 0)::BIGINT AS n_repeat_words
                FROM d JOIN lines USING (doc_id) LEFT JOIN hit USING (doc_id)),
     rates AS (SELECT *, (n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words) AS base_failed,
@@ -147,7 +147,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     size = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
     return found.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"), "removed")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

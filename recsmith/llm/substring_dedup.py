@@ -104,7 +104,7 @@ def chunk_units(chunk: ts.Chunk, unit: str, min_words: int) -> tuple[np.ndarray,
     last word. The last of several pieces of a line begins none: 0 pieces."""
     codes = ts.lower_ascii(chunk.codes)
     found = _words(chunk, codes)
-    hashes = ts.span_hash(ts.char_values(codes), found.starts, found.ends)
+    hashes = ts.strong_hash(ts.char_values(codes), found.starts, found.ends)
     doc = found.doc
     k = len(hashes)
     if k == 0:
@@ -118,7 +118,7 @@ def chunk_units(chunk: ts.Chunk, unit: str, min_words: int) -> tuple[np.ndarray,
     ends_line = np.append(hard[first[1:]], True)
     pieces = np.where(~ends_line, 2, np.where(hard[first], 1, 0))
     last = np.append(first, k)[np.arange(n) + pieces]
-    digest = np.stack([ts.span_hash(hashes, first, last), ts.span_hash(ts.mix(hashes + np.uint64(0x632BE59BD9B4E019)), first, last)], axis=1)
+    digest = np.stack([ts.strong_hash(hashes, first, last), ts.strong_hash(ts.mix(hashes + np.uint64(0x632BE59BD9B4E019)), first, last)], axis=1)
     start, end = found.starts[first], found.ends[np.maximum(last - 1, first)]
     base = chunk.bounds[doc[first]]
     return doc[first], start - base, end - base, last - first, digest, pieces

@@ -8,7 +8,8 @@ forms a chunk of its own, so memory follows the longest text.
 
 Hashes are 64-bit: a polynomial over mixed code points taken from prefix
 sums (the base is odd, so its powers can be inverted modulo 2**64),
-finished with the splitmix64 mixer.
+finished with the splitmix64 mixer. Where equal hashes count as equal strings
+without a look at them, `strong_hash` adds a polynomial modulo a prime.
 """
 
 from __future__ import annotations
@@ -118,6 +119,48 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(raw + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+_P31 = U64((1 << 31) - 1)
+_P31_BASE = 1_357_204_811
+_residues: dict[str, np.ndarray] = {}
+
+
+def _fold31(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**31 - 1, up to one multiple of it."""
+    x = (x & _P31) + (x >> U64(31))
+    return (x & _P31) + (x >> U64(31))
+
+
+def _residue_power(n: int, which: str) -> np.ndarray:
+    """Powers of the base, or of its inverse, modulo 2**31 - 1."""
+    have = _residues.get(which)
+    if have is None or len(have) < n:
+        p = int(_P31)
+        base = _P31_BASE if which == "up" else pow(_P31_BASE, -1, p)
+        size = max(n, CHUNK_CHARS + 1)
+        have = np.ones(size, dtype=np.uint32)
+        k = 1
+        while k < size:
+            part = have[:min(k, size - k)].astype(U64) * U64(pow(base, k, p))
+            have[k:k + len(part)] = _fold31(part) % _P31
+            k *= 2
+        _residues[which] = have
+    return have[:n]
+
+
+def strong_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of values[start:end] for each span. `span_hash` works modulo
+    2**64, where long strings of a regular build (Thue-Morse) have equal
+    polynomials whatever the base; a second polynomial modulo the prime
+    2**31 - 1 tells them apart."""
+    n = len(values)
+    total = np.zeros(n + 1, dtype=U64)
+    np.cumsum(values * _power(n, "up"), dtype=U64, out=total[1:])
+    raw = (total[ends] - total[starts]) * _power(n + 1, "down")[starts]
+    np.cumsum(_fold31((values >> U64(33)) * _residue_power(n, "up")), dtype=U64, out=total[1:])
+    second = _fold31(_fold31(total[ends] - total[starts]) * _residue_power(n + 1, "down")[starts]) % _P31
+    return mix(raw + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93) + second * U64(0xA0761D6478BD642F))
+
+
 def char_values(codes: np.ndarray) -> np.ndarray:
     x = (codes.astype(U64) + U64(1)) * U64(0xD1342543DE82EF95)
     return x ^ (x >> U64(29))

@@ -57,7 +57,7 @@ def test_run_against_brute_force(spark, make_docs, tmp_path):
 def test_queries_are_registered(spark):
     import __spark_entry__ as entry
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     df = names["op4_quality_rules"](spark, SF)
     assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert df.filter(F.col("base_failed") & F.col("kept")).count() == 0
