@@ -6,17 +6,18 @@ up in it in one scan, hits are verified word by word, and the hit words' spans
 or whole documents are removed.
 
 Bound of the broadcast: the windows are counted first and split by hash into
-blocks of at most BLOCK windows. One scan passes each block's set along, so a
-larger benchmark costs further passes within the same job, never a larger
-broadcast.
+blocks of at most BLOCK windows. Each block is a pass of its own over the
+documents with what was found so far, so a larger benchmark costs further
+passes, never a larger broadcast or more memory in a task.
 
 Normalisation: A-Z to lower case; words are runs of digits, a-z and all
 characters from U+0080 on.
 
 Defined results: null and empty texts (documents or items) have no words and
 hit nothing; a null item_id counts as the empty string; items that repeat an
-item_id count as one item; an empty benchmark leaves all documents clean;
-output columns replace input columns of the same name.
+item_id count as one item; rows that repeat a document are judged one by one;
+an empty benchmark leaves all documents clean; a very long text is scanned on its
+own; an empty table gives no rows; columns of any other name come back as they were.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import written
+from recsmith.llm.common import by_place, pick, place_of, written
 
 WINDOW = 10
 #: Windows in one broadcast set (about 100 bytes each).
@@ -78,7 +80,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                                               pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.string())],
                                              names=["hash", "size", "phrase", "item"])
 
-    return (benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    return (pick(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text")
             .mapInArrow(scan, "hash long, size int, phrase binary, item string").distinct())
 
 
@@ -157,51 +159,59 @@ _ARROW = pa.struct([("n_words", pa.int64()), ("hit_spans", pa.list_(pa.list_(pa.
                     ("hit_words", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW,
-               block: int = BLOCK) -> DataFrame:
-    """Column _found (n_words, hit_spans, hit_words, items) beside `keep`; the
-    text comes first, as _text. hit_spans are character offsets."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """Column _found (n_words, hit_spans, hit_words, items) beside the columns of
+    `docs`; the text comes first, as _text. hit_spans are character offsets. With
+    several blocks, what a block found is written before the next block's set
+    is made, so that there is one set at a time, in the tasks as on the driver."""
     spark = docs.sparkSession
     # blocks are cut by phrase, so that equal windows of several items stay together
     windows = written(item_windows(benchmark, window))
     blocks = max(1, -(-windows.count() // block))
-    current = docs.select(F.col("text").alias("_text"), *[F.col(f"`{c}`") for c in keep])
+    current = docs.select(F.col("text").alias("_text"), *[c for c in docs.columns if c != "text"])
     schema = T.StructType([*current.schema, T.StructField("_found", RESULT)])
     for b in range(blocks):
         rows = windows.filter(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == b).collect()
         known = spark.sparkContext.broadcast(WindowSet(rows))
         current = current.mapInArrow(_scan(known, b > 0), schema)
+        if b + 1 < blocks:
+            current = written(current)
+            known.destroy()
     return current
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, hit_spans of every document."""
     f = F.col("_found")
-    return find_leaks(docs, benchmark, ["doc_id"], window, block).select(
+    return find_leaks(pick(docs, "doc_id", "text"), benchmark, window, block).select(
         "doc_id", f["n_words"].alias("n_words"), F.size(f["hit_words"]).cast("long").alias("n_hit"),
         F.size(f["items"]).cast("long").alias("n_items"), f["items"].alias("items"), f["hit_spans"].alias("hit_spans"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """`docs` without its leaks. remove="documents": documents with a hit go;
     "spans": the hit words go, n_chars (if there) follows the new text."""
-    names = docs.columns
-    inner = docs.toDF(*[c if c == "text" else f"_in_{c}" for c in names])
-    found = find_leaks(inner, benchmark, [c for c in inner.columns if c != "text"], window)
+    names, text = docs.columns, f"_c{place_of(docs, 'text')}"
+    side = by_place(docs)
+    found = find_leaks(side.withColumnRenamed(text, "text"), benchmark, window, block)
+    clean = F.size("_found.hit_words") == 0
     if remove == "documents":
-        found = found.filter(F.size("_found.hit_words") == 0)
-        text = F.col("_text")
-    else:
-        cut = F.udf(lambda t, spans: cut_spans(t, spans), "string")
-        text = F.when(F.size("_found.hit_words") == 0, F.col("_text")).otherwise(cut("_text", "_found.hit_spans"))
-    out = found.withColumn("_text", text)
+        return found.filter(clean).select(*[F.col("_text" if c == text else c).alias(n) for c, n in zip(side.columns, names, strict=True)])
+
+    def cut(batches):
+        for batch in batches:
+            texts, spans = batch.column(0), pc.struct_field(batch.column(batch.num_columns - 1), "hit_spans")
+            kept = [cut_spans(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, texts.type), *batch.columns[1:]], names=batch.schema.names)
+
+    touched = found.filter(~clean).mapInArrow(cut, found.schema).withColumn("_cut", F.lit(True))
+    out = found.filter(clean).withColumn("_cut", F.lit(False)).unionByName(touched)
     columns = []
-    for c in names:
-        if c == "n_chars" and remove == "spans":
-            columns.append(F.when(F.size("_found.hit_words") == 0, F.col("_in_n_chars"))
-                           .otherwise(F.length("_text")).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append((F.col("_text") if c == "text" else F.col(f"`_in_{c}`")).alias(c))
+    for c, n in zip(side.columns, names, strict=True):
+        column = F.col("_text" if c == text else c)
+        if n == "n_chars":
+            column = F.when(F.col("_cut"), F.length("_text")).otherwise(column).cast(docs.schema[n].dataType)
+        columns.append(column.alias(n))
     return out.select(*columns)
 
 

@@ -20,7 +20,9 @@ so the sums do not depend on the partitioning.
 Defined results: null or empty html or url is missing evidence and leaves the
 rest to decide; without any evidence the corpus' commonest language is given;
 without labelled documents lang is null; null page_ids and repeated rows are
-judged one by one; output columns replace input columns of the same name.
+judged one by one; of languages with equal posteriors the first in the alphabet
+is given; a very long page is scanned on its own; an empty table gives no rows;
+output columns replace input columns of the same name, whatever its case.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
 from recsmith.llm.blocks import as_blocks, summed
-from recsmith.llm.common import lookup_join, written
+from recsmith.llm.common import by_place, lookup_join, pick, place_of, written
 
 #: Trigram hash values; smoothing of their counts; weight of a trigram.
 GRAMS, SMOOTH, TEMPER = 1 << 14, 0.5, 0.25
@@ -112,17 +114,22 @@ def _sums(pages: DataFrame, keys: list[str], n: int) -> DataFrame:
 def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """`pages` (its columns but html) with host, declared, text_lang, lang and
     confidence."""
+    docs = pick(docs, "text", "lang")
     languages = sorted(r.lang for r in docs.select("lang").filter("lang is not null").distinct().collect())
     added = ("host", "declared", "text_lang", "lang", "confidence")
-    keep = [c for c in pages.columns if c not in (*added, "html")]
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)://([^/?#:]*)", 1))
-    base = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"),
+    places = [i for i, c in enumerate(pages.columns) if c.lower() not in (*added, "html")]
+    side, names = by_place(pages), pages.columns  # inside, the input's names clash with nothing
+    keep = [f"_c{i}" for i in places]
+    url, html = (F.col(f"_c{place_of(pages, c)}") for c in ("url", "html"))
+    shown = [F.col(f"_c{i}").alias(names[i]) for i in places]
+    host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)://([^/?#:]*)", 1))
+    base = side.select(*keep, host.alias("host"),
                         F.substring_index(host, ".", -1).alias("_suffix"), F.substring_index(host, ".", -2).alias("_domain"),
-                        F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), _DECLARED, 1)).alias("declared"),
-                        F.regexp_replace(F.coalesce("html", F.lit("")), _TAGS, " ").alias("_text"))
+                        F.lower(F.regexp_extract(F.coalesce(html, F.lit("")), _DECLARED, 1)).alias("declared"),
+                        F.regexp_replace(F.coalesce(html, F.lit("")), _TAGS, " ").alias("_text"))
     n = len(languages)
     if n == 0:
-        return base.select(*keep, "host", "declared", *[F.lit(None).cast(t).alias(c) for c, t in
+        return base.select(*shown, "host", "declared", *[F.lit(None).cast(t).alias(c) for c, t in
                                                         (("text_lang", "string"), ("lang", "string"), ("confidence", "double"))])
     counts = gram_counts(docs, languages).astype(np.float64) + SMOOTH
     logs = np.log(counts / counts.sum(axis=1, keepdims=True))
@@ -139,8 +146,8 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     domains = written(_sums(texts, ["_domain"], n).withColumnRenamed("sums", "_domain_sums"))
     kinds = {"declared": declared.count(), "_suffix": suffix.count()}
     joined = texts
-    for side, key in ((declared, "declared"), (suffix, "_suffix"), (hosts, "host"), (domains, "_domain")):
-        joined = lookup_join(joined, side, [key], F.xxhash64("url"))
+    for part, key in ((declared, "declared"), (suffix, "_suffix"), (hosts, "host"), (domains, "_domain")):
+        joined = lookup_join(joined, part, [key], F.xxhash64(url))
 
     def others(column: str, i: int) -> Column:
         """Pages of language i behind a key, without the page itself."""
@@ -158,13 +165,13 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
             seen = (others(column, i) + 0.5) / (total[i] + 0.5 * (kinds[key] + 1))
             value = value + F.when(F.col(key) != "", F.log(seen)).otherwise(F.lit(0.0))
         fused.append(value)
-    names = F.array(*[F.lit(l) for l in languages])
+    tongues = F.array(*[F.lit(l) for l in languages])
 
     def best(column: Column) -> Column:
-        return F.element_at(names, F.array_position(column, F.array_max(column)).cast("int"))
+        return F.element_at(tongues, F.array_position(column, F.array_max(column)).cast("int"))
 
     out = joined.withColumn("_post", _softmax(F.array(*fused)))
-    return out.select(*keep, "host", "declared",
+    return out.select(*shown, "host", "declared",
                       F.when(F.array_max("_logp") > F.array_min("_logp"), best(F.col("_logp"))).alias("text_lang"),
                       best(F.col("_post")).alias("lang"), F.round(F.array_max("_post"), 6).alias("confidence"))
 

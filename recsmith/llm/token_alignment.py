@@ -20,7 +20,7 @@ from space + text on either side, have no tokens (zeros, empty groups);
 repeated rows and repeated or null doc_ids are rows of their own, and each
 counts; among ids linked equally often to one id of B all are best (ties); a
 very long text is a block of its own, so memory follows the longest text; an
-empty table gives no rows; columns of other names are not read.
+empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
 from recsmith.llm.bpe import TrieEncoder
-from recsmith.llm.common import written
+from recsmith.llm.common import pick, written
 from recsmith.llm.pretokens import Encoder, Vocabulary, WordCache
 
 #: (text, pair) entries of a block.
@@ -301,7 +301,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = True, b
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (text, if
     `with_groups`) and groups_sha256 of every document."""
     size_b = len(sides(path_a, path_b)[1].size)
-    rows = written(_aligned(docs.select("doc_id", "text"), path_a, path_b, with_groups, block_links))
+    rows = written(_aligned(pick(docs, "doc_id", "text"), path_a, path_b, with_groups, block_links))
     own = rows.filter("total").select("block", F.explode(F.arrays_zip("pair", "times")).alias("x")).select(
         "block", F.col("x.pair").alias("pair"), F.col("x.times").alias("n"))
     known = own.select(F.col("block").alias("place"), "pair").join(pair_counts(own, size_b), "pair")

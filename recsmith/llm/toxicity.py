@@ -25,7 +25,7 @@ labels counts by their majority (ties: toxic); without labels of both kinds
 every score is the share of toxic labels, or 0.5; entries of equal evidence are
 taken the longer first, then by their letters; repeated rows are scored one by one; a very long text is
 scanned on its own, so memory follows the longest text; an empty table gives no
-rows; columns of other names are not read.
+rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recsmith.llm import textscan as ts
-from recsmith.llm.common import written
+from recsmith.llm.common import pick, written
 
 #: Labelled documents that lexicon, exceptions and curve are fitted on, at most.
 SAMPLE = 20_000
@@ -442,6 +442,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (), sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted, n_words, hits of every document."""
+    docs, labels = pick(docs, "doc_id", "text"), pick(labels, "doc_id", "toxic")
     model = fit(written(labelled(docs, labels, sample)), exceptions)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_words", "hits")

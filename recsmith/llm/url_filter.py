@@ -26,7 +26,9 @@ plain tables, so a host with a third of all urls is split by adaptive execution.
 
 Defined results: a null url, or one without `://`, has an empty host and path
 and is judged like any other host; null page_ids and repeated rows are judged
-one by one; output columns replace input columns of the same name.
+one by one, and count as many times in the tree; equal shares of two branches
+merge; a very long path has as many levels as segments; an empty table gives no
+rows; output columns replace input columns of the same name, whatever its case.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import written
+from recsmith.llm.common import by_place, place_of, written
 
 # Fixed values of the contract: verdict and rule.
 RULES = (
@@ -161,9 +163,10 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """`pages` (its columns but html and text) with host, path, rule, template,
     purity and verdict."""
     added = ("host", "path", "rule", "template", "purity", "verdict")
-    keep = [c for c in pages.columns if c not in (*added, "html", "text")]
-    host, path = parse(F.col("url"))
-    base = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
+    keep = [i for i, c in enumerate(pages.columns) if c.lower() not in (*added, "html", "text")]
+    side = by_place(pages)  # inside, the input's names clash with nothing
+    host, path = parse(F.col(f"_c{place_of(pages, 'url')}"))
+    base = side.select(*[f"_c{i}" for i in keep], host.alias("host"), path.alias("path"))
     rule, verdict = listed(F.col("host"), F.col("path"), rules)
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
     base = base.select("*", rule.alias("rule"), verdict.alias("_listed"), parts.alias("_segments"))
@@ -172,5 +175,5 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         F.count("*").alias("urls"), (n > 0).cast("long").alias("labelled"), (2 * blocked > n).cast("long").alias("blocked")))
     verdicts = judge_paths(templates(paths)).withColumnsRenamed({"host": "_host", "segments": "_path"})
     return base.join(verdicts, (F.col("host") == F.col("_host")) & (F.col("_segments") == F.col("_path")), "left").select(
-        *keep, "host", "path", "rule", "template", "purity",
+        *[F.col(f"_c{i}").alias(pages.columns[i]) for i in keep], "host", "path", "rule", "template", "purity",
         F.coalesce("_listed", F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
