@@ -148,8 +148,9 @@ _BIASED_SQL = f"""WITH RECURSIVE {_BASE},
 tk AS (SELECT src, dst, greatest(1, CAST(round(weight / max(weight) OVER (PARTITION BY src) * {float(TICKS)}::DOUBLE) AS BIGINT)) AS ticks
        FROM graph WHERE weight > 0),
 {alias_sql('tk', 'src', 'dst', 'ticks')},
-tab AS (SELECT g, CAST(slot AS BIGINT) AS slot, c, CAST(cut AS DOUBLE) AS cut, alias, CAST(size AS DOUBLE) AS size, CAST(n AS BIGINT) AS n FROM slots),
-deg AS (SELECT DISTINCT g, n FROM tab),
+tab AS MATERIALIZED (SELECT g, CAST(slot AS BIGINT) AS slot, c, CAST(cut AS DOUBLE) AS cut, alias, CAST(size AS DOUBLE) AS size, CAST(n AS BIGINT) AS n FROM slots),
+deg AS MATERIALIZED (SELECT DISTINCT g, n FROM tab),
+back AS MATERIALIZED (SELECT src, dst FROM graph),
 nodes AS (SELECT src AS node FROM graph UNION SELECT dst FROM graph),
 -- one proposal for every walker that still moves, a row of attempt 0 is a step taken
 tries(start, walk, step, a, cur, prev) AS (
@@ -165,7 +166,7 @@ tries(start, walk, step, a, cur, prev) AS (
               FROM tries t JOIN deg ON deg.g = t.cur JOIN tab ON tab.g = t.cur
                AND tab.slot = least(CAST(floor({_u_sql('t.start', 't.walk', 't.step + 1', 't.a', "'s'")} * deg.n) AS BIGINT), deg.n - 1)
               WHERE t.step + 1 < {G.WALK_LENGTH}) p
-        LEFT JOIN graph b ON b.src = p.x AND b.dst = p.prev))
+        LEFT JOIN back b ON b.src = p.x AND b.dst = p.prev))
 SELECT start, CAST(walk AS INT) AS walk, CAST(step AS INT) AS step, cur AS node FROM tries WHERE a = 0"""
 
 
