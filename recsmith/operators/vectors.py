@@ -13,19 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import affinity, uniform01
+from recsmith.operators.encode import bounded_broadcast
 from recsmith.operators.retrieval import topk_similar  # noqa: F401
 
+#: Largest table of vectors (rows) that is broadcast.
+MOST_VECTORS = 50_000
+
+
 def history_mean_pool(log: DataFrame, vecs: DataFrame, user: str = "user_id", item: str = "item_id",
                       dim: int | None = None) -> DataFrame:
     """H3: per user the mean of the vectors of the items in the history;
     users none of whose items has a vector get the vector of id 0 (what a
     fully padded history pools to). One grouped aggregate with an average for
     each of the ``dim`` places (read off the first vector if not given):
-    map-side combined, no row per place and no array per user."""
+    map-side combined, no row per place and no array per user. The vectors of
+    the items in the log are broadcast if they are few, so that the log keeps
+    its order by user: dealt by item, each task would hold sums of all users."""
     if dim is None:
         first = vecs.select(F.size("vec").alias("n")).first()
         dim = first.n if first else 0
-    v = vecs.select(F.col("item_id").alias(item), "vec")
+    v = vecs.select(F.col("item_id").alias(item), "vec").join(log.select(item).distinct(), item, "left_semi")
+    v = bounded_broadcast(v, v.count(), MOST_VECTORS)
     means = [F.avg(F.col("vec")[k].cast("double")).alias(f"_m{k}") for k in range(dim)]
     pooled = (log.select(user, item).join(v, item).groupBy(user).agg(F.count(F.lit(1)).alias("_n"), *means)
               .select(user, F.array(*[F.col(f"_m{k}") for k in range(dim)]).alias("vec")))

@@ -119,3 +119,32 @@ def test_bounds_hold():
                                                                           np.linalg.norm(x - centre, axis=1).max(), norm)], apart=0)
         q = rng.normal(size=(20, dim)) * 10 ** rng.uniform(-3, 3)
         assert (cells.bounds(q)[:, 0] >= (q @ x.T).max(axis=1)).all()
+
+
+@pytest.mark.parametrize("cosine", [False, True])
+def test_vectors_without_clusters_move_by_the_row(spark, monkeypatch, cosine):
+    """Where no cell can be left out, a query still meets few chunks, and at
+    most k items of each are kept."""
+    rng = np.random.default_rng(6)
+    items, queries = rng.normal(size=(3000, 16)), rng.normal(size=(40, 16))
+    items[1000:1040] = items[7]  # ties
+    sent = []
+    plain = R._scored
+    monkeypatch.setattr(R, "_scored", lambda items, probes, *a: (sent.append(probes.count()), plain(items, probes, *a))[1])
+    got = {}
+    for r in R.topk_similar(_frame(spark, queries, "qid"), _frame(spark, items, "item_id"), k=20, cosine=cosine).collect():
+        got.setdefault(r.qid, []).append((r.rank, r.item_id))
+    for q in range(40):
+        assert sorted(got[q]) == [(a, b) for a, b, _ in _plain(queries[q], list(enumerate(items)), 20, cosine)]
+    assert sum(sent) <= 40 * (1 + R.SHARE)
+
+
+@pytest.mark.parametrize("scale", [1e-170, 1e-30, 1e30, 1e150])
+def test_lengths_beyond_single_precision(spark, scale):
+    rng = np.random.default_rng(7)
+    items, queries = rng.normal(size=(300, 4)) * scale, rng.normal(size=(5, 4))
+    got = {}
+    for r in R.topk_similar(_frame(spark, queries, "qid"), _frame(spark, items, "item_id"), k=6, block=64).collect():
+        got.setdefault(r.qid, []).append((r.rank, r.item_id))
+    for q in range(5):
+        assert sorted(got[q]) == [(a, b) for a, b, _ in _plain(queries[q], list(enumerate(items)), 6)]
