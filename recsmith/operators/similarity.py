@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from recsmith.functions.columns import (
     HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, activity_damp, dot_unrolled, hash32, loc_decay, ndcg_gain,
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
-from recsmith.operators.encode import attach_scalars
+from recsmith.operators.encode import attach_scalars, bounded_broadcast
 from recsmith.operators.logs import item_stats, rank_in_group, upper_median
 from recsmith.operators.sequence import hot_of, positions
+from recsmith.session import cut_lineage
 
 # Vector slices standing in for the three embedding models
 # (node2vec, deepwalk, text) and the default cut sizes.
@@ -40,6 +41,8 @@ RELATE_ITEM_NUM = 100
 ITEM_NUM = 200
 HOT_K = 50
 BLOCK = 4096
+#: Largest table of related items (rows) that is broadcast.
+MOST_RELATED = 200_000
 
 _T = float(TICKS_PER_UNIT)
 
@@ -149,25 +152,32 @@ def recommend(train: DataFrame, sim: DataFrame, users: DataFrame | None = None,
               top_k: int = RELATE_ITEM_NUM, item_num: int = ITEM_NUM) -> DataFrame:
     """R2 (J5, J6, A8, T2): candidates from each history item's ``top_k``
     related items, minus the user's history, scored and cut to
-    ``item_num`` per user. History is newest first (loc 0 = newest)."""
+    ``item_num`` per user. History is newest first (loc 0 = newest). The
+    candidates of a history row are summed up where the row is; what is moved
+    is at most one row for each user and related item, without those related
+    to several history items more than once a task."""
     hist = train.select("user_id", "item_id", "time", "time_us")
     if users is not None:
         hist = hist.join(users.select("user_id").distinct(), "user_id", "left_semi")
     newest = hist.groupBy("user_id").agg(F.max("time").alias("t0"))
     hist = positions(hist, "user_id", ["time_us", "item_id"], desc=True, loc="loc", size=None,
                      known=hot_of(train)).join(newest, "user_id")
-    s = rank_in_group(sim, "item", "sim", ["relate_item"], k=top_k, name="_r").drop("_r")
-    cand = hist.join(s.withColumnRenamed("item", "item_id"), "item_id")                     # J5
-    seen = train.select("user_id", F.col("item_id").alias("relate_item")).distinct()
-    cand = cand.join(seen, ["user_id", "relate_item"], "left_anti")                         # J6
     st = item_stats(train).select(F.col("item_id").alias("relate_item"), "clicks", "first_seen")
-    cand = cand.join(st, "relate_item")
+    s = rank_in_group(sim, "item", "sim", ["relate_item"], k=top_k, name="_r").drop("_r").join(st, "relate_item")
+    # an item is its own row with `_seen`: a user's history marks its items in
+    # the sums below (J6), and no candidate is moved before it is summed up
+    own = st.select(F.col("relate_item").alias("item"), "relate_item").where(F.col("item").isNotNull())
+    s = s.withColumn("_seen", F.lit(0)).unionByName(own.withColumn("_seen", F.lit(1)), allowMissingColumns=True)
+    s = cut_lineage(s.withColumnRenamed("item", "item_id"))
+    hist = hist.select("user_id", "item_id", "time", "t0", "loc")
+    cand = hist.join(bounded_broadcast(s, s.count(), MOST_RELATED), "item_id")                 # J5
     dt1 = F.abs(F.col("t0") - F.col("time")) / F.lit(float(HOUR_SECONDS))
     dt2 = F.abs(F.col("t0") - F.col("first_seen")) / F.lit(float(HOUR_SECONDS))
     alpha, beta = popularity_damp("clicks"), loc_decay("loc")
     theta, gamma = time_decay(dt1), time_decay(dt2)
     term = F.col("sim") * (alpha * alpha) * beta * (theta * theta) * gamma
     agg = cand.groupBy("user_id", F.col("relate_item").alias("item_id")).agg(                  # A8
+        F.max("_seen").alias("_seen"),
         F.sum(trunc_ticks(term)).alias("_score_ticks"),
         F.sum("cnt").alias("f_cnt"),
         F.sum(F.round(F.col("weighted") * F.lit(_T)).cast("bigint")).alias("_w_ticks"),
@@ -179,7 +189,7 @@ def recommend(train: DataFrame, sim: DataFrame, users: DataFrame | None = None,
         F.max("node").alias("f_node_max"),
         F.sum(F.col("node_sum") / F.col("cnt")).alias("f_node_avg_sum"),
         F.max("deep").alias("f_deep_max"),
-        F.sum(F.col("deep_sum") / F.col("cnt")).alias("f_deep_avg_sum"))
+        F.sum(F.col("deep_sum") / F.col("cnt")).alias("f_deep_avg_sum")).where(F.col("_seen") == 0)
     out = agg.select(
         "user_id", "item_id", (F.col("_score_ticks") / F.lit(_T)).alias("score"), "f_cnt",
         (F.col("_w_ticks") / F.lit(_T)).alias("f_weighted"), "f_min_dt", "f_min_dloc",

@@ -77,3 +77,18 @@ def test_user_item_pairs_blocked_equals_naive(spark):
     want = sorted({(a, b) for u in range(5) for (_, a, _) in [r for r in rows if r[0] == u]
                    for (_, b, _) in [r for r in rows if r[0] == u] if a < b})
     assert got == want
+
+
+def test_candidates_are_summed_before_they_move(spark):
+    """No join on the user meets rows of (history item, related item)."""
+    from recsmith.operators.similarity import recommend
+    log = spark.range(400).selectExpr("id div 10 user_id", "id % 10 + (id div 200) * 5 item_id", "cast(id as double) time", "id time_us")
+    sim = (spark.range(225).selectExpr("id div 15 item", "id % 15 relate_item").where("item <> relate_item")
+           .selectExpr("*", "0.5D sim", "1L cnt", "1D weighted", "0.1D min_dt", "1L min_dloc", "0.5D node", "0.5D node_sum", "0.5D deep", "0.5D deep_sum"))
+    out = recommend(log, sim)
+    rows = out.collect()
+    assert len(rows) == 40 * 5
+    assert all((r.item_id >= 10) == (r.user_id < 20) or r.item_id < 5 for r in rows)
+    assert {r.item_id for r in rows if r.user_id == 0} == set(range(10, 15)) and {r.item_id for r in rows if r.user_id == 39} == set(range(5))
+    assert all(r.f_cnt == 10 for r in rows)
+    assert "LeftAnti" not in out._jdf.queryExecution().toString()
