@@ -20,6 +20,8 @@ from recsmith.session import cut_lineage
 
 #: Ranks of a user's complement that one row of the rank directory covers.
 RANK_BUCKET = 1024
+#: Taken items of a user that stand beside each of its rows.
+MOST_TAKEN = 1024
 
 
 def _occurrences(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -71,10 +73,80 @@ def item_of_rank(draws: DataFrame, directory: DataFrame, bucket: int = RANK_BUCK
     return j.withColumn("_pidx", F.col("_r") + F.coalesce(below, F.col("_base"))).drop("_du", "_b", "_rb", "_base", "_list")
 
 
+def _negatives_by_joins(base: DataFrame, hist: DataFrame, pool_side: DataFrame, n_items: int, user: str, k: int, attempts: int,
+                        first_round: int, row_hash) -> DataFrame:
+    """(_k, _j, _neg_item, _neg_cat): the negatives of rows whose users have
+    taken many items, or of a pool that repeats items, by joins."""
+    # 2. rejection draws, in two rounds: every row tries attempts
+    #    [0, first_round); only rows still short of k try [first_round,
+    #    attempts). The first k accepted by attempt number are exactly those
+    #    of a single pass over all attempts, with far fewer rows drawn.
+    def draws(keys: DataFrame, lo: int, hi: int) -> DataFrame:
+        att = keys.withColumn("_a", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))))
+        att = att.withColumn("_pidx", F.pmod(row_hash(F.col("_a"), attempts), F.lit(max(n_items, 1))).cast("bigint"))
+        cand = att.join(pool_side, "_pidx")
+        return cand.join(hist, cand["_u"].eqNullSafe(hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
+                         "left_anti").select("_k", "_u", "_a", "_neg_item", "_neg_cat")
+
+    row_keys = base.select("_k", F.col(user).alias("_u"))
+    split_at = min(first_round, attempts)
+    accepted = cut_lineage(draws(row_keys, 0, split_at))
+    if attempts > split_at:
+        done = accepted.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("_k")
+        accepted = accepted.unionByName(draws(row_keys.join(done, "_k", "left_anti"), split_at, attempts))
+    w = Window.partitionBy("_k").orderBy("_a")
+    first = accepted.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
+    first = cut_lineage(first.select("_k", "_j", "_neg_item", "_neg_cat"))
+
+    # 3. exact remainder for short rows
+    got = first.groupBy("_k").agg(F.count(F.lit(1)).alias("_got"))
+    short = (row_keys.join(got, "_k", "left").withColumn("_got", F.coalesce(F.col("_got"), F.lit(0)))
+             .where(F.col("_got") < k))
+    short = cut_lineage(short)
+    negs = first
+    if n_items and not short.isEmpty():
+        users = cut_lineage(short.select("_u").distinct())
+        taken = cut_lineage(hist.join(users, F.col("_h_user").eqNullSafe(F.col("_u")), "left_semi")
+                            .join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
+                            .select("_h_user", "_pidx").distinct())
+        sizes, directory = rank_directory(users, taken, n_items)
+        sizes = cut_lineage(sizes)
+        sizes = bounded_broadcast(sizes.withColumnRenamed("_u", "_su"), sizes.count())
+        need = (short.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where(F.col("_j") >= F.col("_got"))
+                .join(sizes, F.col("_u").eqNullSafe(F.col("_su")))
+                .withColumn("_r", F.pmod(row_hash(F.col("_j"), k, F.lit("x")), F.col("_C")).cast("bigint")).select("_k", "_u", "_j", "_r"))
+        rest = item_of_rank(need, directory).join(pool_side, "_pidx").select("_k", "_j", "_neg_item", "_neg_cat")
+        negs = first.unionByName(rest)
+    return negs
+
+
+def _draws_in_row(n_items: int, k: int, attempts: int, first_round: int, row_hash) -> list[tuple[str, Column]]:
+    """The columns that lead to ``_negs``, the ranks drawn for a row, from
+    ``_taken``, the sorted ranks its user has taken: the draws and the order of
+    :func:`_negatives_by_joins`, without a row for each draw."""
+    free = F.lit(n_items) - F.size("_taken")
+
+    def tries(lo: int, hi: int) -> Column:
+        drawn = F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda a: F.pmod(row_hash(a, attempts), F.lit(max(n_items, 1))).cast("bigint"))
+        return F.filter(drawn, lambda p: ~F.array_contains("_taken", p))
+
+    def of_rank(r: Column) -> Column:
+        return r + F.size(F.filter("_below", lambda s: s <= r))
+
+    split_at = min(first_round, attempts)
+    short = F.size("_first") < k
+    second = F.when(short, F.slice(F.concat("_first", tries(split_at, attempts)), 1, k)) if attempts > split_at else F.when(short, F.col("_first"))
+    rest = F.transform(F.sequence(F.size("_first"), F.lit(k - 1)),
+                       lambda j: of_rank(F.pmod(row_hash(j, k, F.lit("x")), free).cast("bigint")))
+    return [("_first", tries(0, split_at)), ("_first", second.otherwise(F.slice("_first", 1, k))),
+            ("_below", F.when(short & (free > 0), F.transform("_taken", lambda h, i: h - i))),
+            ("_negs", F.when(short & (free > 0), F.concat("_first", rest)).otherwise(F.col("_first")))]
+
+
 def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int = 4,
                     attempts: int = 32, user: str = "user_id", item: str = "item_id",
                     category: str = "category", row_key: tuple[str, ...] = ("user_id", "item_id", "time_us"),
-                    label: str = "label", first_round: int = 12, distinct_rows: bool = False) -> DataFrame:
+                    label: str = "label", first_round: int = 12, distinct_rows: bool = False, most_taken: int = MOST_TAKEN) -> DataFrame:
     """Every row yields itself (label 1) plus ``k`` items the user never
     clicked, drawn uniformly **with replacement**; a negative takes that
     item's category and keeps the rest of the row (context, history).
@@ -94,6 +166,10 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     the history of the null user is what its rows have clicked. Rows with equal
     keys are rows of their own with draws of their own; ``distinct_rows`` says
     that there are none, which saves a pass over the keys.
+
+    A user's taken items, up to ``most_taken``, are joined to its rows as an
+    array, and steps 2 and 3 are expressions on the row; nothing is moved for a
+    draw. Users with more, and pools that repeat items, take the joins.
     """
     key = list(row_key)
     pool = pool.where(F.col(item).isNotNull())
@@ -110,59 +186,43 @@ def negative_sample(rows: DataFrame, pool: DataFrame, history: DataFrame, k: int
     base = rows.withColumn("_dup", F.lit(0).cast("bigint")) if distinct_rows else _occurrences(rows, key)
     base = base.withColumn("_k", F.struct(*key, "_dup"))
 
-    def row_hash(a, per_row: int, *more):
+    def row_hash(a: Column, per_row: int, *more):
         """Draw ``a`` of a row; its repetitions go on where it ends."""
-        return hash32(*[F.col("_k")[c] for c in key], *more, F.col(a) + F.col("_k")["_dup"] * F.lit(per_row))
+        return hash32(*[F.col("_k")[c] for c in key], *more, a + F.col("_k")["_dup"] * F.lit(per_row))
 
-    # 2. rejection draws, in two rounds: every row tries attempts
-    #    [0, first_round); only rows still short of k try [first_round,
-    #    attempts). The first k accepted by attempt number are exactly those
-    #    of a single pass over all attempts, with far fewer rows drawn.
     hist = history.where(F.col(item).isNotNull()).select(F.col(user).alias("_h_user"), F.col(item).alias("_h_item")).distinct()
-
-    def draws(keys: DataFrame, lo: int, hi: int) -> DataFrame:
-        att = keys.withColumn("_a", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1))))
-        att = att.withColumn("_pidx", F.pmod(row_hash("_a", attempts), F.lit(max(n_items, 1))).cast("bigint"))
-        cand = att.join(pool_side, "_pidx")
-        return cand.join(hist, cand["_u"].eqNullSafe(hist["_h_user"]) & (cand["_neg_item"] == hist["_h_item"]),
-                         "left_anti").select("_k", "_u", "_a", "_neg_item", "_neg_cat")
-
-    row_keys = base.select("_k", F.col(user).alias("_u"))
-    split_at = min(first_round, attempts)
-    accepted = cut_lineage(draws(row_keys, 0, split_at))
-    if attempts > split_at:
-        done = accepted.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("_k")
-        accepted = accepted.unionByName(draws(row_keys.join(done, "_k", "left_anti"), split_at, attempts))
-    w = Window.partitionBy("_k").orderBy("_a")
-    first = accepted.withColumn("_j", F.row_number().over(w) - 1).where(F.col("_j") < k)
-    first = cut_lineage(first.select("_k", "_j", "_neg_item", "_neg_cat"))
-
-    # 3. exact remainder for short rows
-    got = first.groupBy("_k").agg(F.count(F.lit(1)).alias("_got"))
-    short = (row_keys.join(got, "_k", "left").withColumn("_got", F.coalesce(F.col("_got"), F.lit(0)))
-             .where(F.col("_got") < k))
-    short = cut_lineage(short)
-    negs = first
-    if n_items and not short.isEmpty():
-        users = cut_lineage(short.select("_u").distinct())
-        taken = cut_lineage(hist.join(users, F.col("_h_user").eqNullSafe(F.col("_u")), "left_semi")
-                            .join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
-                            .select("_h_user", "_pidx").distinct())
-        sizes, directory = rank_directory(users, taken, n_items)
-        sizes = cut_lineage(sizes)
-        sizes = bounded_broadcast(sizes.withColumnRenamed("_u", "_su"), sizes.count())
-        need = (short.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where(F.col("_j") >= F.col("_got"))
-                .join(sizes, F.col("_u").eqNullSafe(F.col("_su")))
-                .withColumn("_r", F.pmod(row_hash("_j", k, F.lit("x")), F.col("_C")).cast("bigint")).select("_k", "_u", "_j", "_r"))
-        rest = item_of_rank(need, directory).join(pool_side, "_pidx").select("_k", "_j", "_neg_item", "_neg_cat")
-        negs = first.unionByName(rest)
-
-    neg_rows = base.join(negs, "_k").select(
-        *[F.col("_neg_item").alias(item) if c == item else
-          F.col("_neg_cat").alias(category) if c == category else F.col(c) for c in rows.columns],
-        F.lit(0).alias(label))
-    pos_rows = rows.select(*rows.columns, F.lit(1).alias(label))
-    return pos_rows.unionByName(neg_rows)
+    taken = (hist.join(pool_side.select(F.col("_neg_item").alias("_h_item"), "_pidx"), "_h_item")
+             .select("_h_user", "_pidx"))
+    parts = [rows.select(*rows.columns, F.lit(1).alias(label))]
+    named = [F.col("_neg_item").alias(item) if c == item else F.col("_neg_cat").alias(category) if c == category else F.col(c) for c in rows.columns]
+    by_joins = base
+    if ids.count() == n_items:
+        # the draws of a row are made where the row is, beside the ranks its
+        # user has taken; only users who took very many are left to the joins
+        sizes = taken.groupBy("_h_user").agg(F.count(F.lit(1)).alias("_n"))
+        large = cut_lineage(sizes.where(F.col("_n") > most_taken).select(F.col("_h_user").alias("_large")))
+        n_large = large.count()
+        # generated, so that users of one value known beforehand stay a join key
+        few, by_joins = base.withColumn("_u", F.explode(F.array(F.col(user)))), None
+        if n_large:
+            side = bounded_broadcast(large, n_large)
+            taken = taken.select(F.explode(F.array("_h_user")).alias("_h_user"), "_pidx").join(
+                side, F.col("_h_user").eqNullSafe(F.col("_large")), "left_anti")
+            few, by_joins = (few.join(side, F.col("_u").eqNullSafe(F.col("_large")), how) for how in ("left_anti", "left_semi"))
+        lists = taken.groupBy("_h_user").agg(F.sort_array(F.collect_list("_pidx")).alias("_taken"))
+        drawn = (few.join(lists, F.col("_u").eqNullSafe(F.col("_h_user")), "left")
+                 .withColumn("_taken", F.coalesce("_taken", F.array().cast("array<bigint>"))))
+        for name, value in _draws_in_row(n_items, k, attempts, first_round, row_hash):
+            drawn = drawn.withColumn(name, value)
+        drawn = drawn.select(*few.columns, F.explode("_negs").alias("_pidx"))
+        parts.append(drawn.join(pool_side, "_pidx").select(*named, F.lit(0).alias(label)))
+    if by_joins is not None:
+        negs = _negatives_by_joins(by_joins, hist, pool_side, n_items, user, k, attempts, first_round, row_hash)
+        parts.append(by_joins.join(negs, "_k").select(*named, F.lit(0).alias(label)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def stratified_sample(df: DataFrame, label: str, key: list[str], rate: float | None = None,

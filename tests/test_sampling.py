@@ -128,3 +128,21 @@ def test_weighted_choice_inverse_cdf(spark):
     draws = spark.createDataFrame([(0, 1, 0.1), (1, 1, 0.3), (2, 1, 0.99)], "d long, g long, _u double")
     got = {r.d: r.c for r in weighted_choice(adj, "g", "c", "w", draws, ["d"]).collect()}
     assert got == {0: 10, 1: 20, 2: 20}
+
+
+def test_draws_in_the_row_are_the_draws_by_joins(spark):
+    """Users of every size, repeated and null keys: the same negatives whether
+    they are drawn in the row or by joins, and no row for each draw."""
+    from pyspark.sql import functions as F
+    from recsmith.operators.sampling import negative_sample
+    data = [(u, i, u * 100 + i, "a") for u in range(6) for i in range(u * 8)] + [(1, 1, 101, "a"), (None, 3, 1, "a"), (None, None, 2, "a")]
+    rows = spark.createDataFrame(data, "user_id long, item_id long, time_us long, category string")
+    pool = spark.range(42).selectExpr("id item_id", "concat('c', id) category")
+    got = {}
+    for most in (1000, 20, -1):
+        out = negative_sample(rows, pool, rows.select("user_id", "item_id"), k=5, attempts=6, first_round=3, most_taken=most)
+        got[most] = sorted(map(str, out.collect()))
+        if most == 1000:
+            assert "_a" not in out._jdf.queryExecution().optimizedPlan().toString().replace("_a#", " _a ").split()
+    assert got[1000] == got[20] == got[-1]
+    assert sum("label=0" in r for r in got[1000]) == 5 * len(data)
