@@ -110,12 +110,14 @@ def train_fm(df: DataFrame, fields: list[str], label: str, factor_size: int = 8,
     """M7: factorization machine on code fields. Returns the table (field, code,
     weight, vec) and the bias.
 
-    The parameters are rows, one for each (field, code). A step joins them to
+    Rows of the same codes are one row with their number and the sum of their
+    labels. The parameters are rows, one for each (field, code). A step joins them to
     the rows, one field after the other, and adds up the gradients per (field,
     code) (map-side combined, so a frequent code is no hot key); AdaGrad keeps
     its sums beside the parameters. Only the bias, one number, is on the
     driver. Starting vectors are drawn from md5 of field, code and place."""
-    rows = as_table(df.select(*fields, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull()))
+    rows = as_table(df.select(*fields, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+                    .groupBy(*fields).agg(F.sum("_y").alias("_y"), F.count(F.lit(1)).alias("_rows")))
     params = None
     for f in fields:
         codes = rows.where(F.col(f).isNotNull()).select(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("code")).distinct()
@@ -125,12 +127,13 @@ def train_fm(df: DataFrame, fields: list[str], label: str, factor_size: int = 8,
     bias = held = 0.0
     for _ in range(steps):
         seen = _fm_forward(rows.withColumn("_bias", F.lit(bias)), fields, params, factor_size)
-        seen = as_table(seen.select(*fields, *[f"_v{i}" for i in range(len(fields))], "_s", (F.col("_p") - F.col("_y")).alias("_r")))
-        entry = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("code"), F.col("_r").alias("r"),
+        # rows of the same codes have the same probability: one entry for all
+        seen = seen.withColumn("_r", F.col("_p") * F.col("_rows") - F.col("_y"))
+        entry = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("code"), F.col("_r").alias("r"), F.col("_rows").alias("n"),
                                              F.zip_with("_s", f"_v{i}", lambda s, v: F.col("_r") * (s - v)).alias("g"))
                                     for i, f in enumerate(fields)])).alias("e")
         gradient = as_table(seen.select(entry).groupBy("e.field", "e.code").agg(
-            F.sum("e.r").alias("_gw"), F.count(F.lit(1)).alias("_n"), F.array(*[F.sum(F.col("e.g")[d]) for d in range(factor_size)]).alias("_gv")))
+            F.sum("e.r").alias("_gw"), F.sum("e.n").alias("_n"), F.array(*[F.sum(F.col("e.g")[d]) for d in range(factor_size)]).alias("_gv")))
         # rows have one entry a field: the first field's entries are all of them
         total = gradient.where(F.col("field") == fields[0]).agg(F.sum("_gw").alias("g"), F.sum("_n").alias("n")).first()
         if total.n:
