@@ -8,6 +8,8 @@ reference's ``is_train`` contract; states persist as Parquet (E9).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from recsmith.operators.encode import attach_scalars, dense_ids
 #: Values that become columns of their own; wider fields are encoded as
 #: sparse vectors (``one_hot_sparse``).
 MAX_ONE_HOT_COLUMNS = 1_000
+#: Bytes of rows that one task of a forest holds and reads in every pass; a
+#: row there has one 4-byte draw for each tree.
+FOREST_TASK_BYTES = 32_000_000
 
 
 # ------------------------------------------------------------------ E4
@@ -116,7 +121,9 @@ def fill_zero(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def fit_model_fill(df: DataFrame, field: str, features: list[str], mode: str = "regression",
                    num_trees: int = 500, seed: int = 39, max_depth: int = 5):
     """E7 fit: random forest on rows where ``field`` is present; feature
-    nulls -> 0. Returns a fitted ``PipelineModel``."""
+    nulls -> 0. Returns a fitted ``PipelineModel``. The forest keeps its rows in
+    the tasks they come in, each with its draws for all trees: the narrow rows
+    that adaptive execution put in one task are dealt over more, by that size."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -126,6 +133,10 @@ def fit_model_fill(df: DataFrame, field: str, features: list[str], mode: str = "
     asm = VectorAssembler(inputCols=features, outputCol="_mf_x", handleInvalid="keep")
     label = F.col(field).cast("double")
     train = train.withColumn("_mf_y", label)
+    row_bytes = 4 * num_trees + 8 * len(features) + 64
+    tasks = math.ceil(train.count() * row_bytes / FOREST_TASK_BYTES)
+    if tasks > 1:
+        train = train.repartition(tasks)
     est_cls = RandomForestRegressor if mode == "regression" else RandomForestClassifier
     est = est_cls(featuresCol="_mf_x", labelCol="_mf_y", predictionCol="_mf_pred", numTrees=num_trees,
                   seed=seed, maxDepth=max_depth)

@@ -35,3 +35,16 @@ def test_model_fill_fills_only_nulls(spark):
     orig = {r.k: r.z for r in df.collect()}
     assert all(v is not None for v in out.values())
     assert all(out[k] == v for k, v in orig.items() if v is not None)
+
+
+def test_forest_rows_are_dealt_over_tasks_by_their_size(spark, monkeypatch):
+    """A forest of 500 trees keeps 2 KB a row: 40,000 narrow rows of one task
+    are too many for one."""
+    from pyspark.ml import Pipeline
+    seen = []
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df: seen.append(df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()))
+    df = spark.range(0, 40_000, numPartitions=1).selectExpr("cast(id % 7 as double) a", "if(id % 10 = 0, null, cast(id % 2 as int)) y")
+    fe.fit_model_fill(df, "y", ["a"], mode="classification")
+    assert sum(seen[0]) == 36_000 and max(seen[0]) * 2_000 <= fe.FOREST_TASK_BYTES
+    fe.fit_model_fill(df.limit(1000), "y", ["a"], mode="classification", num_trees=5)
+    assert seen[1] == [900]  # few rows stay as they come
