@@ -6,21 +6,27 @@ term is carried as BIGINT ticks ``floor(x*1e4)`` and summed — order
 independent, no float drift, identical in any engine.
 
 Scale:
-* pair generation is a self-join on the user; users longer than
-  ``block`` rows are split into blocks and the join key becomes
-  (user, block_a, block_b), so a hot user's n^2 pairs are spread over
-  (n/block)^2 tasks of at most block^2 pairs each;
-* the pair aggregation is a plain ``groupBy(item, relate)`` — partial
-  (map-side) aggregation runs before the shuffle;
+* a user's rows meet in cells: rows are moved to their user once and every
+  pair is made there; users longer than ``block`` rows are split into blocks
+  with one cell for each two blocks, so a hot user's n^2 pairs are spread over
+  (n/block)^2 / 2 cells of at most 4 block^2 pairs each;
+* where few item pairs take many occurrences (``COMBINE``), and where there are
+  few of them (``TASK_PAIRS``), the aggregation is a plain ``groupBy(item, relate)`` with partial (map-side) sums; elsewhere an
+  occurrence is moved once, to its item's task, where sums and top-k are made,
+  in rounds of items of ``ROUND_PAIRS`` occurrences whose shuffle files go
+  with the round, so that the disk grows with the baskets and the result, not
+  with the pairs; an item of more than ``ITEM_PAIRS`` spans several tasks;
 * per-pair vector similarities are computed inline from the item vectors
-  attached to each row before the join (straight-line codegen, no UDF);
+  attached to each row of a cell (straight-line codegen, no UDF);
 * top-k cuts (T1/T2/hot fill) are row_number windows Spark turns into
   WindowGroupLimit, so only k rows per group survive the sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import (
@@ -29,7 +35,7 @@ from recsmith.functions.columns import (
 from recsmith.operators.encode import attach_scalars, bounded_broadcast
 from recsmith.operators.logs import item_stats, rank_in_group, upper_median
 from recsmith.operators.sequence import hot_of, positions
-from recsmith.session import cut_lineage
+from recsmith.session import as_table, cut_lineage, shuffle_partitions
 
 # Vector slices standing in for the three embedding models
 # (node2vec, deepwalk, text) and the default cut sizes.
@@ -41,6 +47,16 @@ RELATE_ITEM_NUM = 100
 ITEM_NUM = 200
 HOT_K = 50
 BLOCK = 4096
+#: Rows of a block of R1, whose cells hold vectors.
+CELL = 512
+#: Occurrences of ordered pairs in one round, in one task, and of one item in
+#: one task.
+ROUND_PAIRS = 128_000_000
+TASK_PAIRS = 500_000
+ITEM_PAIRS = 2_000_000
+#: Occurrences for each possible item pair and task from which they are summed
+#: up before they move.
+COMBINE = 16
 #: Largest table of related items (rows) that is broadcast.
 MOST_RELATED = 200_000
 
@@ -71,16 +87,19 @@ def user_item_pairs(log: DataFrame, user: str = "user_id", item: str = "item_id"
             .select("item", "relate_item").distinct())
 
 
-def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block: int = BLOCK,
-                       user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """Every ordered pair (i at loc1, j at loc2, i != j) of one user's
-    time-ordered sequence, with the per-occurrence terms of R1."""
-    seq = positions(train.select(user, item, "time", "time_us"), user, ["time_us", item], loc="loc", size="n",
-                    known=hot_of(train))
-    stats = item_stats(train, item, user, "time").select(item, "users", "clicks")
+def _sides(train: DataFrame, user: str, item: str) -> DataFrame:
+    """Rows with their place in the user's time-ordered sequence and its length."""
+    return positions(train.select(user, item, "time", "time_us"), user, ["time_us", item], loc="loc", size="n",
+                     known=hot_of(train))
+
+
+def _cells(seq: DataFrame, stats: DataFrame, vectors: DataFrame | None, block: int, user: str, item: str) -> DataFrame:
+    """(user, _x, _y, rows): the rows of blocks _x <= _y of a user, with all
+    that a pair takes from its rows; ``_x = _y = 0`` up to ``block`` rows.
+    ``stats`` has clicks and users of each item; its ``parts`` go along."""
     # per-row factors of the pair formula, computed once per row instead of
     # once per pair (same operations, same doubles)
-    seq = (seq.join(stats, item)
+    seq = (seq.where(F.col(user).isNotNull()).join(stats, item)
            .withColumn("damp", activity_damp("users", "n"))
            .withColumn("lnlen", F.log(F.lit(1.0) + F.col("n"))))
     if vectors is not None:
@@ -90,39 +109,68 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
                            *[F.sqrt(dot_unrolled("vec", "vec", lo, hi)).alias(f"norm_{name}")
                              for name, (lo, hi) in _SLICES.items()])
         seq = seq.join(v, item, "left")
-    left, right = _blocked_sides(seq, block)
-    a = left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns])
-    b = right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns])
-    pairs = a.join(b, (F.col(f"a_{user}") == F.col(f"b_{user}")) & (F.col("a__ba") == F.col("b__ba"))
-                   & (F.col("a__bb") == F.col("b__bb")))
-    pairs = pairs.where(F.col(f"a_{item}") != F.col(f"b_{item}"))
-    dt = trunc4(F.abs(F.col("a_time") - F.col("b_time")) / F.lit(float(HOUR_SECONDS)))
-    dloc = F.abs(F.col("b_loc") - F.col("a_loc"))
-    if vectors is not None:
+    nb = (F.floor((F.col("n") - 1) / F.lit(block)) + 1).cast("int")
+    own = F.floor(F.col("loc") / F.lit(block)).cast("int")
+    one = F.struct(*[F.col(c) for c in seq.columns if c not in (user, "time_us")], own.alias("own"))
+    met = seq.select(user, one.alias("_row"), own.alias("_own"), F.explode(F.sequence(F.lit(0), nb - 1)).alias("_o"))
+    return (met.select(user, F.least("_own", "_o").alias("_x"), F.greatest("_own", "_o").alias("_y"), "_row")
+            .repartition(user, "_x", "_y").groupBy(user, "_x", "_y").agg(F.collect_list("_row").alias("rows")))
+
+
+def _cell_pairs(cells: DataFrame, user: str, item: str, keep: Column | None = None) -> DataFrame:
+    """Every ordered pair of rows ``a``, ``b`` of a cell with different items;
+    ``keep`` filters on ``a`` before the pairs are made."""
+    a = cells.select(user, "_x", "_y", "rows", F.explode("rows").alias("a"))
+    a = a if keep is None else a.where(keep)
+    # two blocks meet in one cell, a block meets itself in its own
+    return (a.select(user, "_x", "_y", "a", F.explode("rows").alias("b"))
+            .where((F.col(f"a.{item}") != F.col(f"b.{item}"))
+                   & ((F.col("_x") == F.col("_y")) | (F.col("a.own") != F.col("b.own")))))
+
+
+def _described(pairs: DataFrame, with_vectors: bool, user: str, item: str, *more: Column) -> DataFrame:
+    """The per-occurrence terms of R1 of pairs of rows ``a`` and ``b``."""
+    dt = trunc4(F.abs(F.col("a.time") - F.col("b.time")) / F.lit(float(HOUR_SECONDS)))
+    dloc = F.abs(F.col("b.loc") - F.col("a.loc"))
+    if with_vectors:
         sims = []
         for name, (lo, hi) in _SLICES.items():
-            cos = dot_unrolled("a_vec", "b_vec", lo, hi) / (F.col(f"a_norm_{name}") * F.col(f"b_norm_{name}"))
+            cos = dot_unrolled("a.vec", "b.vec", lo, hi) / (F.col(f"a.norm_{name}") * F.col(f"b.norm_{name}"))
             t = trunc4(F.lit(0.5) * cos + F.lit(0.5))
             sims.append(F.coalesce(t, F.lit(MISSING_AFFINITY)).alias(name))
     else:
         sims = [F.lit(MISSING_AFFINITY).alias(c) for c in ("node", "deep", "txt")]
     return pairs.select(
-        F.col(f"a_{user}").alias(user), F.col(f"a_{item}").alias("item"), F.col(f"b_{item}").alias("relate_item"),
-        F.col("a_loc").alias("loc1"), F.col("b_loc").alias("loc2"), dloc.alias("dloc"), dt.alias("dt"),
-        F.col("a_users").alias("users_i"), F.col("a_n").alias("n"), F.col("a_clicks").alias("ci"),
-        F.col("b_clicks").alias("cj"), F.col("a_damp").alias("damp"), F.col("a_lnlen").alias("lnlen"), *sims)
+        user, F.col(f"a.{item}").alias("item"), F.col(f"b.{item}").alias("relate_item"),
+        F.col("a.loc").alias("loc1"), F.col("b.loc").alias("loc2"), dloc.alias("dloc"), dt.alias("dt"),
+        F.col("a.users").alias("users_i"), F.col("a.n").alias("n"), F.col("a.clicks").alias("ci"),
+        F.col("b.clicks").alias("cj"), F.col("a.damp").alias("damp"), F.col("a.lnlen").alias("lnlen"), *sims, *more)
 
 
-def pair_accumulate(pairs: DataFrame) -> DataFrame:
-    """The 9 slots per ordered pair (slot 0 still undamped)."""
+def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block: int = BLOCK,
+                       user: str = "user_id", item: str = "item_id") -> DataFrame:
+    """Every ordered pair (i at loc1, j at loc2, i != j) of one user's
+    time-ordered sequence, with the per-occurrence terms of R1."""
+    stats = item_stats(train, item, user, "time").select(item, "users", "clicks")
+    cells = _cells(_sides(train, user, item), stats, vectors, block, user, item)
+    return _described(_cell_pairs(cells, user, item), vectors is not None, user, item)
+
+
+def _terms(pairs: DataFrame, *more: str) -> DataFrame:
+    """What one occurrence adds to the 9 slots of its pair."""
     ld, td = loc_decay(F.col("dloc") - 1), time_decay(F.col("dt"))
     sim = (F.col("node") * F.col("node") * F.col("deep") * F.col("txt") * ld * td
            / F.col("damp") * order_penalty("loc1", "loc2"))
     weighted = ld * td / F.col("lnlen")
-    return pairs.groupBy("item", "relate_item").agg(
-        F.sum(trunc_ticks(sim)).alias("sim_ticks"),
+    return pairs.select(*more, "item", "relate_item", trunc_ticks(sim).alias("sim_ticks"),
+                        trunc_ticks(weighted).alias("weighted_ticks"), "dt", "dloc", "node", "deep", "ci", "cj")
+
+
+def _summed(terms: DataFrame, *more: str) -> DataFrame:
+    return terms.groupBy(*more, "item", "relate_item").agg(
+        F.sum("sim_ticks").alias("sim_ticks"),
         F.count(F.lit(1)).alias("cnt"),
-        F.sum(trunc_ticks(weighted)).alias("weighted_ticks"),
+        F.sum("weighted_ticks").alias("weighted_ticks"),
         F.min("dt").alias("min_dt"),
         F.min("dloc").cast("bigint").alias("min_dloc"),
         F.max("node").alias("node"),
@@ -133,13 +181,65 @@ def pair_accumulate(pairs: DataFrame) -> DataFrame:
         F.max("ci").alias("_ci"), F.max("cj").alias("_cj"))
 
 
+def pair_accumulate(pairs: DataFrame) -> DataFrame:
+    """The 9 slots per ordered pair (slot 0 still undamped)."""
+    return _summed(_terms(pairs))
+
+
+def _top_pairs(cells: DataFrame, with_vectors: bool, total: int, most: int, top_k: int, round_pairs: int,
+               item_pairs: int) -> DataFrame:
+    """The ``top_k`` accumulated pairs of each item, from ``total`` occurrences
+    of which one item has ``most`` or less. An occurrence goes to the task of
+    (item, _s): _s is 0, or for an item of several ``parts`` its related item's
+    part from 1 on, whose own ``top_k`` are ranked once more."""
+    rounds = max(1, math.ceil(total / round_pairs))
+    tasks = max(1, math.ceil(total / rounds / TASK_PAIRS))
+    parts = F.col("a.parts")
+    at = F.when(parts > 1, F.pmod(F.xxhash64("b.item_id"), parts) + 1).otherwise(F.lit(0)).cast("int")
+    if rounds > 1:
+        cells = as_table(cells, tidy=True)
+
+    def top(r: int) -> DataFrame:
+        def mine(s: Column) -> Column:
+            return F.pmod(F.xxhash64("a.item_id", s), F.lit(rounds)) == r
+
+        pairs = _cell_pairs(cells, "user_id", "item_id", (parts > 1) | mine(F.lit(0)) if rounds > 1 else None)
+        if rounds > 1:
+            pairs = pairs.where((parts == 1) | mine(at))
+        terms = _terms(_described(pairs, with_vectors, "user_id", "item_id", at.alias("_s")), "_s")
+        return rank_in_group(_summed(terms.repartition(tasks, "item", "_s"), "_s"), ["item", "_s"], "sim_ticks",
+                             ["relate_item"], k=top_k, name="_r").drop("_r")
+
+    if rounds == 1 and most <= item_pairs:
+        return top(0)
+    found = None
+    for r in range(rounds):
+        one = as_table(top(r), tidy=True)
+        found = one if found is None else found.unionByName(one)
+    if most <= item_pairs:
+        return found
+    again = rank_in_group(found.where("_s > 0"), "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
+    return found.where("_s = 0").unionByName(again)
+
+
 def item_similarity(train: DataFrame, vectors: DataFrame | None = None, top_k: int = RELATE_ITEM_NUM,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int = CELL, round_pairs: int = ROUND_PAIRS, item_pairs: int = ITEM_PAIRS) -> DataFrame:
     """R1 (+T1): per item its ``top_k`` related items by undamped slot 0
     (ties by related item id), then slot 0 damped by popularity
     ``trunc4(s / (ci*cj)^0.2)``. ``train`` has user_id, item_id, time, time_us."""
-    acc = pair_accumulate(cooccurrence_pairs(train, vectors, block))
-    top = rank_in_group(acc, "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
+    seq = as_table(_sides(train, "user_id", "item_id"))
+    stats = seq.groupBy("item_id").agg(F.countDistinct("user_id").alias("users"), F.count(F.lit(1)).alias("clicks"),
+                                       F.sum(F.when(F.col("user_id").isNotNull(), F.col("n") - 1)).alias("_p"))
+    stats = as_table(stats.select("item_id", "users", "clicks", F.coalesce("_p", F.lit(0)).alias("_p"),
+                                  F.greatest(F.lit(1), F.ceil(F.col("_p") / F.lit(item_pairs))).alias("parts")))
+    items, total, most = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum("_p"), F.lit(0)), F.coalesce(F.max("_p"), F.lit(0))).first()
+    cells = _cells(seq, stats.drop("_p"), vectors, block, "user_id", "item_id")
+    few = total <= min(TASK_PAIRS, round_pairs) and most <= item_pairs  # one task's work
+    if few or total > COMBINE * items * items * shuffle_partitions(train.sparkSession):
+        acc = pair_accumulate(_described(_cell_pairs(cells, "user_id", "item_id"), vectors is not None, "user_id", "item_id"))
+        top = rank_in_group(acc, "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
+    else:
+        top = _top_pairs(cells, vectors is not None, total, most, top_k, round_pairs, item_pairs)
     damped = trunc4((F.col("sim_ticks") / F.lit(_T)) / F.pow(F.col("_ci") * F.col("_cj"), F.lit(0.2)))
     return top.select(
         "item", "relate_item", damped.alias("sim"), "cnt",

@@ -92,3 +92,45 @@ def test_candidates_are_summed_before_they_move(spark):
     assert {r.item_id for r in rows if r.user_id == 0} == set(range(10, 15)) and {r.item_id for r in rows if r.user_id == 39} == set(range(5))
     assert all(r.f_cnt == 10 for r in rows)
     assert "LeftAnti" not in out._jdf.queryExecution().toString()
+
+
+def _spread_log(spark):
+    """40 users with 12 to 30 of 200 items, some twice, one item of all users, null users and items."""
+    import random
+    rnd = random.Random(4)
+    rows = [(u, i, t * 977) for u in range(40) for t, i in enumerate([7] + [rnd.randrange(200) for _ in range(rnd.randrange(11, 30))])]
+    return _log(spark, rows + [(None, 3, 5), (None, 4, 9), (3, None, 1)]).where("time is not null")
+
+
+def test_rounds_and_parts_of_items_change_nothing(spark):
+    from pyspark.sql import Window
+    log = _spread_log(spark)
+    vec = spark.range(0, 200, 3).selectExpr("id item_id", "transform(sequence(1, 64), x -> cast(sin(x * (id + 1)) as float)) vec")
+    acc = pair_accumulate(cooccurrence_pairs(log, vec))
+    want = {(r.item, r.relate_item): (r.cnt, r.weighted_ticks / 1e4, r.min_dt, r.min_dloc, r.node, r.deep) for r in
+            acc.withColumn("_r", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("sim_ticks"), "relate_item"))).where("_r <= 20").collect()}
+    assert len(want) > 3000 and max(v[0] for v in want.values()) > 1
+    plain = sorted(tuple(r) for r in item_similarity(log, vec, top_k=20).collect())
+    assert {r[:2]: (r[3], *r[4:8], r[9]) for r in plain} == want
+    for more in ({"round_pairs": 4000}, {"item_pairs": 300}, {"round_pairs": 4000, "item_pairs": 300, "block": 5}):
+        assert sorted(tuple(r) for r in item_similarity(log, vec, top_k=20, **more).collect()) == plain, more
+
+
+def test_occurrences_move_once_and_a_round_at_a_time(spark, monkeypatch):
+    """Item pairs that hardly repeat are moved to their item only, not by pair
+    and then again by item; a round has its share of them."""
+    import re
+
+    from recsmith.operators import similarity as S
+    log = _spread_log(spark)
+    monkeypatch.setattr(S, "TASK_PAIRS", 5000, raising=False)
+    plan = item_similarity(log, top_k=20)._jdf.queryExecution().toString()
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)|RepartitionByExpression \[([^\]]*)\]", plan)
+    assert moved and not any("relate_item" in a + b for a, b in moved)
+    tables = []
+    plain = S.as_table
+    monkeypatch.setattr(S, "as_table", lambda df, tidy=False: (tables.append((tidy, out := plain(df, tidy))), out)[1])
+    item_similarity(log, top_k=10**6, round_pairs=4000)
+    rounds = [t.agg(F.sum("cnt")).first()[0] for tidy, t in tables if tidy and "cnt" in t.columns]
+    total = cooccurrence_pairs(log).count()
+    assert sum(rounds) == total and len(rounds) > 4 and max(rounds) < total / 2
