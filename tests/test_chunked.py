@@ -78,10 +78,12 @@ def test_one_user_with_a_third_of_all_rows_spans_many_tasks(spark):
     hot = rows.where("user_id = 0").select("chunk", F.size("items").alias("k"), F.col("items")[0].alias("i"), F.col("times")[0].alias("t")).collect()
     assert len(hot) == 79 and sum(r.k for r in hot) == 20_000 and all(r.t == r.chunk * 256 and r.i == r.t % 97 for r in hot)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # 20,000 rows would fit a task
+    spark.conf.set("spark.sql.shuffle.partitions", "8")  # the session's 4 could never be more than 4
     try:
         parts = range_numbered(log.where("user_id = 0"), [F.col("user_id").asc(), F.col("time_us").asc()]).groupBy("_pid").count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(parts) > 4 and max(r["count"] for r in parts) < 20_000 / 2
     spread = rows.where("user_id = 0").repartition(8, "user_id", "chunk").groupBy(F.spark_partition_id()).count().collect()
     assert len(spread) == 8
