@@ -11,13 +11,14 @@ Scale:
   with one cell for each two blocks, so a hot user's n^2 pairs are spread over
   (n/block)^2 / 2 cells of at most 4 block^2 pairs each;
 * where few item pairs take many occurrences (``COMBINE``), and where there are
-  few of them (``TASK_PAIRS``), the aggregation is a plain ``groupBy(item, relate)`` with partial (map-side) sums; elsewhere an
-  occurrence is moved once, to its item's task, where sums and top-k are made,
-  in rounds of items of ``ROUND_PAIRS`` occurrences whose shuffle files go
+  few of them (``TASK_PAIRS``), the aggregation is a plain ``groupBy(item, relate)`` with partial (map-side) sums; elsewhere
+  (``cell_sums``) cells are packed and an occurrence's partners are moved as one row, to its item's task, where pairs,
+  sums and top-k are made, in rounds of items of ``ROUND_PAIRS`` occurrences (``ROUND_MET`` times the rows, if that
+  is more: the number of rounds does not grow with the table) whose shuffle files go
   with the round, so that the disk grows with the baskets and the result, not
   with the pairs; an item of more than ``ITEM_PAIRS`` spans several tasks;
-* per-pair vector similarities are computed inline from the item vectors
-  attached to each row of a cell (straight-line codegen, no UDF);
+* per-pair vector similarities are computed from the item vectors
+  attached to each row of a cell;
 * top-k cuts (T1/T2/hot fill) are row_number windows Spark turns into
   WindowGroupLimit, so only k rows per group survive the sort.
 """
@@ -28,10 +29,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from recsmith.functions.columns import (
     HOUR_SECONDS, MISSING_AFFINITY, TICKS_PER_UNIT, activity_damp, dot_unrolled, hash32, loc_decay, ndcg_gain,
     order_penalty, popularity_damp, time_decay, trunc4, trunc_ticks)
+from recsmith.operators import cell_sums
 from recsmith.operators.encode import attach_scalars, bounded_broadcast
 from recsmith.operators.logs import item_stats, rank_in_group, upper_median
 from recsmith.operators.sequence import hot_of, positions
@@ -52,8 +55,12 @@ CELL = 512
 #: Occurrences of ordered pairs in one round, in one task, and of one item in
 #: one task.
 ROUND_PAIRS = 128_000_000
-TASK_PAIRS = 500_000
-ITEM_PAIRS = 2_000_000
+TASK_PAIRS = 1_000_000
+ITEM_PAIRS = 1_000_000
+#: Occurrences in one round for each row, where that is more.
+ROUND_MET = 3
+#: Rows of one task that packs cells.
+TASK_ROWS = 250_000
 #: Occurrences for each possible item pair and task from which they are summed
 #: up before they move.
 COMBINE = 16
@@ -93,9 +100,9 @@ def _sides(train: DataFrame, user: str, item: str) -> DataFrame:
                      known=hot_of(train))
 
 
-def _cells(seq: DataFrame, stats: DataFrame, vectors: DataFrame | None, block: int, user: str, item: str) -> DataFrame:
-    """(user, _x, _y, rows): the rows of blocks _x <= _y of a user, with all
-    that a pair takes from its rows; ``_x = _y = 0`` up to ``block`` rows.
+def _met(seq: DataFrame, stats: DataFrame, vectors: DataFrame | None, block: int, user: str, item: str) -> DataFrame:
+    """The rows of each cell (user, _x, _y), with all that a pair takes from
+    them: blocks _x <= _y of a user; ``_x = _y = 0`` up to ``block`` rows.
     ``stats`` has clicks and users of each item; its ``parts`` go along."""
     # per-row factors of the pair formula, computed once per row instead of
     # once per pair (same operations, same doubles)
@@ -111,24 +118,27 @@ def _cells(seq: DataFrame, stats: DataFrame, vectors: DataFrame | None, block: i
         seq = seq.join(v, item, "left")
     nb = (F.floor((F.col("n") - 1) / F.lit(block)) + 1).cast("int")
     own = F.floor(F.col("loc") / F.lit(block)).cast("int")
-    one = F.struct(*[F.col(c) for c in seq.columns if c not in (user, "time_us")], own.alias("own"))
-    met = seq.select(user, one.alias("_row"), own.alias("_own"), F.explode(F.sequence(F.lit(0), nb - 1)).alias("_o"))
-    return (met.select(user, F.least("_own", "_o").alias("_x"), F.greatest("_own", "_o").alias("_y"), "_row")
+    met = seq.drop("time_us").withColumn("own", own).withColumn("_o", F.explode(F.sequence(F.lit(0), nb - 1)))
+    return met.select(*[c for c in met.columns if c != "_o"], F.least("own", "_o").alias("_x"), F.greatest("own", "_o").alias("_y"))
+
+
+def _cells(met: DataFrame, user: str) -> DataFrame:
+    """(user, _x, _y, rows)."""
+    row = F.struct(*[c for c in met.columns if c not in (user, "_x", "_y")]).alias("_row")
+    return (met.select(user, "_x", "_y", row)
             .repartition(user, "_x", "_y").groupBy(user, "_x", "_y").agg(F.collect_list("_row").alias("rows")))
 
 
-def _cell_pairs(cells: DataFrame, user: str, item: str, keep: Column | None = None) -> DataFrame:
-    """Every ordered pair of rows ``a``, ``b`` of a cell with different items;
-    ``keep`` filters on ``a`` before the pairs are made."""
+def _cell_pairs(cells: DataFrame, user: str, item: str) -> DataFrame:
+    """Every ordered pair of rows ``a``, ``b`` of a cell with different items."""
     a = cells.select(user, "_x", "_y", "rows", F.explode("rows").alias("a"))
-    a = a if keep is None else a.where(keep)
     # two blocks meet in one cell, a block meets itself in its own
     return (a.select(user, "_x", "_y", "a", F.explode("rows").alias("b"))
             .where((F.col(f"a.{item}") != F.col(f"b.{item}"))
                    & ((F.col("_x") == F.col("_y")) | (F.col("a.own") != F.col("b.own")))))
 
 
-def _described(pairs: DataFrame, with_vectors: bool, user: str, item: str, *more: Column) -> DataFrame:
+def _described(pairs: DataFrame, with_vectors: bool, user: str, item: str) -> DataFrame:
     """The per-occurrence terms of R1 of pairs of rows ``a`` and ``b``."""
     dt = trunc4(F.abs(F.col("a.time") - F.col("b.time")) / F.lit(float(HOUR_SECONDS)))
     dloc = F.abs(F.col("b.loc") - F.col("a.loc"))
@@ -144,7 +154,7 @@ def _described(pairs: DataFrame, with_vectors: bool, user: str, item: str, *more
         user, F.col(f"a.{item}").alias("item"), F.col(f"b.{item}").alias("relate_item"),
         F.col("a.loc").alias("loc1"), F.col("b.loc").alias("loc2"), dloc.alias("dloc"), dt.alias("dt"),
         F.col("a.users").alias("users_i"), F.col("a.n").alias("n"), F.col("a.clicks").alias("ci"),
-        F.col("b.clicks").alias("cj"), F.col("a.damp").alias("damp"), F.col("a.lnlen").alias("lnlen"), *sims, *more)
+        F.col("b.clicks").alias("cj"), F.col("a.damp").alias("damp"), F.col("a.lnlen").alias("lnlen"), *sims)
 
 
 def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block: int = BLOCK,
@@ -152,22 +162,23 @@ def cooccurrence_pairs(train: DataFrame, vectors: DataFrame | None = None, block
     """Every ordered pair (i at loc1, j at loc2, i != j) of one user's
     time-ordered sequence, with the per-occurrence terms of R1."""
     stats = item_stats(train, item, user, "time").select(item, "users", "clicks")
-    cells = _cells(_sides(train, user, item), stats, vectors, block, user, item)
+    cells = _cells(_met(_sides(train, user, item), stats, vectors, block, user, item), user)
     return _described(_cell_pairs(cells, user, item), vectors is not None, user, item)
 
 
-def _terms(pairs: DataFrame, *more: str) -> DataFrame:
+def _terms(pairs: DataFrame) -> DataFrame:
     """What one occurrence adds to the 9 slots of its pair."""
     ld, td = loc_decay(F.col("dloc") - 1), time_decay(F.col("dt"))
     sim = (F.col("node") * F.col("node") * F.col("deep") * F.col("txt") * ld * td
            / F.col("damp") * order_penalty("loc1", "loc2"))
     weighted = ld * td / F.col("lnlen")
-    return pairs.select(*more, "item", "relate_item", trunc_ticks(sim).alias("sim_ticks"),
+    return pairs.select("item", "relate_item", trunc_ticks(sim).alias("sim_ticks"),
                         trunc_ticks(weighted).alias("weighted_ticks"), "dt", "dloc", "node", "deep", "ci", "cj")
 
 
-def _summed(terms: DataFrame, *more: str) -> DataFrame:
-    return terms.groupBy(*more, "item", "relate_item").agg(
+def pair_accumulate(pairs: DataFrame) -> DataFrame:
+    """The 9 slots per ordered pair (slot 0 still undamped)."""
+    return _terms(pairs).groupBy("item", "relate_item").agg(
         F.sum("sim_ticks").alias("sim_ticks"),
         F.count(F.lit(1)).alias("cnt"),
         F.sum("weighted_ticks").alias("weighted_ticks"),
@@ -181,41 +192,32 @@ def _summed(terms: DataFrame, *more: str) -> DataFrame:
         F.max("ci").alias("_ci"), F.max("cj").alias("_cj"))
 
 
-def pair_accumulate(pairs: DataFrame) -> DataFrame:
-    """The 9 slots per ordered pair (slot 0 still undamped)."""
-    return _summed(_terms(pairs))
-
-
-def _top_pairs(cells: DataFrame, with_vectors: bool, total: int, most: int, top_k: int, round_pairs: int,
-               item_pairs: int) -> DataFrame:
+def _top_pairs(met: DataFrame, with_vectors: bool, rows: int, total: int, most: int, wide: bool, decay: list[float], top_k: int,
+               round_pairs: int, item_pairs: int) -> DataFrame:
     """The ``top_k`` accumulated pairs of each item, from ``total`` occurrences
     of which one item has ``most`` or less. An occurrence goes to the task of
     (item, _s): _s is 0, or for an item of several ``parts`` its related item's
     part from 1 on, whose own ``top_k`` are ranked once more."""
+    spark = met.sparkSession
+    ansi = spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
     rounds = max(1, math.ceil(total / round_pairs))
     tasks = max(1, math.ceil(total / rounds / TASK_PAIRS))
-    parts = F.col("a.parts")
-    at = F.when(parts > 1, F.pmod(F.xxhash64("b.item_id"), parts) + 1).otherwise(F.lit(0)).cast("int")
+    slices = _SLICES if with_vectors else None
+    cells = cell_sums.packed_cells(met, slices, max(shuffle_partitions(spark), math.ceil(rows / TASK_ROWS)))
     if rounds > 1:
         cells = as_table(cells, tidy=True)
 
-    def top(r: int) -> DataFrame:
-        def mine(s: Column) -> Column:
-            return F.pmod(F.xxhash64("a.item_id", s), F.lit(rounds)) == r
-
-        pairs = _cell_pairs(cells, "user_id", "item_id", (parts > 1) | mine(F.lit(0)) if rounds > 1 else None)
-        if rounds > 1:
-            pairs = pairs.where((parts == 1) | mine(at))
-        terms = _terms(_described(pairs, with_vectors, "user_id", "item_id", at.alias("_s")), "_s")
-        return rank_in_group(_summed(terms.repartition(tasks, "item", "_s"), "_s"), ["item", "_s"], "sim_ticks",
-                             ["relate_item"], k=top_k, name="_r").drop("_r")
+    def top(r: int, packed: bool) -> DataFrame:
+        own = cell_sums.dealt(cells, slices, wide, rounds, r, ansi).repartition(tasks, "item", "_s")
+        return cell_sums.top_sums(own, wide, decay, top_k, packed)
 
     if rounds == 1 and most <= item_pairs:
-        return top(0)
+        return top(0, False)
     found = None
     for r in range(rounds):
-        one = as_table(top(r), tidy=True)
+        one = as_table(top(r, True), tidy=True)
         found = one if found is None else found.unionByName(one)
+    found = cell_sums.unpacked(found)
     if most <= item_pairs:
         return found
     again = rank_in_group(found.where("_s > 0"), "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
@@ -223,7 +225,7 @@ def _top_pairs(cells: DataFrame, with_vectors: bool, total: int, most: int, top_
 
 
 def item_similarity(train: DataFrame, vectors: DataFrame | None = None, top_k: int = RELATE_ITEM_NUM,
-                    block: int = CELL, round_pairs: int = ROUND_PAIRS, item_pairs: int = ITEM_PAIRS) -> DataFrame:
+                    block: int = CELL, round_pairs: int | None = None, item_pairs: int = ITEM_PAIRS) -> DataFrame:
     """R1 (+T1): per item its ``top_k`` related items by undamped slot 0
     (ties by related item id), then slot 0 damped by popularity
     ``trunc4(s / (ci*cj)^0.2)``. ``train`` has user_id, item_id, time, time_us."""
@@ -232,14 +234,24 @@ def item_similarity(train: DataFrame, vectors: DataFrame | None = None, top_k: i
                                        F.sum(F.when(F.col("user_id").isNotNull(), F.col("n") - 1)).alias("_p"))
     stats = as_table(stats.select("item_id", "users", "clicks", F.coalesce("_p", F.lit(0)).alias("_p"),
                                   F.greatest(F.lit(1), F.ceil(F.col("_p") / F.lit(item_pairs))).alias("parts")))
-    items, total, most = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum("_p"), F.lit(0)), F.coalesce(F.max("_p"), F.lit(0))).first()
-    cells = _cells(seq, stats.drop("_p"), vectors, block, "user_id", "item_id")
-    few = total <= min(TASK_PAIRS, round_pairs) and most <= item_pairs  # one task's work
-    if few or total > COMBINE * items * items * shuffle_partitions(train.sparkSession):
-        acc = pair_accumulate(_described(_cell_pairs(cells, "user_id", "item_id"), vectors is not None, "user_id", "item_id"))
+    kind = stats.schema["item_id"].dataType
+    numbers = isinstance(kind, IntegralType)
+    id_ = F.col("item_id") if numbers else F.lit(0)
+    s = stats.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("_p"), F.lit(0)).alias("total"),
+                  F.coalesce(F.max("_p"), F.lit(0)).alias("most"), F.coalesce(F.sum("clicks"), F.lit(0)).alias("rows"),
+                  F.max("clicks").alias("clicks"), F.min(id_).alias("low"), F.max(id_).alias("high"),
+                  F.array(*[loc_decay(F.lit(k)) for k in range(cell_sums.NEAR)]).alias("decay")).first()
+    met = _met(seq, stats.drop("_p"), vectors, block, "user_id", "item_id")
+    round_pairs = round_pairs or max(ROUND_PAIRS, ROUND_MET * s.rows)
+    few = s.total <= min(TASK_PAIRS, round_pairs) and s.most <= item_pairs  # one task's work
+    # only numbers are packed
+    if few or not numbers or s.total > COMBINE * s["items"] * s["items"] * shuffle_partitions(train.sparkSession):
+        acc = pair_accumulate(_described(_cell_pairs(_cells(met, "user_id"), "user_id", "item_id"), vectors is not None, "user_id", "item_id"))
         top = rank_in_group(acc, "item", "sim_ticks", ["relate_item"], k=top_k, name="_r").drop("_r")
     else:
-        top = _top_pairs(cells, vectors is not None, total, most, top_k, round_pairs, item_pairs)
+        wide = s.low is not None and (s.low < -(1 << 31) or max(s.high, s.clicks) >= 1 << 31)
+        top = _top_pairs(met, vectors is not None, s.rows, s.total, s.most, wide, s.decay, top_k, round_pairs, item_pairs)
+        top = top.withColumns({c: F.col(c).cast(kind) for c in ("item", "relate_item")})
     damped = trunc4((F.col("sim_ticks") / F.lit(_T)) / F.pow(F.col("_ci") * F.col("_cj"), F.lit(0.2)))
     return top.select(
         "item", "relate_item", damped.alias("sim"), "cnt",

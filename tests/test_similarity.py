@@ -134,3 +134,51 @@ def test_occurrences_move_once_and_a_round_at_a_time(spark, monkeypatch):
     rounds = [t.agg(F.sum("cnt")).first()[0] for tidy, t in tables if tidy and "cnt" in t.columns]
     total = cooccurrence_pairs(log).count()
     assert sum(rounds) == total and len(rounds) > 4 and max(rounds) < total / 2
+
+
+def _packed(monkeypatch):
+    from recsmith.operators import cell_sums
+    from recsmith.operators import similarity as S
+    monkeypatch.setattr(S, "TASK_PAIRS", 5000)
+    for name, n in (("BUNDLE", 64), ("CHUNK", 500)):
+        monkeypatch.setattr(cell_sums, name, n)
+    return S
+
+
+def test_packed_cells_equal_plain_sums(spark, monkeypatch):
+    """Null times, rows that come twice, ids beyond 32 bits, vectors that come
+    twice, are missing or hold nulls, users of several blocks."""
+    log = _spread_log(spark)
+    odd = log.where("item_id % 5 < 2").unionByName(log.where("user_id < 4"))
+    odd = odd.selectExpr("user_id", "if(item_id % 2 = 0, item_id, -item_id * 3000000001) item_id", "if(item_id % 7 = 3, null, time) time", "time_us")
+    vec = spark.range(0, 200, 3).selectExpr("id item_id", "if(id = 9, null, transform(sequence(1, 70), x -> if(id = 6 and x = 30, null, cast(sin(x * (id + 1)) as float)))) vec")
+    vec = vec.unionByName(vec.where("item_id in (0, 12, 30)"))
+    for kind in (odd, odd.selectExpr("user_id", "cast(item_id as string) item_id", "time", "time_us")):
+        if dict(kind.dtypes)["item_id"] == "string":
+            vec = vec.selectExpr("cast(item_id as string) item_id", "vec")
+        plain = item_similarity(kind, vec, top_k=7)
+        want = sorted(map(str, plain.collect()))
+        with monkeypatch.context() as m:
+            _packed(m)
+            got = item_similarity(kind, vec, top_k=7, block=6, round_pairs=9000, item_pairs=400)
+            assert got.dtypes == plain.dtypes and sorted(map(str, got.collect())) == want and len(want) > 300
+
+
+def test_no_row_for_a_pair_and_rounds_do_not_grow_with_the_table(spark, monkeypatch):
+    import re
+    S = _packed(monkeypatch)
+    log = _spread_log(spark)
+    plan = item_similarity(log, top_k=20)._jdf.queryExecution().toString()
+    assert not re.search(r"explode\(rows", plan) and "MapInArrow" in plan
+    monkeypatch.setattr(S, "ROUND_PAIRS", 4000)
+    monkeypatch.setattr(S, "ROUND_MET", 6, raising=False)
+    plain, numbers = S.as_table, []
+    for copies in (1, 3):
+        tables = []
+        monkeypatch.setattr(S, "as_table", lambda df, tidy=False: (tables.append((tidy, out := plain(df, tidy))), out)[1])
+        many = log.crossJoin(spark.range(copies)).selectExpr("user_id + id * 1000 user_id", "item_id + id * 1000 item_id", "time", "time_us")
+        rows = item_similarity(many, top_k=10**6).count()
+        rounds = [t.agg(F.sum("cnt")).first()[0] for tidy, t in tables if tidy and "cnt" in t.columns]
+        assert sum(rounds) == cooccurrence_pairs(many).count()
+        numbers.append((len(rounds), rows / copies))
+    assert numbers[0] == numbers[1] and numbers[0][0] > 2
